@@ -13,16 +13,13 @@ from pyspark.sql import types as T
 _ISO = r"^\s*\d{4}-\d{1,2}-\d{1,2}([T ].*)?$"
 _ZONED = r"\d:\d{2}.*?(Z|UTC|GMT|[+-]\d{2}:?\d{2})\s*$"
 # "Jan  1 2013 12:00AM", the text a SQL Server datetime turns into by default.
-_MONTH_FIRST = r"^\s*([A-Za-z]{3})\s+(\d{1,2})\s+(\d{4})\s+(\d{1,2}):(\d{2})([AP]M)\s*$"
-_MONTHS = "janfebmaraprmayjunjulaugsepoctnovdec"
+_MONTH_FIRST = r"^\s*[A-Za-z]{3}\s+\d{1,2}\s+\d{4}\s+\d{1,2}:\d{2}[AaPp][Mm]\s*$"
 
 
 def utc(instant: Column) -> Column:
     """UTC wall-clock time of a zoned ``timestamp``, in whatever zone the session is."""
-    micros = F.unix_micros(instant)
-    seconds = micros.cast("decimal(20,0)") / F.lit(1000000).cast("decimal(20,0)")
     epoch = F.lit("1970-01-01").cast("timestamp_ntz")
-    return epoch + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
+    return F.timestamp_add("MICROSECOND", F.unix_micros(instant), epoch)
 
 
 def _from_iso(text: Column) -> Column:
@@ -32,23 +29,10 @@ def _from_iso(text: Column) -> Column:
 
 
 def _from_month_first(text: Column) -> Column:
-    def piece(i: int) -> Column:
-        return F.regexp_extract(text, _MONTH_FIRST, i)
-
-    month_at = F.instr(F.lit(_MONTHS), F.lower(piece(1)))
-    # instr also hits across two names ("anf"): only every third place is a month
-    month = F.when(month_at % 3 == 1, (month_at + 2) / 3).cast("int")
-    hour = piece(4).try_cast("int")
-    hour24 = hour % 12 + F.when(F.upper(piece(6)) == "PM", 12).otherwise(0)
-    date = F.try_make_timestamp_ntz(
-        piece(3).try_cast("int"),
-        month,
-        piece(2).try_cast("int"),
-        hour24,
-        piece(5).try_cast("int"),
-        F.lit(0).cast("decimal(8,6)"),
-    )
-    return F.when(text.rlike(_MONTH_FIRST) & hour.between(1, 12), date)
+    # The offset in the text keeps the session's zone out of the reading.
+    squeezed = F.concat(F.regexp_replace(F.trim(text), r"\s+", " "), F.lit(" +0000"))
+    instant = F.try_to_timestamp(squeezed, F.lit("MMM d yyyy h:mma xx"))
+    return F.when(text.rlike(_MONTH_FIRST), utc(instant))
 
 
 def parse_date(text: Column, on_error: str = "raise") -> Column:
@@ -58,14 +42,13 @@ def parse_date(text: Column, on_error: str = "raise") -> Column:
     ``Jan  1 2013 12:00AM``. Other text raises, or gives null with
     ``on_error="null"``; ``rejected_dates`` lists those rows.
     """
-    parsed = F.coalesce(_from_iso(text), _from_month_first(text))
-    if on_error == "null":
-        return parsed
-    if on_error != "raise":
+    readings = [_from_iso(text), _from_month_first(text)]
+    if on_error == "raise":
+        complaint = F.raise_error(F.concat(F.lit("not a date: "), text))
+        readings.append(F.when(text.isNotNull(), complaint.cast("timestamp_ntz")))
+    elif on_error != "null":
         raise ValueError(f"on_error is 'raise' or 'null', not {on_error!r}")
-    bad = text.isNotNull() & parsed.isNull()
-    complaint = F.raise_error(F.concat(F.lit("not a date: "), text)).cast("timestamp_ntz")
-    return F.when(bad, complaint).otherwise(parsed)
+    return F.coalesce(*readings)
 
 
 def as_date(column: Column, data_type: T.DataType, on_error: str = "raise") -> Column:

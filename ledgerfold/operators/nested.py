@@ -22,18 +22,23 @@ def put(df: DataFrame, path: str, value: Column) -> DataFrame:
     return df.withColumn(head, F.col(head).withField(rest, value) if rest else value)
 
 
-def unwind(df: DataFrame, path: str) -> DataFrame:
+def unwind(df: DataFrame, path: str, fields: list[str] | None = None) -> DataFrame:
     """One row per array element, which takes the array's place.
 
     Rows whose array is missing, null or empty are left out; null elements stay.
-    A field that is no array counts as its own single element.
+    A field that is no array counts as its own single element. With ``fields`` the
+    elements keep those fields only, and only those are read from the file.
     """
     if not isinstance(path_type(df, path), T.ArrayType):
         return df.where(F.col(path).isNotNull())
+    array = F.col(path)
+    if fields:
+        leaves = [F.col(f"{path}.`{name}`").alias(name) for name in fields]
+        array = F.arrays_zip(*leaves)
     if "." not in path:
-        others = [F.explode(path).alias(path) if c == path else c for c in df.columns]
+        others = [F.explode(array).alias(path) if c == path else c for c in df.columns]
         return df.select(*others)
-    exploded = df.select("*", F.explode(path).alias("unwound_element"))
+    exploded = df.select("*", F.explode(array).alias("unwound_element"))
     return put(exploded, path, F.col("unwound_element")).drop("unwound_element")
 
 

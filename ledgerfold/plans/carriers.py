@@ -10,9 +10,10 @@ from ledgerfold.operators.gather import DOCUMENT_ITEMS, push
 from ledgerfold.operators.nested import array_count, unwind
 
 
-def _shipments(carriers: DataFrame) -> DataFrame:
+def _shipments(carriers: DataFrame, *fields: str) -> DataFrame:
     """One row per shipment with the days from shipping to delivery added to it."""
-    rows = unwind(carriers.select("name", "transport"), "transport")
+    wanted = [*fields, "shippingDate", "deliveryDate"]
+    rows = unwind(carriers.select("name", "transport"), "transport", wanted)
     days = days_between(F.col("transport.shippingDate"), F.col("transport.deliveryDate"))
     return rows.withColumn("differenceBetweenDays", days)
 
@@ -32,7 +33,7 @@ def delivery_days_with_shipments(
     with the average over all of its shipments.
     """
     documents = push(
-        _shipments(carriers),
+        _shipments(carriers, "saleid"),
         ["name"],
         [
             F.col("transport.saleid").alias("saleID"),

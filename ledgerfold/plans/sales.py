@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerfold.operators.gather import DOCUMENT_ITEMS, push
 from ledgerfold.operators.nested import lookup, lookup_unwind, unwind
+from ledgerfold.session import land
 
 LINE = ["OrderID", "StockItemID", "Quantity", "UnitPrice"]
 ORDER = ["OrderID", "CustomerID", "CityID", "EmployeeID", "InvoiceDate", "OrderDate"]
@@ -57,7 +58,11 @@ def sales_history_by_lookup(
     orders: DataFrame,
     max_items: int = DOCUMENT_ITEMS,
 ) -> DataFrame:
-    """The same result step by step: nest, unwind, nest in the nested line, regroup."""
+    """The same result step by step: nest, unwind, nest in the nested line, regroup.
+
+    Builds arrays that ``sales_history`` does without. The joined lines are stored
+    before they are counted and gathered, so the lookups run once.
+    """
     items = stock.select(F.col("StockItemID").alias("_id"), "ItemName", "StockItemID")
     nested = lookup(
         items, lines, "StockItemID", "StockItemID", "OrderList", LINE, "line_part", max_items
@@ -74,14 +79,10 @@ def sales_history_by_lookup(
         "order_part",
         max_items,
     )
-    complete = unwind(with_orders, "OrderList.Order")
+    joined = unwind(with_orders, "OrderList.Order").select("_id", "ItemName", "OrderList.*")
+    complete = land(joined, "sales_lines")
     grouped = push(
-        complete,
-        ["_id", "ItemName"],
-        ["OrderList.*"],
-        "OrderList",
-        max_items=max_items,
-        sizes=lines.join(items, "StockItemID").select("_id", "ItemName"),
+        complete, ["_id", "ItemName"], [*LINE, "Order"], "OrderList", max_items=max_items
     )
     return grouped.select("_id", "ItemName", "part", "OrderList")
 

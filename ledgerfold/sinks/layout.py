@@ -3,20 +3,21 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerfold.operators.gather import heavy_keys
-from ledgerfold.session import fresh_path
+from ledgerfold.session import fresh_path, land
 
 
 @dataclass(frozen=True)
 class KeyedTable:
-    """Rows of most keys in buckets, rows of heavy keys beside them."""
+    """Rows in buckets by key, and beside them the rows of heavy keys, if any."""
 
     bucketed: DataFrame
-    heavy: DataFrame
+    heavy: DataFrame | None
     key: str
 
 
@@ -30,48 +31,50 @@ def write_bucketed(
     table each. There are fewer such keys than buckets times tables, so the list
     of them is small however large the tables are.
     """
-    heavy: DataFrame | None = None
-    for name, df in tables.items():
-        above = max(df.count() // buckets, 1)
-        found = heavy_keys(df, [key_of[name]], above)[0].select(
-            F.col(key_of[name]).alias("heavy_key")
-        )
-        heavy = found if heavy is None else heavy.union(found)
-    heavy = F.broadcast(heavy.distinct())
+    heavy = [_above_a_bucket(df, key_of[name], buckets) for name, df in tables.items()]
+    lists = [found for found, n_found in heavy if n_found]
+    if not lists:
+        return {
+            name: KeyedTable(_buckets(df, name, key_of[name], buckets), None, key_of[name])
+            for name, df in tables.items()
+        }
 
+    keys = F.broadcast(reduce(DataFrame.unionAll, lists).distinct())
     stored = {}
     for name, df in tables.items():
         key = key_of[name]
-        spark = df.sparkSession
-        on = df[key] == heavy["heavy_key"]
-        light = df.join(heavy, on, "left_anti")
-        # One task per bucket, so that each bucket is one file.
-        (
-            light.repartition(buckets, key)
-            .write.bucketBy(buckets, key)
-            .sortBy(key)
-            .option("path", fresh_path(spark, f"{name}_buckets"))
-            .mode("overwrite")
-            .saveAsTable(f"{name}_by_{key}")
-        )
-        beside = fresh_path(spark, f"{name}_heavy")
-        df.join(heavy, on, "left_semi").write.parquet(beside)
-        stored[name] = KeyedTable(
-            spark.table(f"{name}_by_{key}"),
-            spark.read.schema(df.schema).parquet(beside),
-            key,
-        )
+        on = df[key] == keys["heavy_key"]
+        light = df.join(keys, on, "left_anti")
+        beside = land(df.join(keys, on, "left_semi"), f"{name}_heavy")
+        stored[name] = KeyedTable(_buckets(light, name, key, buckets), beside, key)
     return stored
 
 
+def _above_a_bucket(df: DataFrame, key: str, buckets: int) -> tuple[DataFrame, int]:
+    found, n_found = heavy_keys(df, [key], above=max(df.count() // buckets, 1))
+    return found.select(F.col(key).alias("heavy_key")), n_found
+
+
+def _buckets(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+    # One task per bucket, so that each bucket is one file.
+    spread = df.repartition(buckets, key)
+    writer = spread.write.bucketBy(buckets, key).sortBy(key).mode("overwrite")
+    table = f"{name}_by_{key}"
+    writer.option("path", fresh_path(df.sparkSession, table)).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 def join_keyed(left: KeyedTable, right: KeyedTable) -> DataFrame:
     """Inner join of two tables stored together by ``write_bucketed``.
 
     Bucket meets bucket without a shuffle. Heavy keys are joined apart: Spark
     broadcasts the smaller side if its files are small, else splits skewed keys.
     """
-    light = left.bucketed.join(
-        right.bucketed, left.bucketed[left.key] == right.bucketed[right.key]
-    )
-    heavy = left.heavy.join(right.heavy, left.heavy[left.key] == right.heavy[right.key])
-    return light.unionByName(heavy)
+    light = _inner(left.bucketed, left.key, right.bucketed, right.key)
+    if left.heavy is None or right.heavy is None:
+        return light
+    return light.unionByName(_inner(left.heavy, left.key, right.heavy, right.key))
+
+
+def _inner(left: DataFrame, left_key: str, right: DataFrame, right_key: str) -> DataFrame:
+    return left.join(right, left[left_key] == right[right_key])

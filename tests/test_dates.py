@@ -1,0 +1,130 @@
+from datetime import datetime
+
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerfold.functions.dates import (
+    days_between,
+    iso_day,
+    month_first_text,
+    parse_date,
+    rejected_dates,
+    utc,
+)
+from ledgerfold.plans.cleanup import normalise_customers, normalise_dates, normalise_orders
+
+TEXTS = {
+    "2013-01-01": datetime(2013, 1, 1),
+    "2013-01-01T23:00:00": datetime(2013, 1, 1, 23),
+    "2013-01-01 23:00:00.25": datetime(2013, 1, 1, 23, 0, 0, 250000),
+    "2013-01-01T23:00:00Z": datetime(2013, 1, 1, 23),
+    "2013-01-01T23:00:00.5+02:00": datetime(2013, 1, 1, 21, 0, 0, 500000),
+    "2013-01-01T23:00:00-03:30": datetime(2013, 1, 2, 2, 30),
+    "1950-06-01T00:30:00+01:00": datetime(1950, 5, 31, 23, 30),
+    "Jan  1 2013 12:00AM": datetime(2013, 1, 1),
+    "Dec 31 2013 12:05PM": datetime(2013, 12, 31, 12, 5),
+    "Feb 28 2013  9:05PM": datetime(2013, 2, 28, 21, 5),
+}
+BAD = ["bad", "", "2013-02-31", "Feb 31 2013 12:00AM", "Jan  1 2013 13:00AM", "2013", "12:30"]
+
+
+def parsed(spark, texts, on_error="raise"):
+    df = spark.createDataFrame([(t,) for t in texts], "t STRING")
+    return [r[0] for r in df.select(parse_date(F.col("t"), on_error)).collect()]
+
+
+@pytest.mark.parametrize("name", ["UTC", "Asia/Tokyo", "America/New_York"])
+def test_text_to_date_in_any_session_zone(spark, zone, name):
+    zone(name)
+    assert parsed(spark, TEXTS) == list(TEXTS.values())
+
+
+def test_hour_that_a_zone_skips_is_kept(spark, zone):
+    zone("America/New_York")
+    assert parsed(spark, ["2013-03-10T02:30:00", "Mar 10 2013  2:30AM"]) == [
+        datetime(2013, 3, 10, 2, 30)
+    ] * 2
+
+
+def test_null_stays_null(spark):
+    assert parsed(spark, [None]) == [None]
+
+
+def test_bad_text_gives_null_on_request(spark):
+    assert parsed(spark, BAD, "null") == [None] * len(BAD)
+
+
+@pytest.mark.parametrize("text", BAD)
+def test_bad_text_raises(spark, text):
+    with pytest.raises(Exception, match="not a date"):
+        parsed(spark, [text])
+
+
+def test_unknown_error_mode(spark):
+    with pytest.raises(ValueError):
+        parse_date(F.col("t"), "drop")
+
+
+def test_rejects_name_field_and_text(spark):
+    df = spark.createDataFrame(
+        [(1, "2013-01-01", "bad"), (2, None, "Jan  1 2013 12:00AM"), (3, "x", "y")],
+        "id INT, a STRING, b STRING",
+    )
+    rows = sorted(tuple(r) for r in rejected_dates(df, "id", ["a", "b"]).collect())
+    assert rows == [(1, "b", "bad"), (3, "a", "x"), (3, "b", "y")]
+
+
+@pytest.mark.parametrize("name", ["UTC", "Asia/Tokyo"])
+def test_days_are_midnights_crossed(spark, zone, name):
+    zone(name)
+    df = spark.createDataFrame(
+        [
+            ("2023-01-01T23:00:00Z", "2023-01-02T01:00:00Z"),
+            ("2023-01-01T01:00:00Z", "2023-01-01T23:00:00Z"),
+            ("2023-01-03", "2023-01-01"),
+            ("2023-01-03", None),
+        ],
+        "a STRING, b STRING",
+    )
+    days = days_between(parse_date(F.col("a")), parse_date(F.col("b")))
+    assert [r[0] for r in df.select(days).collect()] == [1, 0, -2, None]
+
+
+def test_zoned_instants_in_utc(spark, zone):
+    zone("Asia/Tokyo")
+    row = spark.sql("SELECT TIMESTAMP '2013-01-01 08:00:00' AS t").select(utc(F.col("t"))).head()
+    assert row[0] == datetime(2012, 12, 31, 23)
+
+
+def test_dates_to_text(spark):
+    df = spark.createDataFrame(
+        [(datetime(2013, 1, 1),), (datetime(2013, 11, 30, 21, 5),)], "t TIMESTAMP_NTZ"
+    )
+    rows = df.select(iso_day(F.col("t")), month_first_text(F.col("t"))).collect()
+    assert [tuple(r) for r in rows] == [
+        ("2013-01-01", "Jan  1 2013 12:00AM"),
+        ("2013-11-30", "Nov 30 2013  9:05PM"),
+    ]
+
+
+def test_repair_twice_changes_nothing(spark):
+    orders = spark.createDataFrame(
+        [(1, "Jan  1 2013 12:00AM", "2013-01-01")],
+        "OrderID INT, InvoiceDate STRING, OrderDate STRING",
+    )
+    once = normalise_orders(orders)
+    twice = normalise_orders(once)
+    assert once.schema == twice.schema
+    assert once.collect() == twice.collect()
+    assert once.head()[1:] == (datetime(2013, 1, 1), datetime(2013, 1, 1))
+
+
+def test_repair_of_customers_and_of_zoned_columns(spark, zone):
+    customers = spark.createDataFrame([(404, "2023-02-21")], "CustomerID INT, CustomerUpdateAt STRING")
+    assert normalise_customers(customers).head()[1] == datetime(2023, 2, 21)
+    zone("Asia/Tokyo")
+    zoned = spark.sql("SELECT TIMESTAMP '2013-01-01 08:00:00' AS t, DATE '2013-01-01' AS d")
+    assert tuple(normalise_dates(zoned, ["t", "d"]).head()) == (
+        datetime(2012, 12, 31, 23),
+        datetime(2013, 1, 1),
+    )

@@ -1,8 +1,8 @@
 """Gather rows into arrays of documents, also when one key holds most of the rows.
 
 A gathered array has to fit one row of one task. ``push`` therefore writes a key
-with more than ``max_items`` rows as several documents, told apart by a part
-number, in the way a document store keeps long lists below its document size.
+with more than ``max_items`` rows as several documents of about that many, told
+apart by a part number, as one does to stay below a store's document size.
 Keys within the limit give one document, part 0. No row is dropped: the parts
 of a key together hold every one of its rows.
 """
@@ -15,6 +15,8 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerfold.session import land
+
 DOCUMENT_ITEMS = 10_000
 
 # Heavy keys are handed to executors as a broadcast only up to this many rows.
@@ -25,17 +27,16 @@ def heavy_keys(df: DataFrame, keys: list[str], above: int) -> tuple[DataFrame, i
     """Keys with more than ``above`` rows as ``(*keys, key_rows)``, and how many.
 
     Runs one job that reads the key columns only and combines counts before the
-    shuffle. Up to ``HEAVY_KEYS_BROADCAST`` keys come back as a broadcast-ready
-    local table; beyond that the result is the plain aggregate and the number
-    given is a lower bound.
+    shuffle. Up to ``HEAVY_KEYS_BROADCAST`` keys come back marked for broadcast.
+    More of them are stored, and joins with them go by the size of their files; the
+    number given is then a lower bound.
     """
-    spark = df.sparkSession
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("key_rows"))
     heavy = counted.where(F.col("key_rows") > above)
     found = heavy.limit(HEAVY_KEYS_BROADCAST + 1).collect()
     if len(found) > HEAVY_KEYS_BROADCAST:
-        return heavy, len(found)
-    return F.broadcast(spark.createDataFrame(found, heavy.schema)), len(found)
+        return land(heavy, "heavy_keys"), len(found)
+    return F.broadcast(df.sparkSession.createDataFrame(found, heavy.schema)), len(found)
 
 
 def same_keys(left: DataFrame, right: DataFrame, names: dict[str, str]) -> Column:

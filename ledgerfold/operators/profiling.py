@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,34 +11,52 @@ from pyspark.sql import functions as F
 def column_profile(
     df: DataFrame, table: str, snapshot_at: str, exact: bool = False
 ) -> DataFrame:
-    """Per column: rows, nulls and distinct values, from one pass over the table.
+    """Per column: rows, nulls and distinct values.
 
-    Distinct values are estimated (one small sketch per task); ``exact`` counts
-    them, which shuffles every distinct value of every column.
+    Distinct values are estimated in one pass over the table, with one small sketch
+    per column and task. ``exact`` counts them, column by column: on stored tables
+    that reads each column once, but its distinct values are shuffled.
     """
-    counter = F.count_distinct if exact else F.approx_count_distinct
-    measures: list[Column] = [F.count(F.lit(1)).alias("n_rows")]
-    for c in df.columns:
-        measures.append(F.count(F.col(c)).alias(f"filled_{c}"))
-        measures.append(counter(F.col(c)).alias(f"distinct_{c}"))
-    totals = df.agg(*measures)
-    per_column = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("column_name"),
-                F.col("n_rows"),
-                (F.col("n_rows") - F.col(f"filled_{c}")).alias("n_nulls"),
-                F.col(f"distinct_{c}").alias("n_distinct"),
-            )
-            for c in df.columns
-        ]
-    )
-    stamped = totals.select(
+    measured = _counted(df) if exact else _estimated(df)
+    return measured.select(
         F.lit(snapshot_at).cast("timestamp_ntz").alias("snapshot_at"),
         F.lit(table).alias("table_name"),
-        F.inline(per_column),
+        "column_name",
+        "n_rows",
+        "n_nulls",
+        "n_distinct",
     )
-    return stamped
+
+
+def _estimated(df: DataFrame) -> DataFrame:
+    measures: list[Column] = [F.count(F.lit(1)).alias("n_rows")]
+    for c in df.columns:
+        measures.append(F.count(F.col(c)).alias(f"filled_{c}"))
+        measures.append(F.approx_count_distinct(F.col(c)).alias(f"distinct_{c}"))
+    per_column = [
+        F.struct(
+            F.lit(c).alias("column_name"),
+            F.col("n_rows"),
+            (F.col("n_rows") - F.col(f"filled_{c}")).alias("n_nulls"),
+            F.col(f"distinct_{c}").alias("n_distinct"),
+        )
+        for c in df.columns
+    ]
+    return df.agg(*measures).select(F.inline(F.array(*per_column)))
+
+
+def _counted(df: DataFrame) -> DataFrame:
+    def one(c: str) -> DataFrame:
+        # Copies of a value are one row per task before the shuffle.
+        values = df.groupBy(F.col(c).alias("value")).agg(F.count(F.lit(1)).alias("n"))
+        nulls = F.sum(F.when(F.col("value").isNull(), F.col("n")))
+        return values.agg(
+            F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
+            F.coalesce(nulls, F.lit(0)).alias("n_nulls"),
+            F.count("value").alias("n_distinct"),
+        ).withColumn("column_name", F.lit(c))
+
+    return reduce(DataFrame.unionByName, [one(c) for c in df.columns])
 
 
 def storage_profile(

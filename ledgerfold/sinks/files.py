@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerfold.functions.documents import to_document
 from ledgerfold.operators.gather import push
 
-ARRAY_FILE_ITEMS = 100_000
+ARRAY_FILE_BYTES = 64 * 1024 * 1024
 
 
 def to_documents(df: DataFrame, columns: list[str | Column]) -> DataFrame:
@@ -22,20 +24,24 @@ def write_documents(df: DataFrame, path: str) -> None:
 
 
 def write_json_array(
-    df: DataFrame, path: str, max_items: int = ARRAY_FILE_ITEMS
+    df: DataFrame, path: str, file_bytes: int = ARRAY_FILE_BYTES
 ) -> None:
     """Files that each hold one JSON array.
 
-    A collection of up to ``max_items`` documents gives one file with the one
-    array. A larger one gives several files of about that many documents, below
-    ``part=N`` folders, so that no task gathers the whole collection; each of them
-    can be imported on its own, or all at once by ``read_json_array``.
+    A collection of up to ``file_bytes`` of JSON text gives one file with the one
+    array. A larger one gives several files of about that size, below ``part=N``
+    folders, so that no task gathers the whole collection; each of them can be
+    imported on its own, or all at once by ``read_json_array``. The size is measured
+    by a pass of its own: land a ``df`` that is costly to compute.
     """
     documents = to_documents(df, df.columns)
-    arrays = push(documents, [], ["document"], "items", max_items=max_items)
-    text = F.concat(
-        F.lit("["), F.array_join(F.col("items.document"), ","), F.lit("]")
-    )
+    measured = documents.agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("document")).alias("n_bytes")
+    ).head()
+    n_files = math.ceil((measured["n_bytes"] or 0) / file_bytes) or 1
+    items = max(1, math.ceil(measured["n"] / n_files))
+    arrays = push(documents, [], ["document"], "items", max_items=items)
+    text = F.concat(F.lit("["), F.array_join(F.col("items.document"), ","), F.lit("]"))
     arrays.select("part", text.alias("value")).write.partitionBy("part").text(path)
 
 

@@ -114,7 +114,7 @@ def test_wrapped_ids_there_and_back(spark, tmp_path):
 
 def test_large_collection_is_several_array_files(spark, tmp_path):
     df = spark.range(1000).select(F.col("id").alias("BrandID"), F.lit("x").alias("BrandName"))
-    write_json_array(df, str(tmp_path / "out"), max_items=100)
+    write_json_array(df, str(tmp_path / "out"), file_bytes=3_000)
     sizes = [len(json.loads(t)) for t in array_texts(tmp_path / "out")]
     assert sum(sizes) == 1000 and len(sizes) > 5 and max(sizes) < 200
     assert rows(read_json_array(spark, str(tmp_path / "out"), schemas.BRAND)) == [
@@ -124,7 +124,7 @@ def test_large_collection_is_several_array_files(spark, tmp_path):
 
 def test_copies_are_all_exported(spark, tmp_path):
     df = spark.range(1000).select(F.lit(7).alias("BrandID"), F.lit("x").alias("BrandName"))
-    write_json_array(df, str(tmp_path / "out"), max_items=100)
+    write_json_array(df, str(tmp_path / "out"), file_bytes=3_000)
     texts = array_texts(tmp_path / "out")
     assert len(texts) > 3 and sum(len(json.loads(t)) for t in texts) == 1000
 

@@ -265,7 +265,7 @@ def shipments_exported(spark: SparkSession, sf_dir: str) -> DataFrame:
     flat = delivery.shipment_list(t.dated_carriers(spark, sf_dir))
     stored = replace_collection(flat, "Transport")
     path = fresh_path(spark, "transport_export")
-    write_json_array(stored, path, max_items=10_000)
+    write_json_array(stored, path, file_bytes=1_000_000)
     return read_json_array(spark, path, schemas.TRANSPORT)
 
 

@@ -9,6 +9,7 @@ of a key together hold every one of its rows.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
@@ -19,24 +20,36 @@ from ledgerfold.session import land
 
 DOCUMENT_ITEMS = 10_000
 
-# Heavy keys are handed to executors as a broadcast only up to this many rows.
-HEAVY_KEYS_BROADCAST = 10_000
+# Heavy keys are sent to all executors up to this many, and fetched to be counted up
+# to the smaller number; of a key and its row count some 50 bytes each.
+BROADCAST_KEYS = 1_000_000
+FETCHED_KEYS = 10_000
 
+# A key with more than one in so many rows would fill a task of a join by key.
+HOT_SHARE = 1_000
 
-def heavy_keys(df: DataFrame, keys: list[str], above: int) -> tuple[DataFrame, int]:
-    """Keys with more than ``above`` rows as ``(*keys, key_rows)``, and how many.
+
+def heavy_keys(df: DataFrame, keys: list[str], above: int) -> list[DataFrame]:
+    """Keys with more than ``above`` rows as ``(*keys, key_rows)``, hottest list first.
 
     Runs one job that reads the key columns only and combines counts before the
-    shuffle. Up to ``HEAVY_KEYS_BROADCAST`` keys come back marked for broadcast.
-    More of them are stored, and joins with them go by the size of their files; the
-    number given is then a lower bound.
+    shuffle. No heavy key gives no list; up to ``BROADCAST_KEYS`` give one, marked
+    for broadcast. More give two: the hot keys, fewer than ``HOT_SHARE`` and marked
+    for broadcast, and the others, to be joined by a shuffle they do not skew.
     """
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("key_rows"))
     heavy = counted.where(F.col("key_rows") > above)
-    found = heavy.limit(HEAVY_KEYS_BROADCAST + 1).collect()
-    if len(found) > HEAVY_KEYS_BROADCAST:
-        return land(heavy, "heavy_keys"), len(found)
-    return F.broadcast(df.sparkSession.createDataFrame(found, heavy.schema)), len(found)
+    found = heavy.limit(FETCHED_KEYS + 1).collect()
+    if not found:
+        return []
+    if len(found) <= FETCHED_KEYS:
+        return [F.broadcast(df.sparkSession.createDataFrame(found, heavy.schema))]
+
+    stored = land(heavy, "heavy_keys")
+    if stored.count() <= BROADCAST_KEYS:
+        return [F.broadcast(stored)]
+    hot = F.col("key_rows") > max(above, df.count() // HOT_SHARE)
+    return [F.broadcast(stored.where(hot)), stored.where(~hot)]
 
 
 def same_keys(left: DataFrame, right: DataFrame, names: dict[str, str]) -> Column:
@@ -45,6 +58,17 @@ def same_keys(left: DataFrame, right: DataFrame, names: dict[str, str]) -> Colum
     return reduce(and_, tests)
 
 
+@dataclass(frozen=True)
+class Gathered:
+    """Documents of keys within the limit, and per list of heavy keys their parts."""
+
+    light: DataFrame
+    heavy: list[tuple[DataFrame, DataFrame]]
+
+    def all(self) -> DataFrame:
+        return reduce(DataFrame.unionByName, [parts for _, parts in self.heavy], self.light)
+
+
 def push(
     df: DataFrame,
     keys: list[str],
@@ -53,48 +77,75 @@ def push(
     part: str = "part",
     max_items: int = DOCUMENT_ITEMS,
     sizes: DataFrame | None = None,
+    first: tuple[str, ...] = (),
 ) -> DataFrame:
-    """Per key an array of ``struct(values)``: columns ``keys, part, as_``.
+    """Per key an array of ``struct(values)``: columns ``keys, first, part, as_``.
 
-    Arrays are sorted by all their fields, so results repeat. ``sizes`` may name
-    a cheaper table to count keys on, when ``df`` is a join that adds no rows to
-    it. An empty ``keys`` gathers the whole table, in parts.
+    Arrays are sorted by all their fields, so results repeat. ``first`` names
+    columns of which each document takes one value; they should depend on the key.
+    ``sizes`` may name a cheaper table to count keys on, when ``df`` is a join that
+    adds no rows to it. An empty ``keys`` gathers the whole table, in parts.
     """
-    rows = df.select(*keys, F.struct(*values).alias(as_))
+    return gather(df, keys, values, as_, part, max_items, sizes, first).all()
+
+
+def gather(
+    df: DataFrame,
+    keys: list[str],
+    values: list[str | Column],
+    as_: str,
+    part: str = "part",
+    max_items: int = DOCUMENT_ITEMS,
+    sizes: DataFrame | None = None,
+    first: tuple[str, ...] = (),
+) -> Gathered:
+    """What ``push`` gives, with heavy keys apart for whoever joins the result."""
+    rows = df.select(*keys, *first, F.struct(*values).alias(as_))
     counted = df if sizes is None else sizes
     if not keys:
         n_rows = counted.count()
         if n_rows <= max_items:
-            return _documents(rows, keys, as_, part)
-        sized = _folded(rows, keys, as_).withColumn("key_rows", F.lit(n_rows))
-        return _parts(sized, keys, as_, part, max_items)
-
-    heavy, n_heavy = heavy_keys(counted, keys, max_items)
-    if not n_heavy:
-        return _documents(rows, keys, as_, part)
+            return Gathered(_documents(rows, keys, as_, part, first), [])
+        sized = _folded(rows, keys, as_, first).withColumn("key_rows", F.lit(n_rows))
+        return Gathered(_parts(sized, keys, as_, part, max_items, first), [])
 
     names = {k: f"heavy_{k}" for k in keys}
-    heavy = heavy.withColumnsRenamed(names)
-    on = same_keys(rows, heavy, names)
-    light = _documents(rows.join(heavy, on, "left_anti"), keys, as_, part)
-    # Semi join first: it moves below the joins df is made of, down to the scan.
-    folded = _folded(rows.join(heavy, on, "left_semi"), keys, as_)
-    sized = folded.join(heavy, same_keys(folded, heavy, names)).drop(*names.values())
-    return light.unionByName(_parts(sized, keys, as_, part, max_items))
+    parts = []
+    for found in heavy_keys(counted, keys, max_items):
+        heavy = found.withColumnsRenamed(names)
+        # Semi join first: it moves below the joins df is made of, down to the scan.
+        picked = rows.join(heavy, same_keys(rows, heavy, names), "left_semi")
+        rows = rows.join(heavy, same_keys(rows, heavy, names), "left_anti")
+        folded = _folded(picked, keys, as_, first)
+        sized = folded.join(heavy, same_keys(folded, heavy, names)).drop(*names.values())
+        parts.append((heavy, _parts(sized, keys, as_, part, max_items, first)))
+    return Gathered(_documents(rows, keys, as_, part, first), parts)
 
 
-def _documents(rows: DataFrame, keys: list[str], as_: str, part: str) -> DataFrame:
+def _firsts(first: tuple[str, ...]) -> list[Column]:
+    return [F.first(c).alias(c) for c in first]
+
+
+def _documents(
+    rows: DataFrame, keys: list[str], as_: str, part: str, first: tuple[str, ...]
+) -> DataFrame:
     gathered = F.sort_array(F.collect_list(as_)).alias(as_)
-    return rows.groupBy(*keys).agg(F.lit(0).alias(part), gathered)
+    return rows.groupBy(*keys).agg(*_firsts(first), F.lit(0).alias(part), gathered)
 
 
-def _folded(rows: DataFrame, keys: list[str], as_: str) -> DataFrame:
+def _folded(rows: DataFrame, keys: list[str], as_: str, first: tuple[str, ...]) -> DataFrame:
     """Equal rows as one row with a count, combined before the shuffle."""
-    return rows.groupBy(*keys, as_).agg(F.count(F.lit(1)).alias("copies"))
+    copies = F.count(F.lit(1)).alias("copies")
+    return rows.groupBy(*keys, as_).agg(*_firsts(first), copies)
 
 
 def _parts(
-    sized: DataFrame, keys: list[str], as_: str, part: str, max_items: int
+    sized: DataFrame,
+    keys: list[str],
+    as_: str,
+    part: str,
+    max_items: int,
+    first: tuple[str, ...],
 ) -> DataFrame:
     """Documents of heavy keys, spread by content over ceil(rows / max_items) parts.
 
@@ -108,8 +159,12 @@ def _parts(
     n_parts = F.ceil(F.col("key_rows") / max_items)
     placed = runs.select(
         *keys,
+        *first,
         F.pmod(F.xxhash64(as_, "run"), n_parts).cast("int").alias(part),
         F.array_repeat(as_, run_items.cast("int")).alias(as_),
     )
+    # Without this, rows that a join has put together by key would be grouped in
+    # place, all parts of a key in one task.
+    spread = placed.repartition(*keys, part)
     gathered = F.sort_array(F.flatten(F.collect_list(as_))).alias(as_)
-    return placed.groupBy(*keys, part).agg(gathered)
+    return spread.groupBy(*keys, part).agg(*_firsts(first), gathered)

@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerfold.operators.gather import DOCUMENT_ITEMS, push
+from ledgerfold.operators.gather import DOCUMENT_ITEMS, gather
 
 
 def path_type(df: DataFrame, path: str) -> T.DataType:
@@ -100,9 +101,11 @@ def lookup(
     local: str,
     foreign: str,
     as_: str,
-    columns: list[str] | None = None,
+    columns: list[str | Column] | None = None,
     part: str = "part",
     max_items: int = DOCUMENT_ITEMS,
+    sizes: DataFrame | None = None,
+    null_safe: bool = True,
 ) -> DataFrame:
     """Left outer join that nests the matching right rows in an array.
 
@@ -110,23 +113,38 @@ def lookup(
     keys. A left row without a match gets an empty array. A left row whose key has
     more than ``max_items`` right rows comes once per part of the array, see
     ``push``; unwinding afterwards gives the same rows with or without parts.
+    ``sizes`` may name a cheaper table with the ``foreign`` column to count keys on.
+    Set ``null_safe=False`` where keys are never null: the join then takes the
+    gathered arrays as they lie, without shuffling them once more.
     """
-    wanted = columns or right.columns
-    documents = push(
+    counted = right if sizes is None else sizes
+    gathered = gather(
         right.withColumn("lookup_key", F.col(foreign)),
         ["lookup_key"],
-        wanted,
+        columns or right.columns,
         "lookup_documents",
         part,
         max_items,
-        sizes=right.select(F.col(foreign).alias("lookup_key")),
+        sizes=counted.select(F.col(foreign).alias("lookup_key")),
     )
-    on = F.col(local).eqNullSafe(documents["lookup_key"])
-    joined = left.join(documents, on, "left")
-    array_type = documents.schema["lookup_documents"].dataType
-    matches = F.coalesce("lookup_documents", F.array().cast(array_type))
-    nested = put(joined, as_, matches).withColumn(part, F.coalesce(part, F.lit(0)))
-    return nested.drop("lookup_documents", "lookup_key")
+
+    def nested(rows: DataFrame, documents: DataFrame, how: str) -> DataFrame:
+        key = documents["lookup_key"]
+        on = F.col(local).eqNullSafe(key) if null_safe else F.col(local) == key
+        joined = rows.join(documents, on, how)
+        array_type = documents.schema["lookup_documents"].dataType
+        matches = F.coalesce("lookup_documents", F.array().cast(array_type))
+        filled = put(joined, as_, matches).withColumn(part, F.coalesce(part, F.lit(0)))
+        return filled.drop("lookup_documents", "lookup_key")
+
+    # An outer join cannot split a skewed right side. So heavy keys, all of which
+    # have a match on the right, are joined apart by an inner join, which can.
+    results = []
+    for heavy, parts in gathered.heavy:
+        results.append(nested(left, parts, "inner"))
+        known = F.col(local).eqNullSafe(heavy["heavy_lookup_key"])
+        left = left.join(heavy, known, "left_anti")
+    return reduce(DataFrame.unionByName, results, nested(left, gathered.light, "left"))
 
 
 def lookup_unwind(

@@ -65,35 +65,56 @@ def sales_history_by_lookup(
     """
     items = stock.select(F.col("StockItemID").alias("_id"), "ItemName", "StockItemID")
     nested = lookup(
-        items, lines, "StockItemID", "StockItemID", "OrderList", LINE, "line_part", max_items
+        items,
+        lines,
+        "StockItemID",
+        "StockItemID",
+        "OrderList",
+        LINE,
+        part="line_part",
+        max_items=max_items,
+        null_safe=False,
     )
     per_line = unwind(nested, "OrderList")
-    order = [c for c in ORDER if c in orders.columns]
     with_orders = lookup(
         per_line,
         orders,
         "OrderList.OrderID",
         "OrderID",
         "OrderList.Order",
-        order,
-        "order_part",
-        max_items,
+        [c for c in ORDER if c in orders.columns],
+        part="order_part",
+        max_items=max_items,
+        null_safe=False,
     )
     joined = unwind(with_orders, "OrderList.Order").select("_id", "ItemName", "OrderList.*")
     complete = land(joined, "sales_lines")
-    grouped = push(
-        complete, ["_id", "ItemName"], [*LINE, "Order"], "OrderList", max_items=max_items
+    return push(
+        complete,
+        ["_id"],
+        [*LINE, "Order"],
+        "OrderList",
+        max_items=max_items,
+        first=("ItemName",),
     )
-    return grouped.select("_id", "ItemName", "part", "OrderList")
 
 
 def sales_totals(stock: DataFrame, lines: DataFrame, orders: DataFrame) -> DataFrame:
-    """Lines and quantity per product, without gathering any array."""
-    rows = sales_rows(stock, lines, orders)
-    return rows.groupBy("_id").agg(
-        F.first("ItemName").alias("ItemName"),
-        F.count(F.lit(1)).alias("n_lines"),
-        F.sum("OrderList.Quantity").alias("quantity"),
-        F.min("OrderList.Order.OrderDate").alias("first_order"),
-        F.max("OrderList.Order.OrderDate").alias("last_order"),
+    """Lines, quantity and order dates per product, without gathering any array.
+
+    Grouped before the product is joined: grouping by the key of a join that has
+    just been done would keep a much-sold product's lines in one task.
+    """
+    totals = (
+        _line_with_order(lines, orders)
+        .groupBy("StockItemID")
+        .agg(
+            F.count(F.lit(1)).alias("n_lines"),
+            F.sum("Quantity").alias("quantity"),
+            F.min("Order.OrderDate").alias("first_order"),
+            F.max("Order.OrderDate").alias("last_order"),
+        )
     )
+    items = stock.select(F.col("StockItemID").alias("_id"), "ItemName")
+    joined = totals.join(items, totals["StockItemID"] == items["_id"])
+    return joined.select("_id", "ItemName", "n_lines", "quantity", "first_order", "last_order")

@@ -31,15 +31,15 @@ def write_bucketed(
     table each. There are fewer such keys than buckets times tables, so the list
     of them is small however large the tables are.
     """
-    heavy = [_above_a_bucket(df, key_of[name], buckets) for name, df in tables.items()]
-    lists = [found for found, n_found in heavy if n_found]
-    if not lists:
+    lists = [_above_a_bucket(df, key_of[name], buckets) for name, df in tables.items()]
+    found = [heavy for of_table in lists for heavy in of_table]
+    if not found:
         return {
             name: KeyedTable(_buckets(df, name, key_of[name], buckets), None, key_of[name])
             for name, df in tables.items()
         }
 
-    keys = F.broadcast(reduce(DataFrame.unionAll, lists).distinct())
+    keys = F.broadcast(reduce(DataFrame.unionAll, found).distinct())
     stored = {}
     for name, df in tables.items():
         key = key_of[name]
@@ -50,9 +50,9 @@ def write_bucketed(
     return stored
 
 
-def _above_a_bucket(df: DataFrame, key: str, buckets: int) -> tuple[DataFrame, int]:
-    found, n_found = heavy_keys(df, [key], above=max(df.count() // buckets, 1))
-    return found.select(F.col(key).alias("heavy_key")), n_found
+def _above_a_bucket(df: DataFrame, key: str, buckets: int) -> list[DataFrame]:
+    heavy = heavy_keys(df, [key], above=max(df.count() // buckets, 1))
+    return [keys.select(F.col(key).alias("heavy_key")) for keys in heavy]
 
 
 def _buckets(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:

@@ -56,13 +56,38 @@ def test_same_documents_however_the_rows_are_split(df):
     assert texts(df.repartition(1)) == texts(df.repartition(13))
 
 
-def test_more_heavy_keys_than_are_broadcast(df, monkeypatch):
-    monkeypatch.setattr(gather, "HEAVY_KEYS_BROADCAST", 1)
-    heavy, n_heavy = heavy_keys(df, ["k"], 50)
-    assert n_heavy == 2 and heavy.count() == 3
-    assert flat(push(df, ["k"], ["v"], "items", max_items=50)) == flat(
-        push(df, ["k"], ["v"], "items")
-    )
+@pytest.mark.parametrize(("broadcast", "lists"), [(100, [3]), (1, [2, 1])])
+def test_more_heavy_keys_than_are_fetched(df, monkeypatch, plan, broadcast, lists):
+    monkeypatch.setattr(gather, "FETCHED_KEYS", 1)
+    monkeypatch.setattr(gather, "BROADCAST_KEYS", broadcast)
+    monkeypatch.setattr(gather, "HOT_SHARE", 10)
+    found = heavy_keys(df, ["k"], 50)
+    assert [keys.count() for keys in found] == lists
+    documents = push(df, ["k"], ["v"], "items", max_items=50)
+    assert flat(documents) == Counter(tuple(r) for r in df.collect())
+
+
+def test_hot_keys_are_never_joined_by_a_shuffle(df, spark, monkeypatch, plan):
+    monkeypatch.setattr(gather, "FETCHED_KEYS", 1)
+    monkeypatch.setattr(gather, "BROADCAST_KEYS", 1)
+    monkeypatch.setattr(gather, "HOT_SHARE", 10)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(push(df, ["k"], ["v"], "items", max_items=50))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    # the other heavy keys are, in three joins of what is left without the hot ones
+    joins = text.split("SortMergeJoin")[1:]
+    assert len(joins) == 3
+    assert "LeftAnti, BuildRight" in joins[0] and "LeftAnti, BuildRight" in joins[2]
+    assert text.count("REPARTITION_BY_COL") == 2
+
+
+def test_first_value_per_key(df):
+    named = df.withColumn("name", F.concat(F.lit("key "), F.col("k")))
+    for row in push(named, ["k"], ["v"], "items", max_items=50, first=("name",)).collect():
+        assert row["name"] == (f"key {row['k']}" if row["k"] else None)
 
 
 def test_whole_table_without_keys(df):
@@ -105,6 +130,7 @@ def test_heavy_rows_are_folded_before_the_shuffle(df, plan):
     assert "partial_count(1)" in text
     assert "CartesianProduct" not in text and "NestedLoop" not in text
     assert "SortMergeJoin" not in text
+    assert "REPARTITION_BY_COL" in text
 
 
 def test_no_heavy_key_means_one_shuffle(df, plan):

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerfold.functions.dates import iso_day, month_first_text
-from ledgerfold.operators.gather import push
+from ledgerfold.operators.nested import lookup
 from ledgerfold.plans.cleanup import normalise_shipments
 from ledgerfold.session import land
 from ledgerfold.sinks.layout import KeyedTable, write_bucketed
@@ -117,16 +117,20 @@ def build_carriers(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFr
         F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("deliveryDate"),
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("trackingNumber"),
     ]
-    documents = push(shipped, ["l_suppkey"], shipment, "transport", sizes=lines)
     names = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
-    joined = names.join(documents, F.col("s_suppkey") == F.col("l_suppkey"), "left")
-    part = F.coalesce("part", F.lit(0))
-    oid = F.substring(F.sha1(F.concat_ws("-", "s_suppkey", part)), 1, 24)
-    empty = F.array().cast(documents.schema["transport"].dataType)
-    return joined.select(
-        F.struct(oid.alias("$oid")).alias("_id"),
-        F.col("s_name").alias("name"),
-        F.coalesce("transport", empty).alias("transport"),
+    nested = lookup(
+        names,
+        shipped,
+        "s_suppkey",
+        "l_suppkey",
+        "transport",
+        shipment,
+        sizes=lines,
+        null_safe=False,
+    )
+    oid = F.substring(F.sha1(F.concat_ws("-", "s_suppkey", "part")), 1, 24)
+    return nested.select(
+        F.struct(oid.alias("$oid")).alias("_id"), F.col("s_name").alias("name"), "transport"
     )
 
 

@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 
 _ISO = r"^\s*\d{4}-\d{1,2}-\d{1,2}([T ].*)?$"
 _ZONED = r"\d:\d{2}.*?(Z|UTC|GMT|[+-]\d{2}:?\d{2})\s*$"
-# "Jan  1 2013 12:00AM", the text a SQL Server datetime turns into by default.
+# "Jan  1 2013 12:00AM", the text a database may write for a date-time by default.
 _MONTH_FIRST = r"^\s*[A-Za-z]{3}\s+\d{1,2}\s+\d{4}\s+\d{1,2}:\d{2}[AaPp][Mm]\s*$"
 
 

@@ -84,7 +84,7 @@ def push(
     Arrays are sorted by all their fields, so results repeat. ``first`` names
     columns of which each document takes one value; they should depend on the key.
     ``sizes`` may name a cheaper table to count keys on, when ``df`` is a join that
-    adds no rows to it. An empty ``keys`` gathers the whole table, in parts.
+    adds no rows to it.
     """
     return gather(df, keys, values, as_, part, max_items, sizes, first).all()
 
@@ -101,17 +101,9 @@ def gather(
 ) -> Gathered:
     """What ``push`` gives, with heavy keys apart for whoever joins the result."""
     rows = df.select(*keys, *first, F.struct(*values).alias(as_))
-    counted = df if sizes is None else sizes
-    if not keys:
-        n_rows = counted.count()
-        if n_rows <= max_items:
-            return Gathered(_documents(rows, keys, as_, part, first), [])
-        sized = _folded(rows, keys, as_, first).withColumn("key_rows", F.lit(n_rows))
-        return Gathered(_parts(sized, keys, as_, part, max_items, first), [])
-
     names = {k: f"heavy_{k}" for k in keys}
     parts = []
-    for found in heavy_keys(counted, keys, max_items):
+    for found in heavy_keys(df if sizes is None else sizes, keys, max_items):
         heavy = found.withColumnsRenamed(names)
         # Semi join first: it moves below the joins df is made of, down to the scan.
         picked = rows.join(heavy, same_keys(rows, heavy, names), "left_semi")

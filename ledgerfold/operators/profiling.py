@@ -51,12 +51,13 @@ def _counted(df: DataFrame) -> DataFrame:
         values = df.groupBy(F.col(c).alias("value")).agg(F.count(F.lit(1)).alias("n"))
         nulls = F.sum(F.when(F.col("value").isNull(), F.col("n")))
         return values.agg(
+            F.lit(c).alias("column_name"),
             F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
             F.coalesce(nulls, F.lit(0)).alias("n_nulls"),
             F.count("value").alias("n_distinct"),
-        ).withColumn("column_name", F.lit(c))
+        )
 
-    return reduce(DataFrame.unionByName, [one(c) for c in df.columns])
+    return reduce(DataFrame.unionAll, [one(c) for c in df.columns])
 
 
 def storage_profile(

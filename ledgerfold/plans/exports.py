@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 
 from ledgerfold.sinks.files import to_documents, write_json_array
 
-# The customer's password stays in the database.
+# The columns each export has. The customer's password is left out.
 EXPORTED = {
     "Customer": [
         "CustomerID",

@@ -1,6 +1,7 @@
 """Declared schemas of the collections, as they arrive in JSON or delimited files.
 
-Dates arrive as text; ``plans.cleanup`` turns them into timestamps.
+Dates arrive as text; ``plans.cleanup`` turns them into timestamps. Field names,
+their spelling included, are fixed values: they have to match the files.
 """
 
 CUSTOMER = (

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
-import math
+from collections.abc import Iterator
 
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
 
 from ledgerfold.functions.documents import to_document
-from ledgerfold.operators.gather import push
 
 ARRAY_FILE_BYTES = 64 * 1024 * 1024
 
+# Up to so many documents are written by one task, so that they share a file.
+ONE_FILE_DOCUMENTS = 10_000
+
 
 def to_documents(df: DataFrame, columns: list[str | Column]) -> DataFrame:
     """One row ``document`` of JSON text per row, from the listed columns."""
@@ -26,23 +30,50 @@ def write_documents(df: DataFrame, path: str) -> None:
 def write_json_array(
     df: DataFrame, path: str, file_bytes: int = ARRAY_FILE_BYTES
 ) -> None:
-    """Files that each hold one JSON array.
+    """Files that each hold one JSON array, below ``part=...`` folders.
 
-    A collection of up to ``file_bytes`` of JSON text gives one file with the one
-    array. A larger one gives several files of about that size, below ``part=N``
-    folders, so that no task gathers the whole collection; each of them can be
-    imported on its own, or all at once by ``read_json_array``. The size is measured
-    by a pass of its own: land a ``df`` that is costly to compute.
+    A collection of up to ``ONE_FILE_DOCUMENTS`` documents gives one file with the
+    one array, as long as that is within ``file_bytes``. Of a larger one every task
+    writes arrays of about that size from the rows it has: nothing is shuffled or
+    gathered. Each file can be imported on its own, or all at once by
+    ``read_json_array``.
     """
     documents = to_documents(df, df.columns)
-    measured = documents.agg(
-        F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("document")).alias("n_bytes")
-    ).head()
-    n_files = math.ceil((measured["n_bytes"] or 0) / file_bytes) or 1
-    items = max(1, math.ceil(measured["n"] / n_files))
-    arrays = push(documents, [], ["document"], "items", max_items=items)
-    text = F.concat(F.lit("["), F.array_join(F.col("items.document"), ","), F.lit("]"))
-    arrays.select("part", text.alias("value")).write.partitionBy("part").text(path)
+    n_documents = df.count()
+    if not n_documents:
+        empty = [("none", "[]")]
+        arrays = df.sparkSession.createDataFrame(empty, "part STRING, value STRING")
+    else:
+        if n_documents <= ONE_FILE_DOCUMENTS:
+            documents = documents.repartition(1)
+        arrays = documents.mapInArrow(_joiner(file_bytes), "part STRING, value STRING")
+    arrays.write.partitionBy("part").text(path)
+
+
+def _joiner(file_bytes: int):
+    """Joins the documents of a task to arrays, each with a name of its own."""
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task = TaskContext.get().partitionId()
+        held: list[str] = []
+        n_bytes = n_arrays = 0
+
+        def array() -> pa.RecordBatch:
+            row = {"part": f"{task:06d}-{n_arrays:06d}", "value": "[" + ",".join(held) + "]"}
+            return pa.RecordBatch.from_pylist([row])
+
+        for batch in batches:
+            texts = batch.column(0)
+            for text, size in zip(texts.to_pylist(), pc.binary_length(texts).to_pylist()):
+                if held and n_bytes + size + 1 > file_bytes:
+                    yield array()
+                    held, n_bytes, n_arrays = [], 0, n_arrays + 1
+                held.append(text)
+                n_bytes += size + 1
+        if held:
+            yield array()
+
+    return joined
 
 
 def write_delimited(df: DataFrame, path: str, sep: str = ";") -> None:

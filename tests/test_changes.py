@@ -100,7 +100,10 @@ def test_latest_per_key_keeps_one_row_per_key_and_task_before_the_shuffle(spark,
 
 
 def test_round_trip_of_one_customer(spark):
-    """Insert, change and remove customer 404, looked up by e-mail after each step."""
+    """Insert, change and remove customer 404, looked up by e-mail after each step.
+
+    The customer's fields are fixed values.
+    """
     schema = "CustomerID INT, CustomerPrimaryContact STRING, CustomerEmail STRING, CustomerUpdateAt STRING"
     base = spark.createDataFrame([(1, "x", "other", "2020-01-01")], schema)
     new = spark.createDataFrame([(404, "Teste PrimaryContact", "email", "2023-02-21")], schema)

@@ -43,13 +43,13 @@ def test_a_collection_can_change_its_schema(spark):
 
 
 def test_databases(spark):
-    use_database(spark, "WWIWeb")
-    assert spark.catalog.currentDatabase().lower() == "wwiweb"
+    use_database(spark, "web_store")
+    assert spark.catalog.currentDatabase().lower() == "web_store"
     create_collection(spark, "Brand", schemas.BRAND)
-    assert spark.catalog.tableExists("WWIWeb.Brand")
+    assert spark.catalog.tableExists("web_store.Brand")
     drop_collection(spark, "Brand")
     use_database(spark, "default")
-    assert "wwiweb" in {r[0].lower() for r in list_databases(spark).collect()}
+    assert "web_store" in {r[0].lower() for r in list_databases(spark).collect()}
 
 
 def test_landed_rows_are_in_the_shared_folder(spark):

@@ -9,6 +9,7 @@ from ledgerfold import schemas
 from ledgerfold.functions.documents import from_document
 from ledgerfold.functions.text import same_text, strip_crlf
 from ledgerfold.plans.exports import EXPORTED, export_array_files, export_documents
+from ledgerfold.sinks import files as sinks
 from ledgerfold.sinks.files import (
     to_documents,
     write_delimited,
@@ -23,7 +24,7 @@ from ledgerfold.sources.files import (
     wrap_id,
 )
 
-# Rows of the reference's data files.
+# Fixed values that reading and writing must give back as they are.
 BRANDS = r'[{"BrandID":1,"BrandName":"N\/A"},{"BrandID":2,"BrandName":"Northwind"}]'
 TAX_RATES = [(1, "2.00"), (2, "3.00"), (3, "7.00"), (4, "12.00"), (5, "14.00"), (6, "20.00")]
 LOGISTIC = [
@@ -43,7 +44,7 @@ def array_texts(path) -> list[str]:
 
 @pytest.mark.parametrize("split", [False, True])
 def test_json_array_file(spark, tmp_path, split):
-    file = tmp_path / "brand.json"
+    file = tmp_path / "brands"
     file.write_text(BRANDS + "\n")
     df = read_json_array(spark, str(file), schemas.BRAND, split)
     assert rows(df) == [(1, "N/A"), (2, "Northwind")]
@@ -52,8 +53,8 @@ def test_json_array_file(spark, tmp_path, split):
 @pytest.mark.parametrize("split", [False, True])
 def test_json_decimals_keep_their_scale(spark, tmp_path, split):
     text = ",".join(f'{{"TaxRateID":{i},"TaxRate":{rate}}}' for i, rate in TAX_RATES)
-    (tmp_path / "taxrate.json").write_text(f"[{text}]")
-    df = read_json_array(spark, str(tmp_path / "taxrate.json"), schemas.TAX_RATE, split)
+    (tmp_path / "rates").write_text(f"[{text}]")
+    df = read_json_array(spark, str(tmp_path / "rates"), schemas.TAX_RATE, split)
     assert rows(df) == [(i, Decimal(rate)) for i, rate in TAX_RATES]
 
 
@@ -103,9 +104,8 @@ def test_wrapped_ids_there_and_back(spark, tmp_path):
     write_json_array(wrap_id(plain), str(tmp_path / "out"))
     texts = array_texts(tmp_path / "out")
     assert len(texts) == 1
-    assert json.loads(texts[0]) == sorted(
-        ({"_id": {"$oid": i}, "name": n} for i, n in LOGISTIC), key=lambda d: d["_id"]["$oid"]
-    )
+    found = sorted(json.loads(texts[0]), key=lambda d: d["_id"]["$oid"])
+    assert found == [{"_id": {"$oid": i}, "name": n} for i, n in LOGISTIC]
     stored = read_json_array(spark, str(tmp_path / "out"), schemas.LOGISTIC)
     assert stored.columns == ["_id", "name"]
     assert wrap_id(stored).schema == stored.schema
@@ -115,18 +115,21 @@ def test_wrapped_ids_there_and_back(spark, tmp_path):
 def test_large_collection_is_several_array_files(spark, tmp_path):
     df = spark.range(1000).select(F.col("id").alias("BrandID"), F.lit("x").alias("BrandName"))
     write_json_array(df, str(tmp_path / "out"), file_bytes=3_000)
-    sizes = [len(json.loads(t)) for t in array_texts(tmp_path / "out")]
-    assert sum(sizes) == 1000 and len(sizes) > 5 and max(sizes) < 200
+    texts = array_texts(tmp_path / "out")
+    assert sum(len(json.loads(t)) for t in texts) == 1000
+    assert len(texts) > 5 and max(map(len, texts)) <= 3_001
     assert rows(read_json_array(spark, str(tmp_path / "out"), schemas.BRAND)) == [
         (i, "x") for i in range(1000)
     ]
 
 
-def test_copies_are_all_exported(spark, tmp_path):
-    df = spark.range(1000).select(F.lit(7).alias("BrandID"), F.lit("x").alias("BrandName"))
-    write_json_array(df, str(tmp_path / "out"), file_bytes=3_000)
-    texts = array_texts(tmp_path / "out")
-    assert len(texts) > 3 and sum(len(json.loads(t)) for t in texts) == 1000
+def test_large_collection_is_written_where_it_lies(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(sinks, "ONE_FILE_DOCUMENTS", 100)
+    df = spark.range(0, 1000, 1, 5).select(F.lit(7).alias("BrandID"), F.lit("é").alias("BrandName"))
+    write_json_array(df, str(tmp_path / "out"))
+    assert [len(json.loads(t)) for t in array_texts(tmp_path / "out")] == [200] * 5
+    read = read_json_array(spark, str(tmp_path / "out"), schemas.BRAND)
+    assert read.columns == ["BrandID", "BrandName"] and rows(read) == [(7, "é")] * 1000
 
 
 def test_empty_collection_is_one_empty_array(spark, tmp_path):
@@ -135,8 +138,8 @@ def test_empty_collection_is_one_empty_array(spark, tmp_path):
 
 
 def test_delimited_file_with_header(spark, tmp_path):
-    # Three of the 57 states, among them the one with a comma.
-    file = tmp_path / "states.txt"
+    # Three of the 57 codes, among them the one with a comma.
+    file = tmp_path / "codes"
     file.write_text("Code;Name\nAL;Alabama\nDC;District of Columbia\nVI;Virgin Islands, U.S.")
     df = read_delimited(spark, str(file), schemas.STATES)
     assert rows(df) == [

@@ -90,13 +90,6 @@ def test_first_value_per_key(df):
         assert row["name"] == (f"key {row['k']}" if row["k"] else None)
 
 
-def test_whole_table_without_keys(df):
-    documents = push(df, [], ["k", "v"], "items", max_items=500).collect()
-    assert len(documents) > 10
-    got = Counter((i["k"], i["v"]) for r in documents for i in r["items"])
-    assert got == Counter(tuple(r) for r in df.collect())
-
-
 def test_structs_of_nulls_are_kept(spark):
     df = spark.createDataFrame([(1, None), (1, 2)], "k INT, v INT")
     assert [i["v"] for i in push(df, ["k"], ["v"], "items").head()["items"]] == [None, 2]

@@ -47,7 +47,7 @@ from ledgerfold.plans.monitoring import (
     monitor_storage,
 )
 from ledgerfold.session import fresh_path
-from ledgerfold.sinks.collections import replace_collection
+from ledgerfold.sinks.collections import create_collection, replace_collection
 from ledgerfold.sinks.files import write_delimited, write_documents, write_json_array
 from ledgerfold.sinks.layout import join_keyed
 from ledgerfold.sources.files import (
@@ -283,6 +283,15 @@ def orders_dates_normalised(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalise_orders(t.orders(spark, sf_dir)).drop("CityID", "EmployeeID")
 
 
+@query
+def orders_collection_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A collection created empty, filled, and replaced by its own repaired rows."""
+    create_collection(spark, "Orders", schemas.ORDERS)
+    replace_collection(t.orders(spark, sf_dir), "Orders")
+    repaired = replace_collection(normalise_orders(spark.table("Orders")), "Orders")
+    return repaired.select("OrderID", "CustomerID", "InvoiceDate", "OrderDate")
+
+
 @query
 def customer_dates_normalised(spark: SparkSession, sf_dir: str) -> DataFrame:
     repaired = normalise_customers(t.customers(spark, sf_dir))

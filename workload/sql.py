@@ -327,4 +327,5 @@ SQL = {
 }
 
 # Written out and read back, with the same content.
+SQL["orders_collection_repaired"] = SQL["orders_dates_normalised"]
 SQL["shipments_exported"] = SQL["shipments_flat"]

@@ -30,7 +30,7 @@ def _from_iso(text: Column) -> Column:
 
 def _from_month_first(text: Column) -> Column:
     # The offset in the text keeps the session's zone out of the reading.
-    squeezed = F.concat(F.regexp_replace(F.trim(text), r"\s+", " "), F.lit(" +0000"))
+    squeezed = F.concat(F.trim(F.regexp_replace(text, r"\s+", " ")), F.lit(" +0000"))
     instant = F.try_to_timestamp(squeezed, F.lit("MMM d yyyy h:mma xx"))
     return F.when(text.rlike(_MONTH_FIRST), utc(instant))
 

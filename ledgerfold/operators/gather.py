@@ -29,13 +29,26 @@ FETCHED_KEYS = 10_000
 HOT_SHARE = 1_000
 
 
-def heavy_keys(df: DataFrame, keys: list[str], above: int) -> list[DataFrame]:
-    """Keys with more than ``above`` rows as ``(*keys, key_rows)``, hottest list first.
+@dataclass(frozen=True)
+class HeavyKeys:
+    """Keys ``(*keys, key_rows)``; ``few`` if their number allows a broadcast."""
+
+    frame: DataFrame
+    few: bool
+
+    def hinted(self, df: DataFrame | None = None) -> DataFrame:
+        """The keys, or a table with one row for each of them, ready to be joined."""
+        rows = self.frame if df is None else df
+        return F.broadcast(rows) if self.few else rows
+
+
+def heavy_keys(df: DataFrame, keys: list[str], above: int) -> list[HeavyKeys]:
+    """Keys with more than ``above`` rows, hottest list first.
 
     Runs one job that reads the key columns only and combines counts before the
-    shuffle. No heavy key gives no list; up to ``BROADCAST_KEYS`` give one, marked
-    for broadcast. More give two: the hot keys, fewer than ``HOT_SHARE`` and marked
-    for broadcast, and the others, to be joined by a shuffle they do not skew.
+    shuffle. No heavy key gives no list; up to ``BROADCAST_KEYS`` give one, to be
+    broadcast. More give two: the hot keys, fewer than ``HOT_SHARE`` and also
+    broadcast, and the others, to be joined by a shuffle they do not skew.
     """
     counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("key_rows"))
     heavy = counted.where(F.col("key_rows") > above)
@@ -43,13 +56,13 @@ def heavy_keys(df: DataFrame, keys: list[str], above: int) -> list[DataFrame]:
     if not found:
         return []
     if len(found) <= FETCHED_KEYS:
-        return [F.broadcast(df.sparkSession.createDataFrame(found, heavy.schema))]
+        return [HeavyKeys(df.sparkSession.createDataFrame(found, heavy.schema), few=True)]
 
     stored = land(heavy, "heavy_keys")
     if stored.count() <= BROADCAST_KEYS:
-        return [F.broadcast(stored)]
+        return [HeavyKeys(stored, few=True)]
     hot = F.col("key_rows") > max(above, df.count() // HOT_SHARE)
-    return [F.broadcast(stored.where(hot)), stored.where(~hot)]
+    return [HeavyKeys(stored.where(hot), few=True), HeavyKeys(stored.where(~hot), few=False)]
 
 
 def same_keys(left: DataFrame, right: DataFrame, names: dict[str, str]) -> Column:
@@ -63,7 +76,7 @@ class Gathered:
     """Documents of keys within the limit, and per list of heavy keys their parts."""
 
     light: DataFrame
-    heavy: list[tuple[DataFrame, DataFrame]]
+    heavy: list[tuple[HeavyKeys, DataFrame]]
 
     def all(self) -> DataFrame:
         return reduce(DataFrame.unionByName, [parts for _, parts in self.heavy], self.light)
@@ -77,16 +90,16 @@ def push(
     part: str = "part",
     max_items: int = DOCUMENT_ITEMS,
     sizes: DataFrame | None = None,
-    first: tuple[str, ...] = (),
+    totals: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """Per key an array of ``struct(values)``: columns ``keys, first, part, as_``.
+    """Per key an array of ``struct(values)``: columns ``keys, totals, part, as_``.
 
-    Arrays are sorted by all their fields, so results repeat. ``first`` names
-    columns of which each document takes one value; they should depend on the key.
-    ``sizes`` may name a cheaper table to count keys on, when ``df`` is a join that
-    adds no rows to it.
+    Arrays are sorted by all their fields, so results repeat. ``totals`` names
+    aggregates over all rows of the key, such as ``F.avg`` of a column; every part
+    of a heavy key has them. ``sizes`` may name a cheaper table to count keys on,
+    when ``df`` is a join that adds no rows to it.
     """
-    return gather(df, keys, values, as_, part, max_items, sizes, first).all()
+    return gather(df, keys, values, as_, part, max_items, sizes, totals).all()
 
 
 def gather(
@@ -97,47 +110,42 @@ def gather(
     part: str = "part",
     max_items: int = DOCUMENT_ITEMS,
     sizes: DataFrame | None = None,
-    first: tuple[str, ...] = (),
+    totals: dict[str, Column] | None = None,
 ) -> Gathered:
     """What ``push`` gives, with heavy keys apart for whoever joins the result."""
-    rows = df.select(*keys, *first, F.struct(*values).alias(as_))
+    rows = df.withColumn("gathered_item", F.struct(*values))
+    aggregates = [column.alias(name) for name, column in (totals or {}).items()]
     names = {k: f"heavy_{k}" for k in keys}
+    columns = [*keys, *(totals or {}), part, as_]
+
     parts = []
     for found in heavy_keys(df if sizes is None else sizes, keys, max_items):
-        heavy = found.withColumnsRenamed(names)
+        heavy = HeavyKeys(found.frame.withColumnsRenamed(names), found.few)
+        listed = heavy.hinted()
         # Semi join first: it moves below the joins df is made of, down to the scan.
-        picked = rows.join(heavy, same_keys(rows, heavy, names), "left_semi")
-        rows = rows.join(heavy, same_keys(rows, heavy, names), "left_anti")
-        folded = _folded(picked, keys, as_, first)
-        sized = folded.join(heavy, same_keys(folded, heavy, names)).drop(*names.values())
-        parts.append((heavy, _parts(sized, keys, as_, part, max_items, first)))
-    return Gathered(_documents(rows, keys, as_, part, first), parts)
+        picked = rows.join(listed, same_keys(rows, listed, names), "left_semi")
+        rows = rows.join(listed, same_keys(rows, listed, names), "left_anti")
+        folded = _folded(picked, keys)
+        sized = folded.join(listed, same_keys(folded, listed, names)).drop(*names.values())
+        documents = _parts(sized, keys, as_, part, max_items)
+        if aggregates:
+            whole = picked.groupBy(*keys).agg(*aggregates).withColumnsRenamed(names)
+            whole = heavy.hinted(whole)
+            documents = documents.join(whole, same_keys(documents, whole, names))
+        parts.append((heavy, documents.select(*columns)))
 
+    gathered = F.sort_array(F.collect_list("gathered_item")).alias(as_)
+    light = rows.groupBy(*keys).agg(*aggregates, F.lit(0).alias(part), gathered)
+    return Gathered(light, parts)
 
-def _firsts(first: tuple[str, ...]) -> list[Column]:
-    return [F.first(c).alias(c) for c in first]
 
-
-def _documents(
-    rows: DataFrame, keys: list[str], as_: str, part: str, first: tuple[str, ...]
-) -> DataFrame:
-    gathered = F.sort_array(F.collect_list(as_)).alias(as_)
-    return rows.groupBy(*keys).agg(*_firsts(first), F.lit(0).alias(part), gathered)
-
-
-def _folded(rows: DataFrame, keys: list[str], as_: str, first: tuple[str, ...]) -> DataFrame:
-    """Equal rows as one row with a count, combined before the shuffle."""
-    copies = F.count(F.lit(1)).alias("copies")
-    return rows.groupBy(*keys, as_).agg(*_firsts(first), copies)
+def _folded(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Equal items of a key as one row with a count, combined before the shuffle."""
+    return rows.groupBy(*keys, "gathered_item").agg(F.count(F.lit(1)).alias("copies"))
 
 
 def _parts(
-    sized: DataFrame,
-    keys: list[str],
-    as_: str,
-    part: str,
-    max_items: int,
-    first: tuple[str, ...],
+    sized: DataFrame, keys: list[str], as_: str, part: str, max_items: int
 ) -> DataFrame:
     """Documents of heavy keys, spread by content over ceil(rows / max_items) parts.
 
@@ -151,12 +159,11 @@ def _parts(
     n_parts = F.ceil(F.col("key_rows") / max_items)
     placed = runs.select(
         *keys,
-        *first,
-        F.pmod(F.xxhash64(as_, "run"), n_parts).cast("int").alias(part),
-        F.array_repeat(as_, run_items.cast("int")).alias(as_),
+        F.pmod(F.xxhash64("gathered_item", "run"), n_parts).cast("int").alias(part),
+        F.array_repeat("gathered_item", run_items.cast("int")).alias("items"),
     )
     # Without this, rows that a join has put together by key would be grouped in
     # place, all parts of a key in one task.
     spread = placed.repartition(*keys, part)
-    gathered = F.sort_array(F.flatten(F.collect_list(as_))).alias(as_)
-    return spread.groupBy(*keys, part).agg(*_firsts(first), gathered)
+    gathered = F.sort_array(F.flatten(F.collect_list("items"))).alias(as_)
+    return spread.groupBy(*keys, part).agg(gathered)

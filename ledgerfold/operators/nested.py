@@ -142,8 +142,9 @@ def lookup(
     results = []
     for heavy, parts in gathered.heavy:
         results.append(nested(left, parts, "inner"))
-        known = F.col(local).eqNullSafe(heavy["heavy_lookup_key"])
-        left = left.join(heavy, known, "left_anti")
+        listed = heavy.hinted()
+        known = F.col(local).eqNullSafe(listed["heavy_lookup_key"])
+        left = left.join(listed, known, "left_anti")
     return reduce(DataFrame.unionByName, results, nested(left, gathered.light, "left"))
 
 

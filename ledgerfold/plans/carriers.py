@@ -32,7 +32,7 @@ def delivery_days_with_shipments(
     A carrier with more than ``max_items`` shipments comes in several parts, each
     with the average over all of its shipments.
     """
-    documents = push(
+    return push(
         _shipments(carriers, "saleid"),
         ["name"],
         [
@@ -43,11 +43,8 @@ def delivery_days_with_shipments(
         ],
         "transport",
         max_items=max_items,
+        totals={"avgDifferenceBetweenDays": F.avg("differenceBetweenDays")},
     )
-    averages = average_delivery_days(carriers).withColumnRenamed("name", "average_name")
-    same = documents["name"].eqNullSafe(averages["average_name"])
-    joined = documents.join(averages, same)
-    return joined.select("name", "avgDifferenceBetweenDays", "part", "transport")
 
 
 def shipment_counts(carriers: DataFrame, strict: bool = False) -> DataFrame:

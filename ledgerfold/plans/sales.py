@@ -95,7 +95,7 @@ def sales_history_by_lookup(
         [*LINE, "Order"],
         "OrderList",
         max_items=max_items,
-        first=("ItemName",),
+        totals={"ItemName": F.first("ItemName")},
     )
 
 

@@ -52,7 +52,7 @@ def write_bucketed(
 
 def _above_a_bucket(df: DataFrame, key: str, buckets: int) -> list[DataFrame]:
     heavy = heavy_keys(df, [key], above=max(df.count() // buckets, 1))
-    return [keys.select(F.col(key).alias("heavy_key")) for keys in heavy]
+    return [keys.frame.select(F.col(key).alias("heavy_key")) for keys in heavy]
 
 
 def _buckets(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:

@@ -105,3 +105,9 @@ def test_average_reads_two_leaves_and_shuffles_partial_sums(carriers, plan):
     text = plan(delivery.average_delivery_days(carriers))
     assert "transport:array<struct<shippingDate:timestamp_ntz,deliveryDate:timestamp_ntz>>" in text
     assert text.count("Exchange") == 1 and "partial_avg" in text
+
+
+def test_average_with_shipments_is_one_scan_and_one_shuffle(carriers, plan):
+    text = plan(delivery.delivery_days_with_shipments(carriers))
+    assert text.count("FileScan") == 1 and text.count("Exchange") == 1
+    assert "trackingNumber" not in text

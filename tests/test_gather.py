@@ -62,7 +62,7 @@ def test_more_heavy_keys_than_are_fetched(df, monkeypatch, plan, broadcast, list
     monkeypatch.setattr(gather, "BROADCAST_KEYS", broadcast)
     monkeypatch.setattr(gather, "HOT_SHARE", 10)
     found = heavy_keys(df, ["k"], 50)
-    assert [keys.count() for keys in found] == lists
+    assert [keys.frame.count() for keys in found] == lists
     documents = push(df, ["k"], ["v"], "items", max_items=50)
     assert flat(documents) == Counter(tuple(r) for r in df.collect())
 
@@ -84,10 +84,17 @@ def test_hot_keys_are_never_joined_by_a_shuffle(df, spark, monkeypatch, plan):
     assert text.count("REPARTITION_BY_COL") == 2
 
 
-def test_first_value_per_key(df):
+@pytest.mark.parametrize("max_items", [50, 10_000])
+def test_every_part_has_the_totals_of_its_key(df, max_items):
     named = df.withColumn("name", F.concat(F.lit("key "), F.col("k")))
-    for row in push(named, ["k"], ["v"], "items", max_items=50, first=("name",)).collect():
+    totals = {"name": F.first("name"), "mean": F.avg("v"), "n": F.count("v")}
+    documents = push(named, ["k"], ["v"], "items", max_items=max_items, totals=totals)
+    assert documents.columns == ["k", "name", "mean", "n", "part", "items"]
+    rows = df.collect()
+    for row in documents.collect():
+        values = [r["v"] for r in rows if r["k"] == row["k"]]
         assert row["name"] == (f"key {row['k']}" if row["k"] else None)
+        assert row["n"] == len(values) and row["mean"] == pytest.approx(sum(values) / len(values))
 
 
 def test_structs_of_nulls_are_kept(spark):

@@ -156,7 +156,8 @@ def sales_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _customers_with_orders(spark: SparkSession, sf_dir: str, right: DataFrame) -> DataFrame:
     left = t.table(spark, sf_dir, "customer").select("c_custkey", "c_name")
-    nested = lookup(left, right, "c_custkey", "o_custkey", "orders", ["o_orderkey", "day"])
+    order = ["o_orderkey", "day"]
+    nested = lookup(left, right, "c_custkey", "o_custkey", "orders", order, null_safe=False)
     return nested.select(
         "c_custkey",
         "c_name",

@@ -105,7 +105,7 @@ def lookup(
     part: str = "part",
     max_items: int = DOCUMENT_ITEMS,
     sizes: DataFrame | None = None,
-    null_safe: bool = True,
+    left_unique: bool = False,
 ) -> DataFrame:
     """Left outer join that nests the matching right rows in an array.
 
@@ -114,8 +114,9 @@ def lookup(
     more than ``max_items`` right rows comes once per part of the array, see
     ``push``; unwinding afterwards gives the same rows with or without parts.
     ``sizes`` may name a cheaper table with the ``foreign`` column to count keys on.
-    Set ``null_safe=False`` where keys are never null: the join then takes the
-    gathered arrays as they lie, without shuffling them once more.
+    Set ``left_unique`` if ``local`` is the key of ``left``, never null and never
+    twice: the join then takes the gathered arrays as they lie. Otherwise they are
+    shuffled once more, which lets Spark split a skewed key of ``left``.
     """
     counted = right if sizes is None else sizes
     gathered = gather(
@@ -130,7 +131,7 @@ def lookup(
 
     def nested(rows: DataFrame, documents: DataFrame, how: str) -> DataFrame:
         key = documents["lookup_key"]
-        on = F.col(local).eqNullSafe(key) if null_safe else F.col(local) == key
+        on = F.col(local) == key if left_unique else F.col(local).eqNullSafe(key)
         joined = rows.join(documents, on, how)
         array_type = documents.schema["lookup_documents"].dataType
         matches = F.coalesce("lookup_documents", F.array().cast(array_type))

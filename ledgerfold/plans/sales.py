@@ -73,7 +73,7 @@ def sales_history_by_lookup(
         LINE,
         part="line_part",
         max_items=max_items,
-        null_safe=False,
+        left_unique=True,
     )
     per_line = unwind(nested, "OrderList")
     with_orders = lookup(
@@ -85,7 +85,6 @@ def sales_history_by_lookup(
         [c for c in ORDER if c in orders.columns],
         part="order_part",
         max_items=max_items,
-        null_safe=False,
     )
     joined = unwind(with_orders, "OrderList.Order").select("_id", "ItemName", "OrderList.*")
     complete = land(joined, "sales_lines")

@@ -112,13 +112,13 @@ def test_lookup_unwind_and_null_keys(spark):
     assert [(r["name"], r["m"]["v"]) for r in plain.collect()] == [("a", 5)]
 
 
-def test_lookup_of_keys_that_are_never_null_shuffles_arrays_once(spark, plan):
+def test_lookup_by_the_left_table_key_shuffles_arrays_once(spark, plan):
     left = spark.range(10).withColumnRenamed("id", "k")
     right = spark.range(100).selectExpr("id % 10 AS k", "id AS v")
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        text = plan(lookup(left, right, "k", "k", "found", null_safe=False))
+        text = plan(lookup(left, right, "k", "k", "found", left_unique=True))
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert "SortMergeJoin" in text and text.count("Exchange hashpartitioning") == 2

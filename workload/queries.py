@@ -157,7 +157,7 @@ def sales_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _customers_with_orders(spark: SparkSession, sf_dir: str, right: DataFrame) -> DataFrame:
     left = t.table(spark, sf_dir, "customer").select("c_custkey", "c_name")
     order = ["o_orderkey", "day"]
-    nested = lookup(left, right, "c_custkey", "o_custkey", "orders", order, null_safe=False)
+    nested = lookup(left, right, "c_custkey", "o_custkey", "orders", order, left_unique=True)
     return nested.select(
         "c_custkey",
         "c_name",

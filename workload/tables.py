@@ -126,7 +126,7 @@ def build_carriers(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFr
         "transport",
         shipment,
         sizes=lines,
-        null_safe=False,
+        left_unique=True,
     )
     oid = F.substring(F.sha1(F.concat_ws("-", "s_suppkey", "part")), 1, 24)
     return nested.select(

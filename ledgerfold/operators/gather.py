@@ -96,8 +96,12 @@ def push(
 
     Arrays are sorted by all their fields, so results repeat. ``totals`` names
     aggregates over all rows of the key, such as ``F.avg`` of a column; every part
-    of a heavy key has them. ``sizes`` may name a cheaper table to count keys on,
-    when ``df`` is a join that adds no rows to it.
+    of a heavy key has them.
+
+    Counting the keys is a job of its own, and with heavy keys ``df`` is computed
+    once for them and once for the others. So land a ``df`` that is costly, or name
+    in ``sizes`` a cheaper table to count keys on, when ``df`` is a join that adds
+    no rows to it.
     """
     return gather(df, keys, values, as_, part, max_items, sizes, totals).all()
 

@@ -32,6 +32,7 @@ def delivery_days_with_shipments(
     A carrier with more than ``max_items`` shipments comes in several parts, each
     with the average over all of its shipments.
     """
+    one_leaf = unwind(carriers.select("name", "transport"), "transport", ["saleid"])
     return push(
         _shipments(carriers, "saleid"),
         ["name"],
@@ -43,6 +44,7 @@ def delivery_days_with_shipments(
         ],
         "transport",
         max_items=max_items,
+        sizes=one_leaf,
         totals={"avgDifferenceBetweenDays": F.avg("differenceBetweenDays")},
     )
 

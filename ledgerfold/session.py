@@ -10,11 +10,23 @@ from pyspark.sql import DataFrame, SparkSession
 _local_folder: list[str] = []
 
 
-def build(master: str | None = None, **conf: str) -> SparkSession:
+# What one task of a shuffle should have to read.
+TASK_BYTES = 128 * 1024 * 1024
+
+
+def build(
+    master: str | None = None, largest_shuffle_bytes: int | None = None, **conf: str
+) -> SparkSession:
     """A session with the defaults this library is written for.
 
-    On a cluster leave ``master`` out: the submit command names it.
+    On a cluster leave ``master`` out: the submit command names it. Give the size of
+    the largest shuffle to expect, about that of the largest table's columns in use:
+    there will be partitions enough to keep a task's share in memory, and the
+    adaptive planner joins those that turn out small.
     """
+    if largest_shuffle_bytes:
+        partitions = max(200, -(-largest_shuffle_bytes // TASK_BYTES))
+        conf = {"spark.sql.shuffle.partitions": str(partitions), **conf}
     builder = (
         SparkSession.builder.appName("ledgerfold")
         .config("spark.sql.session.timeZone", "UTC")

@@ -1,6 +1,8 @@
 import pytest
+from pyspark.sql import SparkSession
 
 from ledgerfold import schemas
+from ledgerfold import session
 from ledgerfold.session import fresh_path, land, shared_folder
 from ledgerfold.sinks.collections import (
     create_collection,
@@ -73,3 +75,24 @@ def test_a_cluster_without_a_shared_folder_is_refused():
     with pytest.raises(ValueError, match="spark.checkpoint.dir"):
         shared_folder(_Session("spark://host"))
     assert shared_folder(_Session("local[2]")) == shared_folder(_Session("local[2]"))
+
+
+def test_partitions_follow_the_largest_shuffle(monkeypatch):
+    settings = {}
+
+    class Builder:
+        def appName(self, _):
+            return self
+
+        def config(self, name, value):
+            settings[name] = value
+            return self
+
+        def getOrCreate(self):
+            return None
+
+    monkeypatch.setattr(SparkSession, "builder", Builder())
+    session.build(largest_shuffle_bytes=10 * 1024**4)
+    assert settings["spark.sql.shuffle.partitions"] == "81920"
+    session.build(largest_shuffle_bytes=1)
+    assert settings["spark.sql.shuffle.partitions"] == "200"

@@ -1,6 +1,8 @@
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from ledgerfold.functions.dates import (
@@ -128,3 +130,23 @@ def test_repair_of_customers_and_of_zoned_columns(spark, zone):
         datetime(2012, 12, 31, 23),
         datetime(2013, 1, 1),
     )
+
+
+MOMENTS = st.datetimes(datetime(1900, 1, 1), datetime(2100, 1, 1))
+OFFSETS = st.integers(-14 * 60, 14 * 60).map(lambda m: timezone(timedelta(minutes=m)))
+LISTS = st.lists(st.tuples(MOMENTS, OFFSETS), min_size=1, max_size=50)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(moments=LISTS)
+def test_any_moment_reads_back_in_every_form(spark, moments):
+    plain = [m for m, _ in moments]
+    assert parsed(spark, [m.isoformat() for m in plain]) == plain
+    zoned = [m.replace(tzinfo=o) for m, o in moments]
+    in_utc = [z.astimezone(timezone.utc).replace(tzinfo=None) for z in zoned]
+    assert parsed(spark, [z.isoformat() for z in zoned]) == in_utc
+
+    minutes = [m.replace(second=0, microsecond=0) for m in plain]
+    df = spark.createDataFrame([(m,) for m in minutes], "t TIMESTAMP_NTZ")
+    text = month_first_text(F.col("t"))
+    assert [r[0] for r in df.select(parse_date(text)).collect()] == minutes

@@ -3,6 +3,8 @@
 from collections import Counter
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from ledgerfold.operators import gather
@@ -137,3 +139,18 @@ def test_no_heavy_key_means_one_shuffle(df, plan):
     text = plan(push(df, ["k"], ["v"], "items"))
     assert text.count("Exchange hashpartitioning") == 1
     assert "Join" not in text
+
+
+KEYS = st.sampled_from([None, "a", "b", "c"])
+ROWS = st.lists(st.tuples(KEYS, st.integers(0, 5) | st.none()), min_size=1, max_size=60)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=ROWS, max_items=st.integers(1, 20))
+def test_any_rows_come_back(spark, rows, max_items):
+    made = spark.createDataFrame(rows, "k STRING, v INT")
+    documents = push(made, ["k"], ["v"], "items", max_items=max_items)
+    assert flat(documents) == Counter(rows)
+    heavy = {k for k, n in Counter(k for k, _ in rows).items() if n > max_items}
+    light = [r["k"] for r in documents.collect() if r["k"] not in heavy]
+    assert len(light) == len(set(light))

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ledgerfold.session import land
+
 
 def insert_rows(base: DataFrame, rows: DataFrame) -> DataFrame:
     """Add rows. The caller gives the keys; columns left out become null."""
@@ -51,11 +53,13 @@ def apply_changes(
 
     ``op`` is ``I`` to add the row (taking the place of one with its key, so a
     change set may be applied twice), ``U`` to replace a row if there is one, ``D``
-    to remove it. With several changes per key give ``order_by``, oldest first: the
-    last one counts.
+    to remove it. With several changes per key give ``order_by``, the columns that
+    put them in order: the last one counts. The last changes are stored first, so
+    they are found once and the join goes by their real size.
     """
     if order_by:
-        changes = latest_per_key(changes, [key], order_by)
+        last = latest_per_key(changes, [key], order_by)
+        changes = land(last.select(*base.columns, op), "last_changes")
     packed = changes.select(
         F.col(key).alias("change_key"),
         F.col(op).alias("change_op"),

@@ -14,6 +14,9 @@ def read_json_array(
 ) -> DataFrame:
     """Read files that each hold one JSON array of documents.
 
+    What does not fit the schema raises, such as a flag written as 0 or 1: read that
+    as INT and cast it.
+
     By default a file is one task's work, so many files of moderate size read in
     parallel and one huge file does not. ``split=True`` cuts a file between
     documents, at ``},{``, and reads it in as many tasks as it has blocks. It is
@@ -30,8 +33,10 @@ def read_json_array(
     pieces = reader.option("lineSep", "},{").text(path)
     body = F.regexp_replace("value", r"^\s*\[\s*\{|\}\s*\]\s*$", "")
     text = F.concat(F.lit("{"), body, F.lit("}"))
-    filled = pieces.where(~F.col("value").rlike(r"^\s*(\[\s*\]\s*)?$") | (F.col("value") == ""))
-    return filled.select(from_document(text, schema).alias("d")).select("d.*")
+    no_array = F.col("value").rlike(r"^\s*(\[\s*\]\s*)?$") & (F.col("value") != "")
+    filled = pieces.where(~no_array)
+    # inline also parses where no column is asked for, so a bare count raises as well
+    return filled.select(F.inline(F.array(from_document(text, schema))))
 
 
 def read_delimited(

@@ -90,9 +90,22 @@ def test_split_read_raises_where_the_cut_is_wrong(spark, tmp_path, text):
     (tmp_path / "bad.json").write_text(text)
     with pytest.raises(Exception, match="(?i)malformed"):
         read_json_array(spark, str(tmp_path / "bad.json"), schemas.BRAND, split=True).collect()
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_json_array(spark, str(tmp_path / "bad.json"), schemas.BRAND, split=True).count()
     read_json_array(spark, str(tmp_path / "bad.json"), schemas.BRAND).collect()
 
 
+@pytest.mark.parametrize("split", [False, True])
+def test_a_flag_written_as_a_number_raises(spark, tmp_path, split):
+    (tmp_path / "flags.json").write_text('[{"IsChillerStock":0},{"IsChillerStock":1}]')
+    path = str(tmp_path / "flags.json")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_json_array(spark, path, "IsChillerStock BOOLEAN", split).collect()
+    numbers = read_json_array(spark, path, "IsChillerStock INT", split)
+    flags = numbers.select(F.col("IsChillerStock").cast("boolean"))
+    assert rows(flags) == [(False,), (True,)]
+
+
 def test_malformed_json_raises(spark, tmp_path):
     (tmp_path / "bad.json").write_text('[{"BrandID":1')
     with pytest.raises(Exception, match="(?i)malformed"):

@@ -65,6 +65,9 @@ QUERIES: dict[str, Query] = {}
 
 PROFILED = ["customer", "orders", "lineitem"]
 
+# Suppliers taken for new customers get keys far above the present ones.
+NEW_KEYS = 1_000_000_000_000
+
 
 def query(function: Query) -> Query:
     QUERIES[function.__name__] = function
@@ -451,9 +454,8 @@ def filter_equal_ignoring_case(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _new_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Suppliers as new customers, with keys far above the present ones."""
     return t.table(spark, sf_dir, "supplier").select(
-        (F.col("s_suppkey") + 1_000_000_000_000).alias("CustomerID"),
+        (F.col("s_suppkey") + NEW_KEYS).alias("CustomerID"),
         F.col("s_name").alias("CustomerName"),
         F.lit("email").alias("CustomerEmail"),
         F.lit("20913").alias("CustomerZipCode"),
@@ -524,7 +526,8 @@ def change_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Insert, then update, then delete, and the rows with the new e-mail after each."""
     inserted = insert_customers(t.customers(spark, sf_dir), _new_customers(spark, sf_dir))
     updated = update_customers(inserted, _order_changes(spark, sf_dir))
-    gone = _new_customers(spark, sf_dir).where(F.col("CustomerName") < "Supplier#000000050")
+    in_debt = t.table(spark, sf_dir, "supplier").where(F.col("s_acctbal") < 0)
+    gone = in_debt.select((F.col("s_suppkey") + NEW_KEYS).alias("CustomerID"))
     deleted = delete_customers(updated, gone)
     steps = {"insert": inserted, "update": updated, "delete": deleted}
     found = [

@@ -281,7 +281,8 @@ SQL = {
         SELECT {CUSTOMER_COLUMNS}, 'update' FROM fresh
         UNION ALL
         SELECT {CUSTOMER_COLUMNS}, 'delete' FROM fresh
-        WHERE NOT CustomerName < 'Supplier#000000050'""",
+        WHERE CustomerID NOT IN (
+            SELECT s_suppkey + 1000000000000 FROM supplier WHERE s_acctbal < 0)""",
     "customers_changed": f"""
         {BASE}, latest AS ({LATEST_EVENT}), whole AS (
             SELECT user_id AS CustomerID, event_type AS CustomerPrimaryContact,

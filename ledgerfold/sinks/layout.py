@@ -26,6 +26,9 @@ def write_bucketed(
 ) -> dict[str, KeyedTable]:
     """Store tables that are joined with each other, bucketed alike by the join key.
 
+    The buckets of a table are the catalog table ``<name>_by_<key>``, replaced if
+    there is one. Take as many buckets as make one small enough for a task.
+
     One task reads a whole bucket, so a key with more rows than an average bucket
     of its table is kept out of the buckets of all the tables, in a plain Parquet
     table each. There are fewer such keys than buckets times tables, so the list

@@ -122,7 +122,6 @@ def sales_history_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
         t.stock_items(spark, sf_dir),
         t.order_list(spark, sf_dir),
         t.dated_orders(spark, sf_dir),
-        max_items=20,
     )
     return _history_rows(unwind(history, "OrderList"))
 
@@ -234,9 +233,8 @@ def carrier_shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def carrier_shipment_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = delivery.shipment_counts(t.dated_carriers(spark, sf_dir))
-    per_name = counts.groupBy("name").agg(F.sum("NTransportes").alias("NTransportes"))
-    return per_name
+    counts = unwrap_id(delivery.shipment_counts(t.dated_carriers(spark, sf_dir)))
+    return counts.withColumn("NTransportes", F.col("NTransportes").cast("bigint"))
 
 
 @query
@@ -249,13 +247,12 @@ def carrier_shipment_count_with_empty(spark: SparkSession, sf_dir: str) -> DataF
 
 
 @query
-def carrier_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+def carrier_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The carrier list, stored as a collection, exported as arrays and read back."""
     stored = replace_collection(delivery.carrier_list(t.carriers(spark, sf_dir)), "Logistic")
     path = fresh_path(spark, "logistic_export")
     write_json_array(stored, path)
-    exported = unwrap_id(read_json_array(spark, path, schemas.LOGISTIC))
-    return exported.select("name").distinct()
+    return unwrap_id(read_json_array(spark, path, schemas.LOGISTIC))
 
 
 @query

@@ -21,6 +21,10 @@ SHIPMENTS = """
     FROM supplier JOIN lineitem ON l_suppkey = s_suppkey
     JOIN orders ON o_orderkey = l_orderkey"""
 
+# A carrier with more shipments than fit one document would have one id per part.
+CARRIER_ID = """
+    CASE WHEN count(*) <= 10000 THEN substr(sha1(s_suppkey || '-0'), 1, 24) END"""
+
 CUSTOMERS = """
     SELECT c_custkey AS CustomerID, CAST(NULL AS VARCHAR) AS CustomerPrimaryContact,
            c_name AS CustomerName,
@@ -163,7 +167,10 @@ SQL = {
                    ';' ORDER BY saleid, shipped, delivered)) AS shipments_md5
         FROM ({SHIPMENTS}) GROUP BY name""",
     "carrier_shipment_count": f"""
-        SELECT name, count(*) AS NTransportes FROM ({SHIPMENTS}) GROUP BY name""",
+        SELECT {CARRIER_ID} AS _id, s_name AS name, count(*) AS NTransportes
+        FROM supplier JOIN lineitem ON l_suppkey = s_suppkey
+        JOIN orders ON o_orderkey = l_orderkey
+        GROUP BY s_suppkey, s_name""",
     "carrier_shipment_count_with_empty": """
         SELECT s_name AS name, count(l_orderkey) AS NTransportes
         FROM supplier LEFT JOIN (
@@ -171,7 +178,10 @@ SQL = {
             WHERE l_quantity = 50 AND l_discount = 0 AND l_tax = 0
         ) ON l_suppkey = s_suppkey
         GROUP BY s_name""",
-    "carrier_names": "SELECT DISTINCT s_name AS name FROM supplier",
+    "carrier_list": f"""
+        SELECT {CARRIER_ID} AS _id, s_name AS name
+        FROM supplier LEFT JOIN lineitem ON l_suppkey = s_suppkey
+        GROUP BY s_suppkey, s_name""",
     "shipments_flat": f"""
         SELECT saleid, name, strftime(shipped, '%Y-%m-%d') AS shippingDate,
                strftime(delivered, '%Y-%m-%d') AS deliveryDate, tracking AS trackingNumber

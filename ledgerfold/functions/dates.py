@@ -10,8 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_ISO = r"^\s*\d{4}-\d{1,2}-\d{1,2}([T ].*)?$"
-_ZONED = r"\d:\d{2}.*?(Z|UTC|GMT|[+-]\d{2}:?\d{2})\s*$"
+_OFFSET = r"\d:\d{2}.*(UTC|GMT|[+-]\d{2}:?\d{2})$"
 # "Jan  1 2013 12:00AM", the text a database may write for a date-time by default.
 _MONTH_FIRST = r"^\s*[A-Za-z]{3}\s+\d{1,2}\s+\d{4}\s+\d{1,2}:\d{2}[AaPp][Mm]\s*$"
 
@@ -23,9 +22,13 @@ def utc(instant: Column) -> Column:
 
 
 def _from_iso(text: Column) -> Column:
-    zoned = utc(text.try_cast("timestamp"))
-    plain = text.try_cast("timestamp_ntz")
-    return F.when(text.rlike(_ISO), F.when(text.rlike(_ZONED), zoned).otherwise(plain))
+    # Casts alone would also take a year, a month or a time of day for a date.
+    body = F.trim(text)
+    dated = (F.substring(body, 5, 1) == "-") & (F.length(body) >= len("2013-1-1"))
+    timed = F.length(body) > len("2013-01-01")
+    zoned = timed & (body.endswith("Z") | body.rlike(_OFFSET))
+    in_utc, plain = utc(body.try_cast("timestamp")), body.try_cast("timestamp_ntz")
+    return F.when(dated, F.when(zoned, in_utc).otherwise(plain))
 
 
 def _from_month_first(text: Column) -> Column:

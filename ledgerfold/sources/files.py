@@ -31,10 +31,15 @@ def read_json_array(
         return reader.option("mode", "FAILFAST").json(path)
 
     pieces = reader.option("lineSep", "},{").text(path)
-    body = F.regexp_replace("value", r"^\s*\[\s*\{|\}\s*\]\s*$", "")
+    # Only the first and last piece of a file have the array's brackets on them.
+    value = F.col("value")
+    at_start = F.substring(value, 1, 1) != '"'
+    at_end = F.substring(value, -1, 1).rlike(r"[\]\s]")
+    bare = F.regexp_replace(value, r"^\s*\[\s*\{|\}\s*\]\s*$", "")
+    body = F.when(at_start | at_end, bare).otherwise(value)
     text = F.concat(F.lit("{"), body, F.lit("}"))
-    no_array = F.col("value").rlike(r"^\s*(\[\s*\]\s*)?$") & (F.col("value") != "")
-    filled = pieces.where(~no_array)
+    no_document = at_start & value.rlike(r"^\s*(\[\s*\]\s*)?$") & (value != "")
+    filled = pieces.where(~no_document)
     # inline also parses where no column is asked for, so a bare count raises as well
     return filled.select(F.inline(F.array(from_document(text, schema))))
 

@@ -23,11 +23,14 @@ TEXTS = {
     "2013-01-01T23:00:00.5+02:00": datetime(2013, 1, 1, 21, 0, 0, 500000),
     "2013-01-01T23:00:00-03:30": datetime(2013, 1, 2, 2, 30),
     "1950-06-01T00:30:00+01:00": datetime(1950, 5, 31, 23, 30),
+    " 2013-1-1 ": datetime(2013, 1, 1),
+    "2013-1-1T1:00:00Z": datetime(2013, 1, 1, 1),
+    "2013-01-01 01:00:00 UTC": datetime(2013, 1, 1, 1),
     "Jan  1 2013 12:00AM": datetime(2013, 1, 1),
     "Dec 31 2013 12:05PM": datetime(2013, 12, 31, 12, 5),
     "Feb 28 2013  9:05PM": datetime(2013, 2, 28, 21, 5),
 }
-BAD = ["bad", "", "2013-02-31", "Feb 31 2013 12:00AM", "Jan  1 2013 13:00AM", "2013", "12:30"]
+BAD = ["bad", "", "2013-02-31", "Feb 31 2013 12:00AM", "Jan  1 2013 13:00AM", "2013", "2013-02", "12:30", "T12:30Z", "now", "2013-01-01 noon"]
 
 
 def parsed(spark, texts, on_error="raise"):

@@ -34,7 +34,7 @@ def read_json_array(
     # Only the first and last piece of a file have the array's brackets on them.
     value = F.col("value")
     at_start = F.substring(value, 1, 1) != '"'
-    at_end = F.substring(value, -1, 1).rlike(r"[\]\s]")
+    at_end = F.substring(value, -1, 1).isin("]", " ", "\n", "\r", "\t")
     bare = F.regexp_replace(value, r"^\s*\[\s*\{|\}\s*\]\s*$", "")
     body = F.when(at_start | at_end, bare).otherwise(value)
     text = F.concat(F.lit("{"), body, F.lit("}"))

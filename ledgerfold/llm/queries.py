@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerfold.llm import mixing, packing, quality_rules, simhash, token_counts
+from ledgerfold.llm import mixing, packing, quality_rules, simhash, suffix_dedup, token_counts
 from ledgerfold.session import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -31,6 +31,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the 50-byte strings of earlier ones."""
+    docs = table(spark, sf_dir, "documents")
+    return suffix_dedup.remove_repeats(docs, keep_text=False).drop("spans")
+
+
 @query
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents cut into pieces of sequences of 4096 tokens, balanced by cost."""

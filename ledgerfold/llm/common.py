@@ -103,3 +103,19 @@ def binaries(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(
         pa.binary(), len(offsets) - 1, [None, pa.py_buffer(ends), pa.py_buffer(data)]
     )
+
+
+def sample_by_hash(labels: DataFrame, id_col: str, label_col: str, size: int) -> DataFrame:
+    """``doc_id, label`` of about ``size`` labelled rows, or all if there are no more.
+
+    Rows are chosen by a hash of the id, so a run that is repeated takes the same ones.
+    """
+    known = labels.select(
+        labels[f"`{id_col}`"].cast("long").alias("doc_id"),
+        labels[f"`{label_col}`"].cast("int").alias("label"),
+    ).where("doc_id IS NOT NULL AND label IN (0, 1)")
+    n = known.count()
+    if n <= size:
+        return known
+    place = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 40))
+    return known.where(place < (1 << 40) * size // n)

@@ -4,10 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerfold.llm import mixing, packing, quality_rules, simhash, suffix_dedup, token_counts
+from ledgerfold.llm import (
+    language_id,
+    mixing,
+    packing,
+    quality_classifier,
+    quality_rules,
+    simhash,
+    suffix_dedup,
+    token_counts,
+    toxicity,
+)
+from ledgerfold.llm.common import fold
 from ledgerfold.session import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,6 +91,20 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document, learned from two of three folds."""
+    docs = table(spark, sf_dir, "documents")
+    held_out = fold(F.col("doc_id"), 3) == 1
+    model = language_id.train(docs.where(~held_out))
+    return _with_fold(language_id.identify(docs, model), held_out)
+
+
+def _with_fold(scored: DataFrame, held_out: Column) -> DataFrame:
+    first, *others = scored.columns
+    return scored.select(first, held_out.alias("held_out"), *others)
+
+
 @query
 def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts through a digest cache that starts empty."""
@@ -89,6 +114,26 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
+@query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from two of three folds."""
+    docs, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
+    held_out = fold(F.col("doc_id"), 3) == 1
+    grammar = toxicity.train(docs, labels.where(~held_out))
+    scored = _with_fold(toxicity.score(docs, grammar), held_out)
+    return scored.withColumn("predicted", (F.col("score") >= 0.7).cast("int"))
+
+
+@query
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learned from four of five folds."""
+    docs, labels = (table(spark, sf_dir, name) for name in ("documents", "labels"))
+    held_out = fold(F.col("doc_id"), 5) == 0
+    model = quality_classifier.train(docs, labels.where(~held_out))
+    scored = _with_fold(quality_classifier.score(docs, model), held_out)
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 SQL: dict[str, str] = {}
 
 

@@ -57,20 +57,22 @@ def statistics(text: bytes | None) -> list[float]:
     c = count(text)
     if not c.n_words:
         return [0.0] * len(STATISTICS)
-    words, letters = c.n_words, max(c.n_upper + c.n_lower, 1)
+    # Shares are taken as if twenty usual words and one line stood there besides, so
+    # that a text of few words is not far from all others.
+    words, lines, letters = c.n_words + 20, c.n_lines + 1, c.n_upper + c.n_lower + 100
     digits = len(text) - len(text.translate(None, _DIGITS))
     marks = len(text) - len(text.translate(None, _MARKS))
     return [
-        np.log1p(words),
+        np.log1p(c.n_words),
         np.log1p(20 * c.n_symbols / words),
         np.log1p(10 * c.n_upper / letters),
         np.log1p(10 * c.n_repeat_words / words),
-        np.log1p(10 * c.n_dup_lines / c.n_lines),
-        np.log(c.n_distinct / words),
-        np.log(c.top_word / words),
-        np.log(c.word_chars / words),
-        np.log1p(20 * c.n_ends / words),
-        np.log1p(100 * c.n_lines / words),
+        np.log1p(10 * c.n_dup_lines / lines),
+        np.log((c.n_distinct + 15) / words),
+        np.log((c.top_word + 2) / words),
+        np.log((c.word_chars + 100) / words),
+        np.log1p(20 * (c.n_ends + 2) / words),
+        np.log1p(100 * lines / words),
         np.log1p(20 * digits / words),
         np.log1p(20 * marks / words),
     ]

@@ -16,6 +16,7 @@ from ledgerfold.llm import (
     simhash,
     suffix_dedup,
     token_counts,
+    topk,
     toxicity,
 )
 from ledgerfold.llm.common import fold
@@ -91,6 +92,13 @@ def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best other vectors for every fiftieth vector."""
+    vectors = topk.whole_vectors(table(spark, sf_dir, "embeddings"))
+    return topk.top_k(vectors, F.col("vec_id") % 50 == 0)
+
+
 @query
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from two of three folds."""

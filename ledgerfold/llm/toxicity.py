@@ -192,6 +192,7 @@ def matched(text: str | None, lexicon: Lexicon, label: int | None = None) -> tup
     if not weights and not HARM.intersection(words):
         return 0.0, len(words)
     total = 0.0
+    met: dict[str, int] = {}
     machine = Composition()
     state, clause = machine.start, 0.0
     for token in _TOKEN.findall(lowered):
@@ -202,10 +203,10 @@ def matched(text: str | None, lexicon: Lexicon, label: int | None = None) -> tup
         weight = weights.get(token, 0.0)
         symbol = INSULT if weight else _SYMBOLS.get(token, OTHER)
         state, factor = machine.step(state, symbol)
-        if weight:
-            clause += weight * factor
-        elif symbol == HARMS:
-            clause += HARM_WEIGHT * factor
+        if weight or symbol == HARMS:
+            # A term that is repeated over and over adds less each time.
+            met[token] = met.get(token, 0) + 1
+            clause += (weight or HARM_WEIGHT) * factor / met[token]
     return total + clause, len(words)
 
 

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerfold.llm.common import ids_and_texts, sample_by_hash, slices
+from ledgerfold.llm.common import ids_and_texts, packed, sample_by_hash, slices
 
 #: Labelled documents that are learned from, about.
 SAMPLE = 20_000
@@ -308,7 +308,18 @@ def score(
     docs: DataFrame, grammar: Grammar, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """``doc_id, score`` of every document."""
-    rows = ids_and_texts(docs, id_col, text_col)
+    return _scored(ids_and_texts(docs, id_col, text_col), grammar).drop("text")
+
+
+def score_rows(
+    docs: DataFrame, grammar: Grammar, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """``doc_id, text, rest, score`` of every document."""
+    return _scored(packed(docs, id_col, text_col), grammar)
+
+
+def _scored(rows: DataFrame, grammar: Grammar) -> DataFrame:
+    """``rows`` with a score beside them; the text is the second column."""
     sent = rows.sparkSession.sparkContext.broadcast(grammar)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -316,7 +327,9 @@ def score(
         for batch in slices(batches):
             scores = [grammar.score(text) for text in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(scores, pa.float64())], names=["doc_id", "score"]
+                [*batch.columns, pa.array(scores, pa.float64())],
+                names=[*batch.schema.names, "score"],
             )
 
-    return rows.mapInArrow(scored, "doc_id LONG, score DOUBLE")
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
+    return rows.mapInArrow(scored, f"{schema}, score DOUBLE")

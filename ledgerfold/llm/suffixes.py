@@ -32,7 +32,10 @@ SPAN = BEFORE + WINDOW
 RECORD = SPAN + 4
 
 #: Windows whose owners are found in one go; a few arrays of eight bytes for each.
-CHUNK = 1 << 20
+CHUNK = 1 << 18
+
+#: Windows that are compared in one go, about; some 150 bytes for each.
+PORTION = 200_000
 
 _MIX = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)]
 
@@ -76,14 +79,15 @@ def owners(data: np.ndarray, ends: np.ndarray) -> Owners:
     if not parts:
         none = np.zeros(0, np.int64)
         return Owners(none, none, none, none.astype(np.uint64))
-    owner, window, gram = (np.concatenate(p) for p in zip(*parts))
+    owner, window, count, gram = (np.concatenate(p) for p in zip(*parts))
+    # A suffix that owns windows on both sides of a chunk's edge is one suffix.
     first = np.flatnonzero(np.diff(owner, prepend=-1) != 0)
-    count = np.add.reduceat(np.ones(len(owner), np.int64), first) if len(first) else first
+    count = np.add.reduceat(count, first) if len(first) else count
     return Owners(owner[first], window[first], count, gram[first])
 
 
 def _owners(data: np.ndarray, inside: np.ndarray, at: int) -> tuple[np.ndarray, ...]:
-    """For each window that starts in a chunk: its owner, its start, the owner's hash."""
+    """Of the windows that start in a chunk: owners, their first windows, counts, hashes."""
     words = data[at : at + CHUNK + WINDOW - 1].astype(np.uint64)
     for width in (1, 2, 4):
         words = (words[:-width] << np.uint64(8 * width)) | words[width:]
@@ -98,19 +102,22 @@ def _owners(data: np.ndarray, inside: np.ndarray, at: int) -> tuple[np.ndarray,
         least = np.minimum(least[: span - grams], least[grams - span :])
     windows = np.flatnonzero(inside[at : at + len(least)])
     owner = (least[windows] & low).astype(np.int64)
-    return owner + at, windows + at, gram[owner]
+    first = np.flatnonzero(np.diff(owner, prepend=-1))
+    count = np.diff(np.append(first, len(owner)))
+    return owner[first] + at, windows[first] + at, count, gram[owner[first]]
 
 
 def records(data: np.ndarray, found: Owners, chosen: np.ndarray) -> np.ndarray:
     """Records of the chosen suffixes, one row of bytes each."""
     start, count = found.start[chosen], found.count[chosen]
     offset = start - found.window[chosen]
-    column = np.arange(SPAN)
-    at = start[:, None] + (column - BEFORE)
-    begin = BEFORE - offset
-    owned = (column >= begin[:, None]) & (column < (begin + count + WINDOW - 1)[:, None])
     out = np.zeros((len(start), RECORD), np.uint8)
-    out[:, :SPAN] = np.where(owned, data[np.clip(at, 0, len(data) - 1)], 0)
+    padded = np.concatenate([np.zeros(BEFORE, np.uint8), data, np.zeros(WINDOW, np.uint8)])
+    around = np.lib.stride_tricks.sliding_window_view(padded, SPAN)
+    column = np.arange(SPAN, dtype=np.int16)
+    begin = (BEFORE - offset).astype(np.int16)[:, None]
+    end = begin + (count + WINDOW - 1).astype(np.int16)[:, None]
+    np.multiply(around[start], (column >= begin) & (column < end), out=out[:, :SPAN])
     out[:, SPAN] = offset
     out[:, SPAN + 1] = count
     return out
@@ -225,8 +232,12 @@ class Family:
         mixed_sides = np.minimum.reduceat(side, first) != np.maximum.reduceat(side, first)
         several = np.maximum.reduceat(~same & ~begun, first)
         met = (mixed_sides & several)[group] & ~same
-        if met.any():
-            self._windows(both, order[met])
+        # In portions of whole groups, each of a bounded number of windows or one group.
+        which, ends = order[met], np.cumsum(np.where(met, count, 0))
+        portion = (ends[np.append(first[1:], len(order)) - 1] // PORTION)[group][met]
+        for part in np.split(which, np.flatnonzero(np.diff(portion)) + 1):
+            if len(part):
+                self._windows(both, part)
         kept = order[~later]
         return Suffixes(both.rows[kept], both.document[kept], both.tag[kept])
 
@@ -238,8 +249,8 @@ class Family:
         width = 56
         text = np.zeros((len(entry), width), np.uint8)
         begin = BEFORE - offset[entry] + window
-        flat = rows.reshape(-1)
-        text[:, :WINDOW] = flat[(entry * RECORD + begin)[:, None] + np.arange(WINDOW)]
+        flat = np.lib.stride_tricks.sliding_window_view(rows.reshape(-1), WINDOW)
+        text[:, :WINDOW] = flat[entry * RECORD + begin]
         text[:, WINDOW] = begin
         key = hashed(text.view("<u8"))
         order = np.argsort(key, kind="stable")

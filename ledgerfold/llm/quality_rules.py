@@ -187,6 +187,11 @@ def counted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return rows.mapInArrow(counting, f"doc_id LONG, {BASE}, votes STRING")
 
 
+#: Junk of one kind is at most this share of all documents: a rule that calls more of
+#: them bad is taken to do so on good ones as well.
+JUNK = 0.3
+
+
 def estimate(
     patterns: list[str], times: list[int], rounds: int = 200, prior: float = 10.0
 ) -> dict[str, float]:
@@ -194,24 +199,30 @@ def estimate(
 
     Documents are good, or bad in one of as many kinds as there are rules: junk of one
     kind need not show in the other rules. EM finds how often a rule that votes calls
-    a document of each kind bad; abstaining says nothing. Rules start as wrong on 1 of
-    100 good documents and right on 9 of 10 of their kind, with ``prior`` documents'
-    worth of belief in that.
+    a document of each kind bad; abstaining says nothing. Rules start as right on 9 of
+    10 of their kind, with ``prior`` documents' worth of belief in that, and as wrong
+    on 1 of 100 good documents. The last is believed half as much as what the votes
+    show: votes alone cannot tell whether what one rule finds, and no other, is a kind
+    of junk or its mistake.
     """
+    n = np.array(times, np.float64)
     bad = np.array([[vote == BAD for vote in p] for p in patterns], np.float64)
     cast = np.array([[vote != ABSTAIN for vote in p] for p in patterns], np.float64)
     n_rules = bad.shape[1]
     start = np.full((1 + n_rules, n_rules), 0.05)
-    start[0] = 0.01
+    rate = (n @ bad) / np.maximum(n @ cast, 1)
+    start[0] = np.where(rate > JUNK, np.minimum(rate, 0.9), 0.01)
     start[np.arange(n_rules) + 1, np.arange(n_rules)] = 0.9
+    belief = np.full((1 + n_rules, 1), prior)
+    belief[0] += n.sum() / 2
     start_share = np.array([0.86] + [0.14 / n_rules] * n_rules)
     table, share = start, start_share
     for _ in range(rounds):
         likely = bad @ np.log(table).T + (cast - bad) @ np.log(1 - table).T + np.log(share)
         kind = np.exp(likely - likely.max(axis=1, keepdims=True))
         kind /= kind.sum(axis=1, keepdims=True)
-        weight = kind * np.array(times, np.float64)[:, None]
-        table = (weight.T @ bad + prior * start) / (weight.T @ cast + prior)
+        weight = kind * n[:, None]
+        table = (weight.T @ bad + belief * start) / (weight.T @ cast + belief)
         share = (weight.sum(axis=0) + prior * start_share) / (weight.sum() + prior)
     return dict(zip(patterns, kind[:, 0].tolist()))
 

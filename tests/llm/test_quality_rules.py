@@ -1,0 +1,78 @@
+import random
+import re
+from collections import Counter
+
+import numpy as np
+from conftest import sentence
+
+from ledgerfold.llm import quality_rules as qr
+
+WORD = r"[^\x20\x09-\x0D]+"
+
+
+def base(text):
+    text = text or ""
+    words = re.findall(WORD, text)
+    windows = [tuple(words[i : i + 8]) for i in range(len(words) - 7)]
+    times = Counter(windows)
+    covered = {j for i, w in enumerate(windows) if times[w] > 1 for j in range(i, i + 8)}
+    lines = [line for line in text.split("\n") if re.search(WORD, line)]
+    n, repeat = len(words), len(covered)
+    return (
+        n,
+        sum(map(len, words)),
+        len(re.findall(r"[#*$%&|<>]", text)),
+        len(lines) - len(set(lines)),
+        repeat,
+        n < 20 or 100 * repeat > 30 * n,
+    )
+
+
+def test_odd_rows(make_docs, odd_rows):
+    rows = odd_rows + [(30, "a b c d e f g h i " * 2), (31, "#x* " * 30), (32, "one two " * 9)]
+    judged = qr.judged(make_docs(rows)).collect()
+    columns = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    got = sorted(((r.doc_id, *[r[c] for c in columns]) for r in judged), key=repr)
+    assert got == sorted(((i, *base(t)) for i, t in rows), key=repr)
+    assert not any(r.kept and r.base_failed for r in judged)
+
+
+def test_repeat_words_equal_a_plain_count():
+    rng = random.Random(4)
+    for _ in range(300):
+        words = [rng.choice("ab").encode() for _ in range(rng.randint(0, 60))]
+        assert qr.repeat_words(words) == base(b" ".join(words).decode())[4]
+
+
+def test_junk_is_told_from_text_without_labels(make_docs):
+    rng = random.Random(7)
+    clean = [(i, "\n".join(sentence(rng, 9) for _ in range(12))) for i in range(300)]
+    symbols = [(1000 + i, re.sub(r"(\w+)", r"\1%%%", t)) for i, t in clean[:25]]
+    capitals = [(2000 + i, t.upper()) for i, t in clean[:25]]
+    kept = {r.doc_id: r.kept for r in qr.judged(make_docs(clean + symbols + capitals)).collect()}
+    assert np.mean([kept[i] for i, _ in clean]) > 0.98
+    assert not any(kept[i] for i, _ in symbols + capitals)
+
+
+def test_a_rule_that_votes_at_random_is_not_believed():
+    rng = random.Random(5)
+    good, bad, unsure = qr.GOOD, qr.BAD, qr.ABSTAIN
+    votes = Counter()
+    for _ in range(5000):
+        junk = rng.random() < 0.15
+        told = bad if junk == (rng.random() < 0.97) else good
+        second = unsure if rng.random() < 0.5 else told
+        votes[told + second + rng.choice([good, bad])] += 1
+    patterns = sorted(votes)
+    posterior = qr.estimate(patterns, [votes[p] for p in patterns])
+    assert posterior[good + good + bad] > 0.5 and posterior[good + unsure + bad] > 0.5
+    assert posterior[bad + bad + good] < 0.5
+
+
+def test_documents_without_votes_keep_the_prior(make_docs):
+    rows = qr.judged(make_docs([(1, None), (2, "")])).collect()
+    assert [(r.base_failed, r.kept) for r in rows] == [(True, False)] * 2
+
+
+def test_empty_table(make_docs):
+    assert qr.judged(make_docs([])).collect() == []

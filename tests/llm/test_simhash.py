@@ -1,0 +1,106 @@
+import random
+import re
+from collections import defaultdict
+
+import numpy as np
+import pytest
+import xxhash
+
+from ledgerfold.llm import simhash
+from ledgerfold.llm.components import components
+
+
+def fingerprint(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    shingles = [" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))] if words else []
+    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def labels(ids, fps, max_bits=4):
+    """Smallest id reachable, by brute force over all pairs."""
+    label = dict(zip(range(len(ids)), ids))
+    links = [
+        (i, j) for i in range(len(ids)) for j in range(i) if (fps[i] ^ fps[j]).bit_count() <= max_bits
+    ]
+    changed = True
+    while changed:
+        changed = False
+        for i, j in links:
+            least = min(label[i], label[j])
+            if label[i] != least or label[j] != least:
+                label[i] = label[j] = least
+                changed = True
+    return label
+
+
+def test_odd_rows(make_docs, odd_rows):
+    rows = [r for r in odd_rows if r[0] is not None]
+    fps = [fingerprint(t) for _, t in rows]
+    want = labels([i for i, _ in rows], fps)
+    expected = sorted((rows[k][0], f"{fps[k]:016x}", want[k]) for k in range(len(rows)))
+    got = simhash.near_duplicates(make_docs(rows))
+    assert sorted(tuple(r) for r in got.collect()) == expected
+    assert fps[0] == fps[1] == fps[2] == 0
+
+
+def test_documents_without_id_have_a_row(make_docs, odd_rows):
+    got = simhash.near_duplicates(make_docs(odd_rows)).collect()
+    assert len(got) == len(odd_rows)
+
+
+def test_empty_table(make_docs):
+    assert simhash.near_duplicates(make_docs([])).collect() == []
+
+
+@pytest.mark.parametrize("group", [4, 256])
+def test_links_of_fingerprints_lose_none(spark, group):
+    """Chains, dense groups and far fingerprints; a small group size cuts keys in tiles."""
+    rng = random.Random(group)
+    fps = set()
+    for _ in range(12):
+        fp = rng.getrandbits(64)
+        for _ in range(40):
+            fps.add(fp)
+            for bit in rng.sample(range(64), rng.randint(1, 6)):
+                fp ^= 1 << bit
+    fps = sorted(fps)
+    ids = list(range(100, 100 + len(fps)))
+    signed = np.array(fps, np.uint64).view(np.int64).tolist()
+    classes = spark.createDataFrame(list(zip(ids, signed)), "node LONG, fp LONG")
+    got = {r.node: r.component for r in components(simhash.near_links(classes, 4, group)).collect()}
+    want = labels(ids, fps)
+    assert {i: got.get(i, i) for i in ids} == {ids[k]: v for k, v in want.items()}
+
+
+def test_links_of_a_dense_group_are_few(spark):
+    """Four hundred fingerprints that are all near each other are not all paired."""
+    fps = [a << 10 | b for a in range(20) for b in range(20)]
+    classes = spark.createDataFrame(list(enumerate(fps)), "node LONG, fp LONG")
+    links = simhash.near_links(classes, 4, group=64)
+    assert links.count() < 15 * 8 * len(fps) < len(fps) * (len(fps) - 1) / 2
+
+
+def test_two_fingerprints_that_link_agree_on_two_blocks():
+    masks = simhash.blocks(4)
+    assert len(masks) == 6 and sum(masks) == (1 << 64) - 1
+    rng = random.Random(1)
+    for _ in range(200):
+        flips = sum(1 << b for b in rng.sample(range(64), 4))
+        assert sum(not flips & m for m in masks) >= 2
+
+
+def test_components_of_long_chains(spark):
+    n = 200
+    rng = random.Random(9)
+    order = rng.sample(range(n), n)
+    chain = list(zip(order, order[1:])) + [(1000, 1001), (1001, 1000), (5000, 5000)]
+    got = {r.node: r.component for r in components(spark.createDataFrame(chain, "a LONG, b LONG")).collect()}
+    by_component = defaultdict(set)
+    for node, component in got.items():
+        by_component[component].add(node)
+    assert by_component == {0: set(range(n)), 1000: {1000, 1001}}
+
+
+def test_no_links(spark):
+    assert components(spark.createDataFrame([], "a LONG, b LONG")).collect() == []

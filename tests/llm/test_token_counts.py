@@ -1,0 +1,79 @@
+import pytest
+from tokenizers import Tokenizer
+
+from ledgerfold.llm import token_counts as tc
+from ledgerfold.llm.queries import tokenizer
+from ledgerfold.session import fresh_path
+
+PATH = tokenizer("byte_bpe_50k.json")
+
+ODD = [
+    "",
+    " ",
+    "  ",
+    " a  b",
+    "a \n b",
+    "\n a",
+    "x  y ",
+    "é è  à\n\n z ",
+    "a<|endoftext|> b <|endoftext|>",
+    "don't 've  'll",
+    "a\x1c b",
+    "　 q",
+    "1 2  3\t 4",
+    "a  b  c",
+    "z" * 500 + " " + "w" * 70,
+]
+
+
+@pytest.fixture(scope="module")
+def library():
+    return Tokenizer.from_file(PATH)
+
+
+def test_pieces_give_the_librarys_counts(library):
+    want = [len(library.encode(t, add_special_tokens=False).ids) for t in ODD]
+    assert tc.count_tokens(PATH, ODD) == want
+    assert tc.count_tokens(PATH, ODD) == want  # from what is remembered
+
+
+def test_counts_when_little_is_remembered(library, monkeypatch):
+    monkeypatch.setattr(tc, "PIECES", 3)
+    monkeypatch.setattr(tc, "MISSES", 2)
+    for text in ODD:
+        assert tc.count_tokens(PATH, [text]) == [len(library.encode(text, add_special_tokens=False).ids)]
+
+
+def test_odd_rows(spark, make_docs, odd_rows, library):
+    got = tc.token_counts(make_docs(odd_rows), PATH, fresh_path(spark, "cache")).collect()
+    want = [
+        (i, len((t or "").encode()), len(library.encode(t or "", add_special_tokens=False).ids))
+        for i, t in odd_rows
+    ]
+    assert sorted(map(tuple, got), key=repr) == sorted(want, key=repr)
+
+
+def test_cache_is_used_and_extended(spark, make_docs):
+    cache = fresh_path(spark, "cache")
+    tc.token_counts(make_docs([(1, "one two"), (2, "one two"), (3, None)]), PATH, cache).collect()
+    assert spark.read.parquet(cache).count() == 2
+    # A count that only the cache can have given shows that it is looked up.
+    digest = tc.tokenizer_digest(PATH)
+    import hashlib
+
+    known = hashlib.sha256(b"never encoded").hexdigest()
+    spark.createDataFrame([(known, digest, 999)], tc.CACHE).write.mode("append").parquet(cache)
+    got = tc.token_counts(make_docs([(1, "one two"), (4, "never encoded"), (5, "new")]), PATH, cache)
+    assert {r.doc_id: r.n_tokens for r in got.collect()} == {1: 2, 4: 999, 5: 1}
+    assert spark.read.parquet(cache).count() == 4
+
+
+def test_another_tokenizer_version_is_not_mixed_in(spark, make_docs):
+    cache = fresh_path(spark, "cache")
+    tc.token_counts(make_docs([(1, "Some text")]), tokenizer("word_bpe_49k.json"), cache).collect()
+    tc.token_counts(make_docs([(1, "Some text")]), PATH, cache).collect()
+    assert spark.read.parquet(cache).select("tokenizer_digest").distinct().count() == 2
+
+
+def test_empty_table(spark, make_docs):
+    assert tc.token_counts(make_docs([]), PATH, fresh_path(spark, "cache")).collect() == []

@@ -10,7 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_OFFSET = r"\d:\d{2}.*(UTC|GMT|[+-]\d{2}:?\d{2})$"
+# What follows date and time of day: nothing, or a zone or offset.
+_TAIL = r"^\d{4}-\d{1,2}-\d{1,2}(?:[T ]\s*\d[\d:.]*)?(.*)$"
 # "Jan  1 2013 12:00AM", the text a database may write for a date-time by default.
 _MONTH_FIRST = r"^\s*[A-Za-z]{3}\s+\d{1,2}\s+\d{4}\s+\d{1,2}:\d{2}[AaPp][Mm]\s*$"
 
@@ -26,7 +27,8 @@ def _from_iso(text: Column) -> Column:
     body = F.trim(text)
     dated = (F.substring(body, 5, 1) == "-") & (F.length(body) >= len("2013-1-1"))
     timed = F.length(body) > len("2013-01-01")
-    zoned = timed & (body.endswith("Z") | body.rlike(_OFFSET))
+    # With a tail, an instant or nothing: a plain cast would drop the tail unread.
+    zoned = timed & (F.regexp_extract(body, _TAIL, 1) != "")
     in_utc, plain = utc(body.try_cast("timestamp")), body.try_cast("timestamp_ntz")
     return F.when(dated, F.when(zoned, in_utc).otherwise(plain))
 
@@ -41,8 +43,8 @@ def _from_month_first(text: Column) -> Column:
 def parse_date(text: Column, on_error: str = "raise") -> Column:
     """Text to ``timestamp_ntz`` in UTC; null stays null.
 
-    Reads ISO dates and date-times, with or without an offset, and the form
-    ``Jan  1 2013 12:00AM``. Other text raises, or gives null with
+    Reads ISO dates and date-times, with or without an offset or zone, and the form
+    ``Jan  1 2013 12:00AM``. Other text, an unknown zone as well, raises, or gives null with
     ``on_error="null"``; ``rejected_dates`` lists those rows.
     """
     readings = [_from_iso(text), _from_month_first(text)]

@@ -1,7 +1,7 @@
 """Keyed inserts, updates and deletes on a table.
 
 Each function takes the present rows and gives the new rows; write them to a new
-place with ``sinks.datasets.replace_collection``. ``key`` identifies a row of the
+place with ``sinks.collections.replace_collection``. ``key`` identifies a row of the
 table. Small change sets are broadcast by Spark's own size check, large ones are
 joined by a shuffle on the key.
 """
@@ -12,7 +12,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerfold.session import land
+
+def _one_per_key(changes: DataFrame, key: str) -> DataFrame:
+    """The changes; reading them raises if a key has several. Null keys match nothing."""
+    n_of_key = F.count(F.lit(1)).over(Window.partitionBy(key))
+    complaint = F.concat(F.lit("several changes of key "), F.col(key).cast("string"))
+    checked = F.when((F.col("n_of_key") > 1) & F.col(key).isNotNull(), F.raise_error(complaint))
+    # The test is part of the key itself, so no plan can leave it out.
+    counted = changes.withColumn("n_of_key", n_of_key)
+    return counted.withColumn(
+        key, F.coalesce(checked.cast(changes.schema[key].dataType), F.col(key))
+    ).drop("n_of_key")
 
 
 def insert_rows(base: DataFrame, rows: DataFrame) -> DataFrame:
@@ -24,9 +34,10 @@ def update_by_key(base: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     """Set the columns ``changes`` has, for the keys it has.
 
     A null in ``changes`` is set as null. A key that ``base`` lacks adds nothing.
-    ``changes`` holds one row per key.
+    Several changes of one key raise: reduce them first, with ``latest_per_key``.
     """
     changed = [c for c in changes.columns if c != key]
+    changes = _one_per_key(changes, key)
     packed = changes.select(F.col(key).alias("change_key"), F.struct(*changed).alias("change"))
     joined = base.join(packed, base[key] == packed["change_key"], "left")
     matched = F.col("change").isNotNull()
@@ -53,13 +64,17 @@ def apply_changes(
 
     ``op`` is ``I`` to add the row (taking the place of one with its key, so a
     change set may be applied twice), ``U`` to replace a row if there is one, ``D``
-    to remove it. With several changes per key give ``order_by``, the columns that
-    put them in order: the last one counts. The last changes are stored first, so
-    they are found once and the join goes by their real size.
+    to remove it; another ``op`` raises. With several changes per key give
+    ``order_by``, the columns that put them in order: the last one counts. Without
+    it, several changes of one key raise.
     """
     if order_by:
-        last = latest_per_key(changes, [key], order_by)
-        changes = land(last.select(*base.columns, op), "last_changes")
+        changes = latest_per_key(changes, [key], order_by).select(*base.columns, op)
+    else:
+        changes = _one_per_key(changes, key)
+    unknown = F.raise_error(F.concat(F.lit("no such op: "), F.coalesce(op, F.lit("null"))))
+    known = F.when(F.col(op).isin("I", "U", "D"), F.col(op)).otherwise(unknown.cast("string"))
+    changes = changes.withColumn(op, known)
     packed = changes.select(
         F.col(key).alias("change_key"),
         F.col(op).alias("change_op"),

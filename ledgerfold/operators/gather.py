@@ -1,173 +1,46 @@
-"""Gather rows into arrays of documents, also when one key holds most of the rows.
+"""Gather rows into arrays of documents.
 
-A gathered array has to fit one row of one task. ``push`` therefore writes a key
-with more than ``max_items`` rows as several documents of about that many, told
-apart by a part number, as one does to stay below a store's document size.
-Keys within the limit give one document, part 0. No row is dropped: the parts
-of a key together hold every one of its rows.
+A key gives one document, however many rows it has, as a document store's push does;
+an array has to fit one row of one task. Where keys may be too large for that, keep
+flat rows, or ask for a number of parts per key with ``push_parts``.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-from functools import reduce
-from operator import and_
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerfold.session import land
-
-DOCUMENT_ITEMS = 10_000
-
-# Heavy keys are sent to all executors up to this many, and fetched to be counted up
-# to the smaller number; of a key and its row count some 50 bytes each.
-BROADCAST_KEYS = 1_000_000
-FETCHED_KEYS = 10_000
-
-# A key with more than one in so many rows would fill a task of a join by key.
-HOT_SHARE = 1_000
-
-
-@dataclass(frozen=True)
-class HeavyKeys:
-    """Keys ``(*keys, key_rows)``; ``few`` if their number allows a broadcast."""
-
-    frame: DataFrame
-    few: bool
-
-    def hinted(self, df: DataFrame | None = None) -> DataFrame:
-        """The keys, or a table with one row for each of them, ready to be joined."""
-        rows = self.frame if df is None else df
-        return F.broadcast(rows) if self.few else rows
-
-
-def heavy_keys(df: DataFrame, keys: list[str], above: int) -> list[HeavyKeys]:
-    """Keys with more than ``above`` rows, hottest list first.
-
-    Runs one job that reads the key columns only and combines counts before the
-    shuffle. No heavy key gives no list; up to ``BROADCAST_KEYS`` give one, to be
-    broadcast. More give two: the hot keys, fewer than ``HOT_SHARE`` and also
-    broadcast, and the others, to be joined by a shuffle they do not skew.
-    """
-    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("key_rows"))
-    heavy = counted.where(F.col("key_rows") > above)
-    found = heavy.limit(FETCHED_KEYS + 1).collect()
-    if not found:
-        return []
-    if len(found) <= FETCHED_KEYS:
-        return [HeavyKeys(df.sparkSession.createDataFrame(found, heavy.schema), few=True)]
-
-    stored = land(heavy, "heavy_keys")
-    if stored.count() <= BROADCAST_KEYS:
-        return [HeavyKeys(stored, few=True)]
-    hot = F.col("key_rows") > max(above, df.count() // HOT_SHARE)
-    return [HeavyKeys(stored.where(hot), few=True), HeavyKeys(stored.where(~hot), few=False)]
-
-
-def same_keys(left: DataFrame, right: DataFrame, names: dict[str, str]) -> Column:
-    """Join condition, left name to right name, under which null matches null."""
-    tests = [left[a].eqNullSafe(right[b]) for a, b in names.items()]
-    return reduce(and_, tests)
-
-
-@dataclass(frozen=True)
-class Gathered:
-    """Documents of keys within the limit, and per list of heavy keys their parts."""
-
-    light: DataFrame
-    heavy: list[tuple[HeavyKeys, DataFrame]]
-
-    def all(self) -> DataFrame:
-        return reduce(DataFrame.unionByName, [parts for _, parts in self.heavy], self.light)
-
 
 def push(
     df: DataFrame,
     keys: list[str],
     values: list[str | Column],
     as_: str,
-    part: str = "part",
-    max_items: int = DOCUMENT_ITEMS,
-    sizes: DataFrame | None = None,
     totals: dict[str, Column] | None = None,
 ) -> DataFrame:
-    """Per key an array of ``struct(values)``: columns ``keys, totals, part, as_``.
+    """Per key an array of ``struct(values)``: columns ``keys, totals, as_``.
 
     Arrays are sorted by all their fields, so results repeat. ``totals`` names
-    aggregates over all rows of the key, such as ``F.avg`` of a column; every part
-    of a heavy key has them.
-
-    Counting the keys is a job of its own, and with heavy keys ``df`` is computed
-    once for them and once for the others. So land a ``df`` that is costly, or name
-    in ``sizes`` a cheaper table to count keys on, when ``df`` is a join that adds
-    no rows to it.
+    aggregates over the rows of the key, such as ``F.avg`` of a column.
     """
-    return gather(df, keys, values, as_, part, max_items, sizes, totals).all()
+    named = [column.alias(name) for name, column in (totals or {}).items()]
+    array = F.sort_array(F.collect_list("gathered_item")).alias(as_)
+    rows = df.withColumn("gathered_item", F.struct(*values))
+    return rows.groupBy(*keys).agg(*named, array)
 
 
-def gather(
+def push_parts(
     df: DataFrame,
     keys: list[str],
     values: list[str | Column],
     as_: str,
+    parts: int,
     part: str = "part",
-    max_items: int = DOCUMENT_ITEMS,
-    sizes: DataFrame | None = None,
-    totals: dict[str, Column] | None = None,
-) -> Gathered:
-    """What ``push`` gives, with heavy keys apart for whoever joins the result."""
-    rows = df.withColumn("gathered_item", F.struct(*values))
-    aggregates = [column.alias(name) for name, column in (totals or {}).items()]
-    names = {k: f"heavy_{k}" for k in keys}
-    columns = [*keys, *(totals or {}), part, as_]
-
-    parts = []
-    for found in heavy_keys(df if sizes is None else sizes, keys, max_items):
-        heavy = HeavyKeys(found.frame.withColumnsRenamed(names), found.few)
-        listed = heavy.hinted()
-        # Semi join first: it moves below the joins df is made of, down to the scan.
-        picked = rows.join(listed, same_keys(rows, listed, names), "left_semi")
-        rows = rows.join(listed, same_keys(rows, listed, names), "left_anti")
-        folded = _folded(picked, keys)
-        sized = folded.join(listed, same_keys(folded, listed, names)).drop(*names.values())
-        documents = _parts(sized, keys, as_, part, max_items)
-        if aggregates:
-            whole = picked.groupBy(*keys).agg(*aggregates).withColumnsRenamed(names)
-            whole = heavy.hinted(whole)
-            documents = documents.join(whole, same_keys(documents, whole, names))
-        parts.append((heavy, documents.select(*columns)))
-
-    gathered = F.sort_array(F.collect_list("gathered_item")).alias(as_)
-    light = rows.groupBy(*keys).agg(*aggregates, F.lit(0).alias(part), gathered)
-    return Gathered(light, parts)
-
-
-def _folded(rows: DataFrame, keys: list[str]) -> DataFrame:
-    """Equal items of a key as one row with a count, combined before the shuffle."""
-    return rows.groupBy(*keys, "gathered_item").agg(F.count(F.lit(1)).alias("copies"))
-
-
-def _parts(
-    sized: DataFrame, keys: list[str], as_: str, part: str, max_items: int
 ) -> DataFrame:
-    """Documents of heavy keys, spread by content over ceil(rows / max_items) parts.
+    """Every key as up to ``parts`` documents: columns ``keys, part, as_``.
 
-    A mass of copies is one folded row, cut here into runs of at most
-    ``max_items``. The part depends on the row alone, so a task that is run again
-    sends its rows to the same places.
+    A row's part follows from its values, so a task that is run again places its rows
+    as before; equal rows of a key share a part. A part without rows gives no document.
     """
-    last_run = F.floor((F.col("copies") - 1) / max_items)
-    runs = sized.withColumn("run", F.explode(F.sequence(F.lit(0).cast("bigint"), last_run)))
-    run_items = F.least(F.lit(max_items), F.col("copies") - F.col("run") * max_items)
-    n_parts = F.ceil(F.col("key_rows") / max_items)
-    placed = runs.select(
-        *keys,
-        F.pmod(F.xxhash64("gathered_item", "run"), n_parts).cast("int").alias(part),
-        F.array_repeat("gathered_item", run_items.cast("int")).alias("items"),
-    )
-    # Without this, rows that a join has put together by key would be grouped in
-    # place, all parts of a key in one task.
-    spread = placed.repartition(*keys, part)
-    gathered = F.sort_array(F.flatten(F.collect_list("items"))).alias(as_)
-    return spread.groupBy(*keys, part).agg(gathered)
+    number = F.pmod(F.xxhash64(F.struct(*values)), F.lit(parts)).cast("int")
+    return push(df.withColumn(part, number), [*keys, part], values, as_)

@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerfold.operators.gather import DOCUMENT_ITEMS, gather
+from ledgerfold.operators.gather import push
 
 
 def path_type(df: DataFrame, path: str) -> T.DataType:
@@ -102,51 +101,25 @@ def lookup(
     foreign: str,
     as_: str,
     columns: list[str | Column] | None = None,
-    part: str = "part",
-    max_items: int = DOCUMENT_ITEMS,
-    sizes: DataFrame | None = None,
     left_unique: bool = False,
 ) -> DataFrame:
     """Left outer join that nests the matching right rows in an array.
 
     ``local`` and ``as_`` may be paths into nested documents. Null keys match null
-    keys. A left row without a match gets an empty array. A left row whose key has
-    more than ``max_items`` right rows comes once per part of the array, see
-    ``push``; unwinding afterwards gives the same rows with or without parts.
-    ``sizes`` may name a cheaper table with the ``foreign`` column to count keys on.
+    keys. A left row comes once, without a match with an empty array. Where the array
+    is to be unwound again, ``lookup_unwind`` builds none.
     Set ``left_unique`` if ``local`` is the key of ``left``, never null and never
     twice: the join then takes the gathered arrays as they lie. Otherwise they are
     shuffled once more, which lets Spark split a skewed key of ``left``.
     """
-    counted = right if sizes is None else sizes
-    gathered = gather(
-        right.withColumn("lookup_key", F.col(foreign)),
-        ["lookup_key"],
-        columns or right.columns,
-        "lookup_documents",
-        part,
-        max_items,
-        sizes=counted.select(F.col(foreign).alias("lookup_key")),
-    )
-
-    def nested(rows: DataFrame, documents: DataFrame, how: str) -> DataFrame:
-        key = documents["lookup_key"]
-        on = F.col(local) == key if left_unique else F.col(local).eqNullSafe(key)
-        joined = rows.join(documents, on, how)
-        array_type = documents.schema["lookup_documents"].dataType
-        matches = F.coalesce("lookup_documents", F.array().cast(array_type))
-        filled = put(joined, as_, matches).withColumn(part, F.coalesce(part, F.lit(0)))
-        return filled.drop("lookup_documents", "lookup_key")
-
-    # An outer join cannot split a skewed right side. So heavy keys, all of which
-    # have a match on the right, are joined apart by an inner join, which can.
-    results = []
-    for heavy, parts in gathered.heavy:
-        results.append(nested(left, parts, "inner"))
-        listed = heavy.hinted()
-        known = F.col(local).eqNullSafe(listed["heavy_lookup_key"])
-        left = left.join(listed, known, "left_anti")
-    return reduce(DataFrame.unionByName, results, nested(left, gathered.light, "left"))
+    keyed = right.withColumn("lookup_key", F.col(foreign))
+    gathered = push(keyed, ["lookup_key"], columns or right.columns, "lookup_documents")
+    key = gathered["lookup_key"]
+    on = F.col(local) == key if left_unique else F.col(local).eqNullSafe(key)
+    joined = left.join(gathered, on, "left")
+    array_type = gathered.schema["lookup_documents"].dataType
+    matches = F.coalesce("lookup_documents", F.array().cast(array_type))
+    return put(joined, as_, matches).drop("lookup_documents", "lookup_key")
 
 
 def lookup_unwind(

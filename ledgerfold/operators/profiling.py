@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,13 +9,28 @@ from pyspark.sql import functions as F
 def column_profile(
     df: DataFrame, table: str, snapshot_at: str, exact: bool = False
 ) -> DataFrame:
-    """Per column: rows, nulls and distinct values.
+    """Per column: rows, nulls and distinct values, in one pass over the table.
 
-    Distinct values are estimated in one pass over the table, with one small sketch
-    per column and task. ``exact`` counts them, column by column: on stored tables
-    that reads each column once, but its distinct values are shuffled.
+    Distinct values are estimated with one small sketch per column and task.
+    ``exact`` counts them: all columns' distinct values go through one shuffle, copies
+    of a value being one row per task before it.
     """
-    measured = _counted(df) if exact else _estimated(df)
+    distinct = F.count_distinct if exact else F.approx_count_distinct
+    measures: list[Column] = [F.count(F.lit(1)).alias("n_rows")]
+    per_column = []
+    for number, name in enumerate(df.columns):
+        column = df[f"`{name}`"]
+        measures.append(F.count(column).alias(f"filled_{number}"))
+        measures.append(distinct(column).alias(f"distinct_{number}"))
+        per_column.append(
+            F.struct(
+                F.lit(name).alias("column_name"),
+                F.col("n_rows"),
+                (F.col("n_rows") - F.col(f"filled_{number}")).alias("n_nulls"),
+                F.col(f"distinct_{number}").alias("n_distinct"),
+            )
+        )
+    measured = df.agg(*measures).select(F.inline(F.array(*per_column)))
     return measured.select(
         F.lit(snapshot_at).cast("timestamp_ntz").alias("snapshot_at"),
         F.lit(table).alias("table_name"),
@@ -28,59 +41,25 @@ def column_profile(
     )
 
 
-def _estimated(df: DataFrame) -> DataFrame:
-    measures: list[Column] = [F.count(F.lit(1)).alias("n_rows")]
-    for c in df.columns:
-        measures.append(F.count(F.col(c)).alias(f"filled_{c}"))
-        measures.append(F.approx_count_distinct(F.col(c)).alias(f"distinct_{c}"))
-    per_column = [
-        F.struct(
-            F.lit(c).alias("column_name"),
-            F.col("n_rows"),
-            (F.col("n_rows") - F.col(f"filled_{c}")).alias("n_nulls"),
-            F.col(f"distinct_{c}").alias("n_distinct"),
-        )
-        for c in df.columns
-    ]
-    return df.agg(*measures).select(F.inline(F.array(*per_column)))
-
-
-def _counted(df: DataFrame) -> DataFrame:
-    def one(c: str) -> DataFrame:
-        # Copies of a value are one row per task before the shuffle.
-        values = df.groupBy(F.col(c).alias("value")).agg(F.count(F.lit(1)).alias("n"))
-        nulls = F.sum(F.when(F.col("value").isNull(), F.col("n")))
-        return values.agg(
-            F.lit(c).alias("column_name"),
-            F.coalesce(F.sum("n"), F.lit(0)).alias("n_rows"),
-            F.coalesce(nulls, F.lit(0)).alias("n_nulls"),
-            F.count("value").alias("n_distinct"),
-        )
-
-    return reduce(DataFrame.unionAll, [one(c) for c in df.columns])
-
-
 def storage_profile(
     spark: SparkSession, path: str, table: str, snapshot_at: str
 ) -> DataFrame:
-    """Files, bytes and rows of a Parquet table; row counts come from file footers."""
-    files = (
-        spark.read.parquet(path)
-        .groupBy(
-            F.col("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_size").alias("bytes"),
-        )
-        .agg(F.count(F.lit(1)).alias("n_rows"))
+    """Files, bytes and rows of a Parquet table; row counts come from file footers.
+
+    Files are listed, not opened: one without rows counts as well.
+    """
+    listed = (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .option("pathGlobFilter", "*.parquet")
+        .load(path)
     )
-    totals = files.agg(
-        F.count(F.lit(1)).alias("n_files"),
-        F.sum("bytes").alias("n_bytes"),
-        F.sum("n_rows").alias("n_rows"),
+    files = listed.agg(
+        F.count(F.lit(1)).alias("n_files"), F.coalesce(F.sum("length"), F.lit(0)).alias("n_bytes")
     )
-    return totals.select(
-        F.lit(snapshot_at).cast("timestamp_ntz").alias("snapshot_at"),
-        F.lit(table).alias("table_name"),
-        "n_files",
-        "n_bytes",
-        "n_rows",
+    rows = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("n_rows"))
+    table_name, at = F.lit(table).alias("table_name"), F.lit(snapshot_at).cast("timestamp_ntz")
+    keyed = files.withColumn("table_name", table_name)
+    return keyed.join(rows.withColumn("table_name", table_name), "table_name").select(
+        at.alias("snapshot_at"), "table_name", "n_files", "n_bytes", "n_rows"
     )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerfold.functions.dates import days_between, iso_day
-from ledgerfold.operators.gather import DOCUMENT_ITEMS, push
+from ledgerfold.operators.gather import push
 from ledgerfold.operators.nested import array_count, unwind
 
 
@@ -24,15 +24,12 @@ def average_delivery_days(carriers: DataFrame) -> DataFrame:
     return _shipments(carriers).groupBy("name").agg(average)
 
 
-def delivery_days_with_shipments(
-    carriers: DataFrame, max_items: int = DOCUMENT_ITEMS
-) -> DataFrame:
-    """The average with the carrier's shipments: ``name, avg..., part, transport[]``.
+def delivery_days_with_shipments(carriers: DataFrame) -> DataFrame:
+    """The average with the carrier's shipments: ``name, avg..., transport[]``.
 
-    A carrier with more than ``max_items`` shipments comes in several parts, each
-    with the average over all of its shipments.
+    A carrier has one document, whatever the number of its shipments; for very large
+    ones take ``average_delivery_days`` and flat rows.
     """
-    one_leaf = unwind(carriers.select("name", "transport"), "transport", ["saleid"])
     return push(
         _shipments(carriers, "saleid"),
         ["name"],
@@ -43,8 +40,6 @@ def delivery_days_with_shipments(
             "differenceBetweenDays",
         ],
         "transport",
-        max_items=max_items,
-        sizes=one_leaf,
         totals={"avgDifferenceBetweenDays": F.avg("differenceBetweenDays")},
     )
 

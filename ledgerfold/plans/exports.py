@@ -59,6 +59,8 @@ def export_documents(df: DataFrame, collection: str) -> DataFrame:
     return to_documents(df, EXPORTED[collection])
 
 
-def export_array_files(df: DataFrame, collection: str, path: str) -> None:
+def export_array_files(
+    df: DataFrame, collection: str, path: str, files: int | None = None
+) -> None:
     """The export of a table as files of JSON arrays, ready for import."""
-    write_json_array(df.select(*EXPORTED[collection]), path)
+    write_json_array(df.select(*EXPORTED[collection]), path, files)

@@ -32,10 +32,12 @@ def keep_snapshot(snapshot: DataFrame, path: str) -> None:
 
 
 def last_monitoring(snapshots: DataFrame) -> DataFrame:
-    """The last snapshot of each table and column."""
-    return latest_per_key(snapshots, ["table_name", "column_name"], ["snapshot_at"])
+    """The last snapshot of each table and column; of two at one time, the larger."""
+    ties = ["n_rows", "n_nulls", "n_distinct"]
+    return latest_per_key(snapshots, ["table_name", "column_name"], ["snapshot_at", *ties])
 
 
 def last_monitoring_storage(snapshots: DataFrame) -> DataFrame:
-    """The last storage snapshot of each table."""
-    return latest_per_key(snapshots, ["table_name"], ["snapshot_at"])
+    """The last storage snapshot of each table; of two at one time, the larger."""
+    ties = ["n_rows", "n_bytes", "n_files"]
+    return latest_per_key(snapshots, ["table_name"], ["snapshot_at", *ties])

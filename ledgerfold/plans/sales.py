@@ -5,97 +5,64 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerfold.operators.gather import DOCUMENT_ITEMS, push
+from ledgerfold.operators.gather import push
 from ledgerfold.operators.nested import lookup, lookup_unwind, unwind
-from ledgerfold.session import land
 
 LINE = ["OrderID", "StockItemID", "Quantity", "UnitPrice"]
 ORDER = ["OrderID", "CustomerID", "CityID", "EmployeeID", "InvoiceDate", "OrderDate"]
 
 
-def _line_with_order(lines: DataFrame, orders: DataFrame) -> DataFrame:
+def _line_with_order(lines: DataFrame, orders: DataFrame, order: list[str]) -> DataFrame:
     """Order lines with their order nested as ``Order``. Keys are never null."""
-    order = [c for c in ORDER if c in orders.columns]
     return lookup_unwind(
         lines.select(*LINE), orders, "OrderID", "OrderID", "Order", order, null_safe=False
     )
 
 
-def sales_rows(stock: DataFrame, lines: DataFrame, orders: DataFrame) -> DataFrame:
+def sales_rows(
+    stock: DataFrame, lines: DataFrame, orders: DataFrame, order: list[str] = ORDER
+) -> DataFrame:
     """The history as flat rows: ``_id, ItemName`` and one line with its order.
 
     This is the form to store and to query further; ``sales_history`` nests it.
+    ``order`` names the columns kept of an order.
     """
     items = stock.select(F.col("StockItemID").alias("_id"), "ItemName")
-    detailed = _line_with_order(lines, orders)
+    detailed = _line_with_order(lines, orders, order)
     joined = detailed.join(items, detailed["StockItemID"] == items["_id"])
     return joined.select("_id", "ItemName", F.struct(*LINE, "Order").alias("OrderList"))
 
 
 def sales_history(
-    stock: DataFrame,
-    lines: DataFrame,
-    orders: DataFrame,
-    max_items: int = DOCUMENT_ITEMS,
+    stock: DataFrame, lines: DataFrame, orders: DataFrame, order: list[str] = ORDER
 ) -> DataFrame:
-    """``_id, ItemName, part, OrderList[]`` per product that has been ordered.
+    """``_id, ItemName, OrderList[]`` per product that has been ordered.
 
     Lines are joined to their orders, gathered per product, and only then joined
     to the product: the name is not shuffled once per line.
     """
-    detailed = _line_with_order(lines, orders)
-    gathered = push(
-        detailed, ["StockItemID"], [*LINE, "Order"], "OrderList", max_items=max_items, sizes=lines
-    )
+    detailed = _line_with_order(lines, orders, order)
+    gathered = push(detailed, ["StockItemID"], [*LINE, "Order"], "OrderList")
     items = stock.select(F.col("StockItemID").alias("_id"), "ItemName")
     joined = gathered.join(items, gathered["StockItemID"] == items["_id"])
-    return joined.select("_id", "ItemName", "part", "OrderList")
+    return joined.select("_id", "ItemName", "OrderList")
 
 
 def sales_history_by_lookup(
-    stock: DataFrame,
-    lines: DataFrame,
-    orders: DataFrame,
-    max_items: int = DOCUMENT_ITEMS,
+    stock: DataFrame, lines: DataFrame, orders: DataFrame, order: list[str] = ORDER
 ) -> DataFrame:
-    """The same result step by step: nest, unwind, nest in the nested line, regroup.
-
-    Builds arrays that ``sales_history`` does without. The joined lines are stored
-    before they are counted and gathered, so the lookups run once.
-    """
+    """The same result step by step: nest the lines, unwind, add each line's order, regroup."""
     items = stock.select(F.col("StockItemID").alias("_id"), "ItemName", "StockItemID")
     nested = lookup(
-        items,
-        lines,
-        "StockItemID",
-        "StockItemID",
-        "OrderList",
-        LINE,
-        part="line_part",
-        max_items=max_items,
-        left_unique=True,
+        items, lines, "StockItemID", "StockItemID", "OrderList", LINE, left_unique=True
     )
     per_line = unwind(nested, "OrderList")
-    with_orders = lookup(
-        per_line,
-        orders,
-        "OrderList.OrderID",
-        "OrderID",
-        "OrderList.Order",
-        [c for c in ORDER if c in orders.columns],
-        part="order_part",
-        max_items=max_items,
-    )
-    joined = unwind(with_orders, "OrderList.Order").select("_id", "ItemName", "OrderList.*")
-    complete = land(joined, "sales_lines")
-    return push(
-        complete,
-        ["_id"],
-        [*LINE, "Order"],
-        "OrderList",
-        max_items=max_items,
-        totals={"ItemName": F.first("ItemName")},
+    with_orders = lookup_unwind(
+        per_line, orders, "OrderList.OrderID", "OrderID", "OrderList.Order", order
     )
+    flat = with_orders.select("_id", "ItemName", "OrderList.*")
+    totals = {"ItemName": F.first("ItemName")}
+    return push(flat, ["_id"], [*LINE, "Order"], "OrderList", totals)
 
 
 def sales_totals(stock: DataFrame, lines: DataFrame, orders: DataFrame) -> DataFrame:
@@ -105,7 +72,7 @@ def sales_totals(stock: DataFrame, lines: DataFrame, orders: DataFrame) -> DataF
     just been done would keep a much-sold product's lines in one task.
     """
     totals = (
-        _line_with_order(lines, orders)
+        _line_with_order(lines, orders, ["OrderDate"])
         .groupBy("StockItemID")
         .agg(
             F.count(F.lit(1)).alias("n_lines"),

@@ -29,7 +29,7 @@ BRAND = "BrandID INT, BrandName STRING"
 
 TAX_RATE = "TaxRateID INT, TaxRate DECIMAL(18,2)"
 
-# Ids come wrapped as {"_id": {"$oid": "..."}}; see sources.ids.
+# Ids come wrapped as {"_id": {"$oid": "..."}}; see sources.files.unwrap_id.
 LOGISTIC = "_id STRUCT<`$oid`: STRING>, name STRING"
 
 LOGISTIC_TRANSPORT = (

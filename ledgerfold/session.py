@@ -2,14 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_local_folder: list[str] = []
-
-
 # What one task of a shuffle should have to read.
 TASK_BYTES = 128 * 1024 * 1024
 
@@ -42,19 +38,10 @@ def build(
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named in ``spark.checkpoint.dir``.
-
-    Only a local session may go without the setting: it gets a folder under the
-    machine's temporary directory.
-    """
+    """The folder every executor can reach: ``spark.checkpoint.dir`` or, where that is
+    not set, the session's warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    if not _local_folder:
-        _local_folder.append(tempfile.mkdtemp(prefix="ledgerfold-"))
-    return _local_folder[0]
+    return (folder or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -63,6 +50,17 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/ledgerfold/{app}/{name}-{uuid.uuid4().hex}"
 
 
+def expire(spark: SparkSession) -> None:
+    """Remove what this application has written below the shared folder.
+
+    Collections and frames that still read it are lost; call it at the end.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(
+        f"{shared_folder(spark)}/ledgerfold/{spark.sparkContext.applicationId}"
+    )
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def land(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once as Parquet and read it back.
 

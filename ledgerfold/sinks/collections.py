@@ -8,7 +8,9 @@ from ledgerfold.session import fresh_path
 
 
 def create_collection(spark: SparkSession, name: str, schema: str) -> None:
-    """An empty collection of the declared schema."""
+    """An empty collection of the declared schema; one that exists is not touched, and raises."""
+    if spark.catalog.tableExists(name):
+        raise ValueError(f"collection {name} exists")
     _point(spark, name, spark.createDataFrame([], schema))
 
 
@@ -17,8 +19,9 @@ def replace_collection(df: DataFrame, name: str) -> DataFrame:
 
     The rows go to a new folder and the name is switched to it only when all are
     written, so ``df`` may read the collection it replaces, and readers of the old
-    rows are not disturbed. Folders of former contents are left for the owner of
-    the shared folder to expire.
+    rows are not disturbed. A change of schema drops the name and makes it anew: for
+    a moment there is no such collection. Folders of former contents stay until
+    ``session.expire`` or the owner of the shared folder removes them.
     """
     return _point(df.sparkSession, name, df)
 

@@ -11,11 +11,6 @@ from pyspark.sql import Column, DataFrame
 
 from ledgerfold.functions.documents import to_document
 
-ARRAY_FILE_BYTES = 64 * 1024 * 1024
-
-# Up to so many documents are written by one task, so that they share a file.
-ONE_FILE_DOCUMENTS = 10_000
-
 
 def to_documents(df: DataFrame, columns: list[str | Column]) -> DataFrame:
     """One row ``document`` of JSON text per row, from the listed columns."""
@@ -27,55 +22,41 @@ def write_documents(df: DataFrame, path: str) -> None:
     df.write.json(path)
 
 
-def write_json_array(
-    df: DataFrame, path: str, file_bytes: int = ARRAY_FILE_BYTES
-) -> None:
-    """Files that each hold one JSON array, below ``part=...`` folders.
+def write_json_array(df: DataFrame, path: str, files: int | None = None) -> None:
+    """Files that each hold one JSON array.
 
-    A collection of up to ``ONE_FILE_DOCUMENTS`` documents gives one file with the
-    one array, as long as that is within ``file_bytes``. Of a larger one every task
-    writes arrays of about that size from the rows it has: nothing is shuffled or
-    gathered. Each file can be imported on its own, or all at once by
-    ``read_json_array``.
+    By default every task writes an array of the rows it has: nothing is shuffled.
+    ``files`` asks for so many of about equal size; 1 gives the one array of a small
+    collection, from one task. A collection without rows is one empty array. Each file
+    can be imported on its own, or all at once by ``read_json_array``.
     """
     documents = to_documents(df, df.columns)
-    n_documents = df.count()
-    if not n_documents:
-        empty = [("none", "[]")]
-        arrays = df.sparkSession.createDataFrame(empty, "part STRING, value STRING")
-    else:
-        if n_documents <= ONE_FILE_DOCUMENTS:
-            documents = documents.repartition(1)
-        arrays = documents.mapInArrow(_joiner(file_bytes), "part STRING, value STRING")
-    arrays.write.partitionBy("part").text(path)
-
-
-def _joiner(file_bytes: int):
-    """Joins the documents of a task to arrays, each with a name of its own."""
-
-    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        task = TaskContext.get().partitionId()
-        held: list[str] = []
-        n_bytes = n_arrays = 0
-
-        def array() -> pa.RecordBatch:
-            row = {"part": f"{task:06d}-{n_arrays:06d}", "value": "[" + ",".join(held) + "]"}
-            return pa.RecordBatch.from_pylist([row])
-
-        for batch in batches:
-            texts = batch.column(0)
-            for text, size in zip(texts.to_pylist(), pc.binary_length(texts).to_pylist()):
-                if held and n_bytes + size + 1 > file_bytes:
-                    yield array()
-                    held, n_bytes, n_arrays = [], 0, n_arrays + 1
-                held.append(text)
-                n_bytes += size + 1
-        if held:
-            yield array()
-
-    return joined
+    if files:
+        documents = documents.repartition(files)
+    documents.mapInArrow(_array, "value STRING").write.text(path)
+
+
+def _array(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The documents of a task as lines of one array; whole batches are joined to a line."""
+    before = "["
+    for batch in batches:
+        if batch.num_rows:
+            joined = pc.binary_join(pa.ListArray.from_arrays([0, batch.num_rows], batch.column(0)), ",")
+            yield pa.RecordBatch.from_arrays([pa.array([before + joined[0].as_py()])], ["value"])
+            before = ","
+    context = TaskContext.get()
+    if before == ",":
+        yield pa.RecordBatch.from_arrays([pa.array(["]"])], ["value"])
+    elif context is None or context.partitionId() == 0:
+        yield pa.RecordBatch.from_arrays([pa.array(["[]"])], ["value"])
 
 
 def write_delimited(df: DataFrame, path: str, sep: str = ";") -> None:
-    """Delimited text with a header line, one file per task."""
-    df.write.option("sep", sep).option("header", True).csv(path)
+    """Delimited text with a header line, one file per task.
+
+    Values come back from ``read_delimited`` as they are: blanks are kept, an empty
+    text is quoted and so is not a null, and so is one with a line break.
+    """
+    writer = df.write.option("sep", sep).option("header", True)
+    writer = writer.option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    writer.option("nullValue", "").option("emptyValue", '""').option("escape", '"').csv(path)

@@ -2,82 +2,28 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-from functools import reduce
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerfold.operators.gather import heavy_keys
-from ledgerfold.session import fresh_path, land
-
-
-@dataclass(frozen=True)
-class KeyedTable:
-    """Rows in buckets by key, and beside them the rows of heavy keys, if any."""
-
-    bucketed: DataFrame
-    heavy: DataFrame | None
-    key: str
-
-
-def write_bucketed(
-    tables: dict[str, DataFrame], key_of: dict[str, str], buckets: int
-) -> dict[str, KeyedTable]:
-    """Store tables that are joined with each other, bucketed alike by the join key.
-
-    The buckets of a table are the catalog table ``<name>_by_<key>``, replaced if
-    there is one. Take as many buckets as make one small enough for a task.
+from ledgerfold.session import TASK_BYTES, fresh_path
 
-    One task reads a whole bucket, so a key with more rows than an average bucket
-    of its table is kept out of the buckets of all the tables, in a plain Parquet
-    table each. There are fewer such keys than buckets times tables, so the list
-    of them is small however large the tables are.
-    """
-    lists = [_above_a_bucket(df, key_of[name], buckets) for name, df in tables.items()]
-    found = [heavy for of_table in lists for heavy in of_table]
-    if not found:
-        return {
-            name: KeyedTable(_buckets(df, name, key_of[name], buckets), None, key_of[name])
-            for name, df in tables.items()
-        }
-
-    keys = F.broadcast(reduce(DataFrame.unionAll, found).distinct())
-    stored = {}
-    for name, df in tables.items():
-        key = key_of[name]
-        on = df[key] == keys["heavy_key"]
-        light = df.join(keys, on, "left_anti")
-        beside = land(df.join(keys, on, "left_semi"), f"{name}_heavy")
-        stored[name] = KeyedTable(_buckets(light, name, key, buckets), beside, key)
-    return stored
-
-
-def _above_a_bucket(df: DataFrame, key: str, buckets: int) -> list[DataFrame]:
-    heavy = heavy_keys(df, [key], above=max(df.count() // buckets, 1))
-    return [keys.frame.select(F.col(key).alias("heavy_key")) for keys in heavy]
 
+def buckets_for(n_bytes: int, bucket_bytes: int = TASK_BYTES) -> int:
+    """As many buckets as keep one small enough for a task: a power of two, so that
+    tables of different size still meet bucket by bucket."""
+    return 1 << max(0, -(-n_bytes // bucket_bytes) - 1).bit_length()
 
-def _buckets(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
-    # One task per bucket, so that each bucket is one file.
-    spread = df.repartition(buckets, key)
-    writer = spread.write.bucketBy(buckets, key).sortBy(key).mode("overwrite")
-    table = f"{name}_by_{key}"
-    writer.option("path", fresh_path(df.sparkSession, table)).saveAsTable(table)
-    return df.sparkSession.table(table)
 
+def write_bucketed(df: DataFrame, name: str, key: str, buckets: int) -> DataFrame:
+    """Store a table bucketed by the key of its joins, as the catalog table ``name``.
 
-def join_keyed(left: KeyedTable, right: KeyedTable) -> DataFrame:
-    """Inner join of two tables stored together by ``write_bucketed``.
-
-    Bucket meets bucket without a shuffle. Heavy keys are joined apart: Spark
-    broadcasts the smaller side if its files are small, else splits skewed keys.
+    Tables joined with each other take the same number of buckets, see
+    ``buckets_for``. A key's rows are one bucket's and so one task's to read: this
+    layout is for keys with far fewer rows than a bucket. Rows without a key, which
+    no inner join reads, are written where they lie and not brought to one task.
     """
-    light = _inner(left.bucketed, left.key, right.bucketed, right.key)
-    if left.heavy is None or right.heavy is None:
-        return light
-    return light.unionByName(_inner(left.heavy, left.key, right.heavy, right.key))
-
-
-def _inner(left: DataFrame, left_key: str, right: DataFrame, right_key: str) -> DataFrame:
-    return left.join(right, left[left_key] == right[right_key])
+    keyed = df.where(F.col(key).isNotNull()).repartition(buckets, key)
+    rows = keyed.unionByName(df.where(F.col(key).isNull()))
+    writer = rows.write.bucketBy(buckets, key).sortBy(key).mode("overwrite")
+    writer.option("path", fresh_path(df.sparkSession, name)).saveAsTable(name)
+    return df.sparkSession.table(name)

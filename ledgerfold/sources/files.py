@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerfold.functions.documents import from_document
-
 
 def read_json_array(
     spark: SparkSession, path: str, schema: str, split: bool = False
@@ -19,10 +17,11 @@ def read_json_array(
 
     By default a file is one task's work, so many files of moderate size read in
     parallel and one huge file does not. ``split=True`` cuts a file between
-    documents, at ``},{``, and reads it in as many tasks as it has blocks. It is
-    for compact one-line exports of flat documents, the form a table export
-    has. A cut at the wrong place (a nested array of documents, or ``},{``
-    inside a text value) leaves pieces that are no JSON, and the read raises.
+    documents, at ``},{``, and reads it in as many tasks as it has blocks. What
+    lies between two cuts is read as an array of its own, of one document or, where
+    blanks or line breaks stand between documents, of several. A cut at the wrong
+    place (a nested array of documents, or ``},{`` inside a text value), text after
+    the array, or a second array, raises.
     """
     # Folders below the path only divide the files; their names add no column.
     reader = spark.read.option("recursiveFileLookup", True)
@@ -31,24 +30,52 @@ def read_json_array(
         return reader.option("mode", "FAILFAST").json(path)
 
     pieces = reader.option("lineSep", "},{").text(path)
-    # Only the first and last piece of a file have the array's brackets on them.
     value = F.col("value")
-    at_start = F.substring(value, 1, 1) != '"'
-    at_end = F.substring(value, -1, 1).isin("]", " ", "\n", "\r", "\t")
+    # Only the first and last piece of a file have the array's brackets on them.
     bare = F.regexp_replace(value, r"^\s*\[\s*\{|\}\s*\]\s*$", "")
-    body = F.when(at_start | at_end, bare).otherwise(value)
-    text = F.concat(F.lit("{"), body, F.lit("}"))
-    no_document = at_start & value.rlike(r"^\s*(\[\s*\]\s*)?$") & (value != "")
-    filled = pieces.where(~no_document)
+    filled = pieces.where(~value.rlike(r"^\s*\[\s*\]\s*$") & (F.trim(value) != ""))
+    text = F.concat(F.lit("[{"), bare, F.lit("}]"))
+    element = T.StructType.fromDDL(schema)
+    documents = F.from_json(text, T.ArrayType(element), {"mode": "FAILFAST"})
+    complaint = F.raise_error(F.concat(F.lit("malformed array of documents: "), F.left(text, F.lit(200))))
     # inline also parses where no column is asked for, so a bare count raises as well
-    return filled.select(F.inline(F.array(from_document(text, schema))))
+    checked = F.when(_one_array(text), documents).otherwise(complaint.cast(T.ArrayType(element)))
+    return filled.select(F.inline(checked))
+
+
+def _one_array(text: Column) -> Column:
+    """Whether a text's brackets are those of one array and nothing after it.
+
+    A parser stops where the first array ends, and would not see the rest.
+    """
+    outside = F.regexp_replace(text, r'"(?:[^"\\]|\\.)*"', "")
+    brackets = F.regexp_replace(outside, r"[^\[\]{}\"]", "")
+
+    def next_depth(depth: Column, bracket: Column) -> Column:
+        opened = depth + F.when(bracket.isin("[", "{"), 1).otherwise(-1)
+        # Once the array has ended, or at a stray quote, there is no way back.
+        return F.when((depth < 0) | (bracket == '"'), -2).when(opened == 0, -1).otherwise(opened)
+
+    def depth_over(characters: Column) -> Column:
+        steps = F.slice(characters, F.lit(2), F.greatest(F.size(characters) - 1, F.lit(0)))
+        return F.aggregate(steps, F.lit(1), lambda d, b: F.when(d == -1, -2).otherwise(next_depth(d, b)))
+
+    flat = brackets == "[{}]"
+    return flat | (depth_over(F.split(brackets, "")) == -1)
 
 
 def read_delimited(
     spark: SparkSession, path: str, schema: str, sep: str = ";", header: bool = True
 ) -> DataFrame:
-    """Read a delimited reference file; a line that does not fit the schema raises."""
+    """Read a delimited reference file.
+
+    A line that does not fit the schema raises, and so does a header with other names.
+    An empty text is quoted, a value that is not there is null. A value may hold line
+    breaks within its quotes, so a file is one task's work.
+    """
     reader = spark.read.schema(schema).option("sep", sep).option("header", header)
+    reader = reader.option("enforceSchema", False).option("multiLine", True)
+    reader = reader.option("emptyValue", "").option("nullValue", None).option("escape", '"')
     return reader.option("mode", "FAILFAST").csv(path)
 
 

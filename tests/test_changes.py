@@ -66,6 +66,29 @@ def test_change_set_with_several_changes_per_key(spark, base):
     assert [r[:2] for r in rows(got.fillna(-1))] == [(1, "y"), (2, "b"), (3, "c")]
 
 
+@pytest.mark.parametrize("op", ["u", "X", "", None])
+def test_an_unknown_op_raises(spark, base, op):
+    changes = spark.createDataFrame([(1, "A", 11, op)], "k INT, s STRING, n INT, op STRING")
+    with pytest.raises(Exception, match="no such op"):
+        apply_changes(base, changes, "k").collect()
+
+
+def test_several_changes_of_one_key_raise(spark, base):
+    twice = spark.createDataFrame([(1, "x"), (1, "y")], "k INT, s STRING")
+    with pytest.raises(Exception, match="several changes of key 1"):
+        update_by_key(base, twice, "k").collect()
+    with pytest.raises(Exception, match="several changes of key 1"):
+        update_by_key(base, twice, "k").count()
+    ops = spark.createDataFrame([(1, "x", 1, "U"), (1, "y", 2, "D")], "k INT, s STRING, n INT, op STRING")
+    with pytest.raises(Exception, match="several changes of key 1"):
+        apply_changes(base, ops, "k").collect()
+
+
+def test_null_keys_in_changes_match_nothing(spark, base):
+    changes = spark.createDataFrame([(None, "x"), (None, "y")], "k INT, s STRING")
+    assert rows(update_by_key(base, changes, "k").fillna(-1)) == rows(base.fillna(-1))
+
+
 def test_small_change_set_does_not_shuffle_the_table(spark, tmp_path, plan):
     path = str(tmp_path / "base")
     spark.range(1000).selectExpr("id AS k", "id AS n").write.parquet(path)
@@ -79,8 +102,9 @@ def test_small_change_set_does_not_shuffle_the_table(spark, tmp_path, plan):
         update_by_key(table, changes.drop("op"), "k"),
         delete_by_key(table, changes, "k"),
     ):
+        # The changes are brought together by key to see that it is one each.
         assert "BroadcastHashJoin" in plan(df)
-        assert "hashpartitioning" not in plan(df)
+        assert "SortMergeJoin" not in plan(df)
 
 
 def test_latest_per_key_with_ties_and_nulls(spark):

@@ -1,3 +1,5 @@
+from pathlib import Path
+
 import pytest
 from pyspark.sql import SparkSession
 
@@ -63,18 +65,30 @@ def test_landed_rows_are_in_the_shared_folder(spark):
 
 
 class _Session:
-    """Stands for a session whose shared folder is not set."""
+    """Stands for a session in which only the warehouse is set."""
+
+    conf = {"spark.sql.warehouse.dir": "hdfs://host/warehouse/"}
+
+
+def test_without_a_shared_folder_the_warehouse_is_taken():
+    assert shared_folder(_Session()) == "hdfs://host/warehouse"
+
 
-    def __init__(self, master):
-        self.conf = {}
-        self.sparkContext = self
-        self.master = master
+def test_a_collection_that_exists_is_not_emptied(spark):
+    replace_collection(spark.range(3), "Kept")
+    with pytest.raises(ValueError, match="Kept exists"):
+        create_collection(spark, "Kept", "id BIGINT")
+    assert spark.table("Kept").count() == 3
+    drop_collection(spark, "Kept")
 
 
-def test_a_cluster_without_a_shared_folder_is_refused():
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        shared_folder(_Session("spark://host"))
-    assert shared_folder(_Session("local[2]")) == shared_folder(_Session("local[2]"))
+def test_what_was_written_can_be_removed(spark, monkeypatch):
+    folder = shared_folder(spark) + "/apart"
+    monkeypatch.setattr(session, "shared_folder", lambda _: folder)
+    land(spark.range(3), "three")
+    assert any(Path(folder).rglob("*.parquet"))
+    session.expire(spark)
+    assert not any(Path(folder).rglob("*.parquet"))
 
 
 def test_partitions_follow_the_largest_shuffle(monkeypatch):

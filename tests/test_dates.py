@@ -44,6 +44,30 @@ def test_text_to_date_in_any_session_zone(spark, zone, name):
     assert parsed(spark, TEXTS) == list(TEXTS.values())
 
 
+# Every tail after the time of day is an offset or zone that counts.
+ZONED = {
+    "2023-01-01T23:00:00+02": datetime(2023, 1, 1, 21),
+    "2023-01-01T23:00:00+2:00": datetime(2023, 1, 1, 21),
+    "2023-01-01T23:00:00+0200": datetime(2023, 1, 1, 21),
+    "2023-01-01T23:00:00+02:00:00": datetime(2023, 1, 1, 21),
+    "2023-01-01T23:00:00UTC+2": datetime(2023, 1, 1, 21),
+    "2023-01-01T23:00:00 PST": datetime(2023, 1, 2, 7),
+    "2023-07-01 23:00:00 Europe/Helsinki": datetime(2023, 7, 1, 20),
+    "2023-01-01T23:00:00-03:30": datetime(2023, 1, 2, 2, 30),
+}
+
+
+@pytest.mark.parametrize("name", ["UTC", "Asia/Tokyo"])
+def test_no_offset_is_dropped(spark, zone, name):
+    zone(name)
+    assert parsed(spark, ZONED) == list(ZONED.values())
+
+
+@pytest.mark.parametrize("tail", [" Nowhere/City", "+25:00", " o'clock", "+02:00 or so", "x"])
+def test_a_tail_that_is_no_zone_is_rejected(spark, tail):
+    assert parsed(spark, [f"2023-01-01T23:00:00{tail}"], "null") == [None]
+
+
 def test_hour_that_a_zone_skips_is_kept(spark, zone):
     zone("America/New_York")
     assert parsed(spark, ["2013-03-10T02:30:00", "Mar 10 2013  2:30AM"]) == [

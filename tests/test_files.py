@@ -9,7 +9,6 @@ from ledgerfold import schemas
 from ledgerfold.functions.documents import from_document
 from ledgerfold.functions.text import same_text, strip_crlf
 from ledgerfold.plans.exports import EXPORTED, export_array_files, export_documents
-from ledgerfold.sinks import files as sinks
 from ledgerfold.sinks.files import (
     to_documents,
     write_delimited,
@@ -84,6 +83,11 @@ def test_split_read_cuts_a_file_into_many_tasks(spark, tmp_path):
     [
         '[{"BrandID":1,"BrandName":"a},{b"},{"BrandID":2,"BrandName":"c"}]',
         '[{"BrandID":1,"x":[{"y":1},{"y":2}]}]',
+        '[{"BrandID":1,"BrandName":"x"}] trailing {{{',
+        '[{"BrandID":1}] trailing',
+        '[{"BrandID":1},{"BrandID":2}] [{"BrandID":3}]',
+        '[{"BrandID":1}], [{"BrandID":3}]',
+        '[{"BrandID":1},{"BrandID":2}] "',
     ],
 )
 def test_split_read_raises_where_the_cut_is_wrong(spark, tmp_path, text):
@@ -95,6 +99,24 @@ def test_split_read_raises_where_the_cut_is_wrong(spark, tmp_path, text):
     read_json_array(spark, str(tmp_path / "bad.json"), schemas.BRAND).collect()
 
 
+@pytest.mark.parametrize("split", [False, True])
+@pytest.mark.parametrize(
+    "text",
+    [
+        '[{"BrandID":1}, {"BrandID":2}, {"BrandID":3}]',
+        '[{"BrandID":1},\n{"BrandID":2},\r\n {"BrandID":3}]\n',
+        '[{"BrandID":1},{"BrandID":2}, {"BrandID":3}]',
+        '[\n  { "BrandID" : 1 } ,\n\t{ "BrandID": 2},{"BrandID":3 }\n]',
+        '[{"BrandID":1,"x":[1,[2]]},{"BrandID":2,"x":{"y":"]}"}},{"BrandID":3,"x":"\\"["}]',
+    ],
+)
+def test_blanks_between_documents_lose_none(spark, tmp_path, split, text):
+    (tmp_path / "spaced.json").write_text(text)
+    df = read_json_array(spark, str(tmp_path / "spaced.json"), schemas.BRAND, split)
+    assert [r[0] for r in rows(df)] == [1, 2, 3]
+    assert df.count() == 3
+
+
 @pytest.mark.parametrize("split", [False, True])
 def test_a_flag_written_as_a_number_raises(spark, tmp_path, split):
     (tmp_path / "flags.json").write_text('[{"IsChillerStock":0},{"IsChillerStock":1}]')
@@ -114,7 +136,7 @@ def test_malformed_json_raises(spark, tmp_path):
 
 def test_wrapped_ids_there_and_back(spark, tmp_path):
     plain = spark.createDataFrame(LOGISTIC, "_id STRING, name STRING")
-    write_json_array(wrap_id(plain), str(tmp_path / "out"))
+    write_json_array(wrap_id(plain), str(tmp_path / "out"), files=1)
     texts = array_texts(tmp_path / "out")
     assert len(texts) == 1
     found = sorted(json.loads(texts[0]), key=lambda d: d["_id"]["$oid"])
@@ -125,29 +147,26 @@ def test_wrapped_ids_there_and_back(spark, tmp_path):
     assert rows(unwrap_id(stored)) == sorted(LOGISTIC)
 
 
-def test_large_collection_is_several_array_files(spark, tmp_path):
-    df = spark.range(1000).select(F.col("id").alias("BrandID"), F.lit("x").alias("BrandName"))
-    write_json_array(df, str(tmp_path / "out"), file_bytes=3_000)
+@pytest.mark.parametrize("n", [10_000, 10_001])
+@pytest.mark.parametrize("files", [None, 1, 3])
+def test_array_files_are_as_many_as_asked_for(spark, tmp_path, n, files):
+    df = spark.range(0, n, 1, 5).select(F.col("id").alias("BrandID"), F.lit("é").alias("BrandName"))
+    write_json_array(df, str(tmp_path / "out"), files)
     texts = array_texts(tmp_path / "out")
-    assert sum(len(json.loads(t)) for t in texts) == 1000
-    assert len(texts) > 5 and max(map(len, texts)) <= 3_001
-    assert rows(read_json_array(spark, str(tmp_path / "out"), schemas.BRAND)) == [
-        (i, "x") for i in range(1000)
-    ]
-
-
-def test_large_collection_is_written_where_it_lies(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(sinks, "ONE_FILE_DOCUMENTS", 100)
-    df = spark.range(0, 1000, 1, 5).select(F.lit(7).alias("BrandID"), F.lit("é").alias("BrandName"))
-    write_json_array(df, str(tmp_path / "out"))
-    assert [len(json.loads(t)) for t in array_texts(tmp_path / "out")] == [200] * 5
-    read = read_json_array(spark, str(tmp_path / "out"), schemas.BRAND)
-    assert read.columns == ["BrandID", "BrandName"] and rows(read) == [(7, "é")] * 1000
+    assert len(texts) == (files or 5)
+    assert sum(len(json.loads(t)) for t in texts) == n
+    for split in (False, True):
+        read = read_json_array(spark, str(tmp_path / "out"), schemas.BRAND, split)
+        assert read.columns == ["BrandID", "BrandName"]
+        assert rows(read) == [(i, "é") for i in range(n)]
 
 
 def test_empty_collection_is_one_empty_array(spark, tmp_path):
-    write_json_array(spark.createDataFrame([], schemas.BRAND), str(tmp_path / "out"))
-    assert array_texts(tmp_path / "out") == ["[]"]
+    for files in (None, 1):
+        out = str(tmp_path / f"out{files}")
+        write_json_array(spark.createDataFrame([], schemas.BRAND), out, files)
+        assert array_texts(out) == ["[]"]
+        assert rows(read_json_array(spark, out, schemas.BRAND)) == []
 
 
 def test_delimited_file_with_header(spark, tmp_path):
@@ -164,6 +183,21 @@ def test_delimited_file_with_header(spark, tmp_path):
     assert rows(read_delimited(spark, str(tmp_path / "again"), schemas.STATES)) == rows(df)
 
 
+def test_delimited_values_come_back_as_they_are(spark, tmp_path):
+    values = ["  x ", "", None, "a\nb", 'say "hi"', "a;b", "\\", " "]
+    df = spark.createDataFrame([(str(i), v) for i, v in enumerate(values)], schemas.STATES)
+    write_delimited(df, str(tmp_path / "out"))
+    assert [tuple(r) for r in read_delimited(spark, str(tmp_path / "out"), schemas.STATES).orderBy("Code").collect()] == [
+        (str(i), v) for i, v in enumerate(values)
+    ]
+
+
+def test_a_header_with_other_names_raises(spark, tmp_path):
+    (tmp_path / "codes").write_text("Name;Code\nAlabama;AL\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        read_delimited(spark, str(tmp_path / "codes"), schemas.STATES).collect()
+
+
 def test_delimited_line_that_does_not_fit_raises(spark, tmp_path):
     (tmp_path / "bad.txt").write_text("Code;Name\nAL;Alabama;more\n")
     with pytest.raises(Exception, match="(?i)malformed"):
@@ -192,8 +226,8 @@ def test_exports_have_the_listed_columns_and_no_password(spark, tmp_path):
     text = export_documents(customer, "Customer").head()[0]
     assert list(json.loads(text)) == EXPORTED["Customer"]
     assert "password" not in text.lower()
-    export_array_files(customer, "Customer", str(tmp_path / "c"))
-    assert array_texts(tmp_path / "c") == [f"[{text}]"]
+    export_array_files(customer, "Customer", str(tmp_path / "c"), files=1)
+    assert [json.loads(t) for t in array_texts(tmp_path / "c")] == [[json.loads(text)]]
 
 
 def test_export_has_no_raw_line_breaks(spark):

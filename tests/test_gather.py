@@ -7,8 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from ledgerfold.operators import gather
-from ledgerfold.operators.gather import heavy_keys, push
+from ledgerfold.operators.gather import push, push_parts
 from ledgerfold.operators.nested import lookup, unwind
 from ledgerfold.session import land
 
@@ -29,69 +28,52 @@ def flat(documents):
     )
 
 
-def test_no_row_is_lost_and_no_document_is_large(df):
-    documents = push(df, ["k"], ["v"], "items", max_items=50).cache()
+def test_each_key_is_one_sorted_document(df):
+    documents = push(df, ["k"], ["v"], "items")
     assert flat(documents) == Counter(tuple(r) for r in df.collect())
-    assert max(len(r["items"]) for r in documents.collect()) <= 250
-    parts = Counter(r["k"] for r in documents.collect())
-    assert parts[1] >= 50 and parts[2] >= 20 and parts[None] == 2
-    light = [k for k in parts if k not in (1, 2, None)]
-    assert len(light) == 290 and all(parts[k] == 1 for k in light)
-    keys = [(r["k"], r["part"]) for r in documents.collect()]
-    assert len(keys) == len(set(keys))
-
-
-def test_within_the_limit_each_key_is_one_sorted_document(df):
-    documents = push(df, ["k"], ["v"], "items").collect()
-    assert {r["part"] for r in documents} == {0}
-    assert len(documents) == 293
-    for row in documents:
+    rows = documents.collect()
+    assert len(rows) == 293 and documents.columns == ["k", "items"]
+    for row in rows:
         values = [item["v"] for item in row["items"]]
         assert values == sorted(values)
 
 
-def test_same_documents_however_the_rows_are_split(df):
-    def texts(rows):
-        documents = push(rows, ["k"], ["v"], "items", max_items=50)
-        return sorted(documents.select(F.to_json(F.struct("*"))).toPandas().iloc[:, 0])
+def test_a_key_of_any_size_is_one_document(spark):
+    for n in (10_000, 10_001, 25_000):
+        rows = spark.range(n).selectExpr("1 AS k", "id AS v")
+        (row,) = push(rows, ["k"], ["v"], "items").collect()
+        assert len(row["items"]) == n
 
-    assert texts(df.repartition(1)) == texts(df.repartition(13))
 
+def test_no_job_runs_while_a_plan_is_built(spark, df):
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "planning")
+    try:
+        push(df, ["k"], ["v"], "items")
+        lookup(df, df, "k", "k", "found")
+        assert not tracker.getJobIdsForGroup("planning")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
 
-@pytest.mark.parametrize(("broadcast", "lists"), [(100, [3]), (1, [2, 1])])
-def test_more_heavy_keys_than_are_fetched(df, monkeypatch, plan, broadcast, lists):
-    monkeypatch.setattr(gather, "FETCHED_KEYS", 1)
-    monkeypatch.setattr(gather, "BROADCAST_KEYS", broadcast)
-    monkeypatch.setattr(gather, "HOT_SHARE", 10)
-    found = heavy_keys(df, ["k"], 50)
-    assert [keys.frame.count() for keys in found] == lists
-    documents = push(df, ["k"], ["v"], "items", max_items=50)
-    assert flat(documents) == Counter(tuple(r) for r in df.collect())
 
+def test_parts_hold_every_row_and_repeat(df):
+    def texts(rows):
+        documents = push_parts(rows, ["k"], ["v"], "items", parts=8)
+        return sorted(documents.select(F.to_json(F.struct("*"))).toPandas().iloc[:, 0])
 
-def test_hot_keys_are_never_joined_by_a_shuffle(df, spark, monkeypatch, plan):
-    monkeypatch.setattr(gather, "FETCHED_KEYS", 1)
-    monkeypatch.setattr(gather, "BROADCAST_KEYS", 1)
-    monkeypatch.setattr(gather, "HOT_SHARE", 10)
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        text = plan(push(df, ["k"], ["v"], "items", max_items=50))
-    finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
-    # the other heavy keys are, in three joins of what is left without the hot ones
-    joins = text.split("SortMergeJoin")[1:]
-    assert len(joins) == 3
-    assert "LeftAnti, BuildRight" in joins[0] and "LeftAnti, BuildRight" in joins[2]
-    assert text.count("REPARTITION_BY_COL") == 2
+    documents = push_parts(df, ["k"], ["v"], "items", parts=8)
+    assert documents.columns == ["k", "part", "items"]
+    assert flat(documents) == Counter(tuple(r) for r in df.collect())
+    parts = Counter(r["k"] for r in documents.collect())
+    assert parts[1] == 8 and parts[2] == 1 and max(parts.values()) == 8
+    assert texts(df.repartition(1)) == texts(df.repartition(13))
 
 
-@pytest.mark.parametrize("max_items", [50, 10_000])
-def test_every_part_has_the_totals_of_its_key(df, max_items):
+def test_totals_are_of_the_whole_key(df):
     named = df.withColumn("name", F.concat(F.lit("key "), F.col("k")))
     totals = {"name": F.first("name"), "mean": F.avg("v"), "n": F.count("v")}
-    documents = push(named, ["k"], ["v"], "items", max_items=max_items, totals=totals)
-    assert documents.columns == ["k", "name", "mean", "n", "part", "items"]
+    documents = push(named, ["k"], ["v"], "items", totals)
+    assert documents.columns == ["k", "name", "mean", "n", "items"]
     rows = df.collect()
     for row in documents.collect():
         values = [r["v"] for r in rows if r["k"] == row["k"]]
@@ -104,8 +86,7 @@ def test_structs_of_nulls_are_kept(spark):
     assert [i["v"] for i in push(df, ["k"], ["v"], "items").head()["items"]] == [None, 2]
 
 
-@pytest.mark.parametrize("max_items", [3, 10_000])
-def test_lookup_then_unwind_equals_brute_force(spark, max_items):
+def test_lookup_gives_each_left_row_once(spark):
     left = spark.createDataFrame(
         [(1, "a"), (2, "b"), (3, "c"), (None, "d"), (1, "e")], "k INT, name STRING"
     )
@@ -118,24 +99,16 @@ def test_lookup_then_unwind_equals_brute_force(spark, max_items):
         for b in right.collect()
         if a["k"] == b["k"]
     )
-    nested = lookup(left, right, "k", "k", "found", ["v"], max_items=max_items)
+    nested = lookup(left, right, "k", "k", "found", ["v"])
     got = Counter(
         (r["k"], r["name"], r["found"]["v"]) for r in unwind(nested, "found").collect()
     )
     assert got == want
-    unmatched = [r for r in nested.collect() if r["name"] == "c"]
-    assert [(r["found"], r["part"]) for r in unmatched] == [([], 0)]
-
-
-def test_heavy_rows_are_folded_before_the_shuffle(df, plan):
-    text = plan(push(df, ["k"], ["v"], "items", max_items=50))
-    assert "partial_count(1)" in text
-    assert "CartesianProduct" not in text and "NestedLoop" not in text
-    assert "SortMergeJoin" not in text
-    assert "REPARTITION_BY_COL" in text
+    assert sorted(r["name"] for r in nested.collect()) == list("abcde")
+    assert [r["found"] for r in nested.collect() if r["name"] == "c"] == [[]]
 
 
-def test_no_heavy_key_means_one_shuffle(df, plan):
+def test_gathering_is_one_shuffle(df, plan):
     text = plan(push(df, ["k"], ["v"], "items"))
     assert text.count("Exchange hashpartitioning") == 1
     assert "Join" not in text
@@ -146,11 +119,10 @@ ROWS = st.lists(st.tuples(KEYS, st.integers(0, 5) | st.none()), min_size=1, max_
 
 
 @settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
-@given(rows=ROWS, max_items=st.integers(1, 20))
-def test_any_rows_come_back(spark, rows, max_items):
+@given(rows=ROWS, parts=st.integers(1, 20))
+def test_any_rows_come_back(spark, rows, parts):
     made = spark.createDataFrame(rows, "k STRING, v INT")
-    documents = push(made, ["k"], ["v"], "items", max_items=max_items)
-    assert flat(documents) == Counter(rows)
-    heavy = {k for k, n in Counter(k for k, _ in rows).items() if n > max_items}
-    light = [r["k"] for r in documents.collect() if r["k"] not in heavy]
-    assert len(light) == len(set(light))
+    documents = push_parts(made, ["k"], ["v"], "items", parts)
+    assert flat(documents) == Counter(rows) == flat(push(made, ["k"], ["v"], "items"))
+    keys = [(r["k"], r["part"]) for r in documents.collect()]
+    assert len(keys) == len(set(keys))

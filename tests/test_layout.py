@@ -1,7 +1,7 @@
 import pytest
 
 from ledgerfold.session import land
-from ledgerfold.sinks.layout import join_keyed, write_bucketed
+from ledgerfold.sinks.layout import buckets_for, write_bucketed
 
 
 @pytest.fixture
@@ -12,39 +12,30 @@ def no_broadcast(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
-def stored(spark, tables, tag):
-    named = {f"{tag}_{name}": df for name, df in tables.items()}
-    keys = {f"{tag}_lines": "ok", f"{tag}_orders": "k"}
-    got = write_bucketed(named, keys, buckets=4)
-    return got[f"{tag}_lines"], got[f"{tag}_orders"]
-
-
 def rows(df):
     return sorted(tuple(r) for r in df.collect())
 
 
 def test_join_of_buckets_has_no_shuffle(spark, plan, no_broadcast):
-    tables = {
-        "lines": land(spark.range(1000).selectExpr("id % 100 AS ok", "id AS line"), "l"),
-        "orders": land(spark.range(100).selectExpr("id AS k", "id * 2 AS v"), "o"),
-    }
-    lines, orders = stored(spark, tables, "even")
-    assert lines.heavy is None and orders.heavy is None
-    joined = join_keyed(lines, orders)
+    hot = spark.range(500).selectExpr("7L AS ok", "id AS line")
+    keyless = spark.range(300).selectExpr("CAST(NULL AS BIGINT) AS ok", "id AS line")
+    lines = land(spark.range(1000).selectExpr("id % 100 AS ok", "id AS line").union(hot).union(keyless), "l")
+    orders = land(spark.range(100).selectExpr("id AS k", "id * 2 AS v"), "o")
+    stored_lines = write_bucketed(lines, "even_lines", "ok", 4)
+    stored_orders = write_bucketed(orders, "even_orders", "k", 4)
+    joined = stored_lines.join(stored_orders, stored_lines["ok"] == stored_orders["k"])
     assert "Exchange" not in plan(joined)
-    plain = tables["lines"].join(tables["orders"], tables["lines"]["ok"] == tables["orders"]["k"])
+    plain = lines.join(orders, lines["ok"] == orders["k"])
     assert "Exchange" in plan(plain)
     assert rows(joined) == rows(plain)
+    assert stored_lines.count() == 1800 and stored_lines.where("ok IS NULL").count() == 300
 
 
-def test_heavy_key_stays_out_of_the_buckets(spark):
-    hot = spark.range(500).selectExpr("7L AS ok", "id AS line")
-    tables = {
-        "lines": land(hot.union(spark.range(500).selectExpr("id % 100 AS ok", "id AS line")), "l"),
-        "orders": land(spark.range(100).selectExpr("id AS k", "id * 2 AS v"), "o"),
-    }
-    lines, orders = stored(spark, tables, "hot")
-    assert lines.bucketed.where("ok = 7").count() == 0
-    assert lines.heavy.count() == 505 and orders.heavy.count() == 1
-    plain = tables["lines"].join(tables["orders"], tables["lines"]["ok"] == tables["orders"]["k"])
-    assert rows(join_keyed(lines, orders)) == rows(plain)
+def test_a_table_stored_again_is_replaced(spark):
+    write_bucketed(spark.range(10), "twice", "id", 2)
+    assert write_bucketed(spark.range(5), "twice", "id", 4).count() == 5
+
+
+@pytest.mark.parametrize(("n_bytes", "buckets"), [(0, 1), (100, 1), (101, 2), (350, 4), (10**5, 1024)])
+def test_buckets_follow_the_size(n_bytes, buckets):
+    assert buckets_for(n_bytes, bucket_bytes=100) == buckets

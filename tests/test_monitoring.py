@@ -42,6 +42,31 @@ def test_storage_profile_equals_the_files(spark, tmp_path):
     assert row["n_bytes"] == sum(f.stat().st_size for f in files)
 
 
+def test_storage_profile_of_an_empty_table(spark, tmp_path):
+    path = tmp_path / "t"
+    spark.range(0).write.parquet(str(path))
+    files = list(Path(path).glob("*.parquet"))
+    row = storage_profile(spark, str(path), "t", DAY_1).head()
+    assert (row["n_files"], row["n_rows"]) == (len(files), 0)
+    assert row["n_bytes"] == sum(f.stat().st_size for f in files) > 0
+
+
+def test_exact_profile_is_one_scan_and_one_shuffle_of_values(spark, plan, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(100).selectExpr("id AS a", "id % 3 AS b", "'x' AS `c.d`").write.parquet(path)
+    profile = column_profile(spark.read.parquet(path), "t", DAY_1, exact=True)
+    assert plan(profile).count("FileScan") == 1
+    assert plan(profile).count("Exchange hashpartitioning") == 1
+    assert {r["column_name"]: r["n_distinct"] for r in profile.collect()} == {"a": 100, "b": 3, "c.d": 1}
+
+
+def test_snapshots_of_one_time_give_the_larger(spark):
+    rows = [(DAY_1, "a", "c", 5, 0, 2), (DAY_1, "a", "c", 7, 0, 1)]
+    schema = "snapshot_at STRING, table_name STRING, column_name STRING, n_rows INT, n_nulls INT, n_distinct INT"
+    for order in (rows, rows[::-1]):
+        assert last_monitoring(spark.createDataFrame(order, schema)).head()["n_rows"] == 7
+
+
 def test_last_snapshots(spark, tmp_path):
     one = spark.createDataFrame([(1,)], "k INT")
     two = spark.createDataFrame([(1,), (2,)], "k INT")

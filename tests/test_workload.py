@@ -39,4 +39,4 @@ def test_driver_contract(spark):
     assert QUERIES.items() <= module.queries().items()
     assert SQL.items() <= module.oracle_sql().items()
     assert set(module.oracle_sql()) <= set(module.queries())
-    assert set(QUERIES) - set(SQL) == {"storage_profiles"}
+    assert set(QUERIES) == set(SQL)

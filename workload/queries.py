@@ -15,7 +15,7 @@ from ledgerfold.functions.dates import (
     parse_date,
     rejected_dates,
 )
-from ledgerfold.functions.text import strip_crlf
+from ledgerfold.functions.text import same_text, strip_crlf
 from ledgerfold.operators.changes import (
     apply_changes,
     delete_by_key,
@@ -29,6 +29,7 @@ from ledgerfold.operators.nested import (
     project_elements,
     unwind,
 )
+from ledgerfold.operators.profiling import storage_profile
 from ledgerfold.plans import carriers as delivery
 from ledgerfold.plans import sales
 from ledgerfold.plans.cleanup import normalise_customers, normalise_orders, normalise_shipments
@@ -47,9 +48,15 @@ from ledgerfold.plans.monitoring import (
     monitor_storage,
 )
 from ledgerfold.session import fresh_path
-from ledgerfold.sinks.collections import create_collection, replace_collection
+from ledgerfold.sinks.collections import (
+    create_collection,
+    drop_collection,
+    list_databases,
+    replace_collection,
+    use_database,
+)
 from ledgerfold.sinks.files import write_delimited, write_documents, write_json_array
-from ledgerfold.sinks.layout import join_keyed
+from ledgerfold.sinks.layout import buckets_for, write_bucketed
 from ledgerfold.sources.files import (
     read_delimited,
     read_json_array,
@@ -63,8 +70,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 
-PROFILED = ["customer", "orders", "lineitem"]
-
 # Suppliers taken for new customers get keys far above the present ones.
 NEW_KEYS = 1_000_000_000_000
 
@@ -92,6 +97,7 @@ def sales_history_by_product(spark: SparkSession, sf_dir: str) -> DataFrame:
         t.stock_items(spark, sf_dir),
         t.order_list(spark, sf_dir),
         t.dated_orders(spark, sf_dir).withColumn("OrderDate", iso_day(F.col("OrderDate"))),
+        t.ORDER,
     )
     flat = history.withColumn(
         "lines",
@@ -110,7 +116,6 @@ def sales_history_by_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat.select(
         "_id",
         "ItemName",
-        F.col("part").cast("bigint").alias("part"),
         F.size("OrderList").cast("bigint").alias("n_lines"),
         F.md5(text).alias("lines_md5"),
     )
@@ -122,6 +127,7 @@ def sales_history_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
         t.stock_items(spark, sf_dir),
         t.order_list(spark, sf_dir),
         t.dated_orders(spark, sf_dir),
+        t.ORDER,
     )
     return _history_rows(unwind(history, "OrderList"))
 
@@ -129,7 +135,10 @@ def sales_history_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def sales_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = sales.sales_rows(
-        t.stock_items(spark, sf_dir), t.order_list(spark, sf_dir), t.dated_orders(spark, sf_dir)
+        t.stock_items(spark, sf_dir),
+        t.order_list(spark, sf_dir),
+        t.dated_orders(spark, sf_dir),
+        t.ORDER,
     )
     return _history_rows(rows)
 
@@ -163,7 +172,6 @@ def _customers_with_orders(spark: SparkSession, sf_dir: str, right: DataFrame) -
     return nested.select(
         "c_custkey",
         "c_name",
-        F.col("part").cast("bigint").alias("part"),
         F.size("orders").cast("bigint").alias("n_orders"),
         F.md5(joined_text("orders", "o_orderkey", "day")).alias("orders_md5"),
     )
@@ -223,7 +231,6 @@ def carrier_shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
     return as_days.select(
         "name",
         "avgDifferenceBetweenDays",
-        F.col("part").cast("bigint").alias("part"),
         F.size("transport").cast("bigint").alias("n_shipments"),
         F.md5(joined_text("transport", "saleID", "shipped", "delivered", "days")).alias(
             "shipments_md5"
@@ -239,20 +246,23 @@ def carrier_shipment_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def carrier_shipment_count_with_empty(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rare = t.table(spark, sf_dir, "lineitem").where(
-        (F.col("l_quantity") == 50) & (F.col("l_discount") == 0) & (F.col("l_tax") == 0)
-    )
-    counts = delivery.shipment_counts(t.build_carriers(spark, sf_dir, rare), strict=True)
-    return counts.groupBy("name").agg(F.sum("NTransportes").alias("NTransportes"))
+    """Every carrier, and for each a new one that has not delivered anything."""
+    known = t.table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    new = known.select((F.col("s_suppkey") + NEW_KEYS).alias("s_suppkey"), F.concat("s_name", F.lit(" new")))
+    carriers = t.build_carriers(spark, sf_dir, known.union(new))
+    counts = delivery.shipment_counts(carriers, strict=True)
+    return counts.select("name", F.col("NTransportes").cast("bigint").alias("NTransportes"))
 
 
 @query
 def carrier_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The carrier list, stored as a collection, exported as arrays and read back."""
+    """The carrier list, stored as a collection, exported as one array, dropped, read back."""
     stored = replace_collection(delivery.carrier_list(t.carriers(spark, sf_dir)), "Logistic")
     path = fresh_path(spark, "logistic_export")
-    write_json_array(stored, path)
-    return unwrap_id(read_json_array(spark, path, schemas.LOGISTIC))
+    write_json_array(stored, path, files=1)
+    drop_collection(spark, "Logistic")
+    dropped = F.lit(not spark.catalog.tableExists("Logistic")).alias("dropped")
+    return unwrap_id(read_json_array(spark, path, schemas.LOGISTIC)).select("*", dropped)
 
 
 @query
@@ -262,12 +272,27 @@ def shipments_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def shipments_exported(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The flat list, stored as a collection, exported as arrays and read back."""
+    """The flat list, stored as a collection, exported as arrays, dropped, read back."""
     flat = delivery.shipment_list(t.dated_carriers(spark, sf_dir))
     stored = replace_collection(flat, "Transport")
     path = fresh_path(spark, "transport_export")
-    write_json_array(stored, path, file_bytes=1_000_000)
-    return read_json_array(spark, path, schemas.TRANSPORT)
+    write_json_array(stored, path)
+    drop_collection(spark, "Transport")
+    dropped = F.lit(not spark.catalog.tableExists("Transport")).alias("dropped")
+    return read_json_array(spark, path, schemas.TRANSPORT).select("*", dropped)
+
+
+@query
+def brand_database(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Brands stored in a database of their own, which is listed; then the former one again."""
+    before = spark.catalog.currentDatabase()
+    use_database(spark, "web_store")
+    stored = replace_collection(t.brands(spark, sf_dir), "web_store.Brand")
+    listed = list_databases(spark).where(F.col("namespace") == "web_store")
+    use_database(spark, before)
+    return stored.join(listed, F.lit(True)).select(
+        "BrandID", "BrandName", F.col("namespace").alias("stored_in")
+    )
 
 
 # --- dates -------------------------------------------------------------------
@@ -287,6 +312,7 @@ def orders_dates_normalised(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def orders_collection_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A collection created empty, filled, and replaced by its own repaired rows."""
+    drop_collection(spark, "Orders")
     create_collection(spark, "Orders", schemas.ORDERS)
     replace_collection(t.orders(spark, sf_dir), "Orders")
     repaired = replace_collection(normalise_orders(spark.table("Orders")), "Orders")
@@ -327,9 +353,12 @@ def event_midnights(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def event_dates_with_offset(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Event times written as text of a two-hour offset read back as UTC."""
+    """Event times written as text of a two-hour offset, in many forms, read back as UTC."""
     shifted = F.col("ts") + F.expr("INTERVAL 2 HOURS")
-    text = F.date_format(shifted, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'+02:00'")
+    local = F.date_format(shifted, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    offsets = ["+02:00", "+02", "+2:00", "+0200", "+02:00:00", " UTC+2", "UTC+02:00", " Etc/GMT-2"]
+    number = (F.col("event_id") % len(offsets)).cast("int")
+    text = F.concat(local, F.array(*map(F.lit, offsets))[number])
     events = t.table(spark, sf_dir, "events").select("event_id", text.alias("text"))
     return events.select("event_id", parse_date(F.col("text")).alias("ts"))
 
@@ -398,6 +427,17 @@ def json_array_split_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_json_array(spark, path, schemas.ORDER_LIST, split=True)
 
 
+@query
+def json_array_with_blanks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Brands as an array with blanks and line breaks between its documents, read in pieces."""
+    documents = export_documents(t.brands(spark, sf_dir), "Brand").withColumn("all", F.lit(1))
+    between = F.concat(F.lit("[ "), F.array_join(F.array_sort(F.collect_list("document")), " ,\n "))
+    path = fresh_path(spark, "brands_spaced")
+    array = documents.groupBy("all").agg(F.concat(between, F.lit("\n]")).alias("value"))
+    array.select("value").write.text(path)
+    return read_json_array(spark, path, schemas.BRAND, split=True)
+
+
 @query
 def delimited_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = t.table(spark, sf_dir, "customer")
@@ -439,7 +479,7 @@ def typed_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def filter_equal(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return t.table(spark, sf_dir, "customer").where(F.col("c_mktsegment") == "BUILDING")
+    return t.table(spark, sf_dir, "customer").where(same_text(F.col("c_mktsegment"), "BUILDING"))
 
 
 @query
@@ -568,14 +608,14 @@ def latest_event_per_user(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def column_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tables = {name: t.table(spark, sf_dir, name) for name in PROFILED}
+    tables = {name: t.table(spark, sf_dir, name) for name in t.TABLES}
     return monitor(tables, "2023-02-21 00:00:00", exact=True)
 
 
 @query
 def monitoring_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two kept snapshots, the second after a change; the last one per column."""
-    before = {name: t.table(spark, sf_dir, name) for name in PROFILED}
+    before = {name: t.table(spark, sf_dir, name) for name in t.TABLES}
     leaving = _leaving(spark, sf_dir).withColumnRenamed("CustomerID", "c_custkey")
     after = {"customer": delete_by_key(before["customer"], leaving, "c_custkey")}
     path = fresh_path(spark, "monitoring")
@@ -586,16 +626,23 @@ def monitoring_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def storage_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    paths = {name: f"{sf_dir}/{name}.parquet" for name in PROFILED}
+    """Sizes are shown as whether there are any: SQL on the tables does not see files."""
+    paths = {name: f"{sf_dir}/{name}.parquet" for name in t.TABLES}
     path = fresh_path(spark, "monitoring_storage")
     keep_snapshot(monitor_storage(spark, paths, "2023-02-21 00:00:00"), path)
-    return last_monitoring_storage(spark.read.parquet(path))
+    return last_monitoring_storage(spark.read.parquet(path)).select(
+        "snapshot_at",
+        "table_name",
+        (F.col("n_files") > 0).alias("has_files"),
+        (F.col("n_bytes") > 0).alias("has_bytes"),
+        "n_rows",
+    )
 
 
 @query
 def storage_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Row counts taken from the footers of the stored files."""
-    paths = {name: f"{sf_dir}/{name}.parquet" for name in PROFILED}
+    paths = {name: f"{sf_dir}/{name}.parquet" for name in t.TABLES}
     return monitor_storage(spark, paths, "2023-02-21 00:00:00").drop("n_files", "n_bytes")
 
 
@@ -604,8 +651,14 @@ def storage_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def bucketed_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    stored = t.keyed_sales(spark, sf_dir)
-    joined = join_keyed(stored["lines"], stored["orders"])
+    """Order lines and orders stored in buckets by order, and joined bucket by bucket."""
+    lines = t.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity")
+    orders = t.table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority")
+    size = storage_profile(spark, f"{sf_dir}/lineitem.parquet", "lineitem", "2023-02-21").first()
+    buckets = buckets_for(size["n_bytes"])
+    lines = write_bucketed(lines, "lines_by_order", "l_orderkey", buckets)
+    orders = write_bucketed(orders, "orders_by_order", "o_orderkey", buckets)
+    joined = lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"])
     return joined.groupBy("o_orderpriority").agg(
         F.count(F.lit(1)).alias("n_lines"),
         F.sum(F.col("l_quantity").cast("bigint")).alias("quantity"),

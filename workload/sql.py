@@ -21,9 +21,7 @@ SHIPMENTS = """
     FROM supplier JOIN lineitem ON l_suppkey = s_suppkey
     JOIN orders ON o_orderkey = l_orderkey"""
 
-# A carrier with more shipments than fit one document would have one id per part.
-CARRIER_ID = """
-    CASE WHEN count(*) <= 10000 THEN substr(sha1(s_suppkey || '-0'), 1, 24) END"""
+CARRIER_ID = "substr(sha1(CAST(s_suppkey AS VARCHAR)), 1, 24)"
 
 CUSTOMERS = """
     SELECT c_custkey AS CustomerID, CAST(NULL AS VARCHAR) AS CustomerPrimaryContact,
@@ -62,30 +60,23 @@ LATEST_EVENT = """
     SELECT * FROM events
     QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1"""
 
-# Columns of the tables that are profiled.
+# Columns of the tables, all of which are profiled.
 PROFILED = {
-    "customer": ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"],
-    "orders": [
-        "o_orderkey",
-        "o_custkey",
-        "o_orderstatus",
-        "o_totalprice",
-        "o_orderdate",
-        "o_orderpriority",
-    ],
-    "lineitem": [
-        "l_orderkey",
-        "l_partkey",
-        "l_suppkey",
-        "l_linenumber",
-        "l_quantity",
-        "l_extendedprice",
-        "l_discount",
-        "l_tax",
-        "l_returnflag",
-        "l_linestatus",
-        "l_shipdate",
-    ],
+    "region": "r_regionkey r_name",
+    "nation": "n_nationkey n_name n_regionkey",
+    "customer": "c_custkey c_name c_nationkey c_acctbal c_mktsegment",
+    "supplier": "s_suppkey s_name s_nationkey s_acctbal",
+    "part": "p_partkey p_name p_brand p_type p_size p_retailprice",
+    "orders": "o_orderkey o_custkey o_orderstatus o_totalprice o_orderdate o_orderpriority",
+    "lineitem": "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice "
+    "l_discount l_tax l_returnflag l_linestatus l_shipdate",
+    "events": "event_id ts user_id event_type value props",
+    "documents": "doc_id text lang source n_chars",
+    "embeddings": "vec_id embedding label",
+    "pages": "page_id url html",
+    "benchmark": "item_id text",
+    "labels": "doc_id quality toxic",
+    "conversations": "conv_id turn role text",
 }
 
 
@@ -95,14 +86,13 @@ def _profile(table: str, source: str, at: str) -> str:
                    '{c}' AS column_name, count(*) AS n_rows,
                    count(*) - count({c}) AS n_nulls, count(DISTINCT {c}) AS n_distinct
             FROM {source}"""
-        for c in PROFILED[table]
+        for c in PROFILED[table].split()
     )
 
 
 def _customers_with_orders(orders: str) -> str:
     return f"""
-    SELECT c_custkey, c_name, CAST(0 AS BIGINT) AS part,
-           count(o_orderkey) AS n_orders,
+    SELECT c_custkey, c_name, count(o_orderkey) AS n_orders,
            md5(coalesce(string_agg(o_orderkey || '/' || strftime(o_orderdate, '%Y-%m-%d'),
                ';' ORDER BY o_orderkey, o_orderdate), '')) AS orders_md5
     FROM customer LEFT JOIN {orders} ON o_custkey IS NOT DISTINCT FROM c_custkey
@@ -119,6 +109,11 @@ def _text(column: str) -> str:
     return f"CAST(to_json({column}) AS VARCHAR)"
 
 
+BRANDS = """
+    SELECT DISTINCT CAST(replace(p_brand, 'Brand#', '') AS INTEGER) AS BrandID,
+           p_brand AS BrandName
+    FROM part"""
+
 BASE = f"WITH base AS ({CUSTOMERS}), fresh AS ({NEW_CUSTOMERS}), changes AS ({ORDER_CHANGES})"
 
 UPDATED_COLUMNS = """
@@ -134,8 +129,7 @@ CUSTOMER_COLUMNS = """
 
 SQL = {
     "sales_history_by_product": f"""
-        SELECT _id, ItemName, CASE WHEN count(*) <= 10000 THEN CAST(0 AS BIGINT) END AS part,
-               count(*) AS n_lines,
+        SELECT _id, ItemName, count(*) AS n_lines,
                md5(string_agg(OrderID || '/' || Quantity || '/' || UnitPrice || '/'
                    || CustomerID || '/' || strftime(OrderDate, '%Y-%m-%d'),
                    ';' ORDER BY OrderID, Quantity, UnitPrice)) AS lines_md5
@@ -160,28 +154,23 @@ SQL = {
         SELECT name, avg(days) AS avgDifferenceBetweenDays FROM ({SHIPMENTS}) GROUP BY name""",
     "carrier_shipments": f"""
         SELECT name, avg(days) AS avgDifferenceBetweenDays,
-               CASE WHEN count(*) <= 10000 THEN CAST(0 AS BIGINT) END AS part,
                count(*) AS n_shipments,
                md5(string_agg(saleid || '/' || strftime(shipped, '%Y-%m-%d') || '/'
                    || strftime(delivered, '%Y-%m-%d') || '/' || days,
                    ';' ORDER BY saleid, shipped, delivered)) AS shipments_md5
         FROM ({SHIPMENTS}) GROUP BY name""",
     "carrier_shipment_count": f"""
-        SELECT {CARRIER_ID} AS _id, s_name AS name, count(*) AS NTransportes
-        FROM supplier JOIN lineitem ON l_suppkey = s_suppkey
-        JOIN orders ON o_orderkey = l_orderkey
+        SELECT {CARRIER_ID} AS _id, s_name AS name, count(saleid) AS NTransportes
+        FROM supplier LEFT JOIN ({SHIPMENTS}) ON name = s_name
         GROUP BY s_suppkey, s_name""",
-    "carrier_shipment_count_with_empty": """
-        SELECT s_name AS name, count(l_orderkey) AS NTransportes
-        FROM supplier LEFT JOIN (
-            SELECT l_suppkey, l_orderkey FROM lineitem JOIN orders ON o_orderkey = l_orderkey
-            WHERE l_quantity = 50 AND l_discount = 0 AND l_tax = 0
-        ) ON l_suppkey = s_suppkey
-        GROUP BY s_name""",
+    "carrier_shipment_count_with_empty": f"""
+        SELECT s_name AS name, count(saleid) AS NTransportes
+        FROM supplier LEFT JOIN ({SHIPMENTS}) ON name = s_name
+        GROUP BY s_suppkey, s_name
+        UNION ALL
+        SELECT s_name || ' new', 0 FROM supplier""",
     "carrier_list": f"""
-        SELECT {CARRIER_ID} AS _id, s_name AS name
-        FROM supplier LEFT JOIN lineitem ON l_suppkey = s_suppkey
-        GROUP BY s_suppkey, s_name""",
+        SELECT {CARRIER_ID} AS _id, s_name AS name, TRUE AS dropped FROM supplier""",
     "shipments_flat": f"""
         SELECT saleid, name, strftime(shipped, '%Y-%m-%d') AS shippingDate,
                strftime(delivered, '%Y-%m-%d') AS deliveryDate, tracking AS trackingNumber
@@ -267,6 +256,8 @@ SQL = {
                {MONTH_FIRST} AS InvoiceDate, strftime(o_orderdate, '%Y-%m-%d') AS OrderDate
         FROM orders""",
     "json_array_split_read": LINES,
+    "json_array_with_blanks": BRANDS,
+    "brand_database": f"SELECT *, 'web_store' AS stored_in FROM ({BRANDS})",
     "delimited_round_trip": """
         SELECT CAST(c_custkey AS VARCHAR) AS Code, c_name || ', ' || c_mktsegment AS Name
         FROM customer""",
@@ -314,15 +305,20 @@ SQL = {
         _profile(table, table, "2023-02-21 00:00:00") for table in PROFILED
     ),
     "monitoring_latest": " UNION ALL ".join(
-        [
-            _profile(
-                "customer",
-                f"(SELECT * FROM customer WHERE c_custkey NOT IN ({LEAVING}))",
-                "2023-02-22 00:00:00",
-            ),
-            _profile("orders", "orders", "2023-02-21 00:00:00"),
-            _profile("lineitem", "lineitem", "2023-02-21 00:00:00"),
-        ]
+        _profile(table, table, "2023-02-21 00:00:00")
+        if table != "customer"
+        else _profile(
+            "customer",
+            f"(SELECT * FROM customer WHERE c_custkey NOT IN ({LEAVING}))",
+            "2023-02-22 00:00:00",
+        )
+        for table in PROFILED
+    ),
+    "storage_profiles": " UNION ALL ".join(
+        f"""SELECT TIMESTAMP '2023-02-21 00:00:00' AS snapshot_at, '{table}' AS table_name,
+                   TRUE AS has_files, TRUE AS has_bytes, count(*) AS n_rows
+            FROM {table}"""
+        for table in PROFILED
     ),
     "storage_rows": " UNION ALL ".join(
         f"""SELECT TIMESTAMP '2023-02-21 00:00:00' AS snapshot_at, '{table}' AS table_name,
@@ -339,4 +335,4 @@ SQL = {
 
 # Written out and read back, with the same content.
 SQL["orders_collection_repaired"] = SQL["orders_dates_normalised"]
-SQL["shipments_exported"] = SQL["shipments_flat"]
+SQL["shipments_exported"] = f"SELECT *, TRUE AS dropped FROM ({SQL['shipments_flat']})"

@@ -8,12 +8,15 @@ from pyspark.sql import functions as F
 from ledgerfold.functions.dates import iso_day, month_first_text
 from ledgerfold.operators.nested import lookup
 from ledgerfold.plans.cleanup import normalise_shipments
-from ledgerfold.session import land
-from ledgerfold.sinks.layout import KeyedTable, write_bucketed
 
-BUCKETS = 16
+#: Columns that ``dated_orders`` has of an order.
+ORDER = ["OrderID", "CustomerID", "OrderDate"]
 
-_landed: dict[tuple[str, str, str], object] = {}
+#: All tables, in the order of their keys.
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings "
+    "pages benchmark labels conversations"
+).split()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -107,9 +110,10 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def build_carriers(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFrame:
-    """Suppliers as carriers, the given order lines nested as their shipments."""
+def build_carriers(spark: SparkSession, sf_dir: str, names: DataFrame) -> DataFrame:
+    """Carriers ``s_suppkey, s_name`` with all order lines they delivered as shipments."""
     ordered = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
+    lines = table(spark, sf_dir, "lineitem")
     shipped = lines.join(ordered, F.col("l_orderkey") == F.col("o_orderkey"))
     shipment = [
         F.col("l_orderkey").alias("saleid"),
@@ -117,57 +121,21 @@ def build_carriers(spark: SparkSession, sf_dir: str, lines: DataFrame) -> DataFr
         F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("deliveryDate"),
         F.concat_ws("-", "l_orderkey", "l_linenumber").alias("trackingNumber"),
     ]
-    names = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
     nested = lookup(
-        names,
-        shipped,
-        "s_suppkey",
-        "l_suppkey",
-        "transport",
-        shipment,
-        sizes=lines,
-        left_unique=True,
+        names, shipped, "s_suppkey", "l_suppkey", "transport", shipment, left_unique=True
     )
-    oid = F.substring(F.sha1(F.concat_ws("-", "s_suppkey", "part")), 1, 24)
+    oid = F.substring(F.sha1(F.col("s_suppkey").cast("string")), 1, 24)
     return nested.select(
         F.struct(oid.alias("$oid")).alias("_id"), F.col("s_name").alias("name"), "transport"
     )
 
 
-def _once(spark: SparkSession, sf_dir: str, what: str, make):
-    key = (spark.sparkContext.applicationId, sf_dir, what)
-    if key not in _landed:
-        _landed[key] = make()
-    return _landed[key]
-
-
 def carriers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stored carrier collection, its shipment dates still text."""
-
-    def make() -> DataFrame:
-        lines = table(spark, sf_dir, "lineitem")
-        return land(build_carriers(spark, sf_dir, lines), "carriers")
-
-    return _once(spark, sf_dir, "carriers", make)
+    """Suppliers as the carrier collection, its shipment dates still text."""
+    names = table(spark, sf_dir, "supplier").select("s_suppkey", "s_name")
+    return build_carriers(spark, sf_dir, names)
 
 
 def dated_carriers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The stored carrier collection after date repair."""
-
-    def make() -> DataFrame:
-        return land(normalise_shipments(carriers(spark, sf_dir)), "dated_carriers")
-
-    return _once(spark, sf_dir, "dated_carriers", make)
-
-
-def keyed_sales(spark: SparkSession, sf_dir: str) -> dict[str, KeyedTable]:
-    """Order lines and orders stored alike by order key."""
-
-    def make() -> dict[str, KeyedTable]:
-        tables = {
-            "lines": table(spark, sf_dir, "lineitem").select("l_orderkey", "l_quantity"),
-            "orders": table(spark, sf_dir, "orders").select("o_orderkey", "o_orderpriority"),
-        }
-        return write_bucketed(tables, {"lines": "l_orderkey", "orders": "o_orderkey"}, BUCKETS)
-
-    return _once(spark, sf_dir, "keyed_sales", make)
+    """The carrier collection after date repair."""
+    return normalise_shipments(carriers(spark, sf_dir))

@@ -33,6 +33,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerfold.llm.common import as_bytes, binaries, packed
 from ledgerfold.llm.suffixes import RECORD, SPAN, WINDOW, Family, Owners, Suffixes, alike
@@ -345,10 +346,10 @@ def remove_repeats(
         .applyInArrow(_sender(number), _SUFFIXES)
     )
     windows = sent.groupBy("share").applyInArrow(_match, _WINDOWS)
-    kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema]
-    kept = [k for k in kinds if keep_text or not k.startswith("`text`")]
+    kept = [f for f in rows.schema if keep_text or f.name != "text"]
+    result = T.StructType([*kept, *T.StructType.fromDDL(RESULT)])
     return (
         spread.groupBy("batch")
         .cogroup(windows.groupBy("batch"))
-        .applyInArrow(_remover(keep_text), ", ".join([*kept, RESULT]))
+        .applyInArrow(_remover(keep_text), result)
     )

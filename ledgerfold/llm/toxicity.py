@@ -37,6 +37,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgerfold.llm.common import ids_and_texts, packed, sample_by_hash, slices
 
@@ -331,5 +332,4 @@ def _scored(rows: DataFrame, grammar: Grammar) -> DataFrame:
                 names=[*batch.schema.names, "score"],
             )
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-    return rows.mapInArrow(scored, f"{schema}, score DOUBLE")
+    return rows.mapInArrow(scored, T.StructType([*rows.schema]).add("score", "double"))

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from llm_helpers import sentence
 
 SCHEMA = (
     "doc_id LONG, text STRING, lang STRING, source STRING, n_chars LONG, "
@@ -9,14 +10,6 @@ SCHEMA = (
     "domain STRING, n_tokens LONG, `a b.c` STRING"
 )
 
-WORDS = "the of river stone runs over green hills and never stops at night".split()
-
-
-def sentence(rng: random.Random, n_words: int) -> str:
-    words = [rng.choice(WORDS) + rng.choice(["", "s", "ed"]) for _ in range(n_words)]
-    return " ".join(words).capitalize() + "."
-
-
 @pytest.fixture(scope="session")
 def make_docs(spark):
     """Documents of ``(doc_id, text)``, with the other columns and clashing names."""

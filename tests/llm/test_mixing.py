@@ -2,54 +2,13 @@ import random
 
 import duckdb
 import pytest
-from hypothesis import given, settings
+from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from llm_helpers import budgets
 
 from ledgerfold.llm import mixing
 
 
-def shared(budget, children):
-    """Budget shared by weight up to capacity: ``children`` are ``(weight, cap)``."""
-    given = [0] * len(children)
-    open_ = [i for i, (w, _) in enumerate(children) if w]
-    while open_:
-        weights = sum(children[i][0] for i in open_)
-        left = budget - sum(given)
-        full = [i for i in open_ if children[i][1] * weights <= left * children[i][0]]
-        if not full:
-            for i in open_:
-                given[i] = left * children[i][0] // weights
-            break
-        for i in full:
-            given[i] = children[i][1]
-        open_ = [i for i in open_ if i not in full]
-    return given
-
-
-def budgets(leaves, mix, total):
-    """By hand: down the tree, a node's budget shared among its children."""
-
-    def weight(path):
-        tables = [{d: w for d, (w, _) in mix.domains.items()}, mix.languages, mix.sources]
-        return tables[len(path) - 1].get(path[-1], 1)
-
-    def room(path):
-        out = 0
-        for leaf, tokens in leaves.items():
-            if leaf[: len(path)] == path:
-                out += 0 if any(not weight(leaf[: k + 1]) for k in range(3)) else tokens
-        return out * mix.max_epochs
-
-    def down(path, budget):
-        if len(path) == 3:
-            return {path: budget}
-        children = sorted({leaf[: len(path) + 1] for leaf in leaves if leaf[: len(path)] == path})
-        found = shared(budget, [(weight(c), room(c)) for c in children])
-        return {k: v for c, b in zip(children, found) for k, v in down(c, b).items()}
-
-    return down((), total)
-
-
 MIX = mixing.Mix(
     domains={"a": (5, ("s0", "s1")), "b": (2, ("s2",)), "none": (0, ("s3",))},
     languages={"en": 3, "xx": 0},
@@ -67,7 +26,7 @@ MIX = mixing.Mix(
         max_size=12,
     )
 )
-@settings(max_examples=12, deadline=None)
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 def test_budgets_equal_a_recursive_share(spark, leaves):
     rows = [(*path, tokens) for path, tokens in leaves.items()]
     df = spark.createDataFrame(rows, "domain STRING, lang STRING, source STRING, tokens LONG")

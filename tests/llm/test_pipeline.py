@@ -1,0 +1,118 @@
+"""Each stage of the corpus pipeline against a plain version, on what the one before kept."""
+
+import zlib
+from collections import Counter, defaultdict
+from pathlib import Path
+
+import numpy as np
+import pytest
+from llm_helpers import fingerprint, labels, mixed_ids, repeats
+from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+
+import corpus_pipeline
+from ledgerfold.llm import toxicity
+from ledgerfold.llm.common import fold
+from ledgerfold.llm.queries import tokenizer
+from ledgerfold.session import land
+
+SF_DIR = "/root/testdata/sf0.001"
+
+pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="no test tables")
+
+
+@pytest.fixture(scope="module")
+def kept(spark):
+    """The input of every stage and the last one's output, by position."""
+    docs = spark.read.parquet(f"{SF_DIR}/documents.parquet")
+    frames = [docs]
+    for name, stage in corpus_pipeline.STAGES:
+        frames.append(land(stage(spark, frames[-1], SF_DIR), name))
+    return frames
+
+
+def rows(df):
+    return {r.doc_id: r for r in df.collect()}
+
+
+def test_stages_are_named_and_keep_the_columns(kept):
+    assert [name for name, _ in corpus_pipeline.STAGES] == [
+        "toxicity",
+        "simhash",
+        "suffix_dedup",
+        "mixing",
+        "packing",
+    ]
+    for frame in kept[1:5]:
+        assert frame.dtypes == kept[0].dtypes
+
+
+def test_toxicity(spark, kept):
+    marks = spark.read.parquet(f"{SF_DIR}/labels.parquet")
+    grammar = toxicity.train(kept[0], marks.where(fold(F.col("doc_id"), 3) != 1))
+    want = {i: r for i, r in rows(kept[0]).items() if grammar.score(r.text) < corpus_pipeline.TOXIC}
+    assert rows(kept[1]) == want
+
+
+def test_simhash(kept):
+    before = rows(kept[1])
+    ids = sorted(before)
+    want = labels(ids, [fingerprint(before[i].text) for i in ids])
+    assert rows(kept[2]) == {i: before[i] for k, i in enumerate(ids) if want[k] == i}
+
+
+def test_suffix_dedup(kept):
+    before, after = rows(kept[2]), rows(kept[3])
+    assert set(before) == set(after)
+    for i, _, n_removed, _, _ in repeats([(i, (r.text or "").encode()) for i, r in before.items()]):
+        old, new = before[i], after[i]
+        assert (new.lang, new.source) == (old.lang, old.source)
+        if not n_removed:
+            assert new == old
+        else:
+            # No more goes than the bytes removed and what is left of a cut character.
+            gone = len(old.text.encode()) - len(new.text.encode())
+            assert n_removed <= gone <= n_removed + 12 and new.n_chars == len(new.text)
+
+
+def test_mixing(kept):
+    before = rows(kept[3])
+    want = mixed_ids([(i, r.text, r.lang, r.source) for i, r in before.items()], corpus_pipeline.MIX)
+    assert Counter(r.doc_id for r in kept[4].collect()) == want
+    assert rows(kept[4]) == {i: before[i] for i in want}
+
+
+def test_packing(kept):
+    library = Tokenizer.from_file(tokenizer("word_bpe_49k.json"))
+    pieces = defaultdict(list)
+    for p in kept[5].collect():
+        pieces[p.doc_id].append(p)
+    before = rows(kept[4])
+    assert set(pieces) == set(before)
+    for i, r in before.items():
+        ids = np.array([*library.encode(r.text, add_special_tokens=False).ids, 2], "<u4")
+        assert sum(p.length for p in pieces[i]) == len(ids)
+        for p in pieces[i]:
+            assert p.ids_crc32 == zlib.crc32(ids[p.start : p.start + p.length].tobytes())
+
+
+def test_run_gives_the_last_stage(spark, kept):
+    got = corpus_pipeline.run(spark, SF_DIR)
+    assert got.columns == kept[5].columns
+    assert sorted(r.doc_id for r in got.collect()) == sorted(r.doc_id for r in kept[5].collect())
+
+
+def test_odd_rows_pass_through_every_stage(spark, odd_rows, tmp_path):
+    schema = spark.read.parquet(f"{SF_DIR}/documents.parquet").schema
+    made = [(i, t, None if i == 11 else "en", None, len(t or "")) for i, t in odd_rows]
+    for name, data in (("odd", made), ("empty", [])):
+        docs = spark.createDataFrame(data, schema)
+        spark.createDataFrame([], "doc_id LONG, quality INT, toxic INT").write.parquet(
+            f"{tmp_path}/{name}/labels.parquet"
+        )
+        for step, stage in corpus_pipeline.STAGES:
+            docs = land(stage(spark, docs, f"{tmp_path}/{name}"), step)
+            if step != "packing":
+                assert docs.schema == schema
+            if step == "toxicity":
+                assert docs.count() == len(data)

@@ -1,7 +1,7 @@
 import random
 
 import numpy as np
-from conftest import sentence
+from llm_helpers import sentence
 
 from ledgerfold.llm import quality_classifier as qc
 

@@ -3,30 +3,11 @@ import re
 from collections import Counter
 
 import numpy as np
-from conftest import sentence
+from llm_helpers import base_counts as base
+from llm_helpers import sentence
 
 from ledgerfold.llm import quality_rules as qr
 
-WORD = r"[^\x20\x09-\x0D]+"
-
-
-def base(text):
-    text = text or ""
-    words = re.findall(WORD, text)
-    windows = [tuple(words[i : i + 8]) for i in range(len(words) - 7)]
-    times = Counter(windows)
-    covered = {j for i, w in enumerate(windows) if times[w] > 1 for j in range(i, i + 8)}
-    lines = [line for line in text.split("\n") if re.search(WORD, line)]
-    n, repeat = len(words), len(covered)
-    return (
-        n,
-        sum(map(len, words)),
-        len(re.findall(r"[#*$%&|<>]", text)),
-        len(lines) - len(set(lines)),
-        repeat,
-        n < 20 or 100 * repeat > 30 * n,
-    )
-
 
 def test_odd_rows(make_docs, odd_rows):
     rows = odd_rows + [(30, "a b c d e f g h i " * 2), (31, "#x* " * 30), (32, "one two " * 9)]

@@ -1,39 +1,14 @@
 import random
-import re
 from collections import defaultdict
 
 import numpy as np
 import pytest
-import xxhash
+from llm_helpers import fingerprint, labels
 
 from ledgerfold.llm import simhash
 from ledgerfold.llm.components import components
 
 
-def fingerprint(text):
-    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
-    shingles = [" ".join(words[i : i + 4]) for i in range(max(1, len(words) - 3))] if words else []
-    hashes = [xxhash.xxh64_intdigest(s.encode(), 42) for s in shingles]
-    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
-
-
-def labels(ids, fps, max_bits=4):
-    """Smallest id reachable, by brute force over all pairs."""
-    label = dict(zip(range(len(ids)), ids))
-    links = [
-        (i, j) for i in range(len(ids)) for j in range(i) if (fps[i] ^ fps[j]).bit_count() <= max_bits
-    ]
-    changed = True
-    while changed:
-        changed = False
-        for i, j in links:
-            least = min(label[i], label[j])
-            if label[i] != least or label[j] != least:
-                label[i] = label[j] = least
-                changed = True
-    return label
-
-
 def test_odd_rows(make_docs, odd_rows):
     rows = [r for r in odd_rows if r[0] is not None]
     fps = [fingerprint(t) for _, t in rows]

@@ -1,6 +1,6 @@
 import random
 
-from conftest import sentence
+from llm_helpers import sentence
 
 from ledgerfold.llm import toxicity as tx
 

@@ -26,12 +26,11 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 
-#: Where the vocabulary files of the public tokenizers are; a parameter of the operators.
-TOKENIZERS = "/opt/tokenizers"
-
-
 def tokenizer(name: str) -> str:
-    return f"{TOKENIZERS}/{name}"
+    """Where a public tokenizer's file is; operators take the path as a parameter."""
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name))
 
 
 def query(function: Query) -> Query:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def column_profile(
@@ -12,32 +13,74 @@ def column_profile(
     """Per column: rows, nulls and distinct values, in one pass over the table.
 
     Distinct values are estimated with one small sketch per column and task.
-    ``exact`` counts them: all columns' distinct values go through one shuffle, copies
-    of a value being one row per task before it.
+    ``exact`` counts them: all columns' values go through one shuffle, keyed by column
+    and value, copies of a value being one row per task before it.
     """
-    distinct = F.count_distinct if exact else F.approx_count_distinct
-    measures: list[Column] = [F.count(F.lit(1)).alias("n_rows")]
-    per_column = []
+    counted = _counted(df) if exact else _estimated(df)
+    per_column = [
+        F.struct(
+            F.lit(name).alias("column_name"),
+            F.col(f"rows_{number}").alias("n_rows"),
+            (F.col(f"rows_{number}") - F.col(f"filled_{number}")).alias("n_nulls"),
+            F.col(f"distinct_{number}").alias("n_distinct"),
+        )
+        for number, name in enumerate(df.columns)
+    ]
+    return counted.select(F.inline(F.array(*per_column))).select(
+        F.lit(snapshot_at).cast("timestamp_ntz").alias("snapshot_at"),
+        F.lit(table).alias("table_name"),
+        "*",
+    )
+
+
+def _estimated(df: DataFrame) -> DataFrame:
+    measures: list[Column] = []
     for number, name in enumerate(df.columns):
         column = df[f"`{name}`"]
+        measures.append(F.count(F.lit(1)).alias(f"rows_{number}"))
         measures.append(F.count(column).alias(f"filled_{number}"))
-        measures.append(distinct(column).alias(f"distinct_{number}"))
-        per_column.append(
-            F.struct(
-                F.lit(name).alias("column_name"),
-                F.col("n_rows"),
-                (F.col("n_rows") - F.col(f"filled_{number}")).alias("n_nulls"),
-                F.col(f"distinct_{number}").alias("n_distinct"),
-            )
+        measures.append(F.approx_count_distinct(column).alias(f"distinct_{number}"))
+    return df.agg(*measures)
+
+
+def _counted(df: DataFrame) -> DataFrame:
+    cells = F.array(
+        *[_cell(number, df[f"`{f.name}`"], f.dataType) for number, f in enumerate(df.schema)]
+    )
+    values = df.select(F.inline(cells)).groupBy("number", "whole", "real", "other")
+    values = values.agg(F.count(F.lit(1)).alias("n"))
+    filled = F.col("whole").isNotNull() | F.col("real").isNotNull() | F.col("other").isNotNull()
+    measures: list[Column] = []
+    for number in range(len(df.columns)):
+        mine = F.col("number") == number
+        of_mine = F.when(mine, F.col("n"))
+        measures.append(F.coalesce(F.sum(of_mine), F.lit(0)).alias(f"rows_{number}"))
+        measures.append(
+            F.coalesce(F.sum(F.when(filled, of_mine)), F.lit(0)).alias(f"filled_{number}")
         )
-    measured = df.agg(*measures).select(F.inline(F.array(*per_column)))
-    return measured.select(
-        F.lit(snapshot_at).cast("timestamp_ntz").alias("snapshot_at"),
-        F.lit(table).alias("table_name"),
-        "column_name",
-        "n_rows",
-        "n_nulls",
-        "n_distinct",
+        measures.append(F.count_if(mine & filled).alias(f"distinct_{number}"))
+    return values.agg(*measures)
+
+
+def _cell(number: int, column: Column, kind: T.DataType) -> Column:
+    """A value in the field of its kind, the others null; what has no order is text."""
+    whole = real = other = None
+    if isinstance(kind, (T.IntegralType, T.BooleanType)):
+        whole = column
+    elif isinstance(kind, T.TimestampNTZType):
+        epoch = F.lit("1970-01-01").cast("timestamp_ntz")
+        whole = F.timestamp_diff("MICROSECOND", epoch, column)
+    elif isinstance(kind, (T.FloatType, T.DoubleType)):
+        real = column
+    elif isinstance(kind, (T.ArrayType, T.MapType, T.StructType)):
+        other = F.to_json(column)
+    else:
+        other = column
+    return F.struct(
+        F.lit(number).alias("number"),
+        (F.lit(None) if whole is None else whole).cast("bigint").alias("whole"),
+        (F.lit(None) if real is None else real).cast("double").alias("real"),
+        (F.lit(None) if other is None else other).cast("string").alias("other"),
     )
 
 

@@ -8,7 +8,6 @@ columns, so that no column of the caller can clash with one of ours.
 from __future__ import annotations
 
 import os
-import zlib
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -72,10 +71,6 @@ def fold(doc_id: Column, folds: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % folds
 
 
-def fold_of(doc_id: int, folds: int) -> int:
-    return zlib.crc32(str(doc_id).encode()) % folds
-
-
 def as_bytes(texts: pa.Array) -> list[bytes | None]:
     """UTF-8 bytes of each text."""
     return texts.cast(pa.binary()).to_pylist()

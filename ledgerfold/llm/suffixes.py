@@ -15,7 +15,6 @@ as many as there are levels, the logarithm of their number.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
 from dataclasses import dataclass
 
 import numpy as np
@@ -272,10 +271,3 @@ class Family:
     def _report(self, tag: np.ndarray, window: np.ndarray, count: np.ndarray) -> None:
         if len(tag):
             self.found.append(np.stack([tag, window, count], axis=1).astype(np.int64))
-
-
-def family_of(parts: Iterable[Suffixes], batch: int = 4096) -> np.ndarray:
-    family = Family(batch)
-    for part in parts:
-        family.add(part)
-    return family.matches()

@@ -100,8 +100,10 @@ def test_family_of_many_levels_equals_one_merge():
         )
 
     def windows(batch):
-        out = suffixes.family_of(parts, batch)
-        return {(t, w + i) for t, w, n in out.tolist() for i in range(n)}
+        family = suffixes.Family(batch)
+        for part in parts:
+            family.add(part)
+        return {(t, w + i) for t, w, n in family.matches().tolist() for i in range(n)}
 
     assert windows(1) == windows(12) == windows(10**6) != set()
 

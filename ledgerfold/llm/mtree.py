@@ -15,7 +15,7 @@ from dataclasses import dataclass
 import numpy as np
 
 #: Entries of a page, about.
-PAGE = 64
+PAGE = 512
 
 
 @dataclass

@@ -22,6 +22,7 @@ from __future__ import annotations
 import heapq
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,9 +38,12 @@ WINDOW_TOKENS = 4 * 1024 * 1024
 HORIZON = 2048
 
 #: Words whose ids a task remembers; beyond this it starts anew.
-WORDS = 400_000
-IDS = 8_000_000
-MISSES = 20_000
+WORDS = 800_000
+IDS = 16_000_000
+MISSES = 2_000
+
+#: Marks that a word of letters may end with; one run of them is one part.
+MARKS = ".,;:!?%$#&*|)("
 
 PIECES = (
     "doc_id LONG, start LONG, length LONG, ids_crc32 LONG, doc_tokens LONG, "
@@ -50,9 +54,12 @@ PIECES = (
 class WordEncoder:
     """Ids of texts, by way of the ids of their words.
 
-    For tokenizers that drop blanks and never join characters across one, as that of
-    ``word_bpe_49k.json`` does: a text's ids are those of its words, one after the
-    other. Words are remembered up to a bound.
+    For tokenizers that drop blanks and never join characters across one, that lower
+    the case and take letters, digits and marks apart, and end each such part with a
+    token of its own kind, as that of ``word_bpe_49k.json`` does: a text's ids are
+    those of its words, one after the other, and a word of letters with marks after it
+    has the ids of its letters and then of the marks. Words are remembered up to a
+    bound.
     """
 
     def __init__(self, path: str) -> None:
@@ -62,44 +69,76 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
+        vocabulary = self._tokenizer.get_vocab()
+        self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self._ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self._forget()
 
     def _forget(self) -> None:
         self._number: dict[bytes, int] = {}
+        self._parts: dict[str, tuple[int, ...]] = {"": ()}
         self._starts = np.zeros(1, np.int64)
         self._ids = np.zeros(0, np.uint32)
 
+    def _encode_parts(self, parts: list[str]) -> None:
+        encoded = self._tokenizer.encode_batch_fast(parts, add_special_tokens=False)
+        self._parts.update((part, tuple(one.ids)) for part, one in zip(parts, encoded))
+
+    def _encode_letters(self, parts: list[str]) -> None:
+        """Many words of letters as one text, cut after the tokens that end a word."""
+        joined = self._tokenizer.encode_batch_fast([" ".join(parts)], add_special_tokens=False)
+        ids = joined[0].ids
+        ends = np.flatnonzero(self._ends[ids]) + 1
+        if len(ends) != len(parts):  # a letter that lowering the case makes two signs
+            self._encode_parts(parts)
+            return
+        begin = 0
+        for part, end in zip(parts, ends.tolist()):
+            self._parts[part] = tuple(ids[begin:end])
+            begin = end
+
     def _learn(self, words: list[bytes]) -> None:
         if len(self._number) + len(words) > WORDS or len(self._ids) > IDS:
             raise OverflowError
-        for begin in range(0, len(words), MISSES):
-            some = words[begin : begin + MISSES]
-            encoded = self._tokenizer.encode_batch_fast(
-                [word.decode() for word in some], add_special_tokens=False
-            )
-            ids = [one.ids for one in encoded]
-            ends = self._starts[-1] + np.cumsum([len(one) for one in ids])
-            self._starts = np.concatenate([self._starts, ends])
-            flat = np.array([i for one in ids for i in one], np.uint32)
-            self._ids = np.concatenate([self._ids, flat])
-            known = len(self._number)
-            self._number.update(zip(some, range(known, known + len(some))))
+        cut, letters, others = [], set(), set()
+        for word in words:
+            text = word.decode()
+            core = text.rstrip(MARKS)
+            if core.isalpha():
+                marks = text[len(core) :]
+                core = core.lower() if core.isascii() else core
+                letters.add(core)
+            else:
+                core, marks = text, ""
+                others.add(core)
+            others.add(marks)
+            cut.append((core, marks))
+        new = list(letters.difference(self._parts))
+        for begin in range(0, len(new), MISSES):
+            self._encode_letters(new[begin : begin + MISSES])
+        self._encode_parts(list(others.difference(self._parts)))
+        ids = [self._parts[core] + self._parts[marks] for core, marks in cut]
+        ends = self._starts[-1] + np.cumsum([len(one) for one in ids], dtype=np.int64)
+        self._starts = np.concatenate([self._starts, ends])
+        flat = np.fromiter(chain.from_iterable(ids), np.uint32)
+        self._ids = np.concatenate([self._ids, flat])
+        known = len(self._number)
+        self._number.update(zip(words, range(known, known + len(words))))
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
         cut = [text.split() for text in texts]
-        new = list({word for words in cut for word in words if word not in self._number})
+        distinct = set().union(*cut)
         try:
-            self._learn(new)
+            self._learn(list(distinct.difference(self._number)))
         except OverflowError:
             self._forget()
-            every = list({word for words in cut for word in words})
-            if len(every) > WORDS and len(texts) > 1:
+            if len(distinct) > WORDS and len(texts) > 1:
                 half = len(texts) // 2
                 return self.encode(texts[:half]) + self.encode(texts[half:])
-            if len(every) > WORDS:
+            if len(distinct) > WORDS:
                 whole = self._tokenizer.encode(texts[0].decode(), add_special_tokens=False)
                 return [np.array(whole.ids, np.uint32)]
-            self._learn(every)
+            self._learn(list(distinct))
         return [self._joined(words) for words in cut]
 
     def _joined(self, words: list[bytes]) -> np.ndarray:

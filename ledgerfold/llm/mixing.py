@@ -10,7 +10,8 @@ cannot take it up: siblings first, then ancestors.
 A leaf then takes whole epochs of its documents and of one more epoch a prefix, in
 an order seeded by epoch, whose tokens stay within the rest of the budget.
 
-Scale: per leaf only sums travel. The order of an epoch is a digest; its first
+Scale: per leaf only sums travel. The tables of leaves are stored, and by their size
+Spark sends them to all tasks or joins them by a shuffle that it can split. The order of an epoch is a digest; its first
 digits are a bucket. Sums per (leaf, bucket) find the bucket in which a leaf's
 prefix ends; only documents of that bucket are put in order by a window. No task
 ever holds a leaf, however large. The tables of leaves and buckets have at most
@@ -34,6 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from ledgerfold.llm.common import WORD, packed, unpacked
+from ledgerfold.session import land
 
 PATH = ["domain", "lang", "source"]
 
@@ -156,6 +158,10 @@ def mix_documents(
         F.when(spent, -1).otherwise(F.expr("budget % tokens")).cast("long").alias("prefix"),
     )
 
+    # Small tables are stored: their real size then decides on sending them to all tasks,
+    # and the texts are not shuffled to meet them.
+    budgets = land(budgets, "leaf_budgets")
+
     # Documents with the place they have in the epoch that their leaf takes in part.
     place = F.md5(F.concat_ws("-", F.lit(mix.seed), "whole", "doc_id").cast("binary"))
     placed = (
@@ -171,7 +177,7 @@ def mix_documents(
     ends = running.groupBy(*PATH).agg(
         F.min(over).alias("last_bucket"), F.coalesce(F.sum(before), F.lit(0)).alias("before")
     )
-    marked = placed.join(ends, PATH)
+    marked = placed.join(land(ends, "prefix_ends"), PATH)
 
     def epochs(in_prefix: Column) -> Column:
         last = F.col("whole") - F.when(in_prefix, 0).otherwise(1)

@@ -36,8 +36,18 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgerfold.llm.common import as_bytes, binaries, packed
-from ledgerfold.llm.suffixes import RECORD, SPAN, WINDOW, Family, Owners, Suffixes, alike
-from ledgerfold.llm.suffixes import hashed, owners, records
+from ledgerfold.llm.suffixes import (
+    RECORD,
+    WINDOW,
+    Family,
+    Owners,
+    Suffixes,
+    alike,
+    hashed,
+    mixed,
+    owners,
+    records,
+)
 
 KEY_BITS = 40
 PER_PARTITION = 4
@@ -75,8 +85,11 @@ class _Batch:
         return self.data, self.ends, self.found
 
     def keys(self, shares: int) -> np.ndarray:
-        """Of each suffix, its share and below that the hash sent there."""
-        gram = self.found.gram
+        """Of each suffix, its share and below that the hash sent there.
+
+        Mixed anew: a suffix owns windows by its hash being small.
+        """
+        gram = mixed(self.found.gram)
         share = ((gram >> np.uint64(40)) * np.uint64(shares)) >> np.uint64(24)
         return (share << np.uint64(KEY_BITS)) | (gram & np.uint64((1 << KEY_BITS) - 1))
 
@@ -334,7 +347,9 @@ def remove_repeats(
     rows = packed(docs, id_col, text_col)
     if not keep_text:
         rows = rows.drop("rest")
-    batch = F.pmod(F.xxhash64("doc_id"), F.lit(number)).cast("int")
+    # Rows of one id are one batch's; those without an id go anywhere, but not all to one.
+    by_id = F.when(F.col("doc_id").isNotNull(), F.xxhash64("doc_id"))
+    batch = F.pmod(F.coalesce(by_id, F.xxhash64("text")), F.lit(number)).cast("int")
     # The one exchange of the texts; all steps below read what it has written.
     spread = rows.withColumn("batch", batch).repartition(partitions, "batch")
 

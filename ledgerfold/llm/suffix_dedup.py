@@ -16,7 +16,7 @@ logarithmic family of them for a share of all suffixes.
 
 Scale: the texts are shuffled once and read by steps 1, 3 and 5 (the plan has one
 exchange that is used three times). A passage that all documents share is one record
-per batch, however many have it. Shares and batches are as many as four times
+per batch, however many have it. Shares and batches are as many as twice
 ``spark.sql.shuffle.partitions``, so their size is that setting's choice; each holds
 one batch or one share in memory. Exact: hashes only choose candidates, bytes decide.
 
@@ -50,7 +50,7 @@ from ledgerfold.llm.suffixes import (
 )
 
 KEY_BITS = 40
-PER_PARTITION = 4
+PER_PARTITION = 2
 
 _HASHES = "share INT, batch INT, hashes BINARY"
 _SHARED = "batch INT, share INT, bits BINARY"

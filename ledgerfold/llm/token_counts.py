@@ -148,11 +148,9 @@ def token_counts(
         mine = read_cache(spark, cache_path).where(F.col("tokenizer_digest") == version)
         return mine.select("content_digest", "n_tokens")
 
-    misses = (
-        keyed.select("content_digest", "text")
-        .join(stored().select("content_digest"), "content_digest", "left_anti")
-        .dropDuplicates(["content_digest"])
-    )
+    # Distinct first: a task sends one row of a content, however many copies it has.
+    distinct = keyed.select("content_digest", "text").dropDuplicates(["content_digest"])
+    misses = distinct.join(stored().select("content_digest"), "content_digest", "left_anti")
     counted = misses.mapInArrow(_encoder(tokenizer_path, version), CACHE)
     counted.write.mode("append").parquet(cache_path)
     return keyed.drop("text").join(stored(), "content_digest").select(

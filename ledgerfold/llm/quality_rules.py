@@ -5,19 +5,22 @@ believed is estimated without labels: expectation-maximisation over the votes of
 documents finds how often each rule votes each way on good and on bad documents, and
 a document is kept if good is the likelier explanation of its votes.
 
-Scale: one pass over the texts gives counts and votes, which are stored; votes are
-counted per pattern before the shuffle, and there are at most 3 ** rules patterns
-(6,561), whatever the number of documents. EM runs on those counts on the driver.
-
-Edge cases: null, empty and blank texts have no words and fail the base; repeated
-rows are counted and judged one by one; an empty table gives an empty result; with
-few documents the prior counts keep EM near the rules' initial reading.
+Scale: one pass over the texts gives counts, votes and digests, which are stored;
+digests are made distinct per task before the shuffle, which brings 16 bytes a text,
+and there are at most 3 ** rules patterns (6,561), whatever the number of documents.
+EM runs on the patterns' counts on the driver.
+
+Edge cases: null, empty and blank texts have no words and fail the base; every row is
+judged, but copies of one text are one text to EM, so they cannot move what is believed
+of a rule; an empty table gives an empty result; with few documents the prior counts
+keep EM near the rules' initial reading.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -171,25 +174,27 @@ BASE = "n_words LONG, word_chars LONG, n_symbols LONG, n_dup_lines LONG, n_repea
 
 
 def counted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id``, the base counts and the ``votes`` of every document."""
+    """``doc_id``, the base counts, the ``votes`` and the text's ``digest`` of every document."""
     names = [part.split()[0] for part in BASE.split(", ")]
 
     def counting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            found = [count(text) for text in as_bytes(batch.column(1))]
+            texts = as_bytes(batch.column(1))
+            found = [count(text) for text in texts]
             columns = [pa.array([getattr(c, n) for c in found], pa.int64()) for n in names]
             cast = pa.array([votes(c) for c in found], pa.string())
+            digests = [blake2b(text or b"", digest_size=16).digest() for text in texts]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *columns, cast], names=["doc_id", *names, "votes"]
+                [batch.column(0), *columns, cast, pa.array(digests, pa.binary())],
+                names=["doc_id", *names, "votes", "digest"],
             )
 
     rows = ids_and_texts(docs, id_col, text_col)
-    return rows.mapInArrow(counting, f"doc_id LONG, {BASE}, votes STRING")
+    return rows.mapInArrow(counting, f"doc_id LONG, {BASE}, votes STRING, digest BINARY")
 
 
-#: Junk of one kind is at most this share of all documents: a rule that calls more of
-#: them bad is taken to do so on good ones as well.
-JUNK = 0.3
+#: How many documents' worth of belief there is in the start, for each one seen.
+STARTED = 2.0
 
 
 def estimate(
@@ -200,22 +205,22 @@ def estimate(
     Documents are good, or bad in one of as many kinds as there are rules: junk of one
     kind need not show in the other rules. EM finds how often a rule that votes calls
     a document of each kind bad; abstaining says nothing. Rules start as right on 9 of
-    10 of their kind, with ``prior`` documents' worth of belief in that, and as wrong
-    on 1 of 100 good documents. The last is believed half as much as what the votes
-    show: votes alone cannot tell whether what one rule finds, and no other, is a kind
-    of junk or its mistake.
+    10 of their kind, on 1 of 50 of the other kinds, and as wrong on as many good
+    documents as ``mistakes`` finds, 1 of 100 for most. Votes alone cannot tell whether
+    what one rule finds, and no other, is a kind of junk or its mistake, so the start is
+    believed as if ``STARTED`` times as many documents had shown it, and ``prior`` more
+    of each kind. How much a rule calls bad decides nothing by itself.
     """
     n = np.array(times, np.float64)
     bad = np.array([[vote == BAD for vote in p] for p in patterns], np.float64)
     cast = np.array([[vote != ABSTAIN for vote in p] for p in patterns], np.float64)
     n_rules = bad.shape[1]
-    start = np.full((1 + n_rules, n_rules), 0.05)
-    rate = (n @ bad) / np.maximum(n @ cast, 1)
-    start[0] = np.where(rate > JUNK, np.minimum(rate, 0.9), 0.01)
+    start = np.full((1 + n_rules, n_rules), 0.02)
+    start[0] = mistakes(n, bad, cast, prior)
     start[np.arange(n_rules) + 1, np.arange(n_rules)] = 0.9
-    belief = np.full((1 + n_rules, 1), prior)
-    belief[0] += n.sum() / 2
     start_share = np.array([0.86] + [0.14 / n_rules] * n_rules)
+    shown = STARTED * n.sum() * start_share
+    belief = (prior + shown)[:, None]
     table, share = start, start_share
     for _ in range(rounds):
         likely = bad @ np.log(table).T + (cast - bad) @ np.log(1 - table).T + np.log(share)
@@ -223,16 +228,37 @@ def estimate(
         kind /= kind.sum(axis=1, keepdims=True)
         weight = kind * n[:, None]
         table = (weight.T @ bad + belief * start) / (weight.T @ cast + belief)
-        share = (weight.sum(axis=0) + prior * start_share) / (weight.sum() + prior)
+        share = weight.sum(axis=0) + shown + prior * start_share
+        share /= share.sum()
     return dict(zip(patterns, kind[:, 0].tolist()))
 
 
+def mistakes(n: np.ndarray, bad: np.ndarray, cast: np.ndarray, prior: float) -> np.ndarray:
+    """How often each rule is taken to call good documents bad, before EM.
+
+    A rule that errs does so whatever the others say: its rate of bad votes is the same
+    with another rule's bad vote as without. The rate is lowered by as much as the two
+    differ, either way: a kind of junk that only one rule finds shows without the others,
+    and one that several find shows with them. Where no other rule finds anything there
+    is nothing to compare with, and the rate is the least, 1 of 100.
+    """
+    others = bad.sum(axis=1, keepdims=True) > bad
+
+    def rate(rows: np.ndarray) -> np.ndarray:
+        weight = n[:, None] * rows
+        found, voted = (weight * bad).sum(axis=0), (weight * cast).sum(axis=0)
+        return (found + prior * 0.01) / (voted + prior)
+
+    alone, along = rate(~others), rate(others)
+    return np.clip(alone * np.minimum(alone / along, along / alone), 0.01, 0.9)
+
+
 def judged(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Base counts, ``base_failed``, ``votes``, ``probability`` of good, and ``kept``."""
     rows = land(counted(docs, id_col, text_col), "votes")
     spark = docs.sparkSession
     # At most 3 ** rules rows.
-    found = rows.groupBy("votes").count().collect()
+    found = rows.select("votes", "digest").distinct().groupBy("votes").count().collect()
     good = estimate([r["votes"] for r in found], [r["count"] for r in found]) if found else {}
     known = spark.createDataFrame(list(good.items()), "votes STRING, probability DOUBLE")
     base_failed = (F.col("n_words") < MIN_WORDS) | (

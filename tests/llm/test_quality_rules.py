@@ -50,6 +50,29 @@ def test_a_rule_that_votes_at_random_is_not_believed():
     assert posterior[bad + bad + good] < 0.5
 
 
+def test_copies_of_one_junk_text_cannot_move_a_rule(make_docs):
+    rng = random.Random(8)
+    clean = [(i, "\n".join(sentence(rng, 9) for _ in range(12))) for i in range(300)]
+    other = [(1000 + i, re.sub(r"(\w+)", r"\1%%%", t)) for i, t in clean[:20]]
+    copies = [(2000 + i, re.sub(r"(\w+)", r"\1%%%", clean[50][1])) for i in range(170)]
+    kept = {r.doc_id: r.kept for r in qr.judged(make_docs(clean + other + copies)).collect()}
+    assert np.mean([kept[i] for i, _ in clean]) > 0.98
+    assert not any(kept[i] for i, _ in other + copies)
+    kept = {r.doc_id: r.kept for r in qr.judged(make_docs(clean + copies)).collect()}
+    assert np.mean([kept[i] for i, _ in clean]) > 0.98
+    assert not any(kept[i] for i, _ in copies)
+
+
+def test_no_share_turns_the_verdict_round():
+    clean, junk, other = "g" * 8, "b" + "g" * 7, "gb" + "g" * 6
+    for n in (100, 3000, 100_000):
+        for percent in (1, 10, 25, 29, 31, 35, 50, 70):
+            for others in (0, n // 30):
+                found = n * percent // (100 - percent)
+                posterior = qr.estimate([clean, junk, other][: 3 if others else 2], [n, found, others][: 3 if others else 2])
+                assert posterior[clean] > 0.5 and posterior[junk] < 0.5, (n, percent, others)
+
+
 def test_documents_without_votes_keep_the_prior(make_docs):
     rows = qr.judged(make_docs([(1, None), (2, "")])).collect()
     assert [(r.base_failed, r.kept) for r in rows] == [(True, False)] * 2

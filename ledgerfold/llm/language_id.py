@@ -8,9 +8,11 @@ language has never seen costs nothing to leave. The statistics are frozen: a tex
 code length is the sum over its bytes, and the language with the shortest one wins.
 
 Scale: every training text is counted, whole; counts of distinct byte strings are
-combined per task before the shuffle. The tree that is sent to all tasks has at most
-``MAX_GRAMS`` leaves: the longest order is taken, up to ``ORDER``, whose strings are no
-more than that (order 1 has 65,536 a language at most). Scoring is a scan.
+combined per task before the shuffle. A tree of up to ``MAX_GRAMS`` leaves is sent to
+all tasks, and scoring is a scan. A larger one is a stored table of costs: the distinct
+strings of the texts are joined to it level by level, and the strings of each text,
+counted, to what was found, which gives the same code lengths. A shorter order is only
+taken where the caller asks for a tree of a certain size.
 
 Edge cases: texts that are null or have no letter are ``und`` with score 0, and so is
 every text if there is nothing to learn from; equal code lengths go to the language
@@ -25,7 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerfold.llm.common import as_bytes, ids_and_texts, packed, slices
@@ -172,21 +174,74 @@ class Model:
         return bits
 
 
+def _end(column: Column, length: int) -> Column:
+    """The last ``length + 1`` bytes of a string."""
+    return column.bitwiseAND(F.lit((1 << (8 * (length + 1))) - 1))
+
+
+def _shorter(counts: DataFrame, length: int) -> DataFrame:
+    """Counts of the last ``length + 1`` bytes."""
+    ends = counts.select("lang", _end(F.col("gram"), length).alias("gram"), "n")
+    return ends.groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+
+
+@dataclass
+class StoredModel:
+    """A tree too large to send. Per length of string, costs by gram and escapes by context,
+    each a map from the languages that have seen it."""
+
+    languages: list[str]
+    order: int
+    levels: list[tuple[DataFrame, DataFrame]]
+
+
+def stored(counts: DataFrame, order: int) -> StoredModel:
+    """The model of counts of strings of ``order + 1`` bytes, as tables."""
+
+    def by_lang(bits: Column) -> Column:
+        return F.map_from_entries(F.collect_list(F.struct("lang", bits)))
+
+    levels = []
+    for length in range(order + 1):
+        own = counts if length == order else _shorter(counts, length)
+        own = own.withColumn("context", F.shiftright("gram", 8))
+        ends = own.groupBy("lang", "context").agg(
+            F.sum("n").alias("times"), F.count("*").alias("kinds")
+        )
+        ends = land(ends, "contexts")
+        total = F.col("times") + F.col("kinds")
+        costs = own.join(ends, ["lang", "context"]).groupBy("gram")
+        costs = costs.agg(by_lang(F.log2(total / F.col("n"))).alias("cost"))
+        escapes = ends.groupBy("context").agg(
+            by_lang(F.log2(total / F.col("kinds"))).alias("escape")
+        )
+        levels.append((land(costs, "costs"), land(escapes, "escapes")))
+    languages = sorted(r["lang"] for r in counts.select("lang").distinct().collect())
+    return StoredModel(languages, order, levels)
+
+
 def train(
     docs: DataFrame,
     lang_col: str = "lang",
     id_col: str = "doc_id",
     text_col: str = "text",
     order: int = ORDER,
-    max_grams: int = MAX_GRAMS,
-) -> Model | None:
-    """The model of all documents that have a language; none if there are none."""
+    max_grams: int | None = None,
+    sent_grams: int = MAX_GRAMS,
+) -> Model | StoredModel | None:
+    """The model of all documents that have a language; none if there are none.
+
+    ``max_grams`` asks for the longest order, up to ``order``, with no more strings than
+    that. A tree of more than ``sent_grams`` is stored, not sent.
+    """
     counts = land(gram_counts(docs, order, lang_col, id_col, text_col), "grams")
-    while order > 1 and counts.count() > max_grams:
+    n_grams = counts.count()
+    while max_grams is not None and order > 1 and n_grams > max_grams:
         order -= 1
-        shorter = F.col("gram").bitwiseAND(F.lit((1 << (8 * (order + 1))) - 1)).alias("gram")
-        counts = counts.select("lang", shorter, "n").groupBy("lang", "gram")
-        counts = land(counts.agg(F.sum("n").alias("n")), "grams")
+        counts = land(_shorter(counts, order), "grams")
+        n_grams = counts.count()
+    if n_grams > sent_grams:
+        return stored(counts, order)
     found = counts.toArrow().combine_chunks()
     langs = found.column("lang").to_numpy(zero_copy_only=False)
     grams, n = (found.column(c).to_numpy() for c in ("gram", "n"))
@@ -197,18 +252,116 @@ def train(
     return Model(order, by_lang) if by_lang else None
 
 
+def _named(text: str | None) -> bool:
+    return any(map(str.isalpha, text or ""))
+
+
+def _string_costs(rows: DataFrame, model: StoredModel) -> DataFrame:
+    """``gram, bits``: what each distinct string of the texts costs in each language."""
+    order = model.order
+
+    def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            texts = [text.encode() for text in batch.column(1).to_pylist() if _named(text)]
+            if not texts:
+                continue
+            grams = np.unique(byte_strings(texts, order)[0])
+            yield pa.RecordBatch.from_arrays([pa.array(grams, pa.int64())], names=["gram"])
+
+    found = rows.mapInArrow(distinct, "gram LONG").distinct()
+    for length, (costs, escapes) in enumerate(model.levels):
+        end = _end(F.col("gram"), length)
+        found = found.withColumns({"end": end, "before": F.shiftright(end, 8)})
+        costs = costs.select(F.col("gram").alias("end"), F.col("cost").alias(f"cost_{length}"))
+        escapes = escapes.select(
+            F.col("context").alias("before"), F.col("escape").alias(f"escape_{length}")
+        )
+        found = found.join(costs, "end", "left").join(escapes, "before", "left")
+        found = found.drop("end", "before")
+
+    def bits(lang: Column) -> Column:
+        out = F.lit(8.0)
+        for length in range(order + 1):
+            left = F.coalesce(F.try_element_at(f"escape_{length}", lang), F.lit(0.0))
+            out = F.coalesce(F.try_element_at(f"cost_{length}", lang), out + left)
+        return out
+
+    languages = F.array(*map(F.lit, model.languages))
+    return found.select("gram", F.transform(languages, bits).alias("bits"))
+
+
+def _identified_by_tables(rows: DataFrame, model: StoredModel) -> DataFrame:
+    """``identify`` by joins: no task holds the tree."""
+    order = model.order
+
+    def counting(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 2):
+            texts = batch.column(2).to_pylist()
+            which = np.flatnonzero([_named(text) for text in texts])
+            if not len(which):
+                continue
+            numbers, row = byte_strings([texts[i].encode() for i in which], order)
+            pairs = row.astype(np.uint64) << np.uint64(32) | numbers
+            pairs, n = np.unique(pairs, return_counts=True)
+            for at in range(0, len(pairs), CHUNK):
+                part = pairs[at : at + CHUNK]
+                of = pa.array(which[(part >> np.uint64(32)).astype(np.int64)])
+                grams = (part & np.uint64(0xFFFFFFFF)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column(0).take(of), batch.column(1).take(of)]
+                    + [pa.array(grams), pa.array(n[at : at + CHUNK], pa.int64())],
+                    names=["place", "doc_id", "gram", "n"],
+                )
+
+    def letterless(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            named = [_named(text) for text in batch.column(1).to_pylist()]
+            yield batch.filter(pa.array(np.logical_not(named))).select(["doc_id"])
+
+    # Ids may repeat or be null: a row is known by its place in the scan.
+    placed = rows.select(F.monotonically_increasing_id().alias("place"), "doc_id", "text")
+    counted = placed.mapInArrow(counting, "place LONG, doc_id LONG, gram LONG, n LONG")
+    judged = counted.join(_string_costs(rows, model), "gram")
+    names = [f"bits_{i}" for i in range(len(model.languages))]
+    sums = judged.groupBy("place", "doc_id").agg(
+        *[F.sum(F.col("n") * F.col("bits")[i]).alias(name) for i, name in enumerate(names)]
+    )
+    bits = sums.select("doc_id", F.array(*names).alias("bits"))
+    bits = bits.withColumn("least", F.array_min("bits"))
+    chances = F.transform(
+        "bits", lambda b: F.pow(F.lit(2.0), F.greatest(F.col("least") - b, F.lit(-1000.0)))
+    )
+    languages = F.array(*map(F.lit, model.languages))
+    named = bits.select(
+        "doc_id",
+        F.element_at(languages, F.array_position("bits", F.col("least")).cast("int")).alias(
+            "lang_pred"
+        ),
+        (1 / F.aggregate(chances, F.lit(0.0), lambda a, b: a + b)).alias("score"),
+    )
+    unnamed = rows.mapInArrow(letterless, "doc_id LONG").select(
+        "doc_id", F.lit(_LETTERLESS).alias("lang_pred"), F.lit(0.0).alias("score")
+    )
+    return named.unionByName(unnamed)
+
+
 def identify(
-    docs: DataFrame, model: Model | None, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    model: Model | StoredModel | None,
+    id_col: str = "doc_id",
+    text_col: str = "text",
 ) -> DataFrame:
     """``doc_id, lang_pred, score``; the score is the language's posterior probability."""
     rows = ids_and_texts(docs, id_col, text_col)
+    if isinstance(model, StoredModel):
+        return _identified_by_tables(rows, model)
     sent = rows.sparkSession.sparkContext.broadcast(model)
 
     def identified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = sent.value
         for batch in slices(batches):
             texts = batch.column(1).to_pylist()
-            named = [bool(model) and any(map(str.isalpha, text or "")) for text in texts]
+            named = [bool(model) and _named(text) for text in texts]
             lang, score = [_LETTERLESS] * len(texts), np.zeros(len(texts))
             which = np.flatnonzero(named)
             if len(which):

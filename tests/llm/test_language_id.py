@@ -82,6 +82,33 @@ def test_order_falls_where_the_tree_would_be_too_large(spark):
     assert li.train(df, max_grams=100).order == 1
 
 
+def test_a_tree_too_large_to_send_is_stored_and_gives_the_same(spark):
+    rows = corpus(spark)
+    schema = "doc_id LONG, text STRING, lang STRING, gram STRING"
+    odd = [(1000, None, "en", ""), (1001, "12 34 !", "en", ""), (1002, "", None, ""), (None, "the", None, "")]
+    odd += [(None, "eau \u4e2d\u6587 zq", None, ""), (1003, "q\x00x " * 3000, None, "")]
+    docs = spark.createDataFrame(rows[100:] + rows[140:] + odd, schema)
+    training = spark.createDataFrame(rows[:100], schema)
+    sent, stored = li.train(training), li.train(training, sent_grams=100)
+    assert isinstance(stored, li.StoredModel) and stored.order == sent.order == li.ORDER
+    want, got = (sorted(map(tuple, li.identify(docs, m).collect()), key=repr) for m in (sent, stored))
+    assert [r[:2] for r in got] == [r[:2] for r in want]
+    assert np.allclose([r[2] for r in got], [r[2] for r in want])
+    assert li.identify(docs.limit(0), stored).collect() == []
+
+
+def test_code_lengths_of_tables_are_exact(spark):
+    schema = "doc_id LONG, text STRING, lang STRING"
+    rows = [(i, t, lang) for i, (lang, ts) in enumerate(TRAINED.items()) for t in ts]
+    stored = li.train(spark.createDataFrame(rows, schema), sent_grams=0)
+    text = "xyz abba q \u4e2d"
+    numbers, n = counts([text], li.ORDER)
+    costs = li._string_costs(spark.createDataFrame([(1, text)], "doc_id LONG, text STRING"), stored)
+    bits = {r.gram: r.bits for r in costs.collect()}
+    got = sum(np.array(bits[g]) * k for g, k in zip(numbers.tolist(), n.tolist()))
+    assert np.allclose(got, [plain_bits(TRAINED[lang], li.ORDER, text) for lang in ("aa", "bb")])
+
+
 def test_nothing_to_learn_and_empty_table(spark, make_docs):
     schema = "doc_id LONG, text STRING, lang STRING"
     assert li.train(spark.createDataFrame([(1, "abc", None), (2, None, "en")], schema)) is None

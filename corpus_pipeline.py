@@ -36,6 +36,7 @@ MIX = mixing.Mix(
     languages={"en": 5, "de": 2, "fr": 2, "es": 1},
     share=(4, 5),
     max_epochs=1,
+    split_ties=True,
 )
 
 

@@ -11,17 +11,19 @@ A leaf then takes whole epochs of its documents and of one more epoch a prefix,
 an order seeded by epoch, whose tokens stay within the rest of the budget.
 
 Scale: per leaf only sums travel. The tables of leaves are stored, and by their size
-Spark sends them to all tasks or joins them by a shuffle that it can split. The order of an epoch is a digest; its first
-digits are a bucket. Sums per (leaf, bucket) find the bucket in which a leaf's
-prefix ends; only documents of that bucket are put in order by a window. No task
-ever holds a leaf, however large. The tables of leaves and buckets have at most
+Spark sends them to all tasks or joins them by a shuffle that it can split. The order
+of an epoch is a digest; its first digits are a bucket. Sums per (leaf, bucket) find the
+bucket in which a leaf's prefix ends, and sums per place in that bucket the place: a
+window orders one row without text per place, however many rows share it. No task ever
+holds a leaf, however large. The tables of leaves and buckets have at most
 (leaves x 16^digits) rows.
 
 Edge cases: null language or source is a child named ``""``; an unlisted name has
 weight 1, a name of weight 0 takes nothing; null or empty texts have 0 tokens and
 come with the prefix they stand in; a leaf without a budget gives nothing; an empty
-table gives an empty result. Repeated rows are separate documents with the same
-place in the order: they are taken or left together. What integer division leaves of
+table gives an empty result. Rows that share an id, or have none, are separate documents
+with the same place in the order: they are taken or left together, as in the SQL of
+``op3_mixing``; with ``split_ties`` only those of one text are. What integer division leaves of
 a budget, less than a token per child, is not handed out.
 """
 
@@ -52,6 +54,8 @@ class Mix:
     max_epochs: int = 1
     seed: int = 42
     bucket_digits: int = 3
+    #: Rows without an id have a place by their text's digest, those of one id come in its order.
+    split_ties: bool = False
 
 
 def _by_name(name: Column, values: Mapping[str, object], default: object) -> Column:
@@ -163,7 +167,13 @@ def mix_documents(
     budgets = land(budgets, "leaf_budgets")
 
     # Documents with the place they have in the epoch that their leaf takes in part.
-    place = F.md5(F.concat_ws("-", F.lit(mix.seed), "whole", "doc_id").cast("binary"))
+    def digest(of: Column) -> Column:
+        return F.md5(F.concat_ws("-", F.lit(mix.seed), "whole", of).cast("binary"))
+
+    place = digest(F.col("doc_id"))
+    if mix.split_ties:
+        by_text = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
+        place = F.concat(F.when(F.isnull("doc_id"), digest(by_text)).otherwise(place), by_text)
     placed = (
         rows.join(budgets, PATH)
         .withColumn("place", place)
@@ -177,22 +187,30 @@ def mix_documents(
     ends = running.groupBy(*PATH).agg(
         F.min(over).alias("last_bucket"), F.coalesce(F.sum(before), F.lit(0)).alias("before")
     )
-    marked = placed.join(land(ends, "prefix_ends"), PATH)
+    ends = land(ends, "prefix_ends")
+
+    # The last bucket's places in order, one small row each; the texts stay where they are.
+    in_last = placed.join(ends, PATH).where(F.col("bucket") == F.col("last_bucket"))
+    places = in_last.groupBy(*PATH, "prefix", "before", "place").agg(
+        F.sum("n_tokens").alias("tokens")
+    )
+    in_order = Window.partitionBy(*PATH).orderBy("place")
+    until = F.col("before") + F.sum("tokens").over(in_order)
+    fits = places.withColumn("until", until).where("until <= prefix")
+    cuts = fits.groupBy(*PATH).agg(F.max("place").alias("last_place"))
+    cuts = ends.join(cuts, PATH, "left").drop("before")
+    marked = placed.join(land(cuts, "prefix_cuts"), PATH)
 
     def epochs(in_prefix: Column) -> Column:
         last = F.col("whole") - F.when(in_prefix, 0).otherwise(1)
         return F.explode(F.when(last >= 0, F.sequence(F.lit(0), last)))
 
-    columns = ["doc_id", "text", "rest", *PATH, "n_tokens"]
-    inside = F.col("last_bucket").isNull() | (F.col("bucket") < F.col("last_bucket"))
-    at_end = F.col("bucket") == F.col("last_bucket")
-    whole_buckets = marked.where(~F.coalesce(at_end, F.lit(False)))
-    in_order = Window.partitionBy(*PATH).orderBy("place")
-    last_buckets = marked.where(at_end).withColumn(
-        "until", F.col("before") + F.sum("n_tokens").over(in_order)
+    at_end = (F.col("bucket") == F.col("last_bucket")) & (F.col("place") <= F.col("last_place"))
+    inside = (
+        F.col("last_bucket").isNull() | (F.col("bucket") < F.col("last_bucket")) | at_end
     )
-    return whole_buckets.select(*columns, epochs(inside).alias("epoch")).unionByName(
-        last_buckets.select(*columns, epochs(F.col("until") <= F.col("prefix")).alias("epoch"))
+    return marked.select(
+        "doc_id", "text", "rest", *PATH, "n_tokens", epochs(inside).alias("epoch")
     )
 
 

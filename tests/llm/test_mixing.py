@@ -110,3 +110,16 @@ def test_odd_rows_and_empty_table(make_docs, odd_rows):
     with_words = [i for i, t in odd_rows if (t or "").split()]
     assert sorted((r.doc_id for r in chosen if r.n_tokens), key=repr) == sorted(with_words, key=repr)
     assert mixing.mix_documents(make_docs([]), MIX).collect() == []
+
+
+def test_rows_without_an_id_are_chosen_one_by_one(spark):
+    schema = "doc_id LONG, text STRING, lang STRING, source STRING"
+    rows = [(None, f"w{i} " * 10, "en", "s0") for i in range(100)]
+    mix = mixing.Mix(domains={"a": (1, ("s0",))}, share=(1, 2), split_ties=True)
+    chosen = mixing.mix_documents(spark.createDataFrame(rows, schema), mix).collect()
+    assert len(chosen) == len({r.text for r in chosen}) == 50
+
+
+def test_no_window_orders_texts(spark, mixed_docs):
+    plan = mixing.mix_documents(mixed_docs, MIX)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan

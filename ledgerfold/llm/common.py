@@ -114,3 +114,26 @@ def sample_by_hash(labels: DataFrame, id_col: str, label_col: str, size: int) ->
         return known
     place = F.pmod(F.xxhash64("doc_id", F.lit("sample")), F.lit(1 << 40))
     return known.where(place < (1 << 40) * size // n)
+
+
+#: A key that more than one in so many rows ask for is a heavy one; there are fewer than this.
+HEAVY = 20_000
+
+
+def look_up(
+    rows: DataFrame, table: DataFrame, keys: list[str], weight: str, heavy: int = HEAVY
+) -> DataFrame:
+    """``rows`` with the columns of ``table``, which has one row per key and, as
+    ``weight``, the number of rows that ask for it.
+
+    Keys with more than one in ``heavy`` of all rows are fewer than ``heavy``: they are
+    broadcast. For the others the rows are shuffled by key, and no key has more than
+    that share. Rows without a partner are left out; ``weight`` is not given back.
+    ``table`` should be a stored one, as it is read three times.
+    """
+    total = table.agg(F.sum(weight)).first()[0] or 0
+    is_heavy = F.col(weight) > F.lit(total // heavy + 1)
+    hot = F.broadcast(table.where(is_heavy).drop(weight))
+    by_hot = rows.join(hot, keys)
+    others = rows.join(F.broadcast(hot.select(*keys)), keys, "left_anti")
+    return by_hot.unionByName(others.join(table.where(~is_heavy).drop(weight), keys))

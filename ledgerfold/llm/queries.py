@@ -18,6 +18,7 @@ from ledgerfold.llm import (
     token_counts,
     topk,
     toxicity,
+    url_filters,
 )
 from ledgerfold.llm.common import fold
 from ledgerfold.session import fresh_path
@@ -141,6 +142,23 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
+#: Fixed values of the query.
+URL_RULES = (
+    ("block", "net/"),
+    ("allow", "example.net/en/"),
+    ("block", "example.com/de/"),
+    ("allow", "org/fr/"),
+)
+
+
+@query
+def op12_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page's URL allowed or blocked, by a rule or else by what the rules' URLs show."""
+    judged = url_filters.judge_rows(table(spark, sf_dir, "pages"), URL_RULES)
+    columns = ["host", "path", "rule", "verdict", "score", "score_limit"]
+    return judged.select(F.col("doc_id").alias("page_id"), *columns)
+
+
 SQL: dict[str, str] = {}
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerfold.llm import (
+    filter_audit,
     language_id,
     mixing,
     packing,
@@ -159,6 +160,24 @@ def op12_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select(F.col("doc_id").alias("page_id"), *columns)
 
 
+#: Fixed values of the query and its SQL: what fails, of a text and its words.
+FILTERS: dict[str, filter_audit.Filter] = {
+    "A": lambda text, words: F.size(words) < 200,
+    "B": lambda text, words: F.size(F.array_distinct(words)) * 100 < F.size(words) * 50,
+    "C": lambda text, words: F.regexp_count(text, F.lit("[A-Z]")) * 100 > F.length(text) * 2,
+    "D": lambda text, words: F.rlike(text, F.lit("[#$%&*|]")),
+}
+
+
+@query
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each of five filters removes at each step of all their orders, per source."""
+    counters = filter_audit.audit(
+        spark, f"{sf_dir}/documents.parquet", table(spark, sf_dir, "labels"), FILTERS
+    )
+    return filter_audit.orders_report(counters, "".join(FILTERS) + "E")
+
+
 SQL: dict[str, str] = {}
 
 
@@ -250,3 +269,57 @@ FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, ve
       FROM scored)
 WHERE place <= 5
 """
+
+SQL["op13_filter_audit"] = """
+WITH texts AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words
+  FROM documents
+), failing AS (
+  SELECT doc_id, part,
+         CASE WHEN len(words) < 200 THEN 'A' ELSE '' END
+         || CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 'B' ELSE '' END
+         || CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 2 * length(text)
+                 THEN 'C' ELSE '' END
+         || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END
+         || CASE WHEN min(doc_id) OVER (PARTITION BY text) < doc_id THEN 'E' ELSE '' END AS fails
+  FROM texts
+), flags AS (
+  SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good,
+         max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+  FROM labels GROUP BY doc_id
+), counters AS (
+  SELECT part, fails, count(*) AS n, coalesce(sum(good), 0) AS n_good,
+         coalesce(sum(toxic), 0) AS n_toxic
+  FROM failing LEFT JOIN flags USING (doc_id) GROUP BY part, fails
+), letters AS (
+  SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS letter
+), orders AS (
+  SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order
+  FROM letters a, letters b, letters c, letters d, letters e
+  WHERE len(list_distinct([a.letter, b.letter, c.letter, d.letter, e.letter])) = 5
+), steps AS (
+  SELECT filter_order, CAST(step AS INTEGER) AS step, left(filter_order, step - 1) AS before,
+         substr(filter_order, step, 1) AS letter
+  FROM orders, range(1, 6) AS t(step)
+), judged AS (
+  SELECT part, filter_order, step, letter, n, n_good, n_toxic, contains(fails, letter) AS fails_it,
+         translate(fails, before, '') <> fails AS gone,
+         fails = letter AS only_it
+  FROM counters, steps
+), summed AS (
+  SELECT part, filter_order, step, letter,
+         coalesce(sum(n) FILTER (NOT gone AND NOT fails_it), 0) AS kept,
+         coalesce(sum(n) FILTER (NOT gone AND fails_it), 0) AS removed,
+         coalesce(sum(n) FILTER (gone AND fails_it), 0) AS redundant,
+         coalesce(sum(n) FILTER (only_it), 0) AS unique_fails,
+         coalesce(sum(n_good) FILTER (NOT gone AND fails_it), 0) AS good_lost,
+         coalesce(sum(n_toxic) FILTER (NOT gone AND fails_it), 0) AS toxic_lost
+  FROM judged GROUP BY part, filter_order, step, letter
+)
+SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed,
+       CAST(redundant AS BIGINT) AS redundant, CAST(unique_fails AS BIGINT) AS unique_fails,
+       CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+       CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
+FROM summed
+"""

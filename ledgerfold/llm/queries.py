@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerfold.llm import (
+    conversation_trie,
     filter_audit,
     language_id,
     mixing,
@@ -143,6 +144,14 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
 
 
+@query
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The tree of openings of all conversations, some openings put in for others."""
+    conversations = table(spark, sf_dir, "conversations")
+    turns, sizes = conversation_trie.ordered_turns(conversations)
+    return conversation_trie.prefix_trie(conversation_trie.grafted(turns, sizes, 20, 4))
+
+
 #: Fixed values of the query.
 URL_RULES = (
     ("block", "net/"),
@@ -323,3 +332,57 @@ SELECT part, filter_order, step, CAST(kept AS BIGINT) AS kept, CAST(removed AS B
        CAST(sum(removed) OVER (PARTITION BY part, letter) AS BIGINT) AS shapley
 FROM summed
 """
+
+SQL["op11_conversation_trie"] = """
+WITH turns AS (
+  SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         md5(concat(length(coalesce(role, '')), ':', role, text)) AS item,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''),
+           md5(concat(length(coalesce(role, '')), ':', role, text))) AS k
+  FROM conversations WHERE conv_id IS NOT NULL
+), convs AS (
+  -- CRC-32 of the decimal id, bit by bit: each byte is added at the first of its eight steps.
+  SELECT DISTINCT conv_id, conv_id - conv_id % 20 AS base, xor(list_reduce(
+           list_concat([CAST(4294967295 AS BIGINT)], flatten(list_transform(
+             string_split(CAST(conv_id AS VARCHAR), ''),
+             lambda c: [CAST(ascii(c) AS BIGINT), 0, 0, 0, 0, 0, 0, 0]))),
+           lambda crc, b: xor(xor(crc, b) >> 1, 3988292384 * (xor(crc, b) & 1))),
+         CAST(4294967295 AS BIGINT)) % 4 AS h
+  FROM turns
+), rebuilt AS (
+  SELECT convs.conv_id, k, item, text FROM convs JOIN turns ON turns.conv_id = base AND k <= h
+  UNION ALL
+  SELECT convs.conv_id, k, item, text FROM convs JOIN turns USING (conv_id) WHERE k > h
+), members AS (
+  SELECT conv_id, CAST(row_number() OVER opening AS BIGINT) AS depth,
+         string_agg(item, '') OVER opening AS node,
+         CAST(len(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+')) AS BIGINT) AS words
+  FROM rebuilt
+  WINDOW opening AS (PARTITION BY conv_id ORDER BY k ROWS UNBOUNDED PRECEDING)
+  UNION ALL SELECT conv_id, 0, '', 0 FROM convs
+), ending AS (
+  SELECT node, sha256(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)) AS ends
+  FROM (SELECT conv_id, max_by(node, depth) AS node FROM members GROUP BY conv_id) GROUP BY node
+), nodes AS (
+  SELECT node, depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+         (count(*) - 1) * any_value(words) AS saved
+  FROM members GROUP BY node, depth
+), edges AS (
+  SELECT nodes.node, members.node AS parent
+  FROM nodes JOIN members ON members.conv_id = nodes.conv_id AND members.depth = nodes.depth - 1
+), children AS (
+  SELECT parent AS node, count(*) AS n_children FROM edges GROUP BY parent
+), totals AS (
+  SELECT members.node, CAST(sum(saved) AS BIGINT) AS saved_tokens,
+         count(*) FILTER (n_children IS NULL) AS n_leaves
+  FROM nodes LEFT JOIN children USING (node)
+  JOIN members ON members.conv_id = nodes.conv_id AND members.depth <= nodes.depth
+  GROUP BY members.node
+)
+SELECT nodes.conv_id, nodes.depth, above.conv_id AS parent_conv_id, nodes.n_convs,
+       coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens,
+       coalesce(ends, sha256('')) AS ends_sha256
+FROM nodes LEFT JOIN children USING (node) JOIN totals USING (node)
+LEFT JOIN ending USING (node) LEFT JOIN edges USING (node)
+LEFT JOIN nodes above ON above.node = edges.parent
+"""

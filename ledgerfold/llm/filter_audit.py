@@ -3,19 +3,23 @@
 A document's mask has a bit per filter that it fails. All but one filter look at the
 text alone; the last one fails a document whose text an earlier one (by id) has too. The
 files of a table are read as a stream, in micro-batches until none is left. A text is a
-key of the stream, and its state is the smallest id seen so far. Every document is
-counted in its part as a copy; the one with the smallest id is counted back as none, and
-when a smaller one comes in a later batch, that earlier count is retracted. The counts
-of a batch are written under its number, so a batch that is run again replaces its own.
-Called again with the same ``store``, only files that have come since are read.
-
-How it scales. Texts stay in their task: a digest, the mask and the labels go on. A
-task keeps one candidate for each text of an Arrow batch, so of a text that a third of
-all documents share, one row in thousands reaches its state. States are in RocksDB, on
-disk, and saved in the shared folder: one small row per text. The counters
-are a row per part, mask and labels. From their sums per set of filters all orders
-follow, part by part, without reading documents again. Each micro-batch reads the
-labels once; ``rounds`` says into how many the files are divided.
+key, and its state is the smallest id seen so far, with the rows that have it. Every
+document is counted in its part as a copy; the rows of the smallest id are counted back
+as none, and when a smaller one comes in a later batch, the earlier ones' counts are
+retracted. Called again with the same ``store``, only files that have come since are read.
+
+States and counters are tables in the shared folder, to which a batch adds what it has
+changed, under its number: a batch that is run again replaces its own and reads those
+before it only. (Spark's own state store, by ``applyInPandasWithState``, gave the same
+results at five times the CPU time, most of it the call per text.)
+
+How it scales. Texts stay in the task that reads them: a digest, the mask and the part go
+on, and labels join these. The smallest id of a text is combined before the shuffle, so
+a text that a third of all documents share is one row per task; what is joined by id has
+no hot key. The state is one small row per text; a batch reads the states once and
+changes those of its own texts. From the counters' sums per set of filters all orders
+follow, part by part, without reading documents again. ``rounds`` says into how many
+batches the files are divided; each reads labels and states once.
 
 Rows. A null text is empty and a null part is the empty one. Rows without an id are
 counted, are no one's copy, and make no one a copy; rows that repeat the smallest id of
@@ -26,111 +30,26 @@ A table without rows gives no rows.
 
 from __future__ import annotations
 
-import json
-import struct
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Mapping
 from itertools import permutations
 from math import factorial
 
-import pandas as pd
-import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerfold.llm.common import WORD, importable
+from ledgerfold.llm.common import WORD
 from ledgerfold.session import fresh_path, land
 
 #: Whether a text fails: of the text and its words, in order.
 Filter = Callable[[Column, Column], Column]
 
+#: What a document is counted by.
+KIND = ["part", "mask", "good", "toxic"]
+
 COUNTERS = "part STRING, mask INT, good INT, toxic INT, n LONG"
 
-#: ``key`` is a text's digest; rows of counts only have one that no text has.
-CANDIDATES = f"key BINARY, doc_id LONG, {COUNTERS}"
-
-STATE = "doc_id LONG, mask INT, good INT, toxic INT, parts STRING"
-
-#: RocksDB keeps states out of memory, and its memory within one bound per executor.
-STORE = {
-    "spark.sql.streaming.stateStore.providerClass": (
-        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-    ),
-    "spark.sql.streaming.stateStore.rocksdb.boundedMemoryUsage": "true",
-    "spark.sql.streaming.stateStore.rocksdb.maxMemoryUsageMB": "200",
-    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-    # One batch is counted by one job per stage; there is nothing to report on besides.
-    "spark.sql.streaming.numRecentProgressUpdates": "1",
-}
-
-
-def _candidates(copy_bit: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["key", "doc_id", "part", "mask", "good", "toxic", "n"]
-        schema = pa.schema(
-            zip(
-                names,
-                (pa.binary(), pa.int64(), pa.string(), *[pa.int32()] * 3, pa.int64()),
-            )
-        )
-        task = struct.pack(">q", TaskContext.get().partitionId())
-        for batch in batches:
-            rows = batch.to_pandas()
-            if rows.empty:
-                continue
-            known = rows["doc_id"].notna()
-            # Every document with an id counts as a copy until it proves to be the first.
-            counted = rows.assign(mask=rows["mask"] | (known * copy_bit).astype("int32"))
-            counted = counted.groupby(["part", "mask", "good", "toxic"]).size().reset_index(name="n")
-            counted = counted.assign(key=task, doc_id=None)
-            some = rows[known]
-            first = some[some["doc_id"] == some.groupby("digest")["doc_id"].transform("min")]
-            first = first.groupby(["digest", "doc_id", "part", "mask", "good", "toxic"], as_index=False)
-            first = first.size().rename(columns={"digest": "key", "size": "n"})
-            for frame in (counted, first):
-                yield pa.RecordBatch.from_pandas(frame[names], schema, preserve_index=False)
-
-    return combine
-
-
-def _settle(copy_bit: int):
-    """The state of a text: who is first, with the parts its rows are in."""
-
-    def settle(key, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
-        if len(key[0]) == 8:  # counts of a task
-            yield from (frame[["part", "mask", "good", "toxic", "n"]] for frame in frames)
-            return
-        before = state.get if state.exists else None
-        least = before[0] if before else None
-        labels = before[1:4] if before else None
-        parts: dict[str, int] = {}
-        for frame in frames:
-            columns = [frame[c].tolist() for c in ("doc_id", "part", "mask", "good", "toxic", "n")]
-            for doc_id, part, mask, good, toxic, n in zip(*columns):
-                if least is None or doc_id < least:
-                    least, labels, parts = doc_id, (mask, good, toxic), {}
-                if doc_id == least:
-                    parts[part] = parts.get(part, 0) + n
-        if not parts:
-            return
-        out = []
-
-        def move(mask: int, good: int, toxic: int, counts: dict[str, int], sign: int) -> None:
-            for part, n in counts.items():
-                out.append((part, mask, good, toxic, sign * n))
-                out.append((part, mask | copy_bit, good, toxic, -sign * n))
-
-        move(*labels, parts, 1)
-        if before:
-            old = json.loads(before[4])
-            if before[0] == least:
-                parts = {p: parts.get(p, 0) + old.get(p, 0) for p in {**old, **parts}}
-            else:
-                move(*before[1:4], old, -1)
-        state.update((int(least), *map(int, labels), json.dumps(parts)))
-        yield pd.DataFrame(out, columns=["part", "mask", "good", "toxic", "n"])
-
-    return settle
+#: The rows that made ``doc_id`` the smallest of a text, or were added to it.
+STATE = f"digest BINARY, doc_id LONG, {COUNTERS}"
 
 
 def labelled(labels: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -157,6 +76,40 @@ def masked(
     return rows.select("doc_id", "part", digest.alias("digest"), mask.alias("mask"))
 
 
+def _count(spark: SparkSession, rows: DataFrame, number: int, copy_bit: int, store: str) -> None:
+    """Takes a batch's ``rows`` into the states and the counters of ``store``."""
+    as_copy = F.when(F.col("doc_id").isNotNull(), F.col("mask").bitwiseOR(copy_bit))
+    counted = rows.withColumn("mask", F.coalesce(as_copy, "mask"))
+    counted = counted.groupBy(*KIND).agg(F.count(F.lit(1)).alias("n"))
+
+    states = spark.read.schema(f"{STATE}, batch LONG").parquet(f"{store}/states")
+    states = states.where(F.col("batch") < number).drop("batch")
+    smallest = F.min("doc_id").alias("new_id")
+    found = rows.where("doc_id IS NOT NULL").groupBy("digest").agg(smallest)
+    before = states.groupBy("digest").agg(F.min("doc_id").alias("old_id"))
+    firsts = found.join(before, "digest", "left").where("old_id IS NULL OR new_id <= old_id")
+    firsts = land(firsts, "firsts")
+
+    new = rows.join(firsts.select("digest", F.col("new_id").alias("doc_id")), ["digest", "doc_id"])
+    new = new.groupBy("digest", "doc_id", *KIND).agg(F.count(F.lit(1)).alias("n"))
+    new.select("digest", "doc_id", *KIND, "n").write.mode("overwrite").parquet(
+        f"{store}/states/batch={number}"
+    )
+    new = spark.read.schema(STATE).parquet(f"{store}/states/batch={number}")
+    beaten = firsts.where("new_id < old_id").select("digest", F.col("old_id").alias("doc_id"))
+    old = states.join(beaten, ["digest", "doc_id"])
+    changes = [counted]
+    for moved, sign in ((new, 1), (old, -1)):
+        changes.append(moved.select(*KIND, (F.col("n") * sign).alias("n")))
+        is_copy = F.col("mask").bitwiseOR(copy_bit)
+        changes.append(moved.withColumn("mask", is_copy).select(*KIND, (F.col("n") * -sign).alias("n")))
+    sums = changes[0]
+    for change in changes[1:]:
+        sums = sums.unionByName(change)
+    sums = sums.groupBy(*KIND).agg(F.sum("n").alias("n")).where("n <> 0")
+    sums.write.mode("overwrite").parquet(f"{store}/counters/batch={number}")
+
+
 def audit(
     spark: SparkSession,
     path: str,
@@ -172,57 +125,44 @@ def audit(
     failed filters (bit 0 is the first of ``filters``, the copies' bit the highest) and
     labels.
 
-    ``store`` is the folder of the stream's states and counters. Where it is given it
-    stays, and a later call goes on from it with the files that are new.
+    ``store`` is the folder of the stream's progress, states and counters. Where it is
+    given it stays, and a later call goes on from it with the files that are new.
     """
-    importable(spark)
     copy_bit = 1 << len(filters)
-    store = store or fresh_path(spark, "filter_audit")
-    counters, path = f"{store}/counters", path.rstrip("/")
-    spark.createDataFrame([], COUNTERS).write.mode("overwrite").parquet(f"{counters}/batch=-1")
+    store, path = store or fresh_path(spark, "filter_audit"), path.rstrip("/")
+    for kind, schema in (("states", STATE), ("counters", COUNTERS)):
+        none = spark.createDataFrame([], schema)
+        none.write.mode("overwrite").parquet(f"{store}/{kind}/batch=-1")
 
     table = spark.read.parquet(path)
     flags = land(labelled(labels), "label_flags")
-    session = spark.newSession()
-    partitions = spark.conf.get("spark.sql.shuffle.partitions")
-    for name, value in {**STORE, "spark.sql.shuffle.partitions": partitions}.items():
-        session.conf.set(name, value)
-
     files = len(table.inputFiles())
-    reader = session.readStream.schema(table.schema)
+    reader = spark.readStream.schema(table.schema)
     reader = reader.option("maxFilesPerTrigger", max(1, -(-files // rounds)))
     # As a pattern, as a stream takes a plain path for a folder's; a table may be one file.
     docs = reader.parquet(f"{path[:-1]}[{path[-1]}]")
-    static = session.read.schema(flags.schema).parquet(*_folders(flags))
-    known = masked(docs, filters, id_col, text_col, part_col).join(static, "doc_id", "left")
-    zero = F.lit(0)
-    known = known.withColumns({c: F.coalesce(c, zero) for c in ("good", "toxic")})
-    first = known.mapInArrow(_candidates(copy_bit), CANDIDATES)
-    changes = first.groupBy("key").applyInPandasWithState(
-        _settle(copy_bit), COUNTERS, STATE, "update", "NoTimeout"
-    )
 
     def count(batch: DataFrame, number: int) -> None:
-        sums = batch.groupBy("part", "mask", "good", "toxic").agg(F.sum("n").alias("n"))
-        sums.write.mode("overwrite").parquet(f"{counters}/batch={number}")
+        judged = fresh_path(spark, "masks")
+        batch.write.parquet(judged)
+        rows = spark.read.schema(batch.schema).parquet(judged).join(flags, "doc_id", "left")
+        zero = F.lit(0)
+        rows = rows.withColumns({c: F.coalesce(c, zero) for c in ("good", "toxic")})
+        _count(spark, rows, number, copy_bit, store)
 
     query = (
-        changes.writeStream.outputMode("update")
-        .option("checkpointLocation", f"{store}/checkpoint")
+        masked(docs, filters, id_col, text_col, part_col)
+        .writeStream.option("checkpointLocation", f"{store}/checkpoint")
         .trigger(availableNow=True)
         .foreachBatch(count)
         .start()
     )
     query.awaitTermination()
-    kept = spark.read.schema(COUNTERS).parquet(counters)
-    sums = kept.groupBy("part", "mask", "good", "toxic").agg(F.sum("n").alias("n"))
+    kept = spark.read.schema(COUNTERS).parquet(f"{store}/counters")
+    sums = kept.groupBy(*KIND).agg(F.sum("n").alias("n"))
     return sums.where("n <> 0")
 
 
-def _folders(stored: DataFrame) -> list[str]:
-    return sorted({file.rpartition("/")[0] for file in stored.inputFiles()})
-
-
 def orders_report(counters: DataFrame, letters: str) -> DataFrame:
     """What each filter does at its step of each order: ``part, filter_order, step, kept,
     removed, redundant, unique_fails, good_lost, toxic_lost, shapley``.

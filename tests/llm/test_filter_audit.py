@@ -1,0 +1,134 @@
+"""The audit of filters against one made by hand, in one run and file by file."""
+
+import random
+import re
+from collections import Counter
+from itertools import permutations
+
+import pytest
+from llm_helpers import WORD
+
+from ledgerfold.llm.filter_audit import audit, orders_report
+from ledgerfold.llm.queries import FILTERS
+
+SCHEMA = "doc_id LONG, text STRING, source STRING, words INT, digest STRING, n INT, `a b.c` INT"
+
+
+def write(spark, path, rows, files=1):
+    docs = spark.createDataFrame([(*r, 1, "d", 2, 3) for r in rows], SCHEMA)
+    docs.repartition(files).write.mode("append").parquet(path)
+
+
+def labels(spark, rows):
+    return spark.createDataFrame(rows, "doc_id LONG, quality INT, toxic INT")
+
+
+def fails(rows):
+    first = {}
+    for i, text, _ in rows:
+        if i is not None:
+            first[text or ""] = min(i, first.get(text or "", i))
+    out = []
+    for i, text, part in rows:
+        text = text or ""
+        words = re.findall(WORD, text)
+        found = {
+            "A": len(words) < 200,
+            "B": 100 * len(set(words)) < 50 * len(words),
+            "C": 100 * len(re.findall("[A-Z]", text)) > 2 * len(text),
+            "D": bool(re.search(r"[#$%&*|]", text)),
+            "E": i is not None and first[text] < i,
+        }
+        out.append((i, part or "", {f for f, failed in found.items() if failed}))
+    return out
+
+
+def by_hand(rows, known):
+    good = {i for i, q, _ in known if q == 1 and i is not None}
+    toxic = {i for i, _, t in known if t == 1 and i is not None}
+    judged, out, shapley = fails(rows), {}, Counter()
+    for part in {p for _, p, _ in judged}:
+        mine = [(i, f) for i, p, f in judged if p == part]
+        for order in map("".join, permutations("ABCDE")):
+            left = mine
+            for step, f in enumerate(order, 1):
+                gone = [(i, fs) for i, fs in left if f in fs]
+                left = [(i, fs) for i, fs in left if f not in fs]
+                shapley[part, f] += len(gone)
+                out[part, order, step] = [
+                    len(left),
+                    len(gone),
+                    sum(f in fs for _, fs in mine) - len(gone),
+                    sum(fs == {f} for _, fs in mine),
+                    sum(i in good for i, _ in gone),
+                    sum(i in toxic for i, _ in gone),
+                ]
+    return {k: tuple([*v, shapley[k[0], k[1][k[2] - 1]]]) for k, v in out.items()}
+
+
+def report(counters):
+    return {tuple(r)[:3]: tuple(r)[3:] for r in orders_report(counters, "ABCDE").collect()}
+
+
+@pytest.fixture(scope="module")
+def corpus():
+    rng = random.Random(9)
+    texts = [
+        " ".join(rng.choices([f"w{i}" for i in range(rng.choice([20, 400]))], k=rng.choice([50, 250])))
+        for _ in range(25)
+    ]
+    texts += ["", None, "ALL CAPS " * 150, "a # b", "é " * 300 + "|", "x" * 200_000]
+    ids = rng.sample(range(1000), 150)
+    rows = [(i, rng.choice(texts), rng.choice(["p", "q", None])) for i in ids]
+    # A hot text, rows without an id, rows that repeat an id with its text or another one.
+    rows += [(i, texts[0], "p") for i in range(2000, 2080)]
+    rows += [(None, texts[0], "q"), (None, texts[1], None), (None, None, "q")]
+    rows += [(ids[0], rows[0][1], "p"), (ids[0], rows[0][1], "q"), (ids[0], "another", "q")]
+    rows += [(-5, texts[0], "q"), (-5, texts[0], "p"), (-5, texts[0], "p")]
+    known = [(i, rng.choice([0, 1, None]), rng.choice([0, 1])) for i in ids[::2]]
+    known += [(ids[0], 1, 0), (ids[0], 0, 1), (None, 1, 1), (5000, 1, 1)]
+    return rows, known
+
+
+@pytest.mark.parametrize(("files", "rounds"), [(1, 1), (6, 3), (6, 6)])
+def test_equals_by_hand(spark, tmp_path, corpus, files, rounds):
+    rows, known = corpus
+    path = str(tmp_path / "docs")
+    write(spark, path, rows, files)
+    counters = audit(spark, path, labels(spark, known), FILTERS, rounds=rounds)
+    assert all(r.n > 0 for r in counters.collect())
+    assert report(counters) == by_hand(rows, known)
+
+
+def test_goes_on_with_new_files(spark, tmp_path, corpus):
+    rows, known = corpus
+    path, store = str(tmp_path / "docs"), str(tmp_path / "store")
+    # Largest ids first, so that each call finds smaller ones and takes counts back.
+    ordered = sorted(rows, key=lambda r: (r[0] is not None, -(r[0] or 0)))
+    for end in (60, 61, 200, len(ordered)):
+        begin = {60: 0, 61: 60, 200: 61}.get(end, 200)
+        write(spark, path, ordered[begin:end], 2)
+        counters = audit(spark, path, labels(spark, known), FILTERS, store=store)
+        assert report(counters) == by_hand(ordered[:end], known)
+    batches = len(list((tmp_path / "store" / "counters").glob("batch=*")))
+    again = audit(spark, path, labels(spark, known), FILTERS, store=store)
+    assert report(again) == by_hand(rows, known)
+    assert len(list((tmp_path / "store" / "counters").glob("batch=*"))) == batches
+
+
+def test_other_filters(spark, tmp_path):
+    path = str(tmp_path / "docs")
+    write(spark, path, [(1, "a b", "p"), (2, "a b", "p"), (3, "c", "p")])
+    from pyspark.sql import functions as F
+
+    counters = audit(spark, path, labels(spark, []), {"X": lambda text, words: F.size(words) > 1})
+    rows = {(r.filter_order, r.step): r for r in orders_report(counters, "XE").collect()}
+    assert [rows["EX", s].removed for s in (1, 2)] == [1, 1]
+    assert [rows["XE", s].removed for s in (1, 2)] == [2, 0]
+    assert (rows["XE", 1].shapley, rows["XE", 2].shapley) == (3, 1)
+
+
+def test_no_rows(spark, tmp_path):
+    path = str(tmp_path / "docs")
+    write(spark, path, [])
+    assert report(audit(spark, path, labels(spark, []), FILTERS)) == {}

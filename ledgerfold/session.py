@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 import uuid
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -37,6 +39,18 @@ def build(
     return builder.getOrCreate()
 
 
+def importable(spark: SparkSession) -> None:
+    """Lets Python workers import this package where it is not installed.
+
+    The folder it was loaded from is put on the workers' path, as PYTHONPATH would do.
+    """
+    root = str(Path(__file__).resolve().parents[1])
+    environment = spark.sparkContext.environment
+    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir`` or, where that is
     not set, the session's warehouse."""

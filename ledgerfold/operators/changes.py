@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ledgerfold.session import land
+
 
 def _one_per_key(changes: DataFrame, key: str) -> DataFrame:
     """The changes; reading them raises if a key has several. Null keys match nothing."""
@@ -30,6 +32,35 @@ def insert_rows(base: DataFrame, rows: DataFrame) -> DataFrame:
     return base.unionByName(rows, allowMissingColumns=True)
 
 
+def insert_numbered(
+    base: DataFrame, rows: DataFrame, key: str, order_by: list[str] | None = None
+) -> DataFrame:
+    """Add rows with keys the table gives: the numbers after its highest key, without gaps.
+
+    Numbers follow ``order_by``, or the order rows come in. Each task numbers its own
+    rows; how many the tasks before it have is added then, so no task sees all rows. The
+    numbered rows are stored, so what reads them again finds the same keys. An empty
+    table gives 1 first. Columns left out become null.
+    """
+    kind = base.schema[key].dataType
+    highest = base.agg(F.max(key)).first()[0] or 0
+    if order_by:
+        order = [*order_by, F.monotonically_increasing_id()]
+        rows = rows.repartitionByRange(*order).sortWithinPartitions(*order_by)
+    # The number of the task in the upper bits, the place among its rows in the lower 33.
+    placed = land(rows.withColumn("place_given", F.monotonically_increasing_id()), "placed")
+    task = F.shiftright("place_given", 33)
+    earlier = Window.partitionBy(F.lit(0)).orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = placed.groupBy(task.alias("task")).agg(F.count(F.lit(1)).alias("n"))
+    # One row per task that wrote rows.
+    before = sizes.select("task", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    numbered = placed.withColumn("task", task).join(F.broadcast(before), "task")
+    place = F.col("place_given").bitwiseAND((1 << 33) - 1)
+    given = (F.lit(highest).cast("long") + F.col("before") + place + 1).cast(kind)
+    added = numbered.withColumn(key, given).drop("task", "before", "place_given")
+    return base.unionByName(added, allowMissingColumns=True)
+
+
 def update_by_key(base: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     """Set the columns ``changes`` has, for the keys it has.
 

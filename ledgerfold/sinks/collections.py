@@ -17,11 +17,12 @@ def create_collection(spark: SparkSession, name: str, schema: str) -> None:
 def replace_collection(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as the new content of a collection and give the stored rows.
 
-    The rows go to a new folder and the name is switched to it only when all are
-    written, so ``df`` may read the collection it replaces, and readers of the old
-    rows are not disturbed. A change of schema drops the name and makes it anew: for
-    a moment there is no such collection. Folders of former contents stay until
-    ``session.expire`` or the owner of the shared folder removes them.
+    A collection is a view of the folder with its present content. The rows go to a new
+    folder and the view is replaced, in one step of the catalog, only when all are
+    written: ``df`` may read the collection it replaces, readers of the old rows are not
+    disturbed, and at no moment is there no such collection, also where its schema
+    changes. Folders of former contents stay until ``session.expire`` or the owner of the
+    shared folder removes them. (A plain table of that name is dropped first.)
     """
     return _point(df.sparkSession, name, df)
 
@@ -29,20 +30,25 @@ def replace_collection(df: DataFrame, name: str) -> DataFrame:
 def _point(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
     path = fresh_path(spark, name)
     df.write.parquet(path)
-    exists = spark.catalog.tableExists(name)
-    if exists and spark.table(name).schema == spark.read.parquet(path).schema:
-        statement = "ALTER TABLE IDENTIFIER(:name) SET LOCATION :path"
-        spark.sql(statement, args={"name": name, "path": path})
-    else:
+    if _is_table(spark, name):
         drop_collection(spark, name)
-        spark.catalog.createTable(name, path=path, source="parquet", schema=df.schema)
-    spark.catalog.refreshTable(name)
+    content = f"SELECT * FROM parquet.`{path}`"
+    spark.sql(f"CREATE OR REPLACE VIEW {_quoted(name)} AS {content}")
     return spark.table(name)
 
 
+def _quoted(name: str) -> str:
+    return ".".join(f"`{part}`" for part in name.split("."))
+
+
+def _is_table(spark: SparkSession, name: str) -> bool:
+    return spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW"
+
+
 def drop_collection(spark: SparkSession, name: str) -> None:
     """Forget a collection; it is no error if there is none."""
-    spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:name)", args={"name": name})
+    kind = "TABLE" if _is_table(spark, name) else "VIEW"
+    spark.sql(f"DROP {kind} IF EXISTS {_quoted(name)}")
 
 
 def use_database(spark: SparkSession, name: str) -> None:

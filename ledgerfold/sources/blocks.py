@@ -339,25 +339,32 @@ def _malformed(text: Column, what: str, kind: T.DataType) -> Column:
     return F.raise_error(shown).cast(kind)
 
 
-def read_array_blocks(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Read files that each hold one JSON array of documents of any depth, in parallel.
+def array_texts(spark: SparkSession, path: str) -> DataFrame:
+    """``text`` of each document of files that each hold one JSON array of documents.
 
-    Gives the rows of ``read_json_array``, in no order. Raises on what is not one array of
-    documents: at once where brackets or quotes do not close, else when rows are read.
-    The array's documents are stored as text when this is called; rows read those.
+    Raises on what is not one array of documents: at once where brackets or quotes do not
+    close, else when rows are read. The texts are stored when this is called.
     """
     importable(spark)
     pieces = _pieces(spark, path, "}")
     # At the end of a file the last piece is read with a bracket that is not there.
     states = _states_for_tasks(spark, block_states(pieces, "json", b"}"), end_deep=-1)
     cut = land(pieces.mapInArrow(_cuts(states, _JsonCutter, b"}"), CUT), "documents_cut")
-    element = T.StructType.fromDDL(schema)
     rows = _texts(cut).select(F.btrim("text", F.lit(BLANK.decode())).alias("text"), "closings")
     one = (F.col("closings") == 1) & F.startswith("text", F.lit("{")) & F.endswith("text", F.lit("}"))
-    document = F.from_json("text", element, {"mode": "FAILFAST"})
-    checked = F.when(one, document).otherwise(_malformed(F.col("text"), "document", element))
+    wrong = _malformed(F.col("text"), "document", T.StringType())
+    return rows.select(F.when(one, F.col("text")).otherwise(wrong).alias("text"))
+
+
+def read_array_blocks(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Read files that each hold one JSON array of documents of any depth, in parallel.
+
+    Gives the rows of ``read_json_array``, in no order; raises as ``array_texts`` does,
+    and on what does not fit the schema.
+    """
+    document = F.from_json("text", T.StructType.fromDDL(schema), {"mode": "FAILFAST"})
     # As an array, so that also a count parses every document.
-    return rows.select(F.inline(F.array(checked)))
+    return array_texts(spark, path).select(F.inline(F.array(document)))
 
 
 def read_delimited_blocks(

@@ -1,3 +1,4 @@
+import threading
 from pathlib import Path
 
 import pytest
@@ -46,6 +47,39 @@ def test_a_collection_can_change_its_schema(spark):
     drop_collection(spark, "Shape")
 
 
+def test_a_collection_is_there_all_the_time(spark):
+    """Another thread looks for it, and reads it, while its schema changes again and again."""
+    replace_collection(spark.range(3), "Always")
+    missing, done = [], threading.Event()
+
+    def watch():
+        while not done.is_set():
+            if not spark.catalog.tableExists("Always"):
+                missing.append("gone")
+            try:
+                spark.table("Always").schema
+            except Exception as error:
+                missing.append(str(error))
+
+    watcher = threading.Thread(target=watch)
+    watcher.start()
+    for n in range(6):
+        replace_collection(spark.range(3).withColumnRenamed("id", f"c{n}"), "Always")
+    done.set()
+    watcher.join()
+    assert missing == [] and spark.table("Always").columns == ["c5"]
+    drop_collection(spark, "Always")
+
+
+def test_a_plain_table_becomes_a_collection(spark):
+    spark.range(4).write.saveAsTable("Plain")
+    assert rows(replace_collection(spark.range(2), "Plain")) == [(0,), (1,)]
+    drop_collection(spark, "Plain")
+    spark.range(4).write.saveAsTable("Plain")
+    drop_collection(spark, "Plain")
+    assert not spark.catalog.tableExists("Plain")
+
+
 def test_databases(spark):
     use_database(spark, "web_store")
     assert spark.catalog.currentDatabase().lower() == "web_store"

@@ -1,0 +1,103 @@
+"""Changes to a stored table against the same changes made to the whole of it."""
+
+import random
+from pathlib import Path
+
+import pytest
+
+from ledgerfold.operators.changes import apply_changes, insert_numbered
+from ledgerfold.operators.keyed_store import change_store, create_store, parts_for, read_store
+
+SCHEMA = "k LONG, v STRING"
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def files(path):
+    found = Path(path, "rows").rglob("*.parquet")
+    return {str(f): (f.stat().st_mtime_ns, f.stat().st_size) for f in found}
+
+
+def test_only_touched_parts_are_rewritten(spark, tmp_path):
+    path = str(tmp_path / "t")
+    base = spark.range(5000).selectExpr("id AS k", "concat('v', id) AS v")
+    create_store(base, path, "k", 20)
+    before = files(path)
+    changes = spark.createDataFrame([(7, "new", "U"), (8, None, "D"), (9999, "in", "I")], "k LONG, v STRING, op STRING")
+    touched = change_store(spark, path, changes)
+    after = files(path)
+    assert 1 <= len(touched) <= 3
+    mine = tuple(f"part={p}/" for p in touched)
+    for file, stat in before.items():
+        assert (after.get(file) == stat) == (not any(m in file for m in mine))
+    assert rows(read_store(spark, path)) == rows(apply_changes(base, changes, "k"))
+
+
+def test_many_random_changes_equal_apply_changes(spark, tmp_path):
+    rng = random.Random(3)
+    path = str(tmp_path / "t")
+    start = [(k, f"v{k}") for k in rng.sample(range(200), 60)] + [(None, "none"), (None, "none")]
+    whole = spark.createDataFrame(start, SCHEMA)
+    create_store(whole, path, "k", 7)
+    for _ in range(4):
+        keys = rng.sample(range(220), 25)
+        sets = [(k, rng.choice(["x", "y", None]), rng.choice("IUD"), n) for k in keys for n in range(2)]
+        changes = spark.createDataFrame(sets, f"{SCHEMA}, op STRING, n INT")
+        change_store(spark, path, changes, order_by=["n"])
+        whole = spark.createDataFrame(rows(apply_changes(whole, changes, "k", order_by=["n"])), SCHEMA)
+        assert rows(read_store(spark, path)) == rows(whole)
+
+
+def test_a_part_that_loses_all_rows_is_empty(spark, tmp_path):
+    path = str(tmp_path / "t")
+    create_store(spark.createDataFrame([(1, "a"), (2, "b")], SCHEMA), path, "k", 50)
+    gone = spark.createDataFrame([(1, None, "D"), (2, None, "D")], f"{SCHEMA}, op STRING")
+    change_store(spark, path, gone)
+    assert rows(read_store(spark, path)) == []
+    change_store(spark, path, spark.createDataFrame([(3, "c", "I")], f"{SCHEMA}, op STRING"))
+    change_store(spark, path, spark.createDataFrame([(3, "c", "I")], f"{SCHEMA}, op STRING"))
+    assert rows(read_store(spark, path)) == [(3, "c")]
+
+
+def test_no_changes_touch_nothing(spark, tmp_path):
+    path = str(tmp_path / "t")
+    create_store(spark.createDataFrame([(1, "a")], SCHEMA), path, "k", 4)
+    before = files(path)
+    assert change_store(spark, path, spark.createDataFrame([], f"{SCHEMA}, op STRING")) == []
+    assert files(path) == before
+
+
+def test_wrong_changes_leave_the_table_as_it_is(spark, tmp_path):
+    path = str(tmp_path / "t")
+    create_store(spark.createDataFrame([(1, "a")], SCHEMA), path, "k", 4)
+    for bad in ([(1, "x", "Z")], [(1, "x", "U"), (1, "y", "U")]):
+        with pytest.raises(Exception, match="no such op|several changes"):
+            change_store(spark, path, spark.createDataFrame(bad, f"{SCHEMA}, op STRING"))
+        assert rows(read_store(spark, path)) == [(1, "a")]
+    with pytest.raises(ValueError):
+        create_store(spark.createDataFrame([(1,)], "part INT"), str(tmp_path / "p"), "part", 2)
+
+
+@pytest.mark.parametrize(("n_bytes", "parts"), [(0, 1), (100, 1), (101, 2), (950, 10)])
+def test_parts_follow_the_size(n_bytes, parts):
+    assert parts_for(n_bytes, part_bytes=100) == parts
+
+
+@pytest.mark.parametrize("tasks", [1, 7])
+def test_numbers_are_without_gaps(spark, tasks):
+    base = spark.createDataFrame([(5, "a"), (404, "b")], "k INT, v STRING")
+    new = spark.range(0, 1000, 1, tasks).where("id % 3 > 0").selectExpr("concat('n', id) AS v")
+    got = insert_numbered(base, new, "k")
+    assert got.schema["k"] == base.schema["k"]
+    first = rows(got)
+    assert sorted(k for k, _ in first) == [5, 404, *range(405, 405 + 666)]
+    assert rows(got) == first  # the same again when it is read again
+
+
+def test_numbers_follow_an_order(spark):
+    base = spark.createDataFrame([], "k LONG, v STRING, w INT")
+    new = spark.range(0, 500, 1, 6).selectExpr("concat('n', lpad(499 - id, 3, '0')) AS v")
+    got = rows(insert_numbered(base, new, "k", ["v"]))
+    assert sorted(got) == [(i + 1, f"n{i:03}", None) for i in range(500)]

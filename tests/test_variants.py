@@ -1,0 +1,87 @@
+"""Documents whose fields differ: kept whole, and read by declared fields."""
+
+import json
+
+import pytest
+
+from ledgerfold import schemas
+from ledgerfold.session import land
+from ledgerfold.sources.files import read_json_array
+from ledgerfold.sources.variants import (
+    read_variant_arrays,
+    read_variant_lines,
+    typed_view,
+    variant_text,
+)
+
+DOCUMENTS = [
+    {"BrandID": 1, "BrandName": "N/A"},
+    {"BrandID": 2, "BrandName": "x", "since": "2013-01-01", "tags": ["},{", {"deep": [None, 1.5]}]},
+    {"BrandID": None, "a \"b\"": True, "z": {}},
+    {"other": 12345678901234567890},
+    {},
+    {"BrandID": 3, "brandname": "another field"},
+]
+
+
+@pytest.fixture(params=["array", "lines"])
+def documents(spark, tmp_path, request):
+    file = tmp_path / "brands.json"
+    if request.param == "array":
+        file.write_text(json.dumps(DOCUMENTS, indent=1))
+        return read_variant_arrays(spark, str(file))
+    file.write_text("\n\n".join(map(json.dumps, DOCUMENTS)))
+    return read_variant_lines(spark, str(file))
+
+
+def test_documents_of_any_shape_come_back(documents):
+    stored = land(documents, "variants")
+    got = [json.loads(r[0]) for r in variant_text(stored).collect()]
+    assert sorted(got, key=str) == sorted(DOCUMENTS, key=str)
+
+
+def test_declared_fields_and_the_rest(documents):
+    got = typed_view(land(documents, "variants"), schemas.BRAND)
+    assert got.dtypes == [("BrandID", "int"), ("BrandName", "string"), ("rest", "variant")]
+    found = sorted(
+        ((r["BrandID"], r["BrandName"], json.loads(r["rest"].toJson()) if r["rest"] else None) for r in got.collect()),
+        key=str,
+    )
+    names = ("BrandID", "BrandName")
+    want = [
+        (d.get("BrandID"), d.get("BrandName"), {k: v for k, v in d.items() if k not in names} or None)
+        for d in DOCUMENTS
+    ]
+    assert found == sorted(want, key=str)
+    assert typed_view(documents, schemas.BRAND, rest=None).columns == ["BrandID", "BrandName"]
+
+
+def test_typed_view_equals_the_declared_read(spark, tmp_path):
+    carriers = [
+        {"_id": {"$oid": f"{i:024}"}, "name": f"c{i}", "extra": i}
+        | ({"transport": [{"saleid": j, "shippingDate": "2013-01-01", "more": "x"} for j in range(i)]} if i else {})
+        for i in range(5)
+    ]
+    (tmp_path / "c.json").write_text(json.dumps(carriers))
+    path = str(tmp_path / "c.json")
+    want = read_json_array(spark, path, schemas.LOGISTIC_TRANSPORT)
+    got = typed_view(read_variant_arrays(spark, path), schemas.LOGISTIC_TRANSPORT, rest=None)
+    assert got.dtypes == want.dtypes
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+
+
+def test_values_of_another_type(spark, tmp_path):
+    (tmp_path / "b.json").write_text('[{"BrandID":"one"},{"BrandID":2}]')
+    documents = read_variant_arrays(spark, str(tmp_path / "b.json"))
+    with pytest.raises(Exception, match="(?i)cast"):
+        typed_view(documents, schemas.BRAND).collect()
+    lenient = typed_view(documents, schemas.BRAND, rest=None, strict=False)
+    assert sorted(lenient.collect(), key=str) == [(2, None), (None, None)]
+    with pytest.raises(ValueError):
+        typed_view(documents, "`a\"b` INT")
+
+
+def test_text_that_is_no_document_raises(spark, tmp_path):
+    (tmp_path / "bad.json").write_text('[{"a":1},{"a":tru}]')
+    with pytest.raises(Exception, match="(?i)malformed"):
+        read_variant_arrays(spark, str(tmp_path / "bad.json")).collect()

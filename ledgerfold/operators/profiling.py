@@ -6,6 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: Values of more bytes than this are counted by their SHA-256.
+LONG_VALUE = 64
+
 
 def column_profile(
     df: DataFrame, table: str, snapshot_at: str, exact: bool = False
@@ -14,7 +17,8 @@ def column_profile(
 
     Distinct values are estimated with one small sketch per column and task.
     ``exact`` counts them: all columns' values go through one shuffle, keyed by column
-    and value, copies of a value being one row per task before it.
+    and value, copies of a value being one row per task before it. A long value goes as
+    its digest. ``operators.sketches`` profiles only the files that are new.
     """
     counted = _counted(df) if exact else _estimated(df)
     per_column = [
@@ -76,11 +80,15 @@ def _cell(number: int, column: Column, kind: T.DataType) -> Column:
         other = F.to_json(column)
     else:
         other = column
+    text = (F.lit(None) if other is None else other).cast("string")
+    # A digest cannot be taken for a short value: those have another sign before them.
+    digest = F.concat(F.lit("#"), F.sha2(text.cast("binary"), 256))
+    short = F.when(F.octet_length(text) > LONG_VALUE, digest).otherwise(F.concat(F.lit("="), text))
     return F.struct(
         F.lit(number).alias("number"),
         (F.lit(None) if whole is None else whole).cast("bigint").alias("whole"),
         (F.lit(None) if real is None else real).cast("double").alias("real"),
-        (F.lit(None) if other is None else other).cast("string").alias("other"),
+        (text if other is None else short).alias("other"),
     )
 
 

@@ -42,7 +42,9 @@ def _listed(spark: SparkSession, path: str) -> DataFrame:
 
 def _kept(spark: SparkSession, store: str, kind: str, schema: str) -> DataFrame:
     folder = f"{store}/{kind}"
-    spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{folder}/none")
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    if not path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        return spark.createDataFrame([], schema)
     return spark.read.schema(schema).option("recursiveFileLookup", True).parquet(folder)
 
 

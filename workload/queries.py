@@ -19,10 +19,12 @@ from ledgerfold.functions.text import same_text, strip_crlf
 from ledgerfold.operators.changes import (
     apply_changes,
     delete_by_key,
+    insert_numbered,
     insert_rows,
     latest_per_key,
     update_by_key,
 )
+from ledgerfold.operators.keyed_store import change_store, create_store, parts_for, read_store
 from ledgerfold.operators.nested import (
     lookup,
     lookup_unwind,
@@ -41,13 +43,15 @@ from ledgerfold.plans.customers import (
 )
 from ledgerfold.plans.exports import export_array_files, export_documents
 from ledgerfold.plans.monitoring import (
+    keep_latest,
     keep_snapshot,
     last_monitoring,
     last_monitoring_storage,
     monitor,
+    monitor_files,
     monitor_storage,
 )
-from ledgerfold.session import fresh_path
+from ledgerfold.session import fresh_path, land
 from ledgerfold.sinks.collections import (
     create_collection,
     drop_collection,
@@ -56,7 +60,14 @@ from ledgerfold.sinks.collections import (
     use_database,
 )
 from ledgerfold.sinks.files import write_delimited, write_documents, write_json_array
-from ledgerfold.sinks.layout import buckets_for, write_bucketed
+from ledgerfold.sinks.layout import (
+    buckets_for,
+    files_for,
+    read_clustered,
+    write_bucketed,
+    write_clustered,
+)
+from ledgerfold.sources.blocks import read_array_blocks, read_delimited_blocks
 from ledgerfold.sources.files import (
     read_delimited,
     read_json_array,
@@ -64,6 +75,7 @@ from ledgerfold.sources.files import (
     unwrap_id,
     wrap_id,
 )
+from ledgerfold.sources.variants import read_variant_arrays, typed_view
 from workload import tables as t
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -256,10 +268,10 @@ def carrier_shipment_count_with_empty(spark: SparkSession, sf_dir: str) -> DataF
 
 @query
 def carrier_list(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The carrier list, stored as a collection, exported as one array, dropped, read back."""
+    """The carrier list, stored as a collection, exported as arrays, dropped, read back."""
     stored = replace_collection(delivery.carrier_list(t.carriers(spark, sf_dir)), "Logistic")
     path = fresh_path(spark, "logistic_export")
-    write_json_array(stored, path, files=1)
+    write_json_array(stored, path)
     drop_collection(spark, "Logistic")
     dropped = F.lit(not spark.catalog.tableExists("Logistic")).alias("dropped")
     return unwrap_id(read_json_array(spark, path, schemas.LOGISTIC)).select("*", dropped)
@@ -427,6 +439,34 @@ def json_array_split_read(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_json_array(spark, path, schemas.ORDER_LIST, split=True)
 
 
+@query
+def carriers_read_in_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Carriers with their shipments exported as JSON arrays, each read by many tasks."""
+    path = fresh_path(spark, "carrier_arrays")
+    write_json_array(t.carriers(spark, sf_dir), path)
+    carriers = read_array_blocks(spark, path, schemas.LOGISTIC_TRANSPORT)
+    shipments = unwind(unwrap_id(carriers), "transport")
+    return shipments.select("_id", "name", "transport.*")
+
+
+@query
+def documents_of_any_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as documents whose fields differ: two are declared, the others stay together."""
+    orders = t.table(spark, sf_dir, "orders")
+    high = F.col("o_totalprice") > 400000
+    documents = orders.select(
+        F.col("o_orderkey").alias("OrderID"),
+        F.when(F.col("o_orderstatus") != "F", iso_day(F.col("o_orderdate"))).alias("OrderDate"),
+        F.when(high, F.array("o_orderpriority", F.lit("},{"))).alias("Alerts"),
+        F.when(F.col("o_custkey") % 2 == 0, F.struct(F.col("o_custkey").alias("ID"))).alias("Customer"),
+    )
+    path = fresh_path(spark, "order_documents")
+    write_json_array(documents, path)
+    stored = land(read_variant_arrays(spark, path), "order_variants")
+    typed = typed_view(stored, "OrderID BIGINT, OrderDate STRING")
+    return typed.withColumn("rest", F.to_json("rest"))
+
+
 @query
 def json_array_with_blanks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Brands as an array with blanks and line breaks between its documents, read in pieces."""
@@ -450,6 +490,17 @@ def delimited_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_delimited(spark, path, schemas.STATES)
 
 
+@query
+def texts_read_in_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole texts, line breaks and all, as delimited files that many tasks read."""
+    texts = t.table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    path = fresh_path(spark, "texts_csv")
+    write_delimited(texts, path)
+    read = read_delimited_blocks(spark, path, "doc_id BIGINT, source STRING, text STRING")
+    length = F.length("text").cast("bigint")
+    return read.select("doc_id", "source", F.md5("text").alias("text_md5"), length.alias("n_chars"))
+
+
 @query
 def strip_line_breaks(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Whole texts with every second kind of line break as CR+LF, stripped of those."""
@@ -577,13 +628,18 @@ def change_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def customers_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A change set with many changes per key, the last of which counts."""
+    base = _customer_columns(t.customers(spark, sf_dir))
+    changes = _event_changes(spark, sf_dir)
+    return apply_changes(base, changes, "CustomerID", order_by=["ts", "event_id"])
+
+
+def _event_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     op = (
         F.when(F.col("event_type") == "error", "D")
         .when(F.col("event_type") == "purchase", "I")
         .otherwise("U")
     )
-    base = _customer_columns(t.customers(spark, sf_dir))
-    changes = t.table(spark, sf_dir, "events").select(
+    return t.table(spark, sf_dir, "events").select(
         F.col("user_id").alias("CustomerID"),
         F.col("event_type").alias("CustomerPrimaryContact"),
         F.concat(F.lit("event "), "event_id").alias("CustomerName"),
@@ -595,7 +651,25 @@ def customers_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ts",
         "event_id",
     )
-    return apply_changes(base, changes, "CustomerID", order_by=["ts", "event_id"])
+
+
+@query
+def customers_changed_in_place(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same changes made to customers stored by key: only the parts they touch change."""
+    size = storage_profile(spark, f"{sf_dir}/customer.parquet", "customer", "2023-02-21").first()
+    path = fresh_path(spark, "customers_by_key")
+    parts = max(16, parts_for(size["n_bytes"]))
+    create_store(_customer_columns(t.customers(spark, sf_dir)), path, "CustomerID", parts)
+    change_store(spark, path, _event_changes(spark, sf_dir), order_by=["ts", "event_id"])
+    return read_store(spark, path)
+
+
+@query
+def customers_numbered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Suppliers become customers; the table gives their keys, in the order of their names."""
+    base = t.customers(spark, sf_dir)
+    new = _new_customers(spark, sf_dir).drop("CustomerID")
+    return _customer_columns(insert_numbered(base, new, "CustomerID", ["CustomerName"]))
 
 
 # --- monitoring --------------------------------------------------------------
@@ -624,6 +698,41 @@ def monitoring_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return last_monitoring(spark.read.parquet(path))
 
 
+@query
+def profiles_from_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profiles kept up from sketches while tables grow by files: counts are exact, and
+    distinct values are shown as whether they are within 5 % of the exact count."""
+    names, at = ("customer", "orders", "lineitem", "events", "documents"), "2023-02-21 00:00:00"
+    store = fresh_path(spark, "sketches")
+    paths = {name: fresh_path(spark, f"grown_{name}") for name in names}
+    for half in (0, 1):
+        for name, path in paths.items():
+            rows = t.table(spark, sf_dir, name)
+            mine = rows.where(F.pmod(F.xxhash64(rows[rows.columns[0]]), F.lit(2)) == half)
+            mine.write.mode("append").parquet(path)
+        kept_up = monitor_files(spark, paths, store, at)
+    exact = monitor({name: t.table(spark, sf_dir, name) for name in names}, at, exact=True)
+    exact = exact.select("table_name", "column_name", F.col("n_distinct").alias("exact"))
+    close = F.abs(F.col("n_distinct") - F.col("exact")) <= F.col("exact") * 0.05
+    joined = kept_up.join(exact, ["table_name", "column_name"])
+    return joined.withColumn("is_close", close).drop("n_distinct", "exact")
+
+
+@query
+def monitoring_kept_up(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last snapshot of each table's columns, kept up snapshot by snapshot."""
+    drop_collection(spark, "LastMonitoring")
+    customers, events = (t.table(spark, sf_dir, name) for name in ("customer", "events"))
+    leaving = _leaving(spark, sf_dir).withColumnRenamed("CustomerID", "c_custkey")
+    left = delete_by_key(customers, leaving, "c_custkey")
+    both = {"customer": customers, "events": events}
+    keep_latest(monitor(both, "2023-02-21 00:00:00", exact=True), "LastMonitoring")
+    keep_latest(monitor({"customer": left}, "2023-02-22 00:00:00", exact=True), "LastMonitoring")
+    # One that comes late changes nothing.
+    late = monitor({"events": events.where("false")}, "2023-02-20 00:00:00", exact=True)
+    return keep_latest(late, "LastMonitoring")
+
+
 @query
 def storage_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sizes are shown as whether there are any: SQL on the tables does not see files."""
@@ -663,3 +772,18 @@ def bucketed_join(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count(F.lit(1)).alias("n_lines"),
         F.sum(F.col("l_quantity").cast("bigint")).alias("quantity"),
     )
+
+
+@query
+def clustered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order lines clustered by order and product, read by a range of either."""
+    lines = t.order_list(spark, sf_dir)
+    size = storage_profile(spark, f"{sf_dir}/lineitem.parquet", "lineitem", "2023-02-21").first()
+    path = fresh_path(spark, "lines_clustered")
+    write_clustered(lines, path, ["OrderID", "StockItemID"], max(64, files_for(size["n_bytes"])))
+    by_order = read_clustered(spark, path, {"OrderID": (100, 400)})
+    by_item = read_clustered(spark, path, {"StockItemID": (50, 60)})
+    by_both = read_clustered(spark, path, {"OrderID": (None, 1000), "StockItemID": (10, None)})
+    found = {"order": by_order, "item": by_item, "both": by_both}
+    labelled = [df.withColumn("read_by", F.lit(name)) for name, df in found.items()]
+    return labelled[0].unionByName(labelled[1]).unionByName(labelled[2])

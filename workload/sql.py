@@ -326,6 +326,54 @@ SQL = {
             FROM {table}"""
         for table in PROFILED
     ),
+    "carriers_read_in_blocks": f"""
+        SELECT {CARRIER_ID} AS _id, s_name AS name, l_orderkey AS saleid,
+               strftime(o_orderdate, '%Y-%m-%d') AS shippingDate,
+               strftime(l_shipdate, '%Y-%m-%dT%H:%M:%SZ') AS deliveryDate,
+               l_orderkey || '-' || l_linenumber AS trackingNumber
+        FROM supplier JOIN lineitem ON l_suppkey = s_suppkey
+        JOIN orders ON o_orderkey = l_orderkey""",
+    "documents_of_any_shape": """
+        SELECT o_orderkey AS OrderID,
+               CASE WHEN o_orderstatus <> 'F' THEN strftime(o_orderdate, '%Y-%m-%d') END
+                   AS OrderDate,
+               CASE WHEN o_totalprice > 400000 OR o_custkey % 2 = 0
+                    THEN '{' || concat_ws(',',
+                        CASE WHEN o_totalprice > 400000
+                             THEN '"Alerts":["' || o_orderpriority || '","},{"]' END,
+                        CASE WHEN o_custkey % 2 = 0
+                             THEN '"Customer":{"ID":' || o_custkey || '}' END) || '}' END AS rest
+        FROM orders""",
+    "texts_read_in_blocks": """
+        SELECT doc_id, source, md5(text) AS text_md5, length(text) AS n_chars FROM documents""",
+    "customers_numbered": f"""
+        SELECT * FROM ({CUSTOMERS})
+        UNION ALL
+        SELECT (SELECT max(c_custkey) FROM customer)
+               + row_number() OVER (ORDER BY CustomerName) AS CustomerID,
+               * EXCLUDE (CustomerID)
+        FROM ({NEW_CUSTOMERS})""",
+    "profiles_from_sketches": " UNION ALL ".join(
+        f"""SELECT * EXCLUDE (n_distinct), TRUE AS is_close
+            FROM ({_profile(table, table, "2023-02-21 00:00:00")})"""
+        for table in ("customer", "orders", "lineitem", "events", "documents")
+    ),
+    "monitoring_kept_up": " UNION ALL ".join(
+        (
+            _profile("events", "events", "2023-02-21 00:00:00"),
+            _profile(
+                "customer",
+                f"(SELECT * FROM customer WHERE c_custkey NOT IN ({LEAVING}))",
+                "2023-02-22 00:00:00",
+            ),
+        )
+    ),
+    "clustered_lines": f"""
+        SELECT *, 'order' AS read_by FROM ({LINES}) WHERE OrderID BETWEEN 100 AND 400
+        UNION ALL
+        SELECT *, 'item' FROM ({LINES}) WHERE StockItemID BETWEEN 50 AND 60
+        UNION ALL
+        SELECT *, 'both' FROM ({LINES}) WHERE OrderID <= 1000 AND StockItemID >= 10""",
     "bucketed_join": """
         SELECT o_orderpriority, count(*) AS n_lines,
                CAST(sum(CAST(l_quantity AS BIGINT)) AS BIGINT) AS quantity
@@ -334,5 +382,6 @@ SQL = {
 }
 
 # Written out and read back, with the same content.
+SQL["customers_changed_in_place"] = SQL["customers_changed"]
 SQL["orders_collection_repaired"] = SQL["orders_dates_normalised"]
 SQL["shipments_exported"] = f"SELECT *, TRUE AS dropped FROM ({SQL['shipments_flat']})"

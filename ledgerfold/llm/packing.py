@@ -22,10 +22,10 @@ from __future__ import annotations
 import heapq
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
@@ -37,7 +37,7 @@ WINDOW_TOKENS = 4 * 1024 * 1024
 #: A piece of this many tokens costs as much by its square as by its length.
 HORIZON = 2048
 
-#: Words whose ids a task remembers; beyond this it starts anew.
+#: Parts of words whose ids a task remembers; beyond this it starts anew.
 WORDS = 800_000
 IDS = 16_000_000
 MISSES = 2_000
@@ -58,8 +58,8 @@ class WordEncoder:
     the case and take letters, digits and marks apart, and end each such part with a
     token of its own kind, as that of ``word_bpe_49k.json`` does: a text's ids are
     those of its words, one after the other, and a word of letters with marks after it
-    has the ids of its letters and then of the marks. Words are remembered up to a
-    bound.
+    has the ids of its letters and then of the marks. These parts are remembered up to
+    a bound.
     """
 
     def __init__(self, path: str) -> None:
@@ -75,80 +75,86 @@ class WordEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self._number: dict[bytes, int] = {}
-        self._parts: dict[str, tuple[int, ...]] = {"": ()}
-        self._starts = np.zeros(1, np.int64)
+        #: Number of each known part; part n has the ids from start n to start n + 1.
+        self._number: dict[str, int] = {"": 0}
+        self._starts = np.zeros(2, np.int64)
         self._ids = np.zeros(0, np.uint32)
 
-    def _encode_parts(self, parts: list[str]) -> None:
+    def _add(self, parts: list[str], ids: list[np.ndarray], sizes: np.ndarray) -> None:
+        known = len(self._number)
+        self._number.update(zip(parts, range(known, known + len(parts))))
+        self._starts = np.concatenate([self._starts, self._starts[-1] + np.cumsum(sizes)])
+        self._ids = np.concatenate([self._ids, *ids])
+
+    def _encode_parts(self, parts: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
         encoded = self._tokenizer.encode_batch_fast(parts, add_special_tokens=False)
-        self._parts.update((part, tuple(one.ids)) for part, one in zip(parts, encoded))
+        ids = [np.array(one.ids, np.uint32) for one in encoded]
+        return ids, np.array([len(one) for one in ids], np.int64)
 
-    def _encode_letters(self, parts: list[str]) -> None:
+    def _encode_letters(self, parts: list[str]) -> tuple[list[np.ndarray], np.ndarray]:
         """Many words of letters as one text, cut after the tokens that end a word."""
         joined = self._tokenizer.encode_batch_fast([" ".join(parts)], add_special_tokens=False)
-        ids = joined[0].ids
+        ids = np.array(joined[0].ids, np.uint32)
         ends = np.flatnonzero(self._ends[ids]) + 1
         if len(ends) != len(parts):  # a letter that lowering the case makes two signs
-            self._encode_parts(parts)
-            return
-        begin = 0
-        for part, end in zip(parts, ends.tolist()):
-            self._parts[part] = tuple(ids[begin:end])
-            begin = end
-
-    def _learn(self, words: list[bytes]) -> None:
-        if len(self._number) + len(words) > WORDS or len(self._ids) > IDS:
+            return self._encode_parts(parts)
+        return [ids], np.diff(ends, prepend=0)
+
+    def _numbers(self, parts: pa.Array, bounded: bool) -> np.ndarray:
+        """Numbers of parts, which are learned where they are new."""
+        coded = parts.dictionary_encode()
+        distinct = coded.dictionary
+        names = distinct.to_pylist()
+        new = [n for n, name in enumerate(names) if name not in self._number]
+        if bounded and (len(self._number) + len(new) > WORDS or len(self._ids) > IDS):
             raise OverflowError
-        cut, letters, others = [], set(), set()
-        for word in words:
-            text = word.decode()
-            core = text.rstrip(MARKS)
-            if core.isalpha():
-                marks = text[len(core) :]
-                core = core.lower() if core.isascii() else core
-                letters.add(core)
-            else:
-                core, marks = text, ""
-                others.add(core)
-            others.add(marks)
-            cut.append((core, marks))
-        new = list(letters.difference(self._parts))
-        for begin in range(0, len(new), MISSES):
-            self._encode_letters(new[begin : begin + MISSES])
-        self._encode_parts(list(others.difference(self._parts)))
-        ids = [self._parts[core] + self._parts[marks] for core, marks in cut]
-        ends = self._starts[-1] + np.cumsum([len(one) for one in ids], dtype=np.int64)
-        self._starts = np.concatenate([self._starts, ends])
-        flat = np.fromiter(chain.from_iterable(ids), np.uint32)
-        self._ids = np.concatenate([self._ids, flat])
-        known = len(self._number)
-        self._number.update(zip(words, range(known, known + len(words))))
+        of_letters = pc.utf8_is_alpha(distinct).to_numpy(zero_copy_only=False)
+        for letters, encode in ((True, self._encode_letters), (False, self._encode_parts)):
+            some = [names[n] for n in new if of_letters[n] == letters]
+            found = [encode(some[at : at + MISSES]) for at in range(0, len(some), MISSES)]
+            if found:
+                ids = [one for part in found for one in part[0]]
+                self._add(some, ids, np.concatenate([part[1] for part in found]))
+        known = np.fromiter(map(self._number.__getitem__, names), np.int64, len(names))
+        return known[coded.indices.to_numpy()]
+
+    def _learn(self, words: pa.Array, bounded: bool) -> np.ndarray:
+        """For each word the numbers of its letters and of the marks after them."""
+        core = pc.utf8_rtrim(words, MARKS)
+        core = pc.if_else(pc.utf8_is_alpha(core), core, words)
+        n_marks = pc.subtract(pc.binary_length(words), pc.binary_length(core)).to_numpy()
+        lower = pc.and_(pc.utf8_is_alpha(core), pc.string_is_ascii(core))
+        numbers = np.zeros((len(words), 2), np.int64)
+        numbers[:, 0] = self._numbers(pc.if_else(lower, pc.ascii_lower(core), core), bounded)
+        for n in np.unique(n_marks[n_marks > 0]).tolist():
+            rows = np.flatnonzero(n_marks == n)
+            # Marks are one byte each.
+            marks = pc.utf8_slice_codeunits(words.take(pa.array(rows)), -n)
+            numbers[rows, 1] = self._numbers(marks, bounded)
+        return numbers
 
     def encode(self, texts: list[bytes]) -> list[np.ndarray]:
-        cut = [text.split() for text in texts]
-        distinct = set().union(*cut)
+        cut = pc.ascii_split_whitespace(pa.array(texts, pa.binary()).cast(pa.string()))
+        words = cut.flatten().dictionary_encode()
         try:
-            self._learn(list(distinct.difference(self._number)))
+            numbers = self._learn(words.dictionary, bounded=True)
         except OverflowError:
             self._forget()
-            if len(distinct) > WORDS and len(texts) > 1:
+            if len(words.dictionary) > WORDS and len(texts) > 1:
                 half = len(texts) // 2
                 return self.encode(texts[:half]) + self.encode(texts[half:])
-            if len(distinct) > WORDS:
+            if len(words.dictionary) > WORDS:
                 whole = self._tokenizer.encode(texts[0].decode(), add_special_tokens=False)
                 return [np.array(whole.ids, np.uint32)]
-            self._learn(list(distinct))
-        return [self._joined(words) for words in cut]
-
-    def _joined(self, words: list[bytes]) -> np.ndarray:
-        number = np.fromiter(map(self._number.__getitem__, words), np.int64, len(words))
+            numbers = self._learn(words.dictionary, bounded=False)
+        number = numbers[words.indices.to_numpy()].reshape(-1)
         starts = self._starts[number]
         sizes = self._starts[number + 1] - starts
-        ends = np.cumsum(sizes)
-        if not len(ends):
-            return np.zeros(0, np.uint32)
-        return self._ids[np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1])]
+        ends = np.concatenate([np.zeros(1, np.int64), np.cumsum(sizes)])
+        ids = self._ids[np.repeat(starts - ends[:-1], sizes) + np.arange(ends[-1])]
+        # Two parts per word.
+        of_texts = ends[2 * (cut.offsets.to_numpy() - cut.offsets[0].as_py())].tolist()
+        return [ids[a:b] for a, b in zip(of_texts[:-1], of_texts[1:])]
 
 
 _encoders: dict[str, WordEncoder] = {}

@@ -6,10 +6,12 @@ go to the sequence of lowest cost that has room, and are cut where it is full. A
 many sequences are open as the tokens need, so together they are filled but for less
 than one sequence.
 
-Scale: a task packs windows of the documents it has scanned; nothing is shuffled.
-A window holds ``window_tokens`` tokens (four bytes each) and leaves less than one
-sequence of padding, 0.05 % of it on average. Sequence ids are made of task and
-count, so a task that is run again gives the same ones.
+Scale: a task packs windows of the documents it has scanned, ``window_tokens`` tokens
+(four bytes each) at a time, into sequences that are full to the end. The tokens over,
+less than one sequence, go to the task's next window, and those of its last one are
+shuffled: ``TOGETHER`` tasks' are packed by one, with less than one sequence of padding
+for all of them. So padding does not depend on how the input is split. Sequence ids are made of
+task and count. The pieces are stored before what is over is packed.
 
 Edge cases: null and empty texts are a document of the end token alone; a document
 longer than a sequence is cut into several pieces; ties go to the lower doc_id and
@@ -22,14 +24,17 @@ from __future__ import annotations
 import heapq
 import zlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ledgerfold.llm.common import as_bytes, ids_and_texts, slices
+from ledgerfold.session import land
 
 SEQUENCE = 4096
 WINDOW_TOKENS = 4 * 1024 * 1024
@@ -42,6 +47,9 @@ WORDS = 800_000
 IDS = 16_000_000
 MISSES = 2_000
 
+#: Tasks whose left-over tokens, less than one sequence of each, are packed together.
+TOGETHER = 1024
+
 #: Marks that a word of letters may end with; one run of them is one part.
 MARKS = ".,;:!?%$#&*|)("
 
@@ -51,6 +59,18 @@ PIECES = (
 )
 
 
+NAMES = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+
+
+class Held(NamedTuple):
+    """Ids of a document from ``start`` on that are not in a sequence yet."""
+
+    doc_id: int | None
+    start: int
+    doc_tokens: int
+    ids: np.ndarray
+
+
 class WordEncoder:
     """Ids of texts, by way of the ids of their words.
 
@@ -190,6 +210,39 @@ def assign(
     return pieces
 
 
+def _held_back(held: list[Held], n_tokens: int) -> list[Held]:
+    """Takes so many tokens off the end of ``held``, the last document cut if need be."""
+    back = []
+    while n_tokens:
+        one = held.pop()
+        if len(one.ids) > n_tokens:
+            cut = len(one.ids) - n_tokens
+            held.append(one._replace(ids=one.ids[:cut]))
+            one = one._replace(ids=one.ids[cut:], start=one.start + cut)
+        back.append(one)
+        n_tokens -= len(one.ids)
+    return back
+
+
+def _rows(held: list[Held], first: int, sequence: int, horizon: int) -> pa.RecordBatch:
+    """The pieces of ``held`` in sequences numbered from ``first``."""
+    pieces = assign([len(one.ids) for one in held], sequence, horizon)
+    columns = [
+        [held[d].doc_id for d, *_ in pieces],
+        [held[d].start + s for d, s, *_ in pieces],
+        [n for _, _, n, _, _ in pieces],
+        [zlib.crc32(held[d].ids[s : s + n]) for d, s, n, _, _ in pieces],
+        [held[d].doc_tokens for d, *_ in pieces],
+        [first + number for _, _, _, number, _ in pieces],
+        [offset for *_, offset in pieces],
+    ]
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=NAMES)
+
+
+def _in_order(held: list[Held]) -> None:
+    held.sort(key=lambda one: (-len(one.ids), one.doc_id is None, one.doc_id or 0, one.start))
+
+
 def pack(
     docs: DataFrame,
     tokenizer_path: str,
@@ -199,42 +252,59 @@ def pack(
     sequence: int = SEQUENCE,
     window_tokens: int = WINDOW_TOKENS,
     horizon: int = HORIZON,
+    together: int = TOGETHER,
 ) -> DataFrame:
     """One row per piece, as ``PIECES`` says: where it comes from and where it goes."""
 
     def packer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = word_encoder(tokenizer_path)
-        first = (TaskContext.get().partitionId() << 36) if TaskContext.get() else 0
-        held: list[tuple[int, int, np.ndarray]] = []
-        n_held = 0
+        task = TaskContext.get().partitionId() if TaskContext.get() else 0
+        first, n_held = task << 36, 0
+        held: list[Held] = []
 
         def packed() -> pa.RecordBatch:
+            """Sequences filled to the end; what is over stays held."""
             nonlocal first, held, n_held
-            held.sort(key=lambda one: (-one[0], one[1] is None, one[1] or 0))
-            pieces = assign([one[0] for one in held], sequence, horizon)
-            rows = {
-                "doc_id": [held[d][1] for d, *_ in pieces],
-                "start": [p[1] for p in pieces],
-                "length": [p[2] for p in pieces],
-                "ids_crc32": [zlib.crc32(held[d][2][s : s + n]) for d, s, n, _, _ in pieces],
-                "doc_tokens": [held[d][0] for d, *_ in pieces],
-                "sequence_id": [first + p[3] for p in pieces],
-                "offset": [p[4] for p in pieces],
-            }
-            first += -(-n_held // sequence)
-            held, n_held = [], 0
-            arrays = [pa.array(column, pa.int64()) for column in rows.values()]
-            return pa.RecordBatch.from_arrays(arrays, names=list(rows))
+            _in_order(held)
+            back = _held_back(held, n_held % sequence)
+            rows = _rows(held, first, sequence, horizon)
+            first += n_held // sequence
+            held, n_held = back, n_held % sequence
+            return rows.append_column("ids", pa.nulls(rows.num_rows, pa.binary()))
 
         for batch in slices(batches):
             texts = [text or b"" for text in as_bytes(batch.column(1))]
             for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode(texts)):
                 ended = np.append(ids, np.uint32(end_id)).astype("<u4")
-                held.append((len(ended), doc_id, ended))
+                held.append(Held(doc_id, 0, len(ended), ended))
                 n_held += len(ended)
                 if n_held >= window_tokens:
                     yield packed()
-        if held:
+        if n_held >= sequence:
             yield packed()
-
-    return ids_and_texts(docs, id_col, text_col).mapInArrow(packer, PIECES)
+        if held:
+            columns = [
+                pa.array([getattr(one, name) for one in held], pa.int64())
+                for name in ("doc_id", "start", "doc_tokens")
+            ]
+            unset = pa.nulls(len(held), pa.int64())
+            numbers = pa.array([task] * len(held), pa.int64())
+            doc_ids, starts, doc_tokens = columns
+            ids = pa.array([one.ids.tobytes() for one in held], pa.binary())
+            yield pa.RecordBatch.from_arrays(
+                [doc_ids, starts, unset, unset, doc_tokens, numbers, unset, ids], names=[*NAMES, "ids"]
+            )
+
+    def left_over(key: tuple, table: pa.Table) -> pa.Table:
+        """What some tasks have left, packed together."""
+        columns = [table.column(c).to_pylist() for c in ("doc_id", "start", "doc_tokens", "ids")]
+        held = [Held(d, s, n, np.frombuffer(ids, "<u4")) for d, s, n, ids in zip(*columns)]
+        _in_order(held)
+        first = (1 << 62) + (key[0].as_py() << 36)
+        return pa.Table.from_batches([_rows(held, first, sequence, horizon)])
+
+    texts = ids_and_texts(docs, id_col, text_col)
+    pieces = land(texts.mapInArrow(packer, f"{PIECES}, ids BINARY"), "pieces")
+    placed = pieces.where("ids IS NULL").drop("ids")
+    over = pieces.where("ids IS NOT NULL").withColumn("tasks", F.expr(f"sequence_id div {together}"))
+    return placed.unionByName(over.groupBy("tasks").applyInArrow(left_over, PIECES))

@@ -1,7 +1,9 @@
+import random
 import zlib
 from collections import defaultdict
 
 import numpy as np
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
@@ -75,6 +77,26 @@ def test_windows_and_repeated_rows(make_docs, odd_rows):
     assert sum(p.doc_id is None and p.start == 0 for p in whole) == 1
 
 
+@pytest.mark.parametrize(("parts", "window", "together"), [(1, 5000, 1024), (40, 10**6, 1024), (40, 9000, 8)])
+def test_padding_does_not_follow_the_splits(make_docs, parts, window, together):
+    rng = random.Random(2)
+    rows = [(i, " ".join(rng.choices(["river", "stone", "of"], k=rng.randint(0, 900)))) for i in range(300)]
+    docs = make_docs(rows).repartition(parts)
+    pieces = packing.pack(docs, PATH, 2, window_tokens=window, together=together).collect()
+    sequences, by_doc = defaultdict(list), defaultdict(list)
+    for p in pieces:
+        sequences[p.sequence_id].append((p.offset, p.length))
+        by_doc[p.doc_id].append((p.start, p.length))
+    assert {i: _ends(parts) for i, parts in by_doc.items()} == {
+        i: len(t.split()) + 1 for i, t in rows
+    }
+    filled = [_ends(parts) for parts in sequences.values()]
+    assert max(filled) <= packing.SEQUENCE
+    # Less than one sequence for each group of tasks.
+    groups = -(-parts // together)
+    assert len(filled) * packing.SEQUENCE - sum(filled) < groups * packing.SEQUENCE
+
+
 def test_ids_when_little_is_remembered(monkeypatch):
     library = Tokenizer.from_file(PATH)
     monkeypatch.setattr(packing, "WORDS", 5)

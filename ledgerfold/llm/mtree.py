@@ -3,8 +3,9 @@
 It holds whole-number vectors for inner-product search. A vector is given one more
 coordinate that brings it to the common length ``M``, and a query a zero there; then
 the squared distance is ``|q|^2 + M^2 - 2 q.x``, and the nearest vectors are those of
-the highest inner product. Distances are computed from products, which are exact in
-double precision; pruning leaves room for the rounding of roots.
+the highest inner product. Distances are computed from products in double precision;
+pruning leaves room for what they may be off by. Scores are exact: where products may
+pass 2**53 they are computed from the whole numbers again for the entries that count.
 """
 
 from __future__ import annotations
@@ -18,6 +19,25 @@ import numpy as np
 PAGE = 512
 
 
+#: Beyond this, a double does not hold every whole number.
+EXACT = 2.0**53
+
+
+def room(longest: float) -> float:
+    """How far a distance may be off, by the rounding of products of this length."""
+    return 4 * np.sqrt(longest * 1e-13) + 1e-6
+
+
+def doubt(longest: float) -> float:
+    """How far a product may be off."""
+    return 0.0 if longest < EXACT else longest * 1e-13
+
+
+def exact(one: np.ndarray, other: np.ndarray) -> int:
+    """The product of vectors whose doubles are whole numbers."""
+    return sum(int(a) * int(b) for a, b in zip(one.tolist(), other.tolist()))
+
+
 @dataclass
 class Page:
     """Entries of a node. ``below`` is the child's page, or in a leaf the entry's number."""
@@ -84,7 +104,7 @@ def build(vectors: np.ndarray, longest: float, page: int = PAGE) -> tuple[list[P
 class Best:
     """The ``size`` highest scores so far; ties go to smaller ids."""
 
-    def __init__(self, size: int, floor: float = -np.inf) -> None:
+    def __init__(self, size: int, floor: float | int = -np.inf) -> None:
         self._size = size
         self._floor = floor
         self.found: list[tuple[int, int]] = []  # negative score, id
@@ -95,7 +115,7 @@ class Best:
             self.found = sorted(self.found)[: self._size]
 
     @property
-    def worst(self) -> float:
+    def worst(self) -> float | int:
         """A score below this one cannot come in."""
         full = -max(self.found)[0] if len(self.found) >= self._size else -np.inf
         return max(full, self._floor)
@@ -109,13 +129,13 @@ def search(
     longest: float,
 ) -> int:
     """Best-first search of one tree; gives the number of distances computed."""
-    norm = float(query @ query)
+    norm, slack, unsure = float(query @ query), room(longest), doubt(longest)
 
     def reach() -> float:
         """Distance beyond which nothing can come in, with room for rounding."""
         if best.worst == -np.inf:
             return np.inf
-        return np.sqrt(max(norm + longest - 2 * best.worst, 0.0)) * (1 + 1e-9) + 1e-6
+        return np.sqrt(max(norm + longest - 2 * best.worst, 0.0)) * (1 + 1e-9) + slack
 
     queue: list[tuple[float, int, float | None]] = [(0.0, 0, None)]
     computed = 0
@@ -131,9 +151,10 @@ def search(
         products = page.vectors[near] @ query
         computed += len(near)
         if page.leaf:
-            for i in np.flatnonzero(products >= best.worst):
-                if products[i] >= best.worst:
-                    best.add(int(products[i]), ids[page.below[near[i]]])
+            for i in np.flatnonzero(products >= best.worst - unsure):
+                score = exact(page.vectors[near[i]], query) if unsure else int(products[i])
+                if score >= best.worst:
+                    best.add(score, ids[page.below[near[i]]])
             continue
         to_query = np.sqrt(np.maximum(norm + longest - 2 * products, 0.0))
         lower = np.maximum(to_query - page.radius[near], 0.0)

@@ -10,7 +10,11 @@ within that bound. Answers are merged.
 Scale: cells are as many as keep them at ``CELL`` entries, up to ``MAX_CELLS``; what
 every task is sent is a pivot and a radius of each (34 MB at the most with 64
 coordinates). Beyond ``MAX_CELLS`` times ``CELL`` entries, cells grow. The queries are
-a share of the rows and meet a cell in the task that holds its tree, in blocks.
+a share of the rows; those of a cell meet its tree in blocks of ``QUERIES``, each in a
+task of its own, so a cell that many ask for is no large task.
+
+Numbers have 64 bits: a component that does not fit them raises, and so does a score
+among the answers.
 
 Edge cases: vectors that are null, empty, or hold a null, NaN or infinite component
 take no part, nor do vectors with other than the most frequent number of components;
@@ -29,13 +33,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerfold.llm.common import importable
-from ledgerfold.llm.mtree import Best, Page, build, search
-from ledgerfold.session import land
+from ledgerfold.llm.mtree import Best, Page, build, room, search
+from ledgerfold.session import importable, land
 
 CELL = 8192
 MAX_CELLS = 65_536
 
+#: Queries that meet a cell's tree at once, about.
+QUERIES = 4096
+
 _PAGES = (
     "cell INT, page INT, leaf BOOLEAN, vectors BINARY, radius BINARY, to_parent BINARY, "
     "below BINARY, ids ARRAY<ARRAY<LONG>>, centre BINARY, reach DOUBLE"
@@ -67,7 +73,10 @@ def whole_vectors(
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             values = batch.column(1).flatten().to_numpy().reshape(batch.num_rows, -1)
-            numbers = np.floor(values * scale).astype("<i4")
+            numbers = np.floor(values * scale)
+            if (np.abs(numbers) >= 2.0**63).any():
+                raise OverflowError("a component does not fit 64 bits")
+            numbers = numbers.astype("<i8")
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([one.tobytes() for one in numbers], pa.binary())],
                 names=["vec_id", "vector"],
@@ -77,7 +86,7 @@ def whole_vectors(
 
 
 def _matrix(vectors: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join(vectors), "<i4").reshape(len(vectors), -1).astype(np.float64)
+    return np.frombuffer(b"".join(vectors), "<i8").reshape(len(vectors), -1).astype(np.float64)
 
 
 def _cell_finder(pivots: np.ndarray, columns: int):
@@ -111,7 +120,7 @@ def _builder(longest: float):
                 "cell": key[0].as_py(),
                 "page": page.number,
                 "leaf": page.leaf,
-                "vectors": page.vectors.astype("<i4").tobytes(),
+                "vectors": page.vectors.astype("<i8").tobytes(),
                 "radius": page.radius.tobytes(),
                 "to_parent": page.to_parent.tobytes(),
                 "below": page.below.astype("<i8").tobytes(),
@@ -139,9 +148,9 @@ def _builder(longest: float):
 
 def _read_pages(table: pa.Table) -> tuple[dict[int, Page], list[list[int]]]:
     pages, ids = {}, []
-    for row in table.drop_columns(["centre", "reach"]).to_pylist():
+    for row in table.drop_columns(["centre", "reach", "block"]).to_pylist():
         radius = np.frombuffer(row["radius"])
-        vectors = np.frombuffer(row["vectors"], "<i4").reshape(len(radius), -1)
+        vectors = np.frombuffer(row["vectors"], "<i8").reshape(len(radius), -1)
         below = np.frombuffer(row["below"], "<i8")
         if row["leaf"]:
             below = np.arange(len(ids), len(ids) + len(radius))
@@ -165,6 +174,8 @@ def _searcher(longest: float, size: int):
             for (query, floor), vector in zip(asked, vectors):
                 best = Best(size, -np.inf if floor is None else floor)
                 search(pages, vector, best, ids, longest)
+                if any(abs(score) >= 2**63 for score, _ in best.found):
+                    raise OverflowError("a score does not fit 64 bits")
                 out += [(query, i, -score) for score, i in best.found]
         columns = list(zip(*out)) or [[], [], []]
         return pa.table(
@@ -190,7 +201,8 @@ def _other_cells(cells: list[tuple[int, np.ndarray, float]], longest: float):
             norm = (vectors * vectors).sum(axis=1)
             to_centre = norm[:, None] + longest - 2 * (vectors @ centres.T)
             lower = np.sqrt(np.maximum(to_centre, 0.0)) - reach
-            bound = np.sqrt(np.maximum(norm + longest - 2 * floor, 0.0)) * (1 + 1e-9) + 1e-6
+            bound = np.sqrt(np.maximum(norm + longest - 2 * floor, 0.0)) * (1 + 1e-9)
+            bound += 2 * room(longest)
             bound[np.isnan(floor)] = np.inf
             own = batch.column(2).to_numpy()
             row, column = np.nonzero((lower <= bound[:, None]) & (numbers != own[:, None]))
@@ -208,6 +220,20 @@ def _other_cells(cells: list[tuple[int, np.ndarray, float]], longest: float):
     return reached
 
 
+def _searched(index: DataFrame, asked: DataFrame, searcher) -> DataFrame:
+    """Answers to ``asked`` (``cell, query, vector, floor``), a block of a cell's at a time."""
+    sizes = asked.groupBy("cell").agg(F.count(F.lit(1)).alias("n"))
+    # One small row per cell, of which there are MAX_CELLS at most.
+    blocks = F.broadcast(sizes.select("cell", F.expr(f"(n - 1) div {QUERIES} + 1").alias("blocks")))
+    block = F.pmod(F.xxhash64("query"), F.col("blocks")).alias("block")
+    dealt = asked.join(blocks, "cell").select("cell", block, "query", "vector", "floor")
+    each = F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block")
+    trees = index.join(blocks, "cell").select(*index.columns, each)
+    return trees.groupBy("cell", "block").cogroup(dealt.groupBy("cell", "block")).applyInArrow(
+        searcher, _FOUND
+    )
+
+
 def top_k(vectors: DataFrame, asked: Column, k: int = 5, cell: int = CELL) -> DataFrame:
     """``query_id, rank, vec_id, score``: the best ``k`` other rows for each asked one.
 
@@ -243,18 +269,17 @@ def top_k(vectors: DataFrame, asked: Column, k: int = 5, cell: int = CELL) -> Da
     )
     near = land(near, "questions")
     searcher = _searcher(longest, k + 1)
-    trees = index.groupBy("cell")
-    no_floor = F.lit(None).cast("double").alias("floor")
-    first = near.select("cell", "query", "vector", no_floor).groupBy("cell")
-    home = land(trees.cogroup(first).applyInArrow(searcher, _FOUND), "answers")
+    no_floor = F.lit(None).cast("long").alias("floor")
+    first = near.select("cell", "query", "vector", no_floor)
+    home = land(_searched(index, first, searcher), "answers")
 
     bounds = home.groupBy("query").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("least"))
-    floor = F.when(F.col("n") > k, F.col("least").cast("double")).alias("floor")
+    floor = F.when(F.col("n") > k, F.col("least")).alias("floor")
     bounded = near.join(bounds, "query", "left").select("query", "vector", "cell", floor)
     others = bounded.mapInArrow(
-        _other_cells(cells, longest), "cell INT, query LONG, vector BINARY, floor DOUBLE"
+        _other_cells(cells, longest), "cell INT, query LONG, vector BINARY, floor LONG"
     )
-    away = trees.cogroup(others.groupBy("cell")).applyInArrow(searcher, _FOUND)
+    away = _searched(index, others, searcher)
 
     ranked = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     answers = (

@@ -34,6 +34,35 @@ def test_equals_brute_force_with_copies_and_ties(spark, cell):
     assert answers(spark, rows, cell) == brute(whole)
 
 
+def test_a_cell_meets_its_queries_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(topk, "QUERIES", 3)
+    rng = np.random.default_rng(7)
+    rows = [(i, v.tolist()) for i, v in enumerate(rng.normal(size=(120, 4)).round(1))]
+    whole = [(i, np.floor(256 * np.array(v)).astype(int)) for i, v in rows]
+    assert answers(spark, rows, 50) == brute(whole)
+
+
+@pytest.mark.parametrize("size", [9.0e6, 1e9, 5e14 / 256])
+def test_large_components(spark, size):
+    """Numbers beyond 32 bits, and products beyond what a double holds exactly."""
+    rng = np.random.default_rng(4)
+    rows = [(i, (v * size).tolist()) for i, v in enumerate(rng.normal(size=(60, 4)))]
+    rows += [(i + 60, (np.array(v) + rng.integers(0, 3, 4)).tolist()) for i, v in rows[:30]]
+    whole = [(i, np.array([int(x) for x in np.floor(256 * np.array(v))], object)) for i, v in rows]
+    scores = {i: sorted(((-int(v @ w), j) for j, w in whole if j != i))[:5] for i, v in whole if i % 5 == 0}
+    want = {(i, n + 1, j, -s) for i, found in scores.items() for n, (s, j) in enumerate(found)}
+    if max(abs(r[3]) for r in want) < 2**63:
+        assert answers(spark, rows, 40) == want
+    else:
+        with pytest.raises(Exception, match="does not fit"):
+            answers(spark, rows, 40)
+
+
+def test_a_component_beyond_64_bits_raises(spark):
+    with pytest.raises(Exception, match="does not fit"):
+        answers(spark, [(0, [1e300]), (1, [1.0])], 10)
+
+
 def test_odd_vectors(spark):
     good = [(i, [float(i), 1.0]) for i in range(8)]
     odd = [(20, None), (25, []), (30, [1.0, None]), (35, [float("nan"), 1.0])]

@@ -2,8 +2,9 @@
 
 Each rule votes good or bad on a document, or abstains. Which rules are to be
 believed is estimated without labels: expectation-maximisation over the votes of all
-documents finds how often each rule votes each way on good and on bad documents, and
-a document is kept if good is the likelier explanation of its votes.
+documents finds how often each rule votes each way on good documents and on each kind
+of junk, and a document is kept if good is the likelier explanation of its votes. One
+rule's bad vote may be overruled, and another's not.
 
 Scale: one pass over the texts gives counts, votes and digests, which are stored;
 digests are made distinct per task before the shuffle, which brings 16 bytes a text,
@@ -197,19 +198,62 @@ def counted(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 STARTED = 2.0
 
 
+@dataclass(frozen=True)
+class Beliefs:
+    """What EM has found: kind 0 is good, the others are kinds of junk."""
+
+    table: np.ndarray  # kind, rule: how often a vote of the rule is bad
+    share: np.ndarray  # of each kind
+    kind: np.ndarray  # pattern, kind: posterior probability
+    fit: float  # log-likelihood of all votes
+
+
+def _fitted(
+    n: np.ndarray, bad: np.ndarray, cast: np.ndarray, start: np.ndarray, share: np.ndarray,
+    firm: np.ndarray, prior: float, rounds: int,
+) -> Beliefs:
+    """EM from rates ``start`` and shares ``share``: shares, and rates marked ``firm``, are
+    believed as if ``STARTED`` times the documents had shown them, others as ``prior`` are."""
+    shown = STARTED * n.sum() * share
+    belief = prior + firm * shown[:, None]
+    table, shares = start, share
+    for _ in range(rounds):
+        likely = bad @ np.log(table).T + (cast - bad) @ np.log(1 - table).T + np.log(shares)
+        top = likely.max(axis=1, keepdims=True)
+        kind = np.exp(likely - top)
+        whole = kind.sum(axis=1, keepdims=True)
+        kind /= whole
+        weight = kind * n[:, None]
+        table = (weight.T @ bad + belief * start) / (weight.T @ cast + belief)
+        shares = weight.sum(axis=0) + shown + prior * share
+        shares /= shares.sum()
+    fit = float((n * (top[:, 0] + np.log(whole[:, 0]))).sum())
+    return Beliefs(table, shares, kind, fit)
+
+
 def estimate(
     patterns: list[str], times: list[int], rounds: int = 200, prior: float = 10.0
 ) -> dict[str, float]:
     """Posterior probability of good for each pattern of votes.
 
-    Documents are good, or bad in one of as many kinds as there are rules: junk of one
-    kind need not show in the other rules. EM finds how often a rule that votes calls
-    a document of each kind bad; abstaining says nothing. Rules start as right on 9 of
-    10 of their kind, on 1 of 50 of the other kinds, and as wrong on as many good
-    documents as ``mistakes`` finds, 1 of 100 for most. Votes alone cannot tell whether
-    what one rule finds, and no other, is a kind of junk or its mistake, so the start is
-    believed as if ``STARTED`` times as many documents had shown it, and ``prior`` more
-    of each kind. How much a rule calls bad decides nothing by itself.
+    Documents are good, or bad in one of several kinds: junk of one kind need not show in
+    the other rules. EM finds each kind's share, and how often a rule that votes calls a
+    document of the kind bad; for good documents that is how often the rule errs.
+    Abstaining says nothing. It starts with a kind for each rule, in which that rule is
+    right on 9 of 10 and the others call 1 of 50 bad. What other rules make of a kind is
+    left to the votes: ``prior`` documents' worth of the start stand against them. But
+    votes alone cannot tell whether what one rule finds, and no other, is a kind of junk
+    or its mistake; so kinds' shares, a rule's rate on its own kind, and how often it errs
+    on good documents, as ``mistakes`` has it, are believed ``STARTED`` times as firmly
+    as the votes.
+
+    A kind that has nothing but its own rule's bad votes explains them no better than
+    errors of the rule do. So kinds are taken out again, the one that is missed least
+    first, while that costs less likelihood than its numbers are worth (Bayesian
+    information criterion). Only a rule that another kind shows together with others,
+    in half its documents or more, can lose its own: what a rule finds is its mistake where
+    the rules that usually find the same do not. A rule that never votes with others has
+    nothing to be compared with, and the start's belief in it stands.
     """
     n = np.array(times, np.float64)
     bad = np.array([[vote == BAD for vote in p] for p in patterns], np.float64)
@@ -218,19 +262,27 @@ def estimate(
     start = np.full((1 + n_rules, n_rules), 0.02)
     start[0] = mistakes(n, bad, cast, prior)
     start[np.arange(n_rules) + 1, np.arange(n_rules)] = 0.9
-    start_share = np.array([0.86] + [0.14 / n_rules] * n_rules)
-    shown = STARTED * n.sum() * start_share
-    belief = (prior + shown)[:, None]
-    table, share = start, start_share
-    for _ in range(rounds):
-        likely = bad @ np.log(table).T + (cast - bad) @ np.log(1 - table).T + np.log(share)
-        kind = np.exp(likely - likely.max(axis=1, keepdims=True))
-        kind /= kind.sum(axis=1, keepdims=True)
-        weight = kind * n[:, None]
-        table = (weight.T @ bad + belief * start) / (weight.T @ cast + belief)
-        share = weight.sum(axis=0) + shown + prior * start_share
-        share /= share.sum()
-    return dict(zip(patterns, kind[:, 0].tolist()))
+    share = np.array([0.86] + [0.14 / n_rules] * n_rules)
+    firm = np.concatenate([np.ones((1, n_rules)), np.eye(n_rules)])
+
+    def fitted(kinds: list[int]) -> Beliefs:
+        shares = share[kinds] / share[kinds].sum()
+        return _fitted(n, bad, cast, start[kinds], shares, firm[kinds], prior, rounds)
+
+    worth = (n_rules + 1) * np.log(n.sum()) / 2
+    kinds = list(range(1 + n_rules))
+    beliefs = fitted(kinds)
+    while True:
+        without = []
+        for place, kind in enumerate(kinds[1:], 1):
+            others = np.delete(beliefs.table[1:, kind - 1], place - 1)
+            if others.size and others.max() >= 0.5:
+                left = [k for k in kinds if k != kind]
+                without.append((left, fitted(left)))
+        left, fewer = max(without, key=lambda one: one[1].fit, default=(None, None))
+        if left is None or fewer.fit + worth < beliefs.fit:
+            return dict(zip(patterns, beliefs.kind[:, 0].tolist()))
+        kinds, beliefs = left, fewer
 
 
 def mistakes(n: np.ndarray, bad: np.ndarray, cast: np.ndarray, prior: float) -> np.ndarray:

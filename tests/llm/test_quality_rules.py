@@ -50,6 +50,64 @@ def test_a_rule_that_votes_at_random_is_not_believed():
     assert posterior[bad + bad + good] < 0.5
 
 
+def plain_em(patterns, times, kinds, rounds=200, prior=10.0):
+    """The same estimation, one kind and one vote at a time, with the given kinds of junk."""
+    n_rules, n = len(patterns[0]), sum(times)
+    first = {k: [0.9 if r == k - 1 else 0.02 for r in range(n_rules)] for k in kinds}
+    first[0] = [0.01] * n_rules  # no rule errs where the others have something to find
+    begin = {k: 0.14 / n_rules if k else 0.86 for k in kinds}
+    total = sum(begin.values())
+    begin = {k: v / total for k, v in begin.items()}
+    shown = {k: qr.STARTED * n * v for k, v in begin.items()}
+    rate, share = {k: list(first[k]) for k in kinds}, dict(begin)
+    for _ in range(rounds):
+        posterior = {}
+        for p in patterns:
+            chance = {}
+            for k in kinds:
+                chance[k] = share[k]
+                for r, vote in enumerate(p):
+                    chance[k] *= {"b": rate[k][r], "g": 1 - rate[k][r], "-": 1.0}[vote]
+            posterior[p] = {k: c / sum(chance.values()) for k, c in chance.items()}
+        for k in kinds:
+            for r in range(n_rules):
+                held = prior + (shown[k] if k in (0, r + 1) else 0)
+                found = sum(t * posterior[p][k] for p, t in zip(patterns, times) if p[r] == "b")
+                voted = sum(t * posterior[p][k] for p, t in zip(patterns, times) if p[r] != "-")
+                rate[k][r] = (found + held * first[k][r]) / (voted + held)
+            share[k] = sum(t * posterior[p][k] for p, t in zip(patterns, times))
+            share[k] += shown[k] + prior * begin[k]
+        total = sum(share.values())
+        share = {k: v / total for k, v in share.items()}
+    return {p: posterior[p][0] for p in patterns}
+
+
+#: Rules 1 and 2 find one kind of junk together; rule 3 finds another kind alone.
+LONE = {"ggg": 5000, "bbg": 300, "bgg": 15, "-bg": 40, "ggb": 200, "g-b": 30}
+
+
+def test_a_lone_vote_is_overruled_by_what_the_rule_usually_finds():
+    patterns, times = list(LONE), list(LONE.values())
+    posterior = qr.estimate(patterns, times)
+    # Junk that rule 1 finds shows in rule 2 as well; where it does not, rule 1 errs.
+    assert posterior["bgg"] > 0.5
+    # What rule 3 finds, it finds alone: there is nothing to doubt it by.
+    assert posterior["ggb"] < 0.5 and posterior["g-b"] < 0.5
+    assert posterior["bbg"] < 0.5 and posterior["-bg"] < 0.5 and posterior["ggg"] > 0.99
+
+
+def test_estimates_equal_a_plain_em():
+    patterns, times = list(LONE), list(LONE.values())
+    posterior = qr.estimate(patterns, times)
+    equal = [
+        kinds
+        for kinds in ([0, 1, 3], [0, 2, 3])
+        if all(abs(posterior[p] - q) < 1e-9 for p, q in plain_em(patterns, times, kinds).items())
+    ]
+    # One of the two kinds that rules 1 and 2 share is left, and rule 3's.
+    assert len(equal) == 1
+
+
 def test_copies_of_one_junk_text_cannot_move_a_rule(make_docs):
     rng = random.Random(8)
     clean = [(i, "\n".join(sentence(rng, 9) for _ in range(12))) for i in range(300)]

@@ -1,5 +1,6 @@
 """Files read in many blocks against the same files read whole."""
 
+import gzip
 import json
 import random
 
@@ -107,6 +108,14 @@ def test_documents_much_longer_than_blocks(spark, tmp_path, blocks):
     assert rows(read_array_blocks(spark, path, NESTED)) == rows(read_json_array(spark, path, NESTED))
 
 
+def test_a_compressed_file_is_one_block(spark, tmp_path, few_bytes):
+    docs = [document(random.Random(4), i) for i in range(20)]
+    with gzip.open(tmp_path / "c.json.gz", "wt") as file:
+        json.dump(docs, file)
+    path = str(tmp_path / "c.json.gz")
+    assert rows(read_array_blocks(spark, path, NESTED)) == rows(read_json_array(spark, path, NESTED))
+
+
 def test_reads_what_is_written(spark, tmp_path, blocks):
     docs = spark.range(0, 30, 1, 2).selectExpr(
         "CAST(id AS STRING) AS name",

@@ -1,14 +1,19 @@
+import hashlib
+import random
 from datetime import datetime
 from pathlib import Path
 
 from ledgerfold.operators.profiling import column_profile, storage_profile
 from ledgerfold.plans.monitoring import (
+    keep_latest,
     keep_snapshot,
     last_monitoring,
     last_monitoring_storage,
     monitor,
+    monitor_files,
     monitor_storage,
 )
+from ledgerfold.sinks.collections import drop_collection
 
 DAY_1, DAY_2 = "2023-02-21 00:00:00", "2023-02-22 00:00:00"
 
@@ -88,3 +93,38 @@ def test_last_storage_snapshots(spark, tmp_path):
     keep_snapshot(monitor_storage(spark, {"t": stored}, DAY_2), kept)
     last = last_monitoring_storage(spark.read.parquet(kept)).collect()
     assert [(r["table_name"], r["n_rows"]) for r in last] == [("t", 15)]
+
+
+def test_long_values_are_counted_by_their_digests(spark):
+    long = "x" * 5000
+    texts = [long + "a", long + "b", long + "a", "short", None, "", "#" + "0" * 64]
+    digest = hashlib.sha256((long + "a").encode()).hexdigest()
+    texts += ["#" + digest, "=short"]
+    df = spark.createDataFrame([(t, [t]) for t in texts], "s STRING, l ARRAY<STRING>")
+    got = {r["column_name"]: r["n_distinct"] for r in column_profile(df, "t", DAY_1, exact=True).collect()}
+    assert got == {"s": len(set(texts) - {None}), "l": len(set(texts))}
+
+
+def test_latest_kept_up_equals_the_full_read(spark, tmp_path):
+    rng = random.Random(2)
+    drop_collection(spark, "Latest")
+    path = str(tmp_path / "all")
+    for day in rng.sample(range(1, 9), 8):  # some come late
+        tables = {n: spark.range(rng.randint(0, 9)) for n in rng.sample(["a", "b", "c"], 2)}
+        snapshot = monitor(tables, f"2023-02-0{day} 00:00:00", exact=True)
+        keep_snapshot(snapshot, path)
+        latest = keep_latest(snapshot, "Latest")
+        whole = last_monitoring(spark.read.parquet(path))
+        assert sorted(map(tuple, latest.collect())) == sorted(map(tuple, whole.collect()))
+    assert latest.count() <= 3
+    drop_collection(spark, "Latest")
+
+
+def test_snapshots_from_files_are_like_those_from_tables(spark, tmp_path):
+    paths = {n: str(tmp_path / n) for n in ("a", "b")}
+    spark.range(300).write.parquet(paths["a"])
+    spark.range(5).selectExpr("id", "CAST(NULL AS STRING) AS s").write.parquet(paths["b"])
+    got = monitor_files(spark, paths, str(tmp_path / "store"), DAY_1)
+    want = monitor({n: spark.read.parquet(p) for n, p in paths.items()}, DAY_1)
+    assert got.columns == want.columns
+    assert sorted(tuple(r)[1:5] for r in got.collect()) == sorted(tuple(r)[1:5] for r in want.collect())

@@ -17,8 +17,9 @@ Scale: copies of a content are dropped before the shuffle and after it, so one
 content held by a third of all rows is one row per task. The last join is on a
 digest and may be skewed by copies; it is a plain equi-join, which Spark splits.
 
-Edge cases: null text counts as empty (0 tokens, 0 bytes); repeated rows each get a
-row; an empty table gives an empty result.
+Edge cases: null text counts as empty (0 tokens, 0 bytes); texts of any length are
+encoded whole, in pieces; a content that the cache holds more than once counts once;
+repeated rows each get a row; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -34,6 +35,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
 from ledgerfold.llm.common import ids_and_texts, slices
+from ledgerfold.session import land
 
 CACHE = "content_digest STRING, tokenizer_digest STRING, n_tokens LONG"
 
@@ -153,6 +155,8 @@ def token_counts(
     misses = distinct.join(stored().select("content_digest"), "content_digest", "left_anti")
     counted = misses.mapInArrow(_encoder(tokenizer_path, version), CACHE)
     counted.write.mode("append").parquet(cache_path)
-    return keyed.drop("text").join(stored(), "content_digest").select(
-        "doc_id", "n_bytes", "n_tokens"
-    )
+    # Runs that fill a cache at the same time may store a content twice. What is read is
+    # stored as one row each, so the join is one that Spark can split at a hot content.
+    one_each = stored().groupBy("content_digest").agg(F.max("n_tokens").alias("n_tokens"))
+    counts = land(one_each, "token_counts")
+    return keyed.drop("text").join(counts, "content_digest").select("doc_id", "n_bytes", "n_tokens")

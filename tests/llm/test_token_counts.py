@@ -68,6 +68,15 @@ def test_cache_is_used_and_extended(spark, make_docs):
     assert spark.read.parquet(cache).count() == 4
 
 
+def test_a_cache_filled_twice_gives_one_row_per_document(spark, make_docs):
+    cache = fresh_path(spark, "cache")
+    docs = make_docs([(1, "one two"), (2, "three"), (2, "three")])
+    want = sorted(map(tuple, tc.token_counts(docs, PATH, cache).collect()))
+    twice = spark.createDataFrame(spark.read.parquet(cache).collect(), tc.CACHE)
+    twice.write.mode("append").parquet(cache)  # as a run at the same time would do
+    assert sorted(map(tuple, tc.token_counts(docs, PATH, cache).collect())) == want
+
+
 def test_another_tokenizer_version_is_not_mixed_in(spark, make_docs):
     cache = fresh_path(spark, "cache")
     tc.token_counts(make_docs([(1, "Some text")]), tokenizer("word_bpe_49k.json"), cache).collect()

@@ -7,16 +7,16 @@ columns, so that no column of the caller can clash with one of ours.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Iterator
-from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401  (pa.compute)
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerfold.session import importable
+
 #: What separates words: the six ASCII blanks, as ``bytes.split()`` takes them.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -24,18 +24,6 @@ WORD = r"[^\x20\x09-\x0D]+"
 SLICE_BYTES = 8 * 1024 * 1024
 
 
-def importable(spark: SparkSession) -> None:
-    """Lets Python workers import this package where it is not installed.
-
-    The folder it was loaded from is put on the workers' path, as PYTHONPATH would do.
-    """
-    root = str(Path(__file__).resolve().parents[2])
-    environment = spark.sparkContext.environment
-    paths = [p for p in environment.get("PYTHONPATH", "").split(os.pathsep) if p]
-    if root not in paths:
-        environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
-
-
 def packed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``doc_id long, text string, rest struct`` of documents of any schema."""
     importable(docs.sparkSession)
@@ -94,21 +82,26 @@ def binaries(values: np.ndarray, offsets: np.ndarray) -> pa.Array:
     """Binary array whose i-th value is ``values[offsets[i]:offsets[i + 1]]``, uncopied."""
     data = np.ascontiguousarray(values).view(np.uint8).reshape(-1)
     width = values.dtype.itemsize * (values.shape[1] if values.ndim > 1 else 1)
-    ends = (np.asarray(offsets, np.int64) * width).astype(np.int32)
+    ends = np.asarray(offsets, np.int64) * width
+    if len(ends) and ends[-1] > np.iinfo(np.int32).max:
+        raise OverflowError("a binary array holds 2 GB at the most")
+    ends = ends.astype(np.int32)
     return pa.Array.from_buffers(
         pa.binary(), len(offsets) - 1, [None, pa.py_buffer(ends), pa.py_buffer(data)]
     )
 
 
 def sample_by_hash(labels: DataFrame, id_col: str, label_col: str, size: int) -> DataFrame:
-    """``doc_id, label`` of about ``size`` labelled rows, or all if there are no more.
+    """``doc_id, label`` of about ``size`` labelled ids, or all if there are no more.
 
-    Rows are chosen by a hash of the id, so a run that is repeated takes the same ones.
+    Ids are chosen by a hash, so a run that is repeated takes the same ones. An id that
+    comes several times is one row, labelled 1 if any of its rows is.
     """
     known = labels.select(
         labels[f"`{id_col}`"].cast("long").alias("doc_id"),
         labels[f"`{label_col}`"].cast("int").alias("label"),
     ).where("doc_id IS NOT NULL AND label IN (0, 1)")
+    known = known.groupBy("doc_id").agg(F.max("label").alias("label"))
     n = known.count()
     if n <= size:
         return known

@@ -36,8 +36,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ledgerfold.llm.common import WORD, importable, look_up
-from ledgerfold.session import land
+from ledgerfold.llm.common import WORD, look_up
+from ledgerfold.session import importable, land
 
 #: Levels of a band.
 BAND = 32

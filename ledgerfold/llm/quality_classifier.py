@@ -11,8 +11,8 @@ sample of labelled documents (``SAMPLE``, chosen by a hash of the id; the table
 their labels is what is sent to all tasks, some 12 bytes each). Scoring is a scan.
 
 Edge cases: null, empty and blank texts have all statistics zero, and a score like any
-other; labels that are null are not learned from; repeated labels count as often as
-they come; with no labels of one of the classes, scores are the share of the other
+other; texts of any length are read whole; labels that are null are not learned from;
+an id that ``labels`` repeats counts once; with no labels of one of the classes, scores are the share of the other
 (0.5 without any); an empty table gives an empty result.
 """
 

@@ -5,8 +5,9 @@ harm (with a weight), a target, a modal, a negation, a word of speech, or anythi
 else. Transducers read the symbols side by side, each keeping a small state, and their
 composition gives a clause its weight:
 
-* insult: a term's own weight;
-* threat: harm that follows a modal weighs in full, harm alone little;
+* insult: a term weighs as learned, and more next to another one in its clause;
+* threat: harm that follows a modal weighs in full, harm alone little, whether its
+  weight is learned or fixed;
 * target: a clause that names someone weighs more;
 * negation: a term shortly after a negation weighs less;
 * reported speech: a term after a word of speech, or within quotes, weighs less.
@@ -16,11 +17,12 @@ words, that toxic texts have far more often than others. A text's score is a log
 function of its clauses' total weight and of that weight's share of its length, fitted
 on the labelled texts, each of them scored without its own share in the statistics.
 
-Scale: learning takes a sample of labelled documents (``SAMPLE``, by a hash of the id)
-and counts terms per task before the shuffle; at most ``MAX_TERMS`` terms are sent to
+Scale: learning takes a sample of labelled documents (``SAMPLE``, by a hash of the id,
+one row per id, so it can be broadcast) and counts terms per task before the shuffle; at most ``MAX_TERMS`` terms are sent to
 all tasks. The fit works on counts in a grid of fixed size. Scoring is a scan.
 
 Edge cases: null, empty and blank texts match nothing and get the score of such texts;
+long texts are read whole, clause by clause; an id that ``labels`` repeats counts once;
 ties between terms go to the first by name; with no labels of one of the classes, no
 term is learned; repeated rows are separate documents; an empty table gives an empty
 result.
@@ -83,6 +85,11 @@ class Transducer:
         return found if found else (self.fades.get(state, state), 1.0)
 
 
+#: An insult within two tokens after another insult weighs more: terms are heaped.
+HEAPED = Transducer(
+    arcs={(0, INSULT): (2, 1.0), **{(s, INSULT): (2, 1.2) for s in (1, 2)}},
+    fades={2: 1, 1: 0},
+)
 #: Harm weighs in full after a modal, which is forgotten after three more tokens.
 THREAT = Transducer(
     arcs={
@@ -118,7 +125,7 @@ TARGETED = Transducer(
     },
     fades={},
 )
-GRAMMAR = (THREAT, NEGATED, REPORTED, TARGETED)
+GRAMMAR = (HEAPED, THREAT, NEGATED, REPORTED, TARGETED)
 
 #: Weight of harm, which is a fixed word list, on the scale of learned weights.
 HARM_WEIGHT = 3.0
@@ -202,7 +209,8 @@ def matched(text: str | None, lexicon: Lexicon, label: int | None = None) -> tup
             state, clause = machine.start, 0.0
             continue
         weight = weights.get(token, 0.0)
-        symbol = INSULT if weight else _SYMBOLS.get(token, OTHER)
+        # A word of the lists keeps its role, also where the labels give it a weight.
+        symbol = _SYMBOLS.get(token, INSULT if weight else OTHER)
         state, factor = machine.step(state, symbol)
         if weight or symbol == HARMS:
             # A term that is repeated over and over adds less each time.

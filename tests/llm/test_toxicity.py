@@ -23,6 +23,29 @@ def test_grammar_weighs_clauses():
     assert weight("A dolt. " * 2) < 2 * plain
 
 
+def test_learned_harm_keeps_its_role():
+    lexicon = tx.Lexicon({"kill": (60, 2), "dolt": (50, 0)}, 100, 900)
+
+    def weighed(text):
+        return tx.matched(text, lexicon)[0]
+
+    # A modal makes it a threat, and only a threat weighs in full.
+    assert weighed("He will kill") > 4 * weighed("The wolves kill") > 0
+    assert weighed("Not kill") < weighed("The wolves kill")
+
+
+def test_insults_are_heaped():
+    assert weight("A dolt and oaf here") > weight("A dolt. An oaf here")
+    assert weight("A dolt runs over green hills, oaf") == weight("A dolt. An oaf here")
+
+
+def test_an_id_that_labels_repeat_counts_once(spark, make_docs):
+    docs, labels = labelled(spark, make_docs, 200)
+    again = labels.unionByName(labels).unionByName(labels.where("doc_id < 50"))
+    once, often = tx.train(docs, labels), tx.train(docs, again)
+    assert once.lexicon == often.lexicon and once.logistic == often.logistic
+
+
 def test_composition_is_the_product_of_its_parts():
     machine = tx.Composition()
     rng = random.Random(1)

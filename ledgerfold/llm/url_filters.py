@@ -85,8 +85,12 @@ def rule_of(host: Column, path: Column, rules: Rules) -> tuple[Column, Column]:
 def _strings(address: Column, order: int) -> Column:
     """For each character, and the end, the ``order`` ones before it and itself."""
     padded = F.split(F.concat(F.lit(START * order), address, F.lit(END)), "")
-    ends = F.sequence(F.lit(1), F.length(address) + 1)
-    return F.transform(ends, lambda i: F.array_join(F.slice(padded, i, order + 1), ""))
+    # The array beside itself, moved on by one each time: linear in the length, as a lambda
+    # that looks into the array would not be.
+    moved = [F.slice(padded, k + 1, F.length(address) + 1) for k in range(order + 1)]
+    return F.transform(
+        F.arrays_zip(*moved), lambda s: F.concat(*[s[str(k)] for k in range(order + 1)])
+    )
 
 
 def _characters(addresses: DataFrame, order: int) -> DataFrame:

@@ -4,12 +4,16 @@ import math
 import random
 import zlib
 from collections import Counter, defaultdict
+from pathlib import Path
 
+import duckdb
 import pytest
 
 from ledgerfold.llm import url_filters
 from ledgerfold.llm.common import look_up
-from ledgerfold.llm.queries import URL_RULES
+from ledgerfold.llm.queries import QUERIES, URL_RULES
+
+SMALL = "/root/testdata/sf0.001"
 
 SCHEMA = "page_id LONG, url STRING, html STRING, score DOUBLE, rule STRING, digest INT, `a b.c` INT"
 
@@ -168,9 +172,22 @@ def test_allowed_keeps_columns(spark):
 
 
 def test_look_up_of_heavy_keys(spark):
-    rows = spark.range(1000).selectExpr("id", "CASE WHEN id < 700 THEN 'hot' ELSE id % 50 END AS key")
+    rows = spark.range(1000).selectExpr("id", "CASE WHEN id < 700 THEN 'hot' ELSE CAST(id % 50 AS STRING) END AS key")
     found = rows.groupBy("key").count().selectExpr("key", "count AS asked", "length(key) AS size")
     for heavy in (1, 2, 10, 10_000):
         got = look_up(rows, found, ["key"], "asked", heavy)
         assert got.columns == ["key", "id", "size"]
         assert got.count() == 1000 and got.where("size <> length(key)").count() == 0
+
+
+@pytest.mark.skipif(not Path(SMALL).exists(), reason="no test tables")
+def test_registered_query(spark):
+    got = {r.page_id: r for r in QUERIES["op12_url_filters"](spark, SMALL).collect()}
+    rows = duckdb.sql(f"SELECT page_id, url FROM '{SMALL}/pages.parquet'").fetchall()
+    parts, ruled, scores = by_hand(rows, URL_RULES)
+    assert len(got) == len(rows)
+    for (i, _), p, (text, verdict), score in zip(rows, parts, ruled, scores):
+        r = got[i]
+        assert (r.host, r.path, r.rule) == (*p, text)
+        assert r.score == pytest.approx(score, abs=1e-5)
+        assert r.verdict == (verdict or ("allow" if r.score >= r.score_limit else "block"))

@@ -152,7 +152,13 @@ def mix_documents(
     )
     rows = rows.withColumn("domain", _by_name(F.col("source"), domain_of, "other"))
 
-    leaves = rows.groupBy(*PATH).agg(F.sum("n_tokens").alias("tokens"))
+    by_text = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
+    rows = rows.withColumn("by_text", by_text if mix.split_ties else F.lit(""))
+    # What is summed and put in order, without the texts: they are read here, and once more
+    # for the rows that are given.
+    small = land(rows.select("doc_id", *PATH, "n_tokens", "by_text"), "mixed_tokens")
+
+    leaves = small.groupBy(*PATH).agg(F.sum("n_tokens").alias("tokens"))
     # No prefix is left of a leaf without a budget, or that is taken in all its epochs.
     spent = (F.col("budget") == 0) | (F.col("budget") == F.col("tokens") * mix.max_epochs)
     some = F.col("budget") > 0
@@ -172,13 +178,14 @@ def mix_documents(
 
     place = digest(F.col("doc_id"))
     if mix.split_ties:
-        by_text = F.md5(F.coalesce("text", F.lit("")).cast("binary"))
-        place = F.concat(F.when(F.isnull("doc_id"), digest(by_text)).otherwise(place), by_text)
-    placed = (
-        rows.join(budgets, PATH)
-        .withColumn("place", place)
-        .withColumn("bucket", F.substring("place", 1, mix.bucket_digits))
-    )
+        of_text = F.when(F.isnull("doc_id"), digest(F.col("by_text")))
+        place = F.concat(of_text.otherwise(place), "by_text")
+
+    def with_places(frame: DataFrame) -> DataFrame:
+        known = frame.join(budgets, PATH).withColumn("place", place)
+        return known.withColumn("bucket", F.substring("place", 1, mix.bucket_digits))
+
+    placed = with_places(small)
     sums = placed.groupBy(*PATH, "prefix", "bucket").agg(F.sum("n_tokens").alias("tokens"))
     by_bucket = Window.partitionBy(*PATH).orderBy("bucket")
     running = sums.withColumn("until", F.sum("tokens").over(by_bucket))
@@ -199,7 +206,7 @@ def mix_documents(
     fits = places.withColumn("until", until).where("until <= prefix")
     cuts = fits.groupBy(*PATH).agg(F.max("place").alias("last_place"))
     cuts = ends.join(cuts, PATH, "left").drop("before")
-    marked = placed.join(land(cuts, "prefix_cuts"), PATH)
+    marked = with_places(rows).join(land(cuts, "prefix_cuts"), PATH)
 
     def epochs(in_prefix: Column) -> Column:
         last = F.col("whole") - F.when(in_prefix, 0).otherwise(1)

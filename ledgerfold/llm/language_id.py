@@ -16,8 +16,8 @@ taken where the caller asks for a tree of a certain size.
 
 Edge cases: texts that are null or have no letter are ``und`` with score 0, and so is
 every text if there is nothing to learn from; equal code lengths go to the language
-first by name; repeated rows count as often as they come; an empty table gives an
-empty result.
+first by name; texts of any length are read whole; repeated rows count as often as they
+come; an empty table gives an empty result. ``held_out`` of the query is null without an id.
 """
 
 from __future__ import annotations
@@ -36,6 +36,9 @@ from ledgerfold.session import land
 ORDER = 3
 MAX_GRAMS = 4_000_000
 
+#: A model that would take more bytes than this in a task is stored as well.
+SENT_BYTES = 256 * 1024 * 1024
+
 #: Bytes looked up in one go.
 CHUNK = 1 << 20
 
@@ -232,7 +235,7 @@ def train(
     """The model of all documents that have a language; none if there are none.
 
     ``max_grams`` asks for the longest order, up to ``order``, with no more strings than
-    that. A tree of more than ``sent_grams`` is stored, not sent.
+    that. A tree of more than ``sent_grams``, or ``SENT_BYTES``, is stored, not sent.
     """
     counts = land(gram_counts(docs, order, lang_col, id_col, text_col), "grams")
     n_grams = counts.count()
@@ -240,7 +243,9 @@ def train(
         order -= 1
         counts = land(_shorter(counts, order), "grams")
         n_grams = counts.count()
-    if n_grams > sent_grams:
+    # What is sent has a cost of eight bytes for each string in each language.
+    sizes = counts.agg(F.count_distinct("gram"), F.count_distinct("lang")).first()
+    if n_grams > sent_grams or sizes[0] * sizes[1] * 8 > SENT_BYTES:
         return stored(counts, order)
     found = counts.toArrow().combine_chunks()
     langs = found.column("lang").to_numpy(zero_copy_only=False)

@@ -2,22 +2,24 @@
 
 A fingerprint's bit is 1 if more than half of the XXH64 values of a text's shingles
 have it. Fingerprints are linked at ``max_bits`` or fewer differing bits. The 64 bits
-are cut into blocks; ``max_bits`` differing bits leave at least two of ``max_bits + 2``
-blocks untouched, so any two linked fingerprints agree on a pair of blocks. Each
-fingerprint is sent to every pair of blocks it has, and compared with those that
-share it. No link is lost, and nothing is a guess.
+are cut into blocks; ``max_bits`` differing bits leave all but ``max_bits`` of them
+untouched, so any two linked fingerprints agree on that many blocks. Each
+fingerprint is sent to every choice of so many blocks, and compared with those that
+have the same bits there. No link is lost, and nothing is a guess.
 
 Scale: only distinct fingerprints take part, with the smallest id that has each, so a
 group of copies is one fingerprint. A task compares what shares a block pair in
 memory, as numbers, and hands on a spanning forest instead of all pairs: at most one
 link per fingerprint and key. A key that more than ``GROUP`` fingerprints share is
 cut into tiles, and every pair of tiles is compared by itself, so that no key is the
-work of one task. The number of candidates falls with the key's width (about 21 bits
-for 4 bits distance); comparing stays quadratic in what truly shares a key.
+work of one task. The more fingerprints there are, the more blocks they are cut into
+(``n_blocks``): for 4 bits distance, 15 keys of 21 bits, then 35 of 27, then 70 of 32. So
+a key is shared by chance by about ``GROUP`` fingerprints at the most, up to 1e12 of
+them; comparing stays quadratic only in what is truly alike.
 
 Edge cases: texts with fewer words than a shingle have one shingle, the whole
 sequence; texts without words (null, empty, blank) have fingerprint zero and are
-linked like any other; repeated rows are separate rows of one component; an empty
+linked like any other; long texts are hashed whole, with 8 bytes a shingle; repeated rows are separate rows of one component; an empty
 table gives an empty result.
 """
 
@@ -89,9 +91,19 @@ def fingerprints(
     return ids_and_texts(docs, id_col, text_col).mapInArrow(taken, "doc_id LONG, fp LONG")
 
 
-def blocks(max_bits: int) -> list[int]:
-    """Bit masks of the blocks, ``max_bits + 2`` of them."""
-    edges = [round(64 * i / (max_bits + 2)) for i in range(max_bits + 3)]
+def n_blocks(n: int, max_bits: int, group: int = GROUP) -> int:
+    """Blocks to cut ``n`` fingerprints into: the fewest, and so the fewest keys, by which
+    no more than ``group`` of ``n`` random fingerprints share a key."""
+    number = max_bits + 2
+    while n >> (64 * (number - max_bits) // number) > group and number < 2 * max_bits:
+        number += 1
+    return number
+
+
+def blocks(max_bits: int, number: int | None = None) -> list[int]:
+    """Bit masks of so many blocks, ``max_bits + 2`` if not said."""
+    number = number or max_bits + 2
+    edges = [round(64 * i / number) for i in range(number + 1)]
     return [((1 << b) - 1) ^ ((1 << a) - 1) for a, b in zip(edges, edges[1:])]
 
 
@@ -99,16 +111,16 @@ def _signed(mask: int) -> int:
     return mask - (1 << 64) if mask >> 63 else mask
 
 
-def _keys(fp: Column, max_bits: int) -> Column:
-    """Every pair of blocks, with the bits the fingerprint has there."""
-    pairs = combinations(blocks(max_bits), 2)
+def _keys(fp: Column, max_bits: int, number: int) -> Column:
+    """Every choice of all but ``max_bits`` blocks, with the bits the fingerprint has there."""
+    choices = combinations(blocks(max_bits, number), number - max_bits)
     return F.array(
         *[
             F.struct(
-                F.lit(number).alias("pair"),
-                fp.bitwiseAND(F.lit(_signed(a | b)).cast("long")).alias("bits"),
+                F.lit(place).alias("pair"),
+                fp.bitwiseAND(F.lit(_signed(sum(chosen))).cast("long")).alias("bits"),
             )
-            for number, (a, b) in enumerate(pairs)
+            for place, chosen in enumerate(choices)
         ]
     )
 
@@ -175,9 +187,13 @@ def _links(links: list[tuple]) -> pa.RecordBatch:
     )
 
 
-def near_links(classes: DataFrame, max_bits: int = MAX_BITS, group: int = GROUP) -> DataFrame:
-    """Links ``a, b`` that connect all ``classes`` (``node, fp``) within ``max_bits``."""
-    keyed = classes.select("node", "fp", F.inline(_keys(F.col("fp"), max_bits)))
+def near_links(
+    classes: DataFrame, max_bits: int = MAX_BITS, group: int = GROUP, number: int | None = None
+) -> DataFrame:
+    """Links ``a, b`` that connect all ``classes`` (``node, fp``) within ``max_bits``; in
+    ``number`` blocks, or as many as their count asks for."""
+    number = number or n_blocks(classes.count(), max_bits, group)
+    keyed = classes.select("node", "fp", F.inline(_keys(F.col("fp"), max_bits, number)))
     shared = (
         keyed.groupBy("pair", "bits")
         .agg(F.count(F.lit(1)).alias("members"))

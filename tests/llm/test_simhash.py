@@ -28,6 +28,26 @@ def test_empty_table(make_docs):
     assert simhash.near_duplicates(make_docs([])).collect() == []
 
 
+@pytest.mark.parametrize(("n", "number"), [(10**6, 6), (5 * 10**8, 6), (10**10, 7), (10**12, 8)])
+def test_blocks_follow_the_number_of_fingerprints(n, number):
+    assert simhash.n_blocks(n, 4) == number
+    assert n >> (64 * (number - 4) // number) <= simhash.GROUP
+
+
+@pytest.mark.parametrize("number", [7, 8])
+def test_links_in_more_blocks_are_the_same(spark, number):
+    rng = random.Random(number)
+    fps = [rng.getrandbits(64) for _ in range(30)]
+    fps += [fp ^ sum(1 << b for b in rng.sample(range(64), k)) for fp in fps for k in (3, 4, 5)]
+    ids = list(range(len(fps)))
+    signed = np.array(fps, np.uint64).view(np.int64).tolist()
+    classes = spark.createDataFrame(list(zip(ids, signed)), "node LONG, fp LONG")
+    links = simhash.near_links(classes, 4, number=number)
+    got = {r.node: r.component for r in components(links).collect()}
+    want = labels(ids, fps)
+    assert {i: got.get(i, i) for i in ids} == {ids[k]: v for k, v in want.items()}
+
+
 @pytest.mark.parametrize("group", [4, 256])
 def test_links_of_fingerprints_lose_none(spark, group):
     """Chains, dense groups and far fingerprints; a small group size cuts keys in tiles."""

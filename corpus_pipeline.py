@@ -5,9 +5,9 @@ passages are cut out of what is left, sources are mixed to target weights, and t
 chosen documents are packed into sequences. Every stage but the last gives rows with
 the columns of ``documents``.
 
-Nulls and odd rows are as each operator's docstring says. A document without an id is
-kept by the first three stages: it can be judged by its text, but it is no one's
-duplicate. A text that repeats a whole earlier one is empty after the third stage,
+Nulls and odd rows are as each operator's docstring says. A document without an id can be
+judged by its text, and is a copy of another like any; passages are not cut from it. Rows
+that repeat an id and its text are one document after the second stage. A text that repeats a whole earlier one is empty after the third stage,
 and has no words for the fourth to choose.
 """
 
@@ -48,12 +48,38 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     return kept.select(*unpacked(kept, docs))
 
 
+def _without_repeated_rows(docs: DataFrame) -> DataFrame:
+    """One row of each id and text; texts are only shuffled where rows repeat."""
+    key = ["doc_id", "text_digest"]
+    digest = F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256)
+    keyed = docs.withColumn("text_digest", digest)
+    counts = keyed.where("doc_id IS NOT NULL").groupBy(*key).agg(F.count(F.lit(1)).alias("n"))
+    repeated = land(counts.where("n > 1").select(*key), "repeated_rows")
+    once = keyed.join(repeated, key, "left_anti").select(*docs.columns)
+    row = F.struct(*docs.columns)
+    first = keyed.join(repeated, key).groupBy(*key).agg(F.min(row).alias("row"))
+    return once.unionByName(first.select("row.*"))
+
+
 def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near-duplicates."""
-    found = simhash.near_duplicates(docs.where("doc_id IS NOT NULL"))
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti")
-    return kept.select(*docs.columns)
+    """One document of each group of near-duplicates: the one with the smallest id.
+
+    Documents without an id have a number each, above all ids, while groups are looked
+    for, so one of a group stays only where none of it has an id. Of rows that repeat an
+    id and its text one stays.
+    """
+    stand_in = F.monotonically_increasing_id() + (1 << 62)
+    nameless = docs.where("doc_id IS NULL").withColumn("stand_in", stand_in)
+    nameless = land(nameless, "nameless")
+    named = docs.where("doc_id IS NOT NULL")
+    texts = named.select("doc_id", "text").unionByName(
+        nameless.select(F.col("stand_in").alias("doc_id"), "text")
+    )
+    found = simhash.near_duplicates(texts)
+    gone = land(found.where("doc_id <> component_id").select("doc_id").distinct(), "copies")
+    kept = _without_repeated_rows(named.join(gone, "doc_id", "left_anti"))
+    alone = nameless.join(gone.withColumnRenamed("doc_id", "stand_in"), "stand_in", "left_anti")
+    return kept.select(*docs.columns).unionByName(alone.select(*docs.columns))
 
 
 def suffix_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

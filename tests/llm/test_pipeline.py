@@ -1,5 +1,6 @@
 """Each stage of the corpus pipeline against a plain version, on what the one before kept."""
 
+import random
 import zlib
 from collections import Counter, defaultdict
 from pathlib import Path
@@ -102,6 +103,27 @@ def test_run_gives_the_last_stage(spark, kept):
     assert sorted(r.doc_id for r in got.collect()) == sorted(r.doc_id for r in kept[5].collect())
 
 
+def test_no_copy_passes_the_second_stage(spark, make_docs, odd_rows):
+    rng = random.Random(6)
+    text, other = (" ".join(rng.choices("abcdefghij", k=80)) for _ in range(2))
+    third = " ".join(rng.choices("klmnopqrst", k=80))
+    rows = [(1, text), (2, text), (2, text), (5, other), (5, other), (5, third), (None, third)]
+    rows += [(None, "alone " + " ".join(rng.choices("uvwxyz", k=80)))] * 3 + [(None, text)]
+    schema = spark.read.parquet(f"{SF_DIR}/documents.parquet").schema
+    made = [(i, t, "en", rng.choice(["p", "q"]), n) for n, (i, t) in enumerate(rows)]
+    docs = spark.createDataFrame(made, schema).repartition(3)
+    got = corpus_pipeline.simhash_stage(spark, docs, SF_DIR)
+    assert got.dtypes == docs.dtypes
+    left = sorted(((r.doc_id, r.text[:5]) for r in got.collect()), key=repr)
+    want = {(1, text[:5]), (5, other[:5]), (5, third[:5]), (None, "alone")}
+    assert left == sorted(want, key=repr)
+    # The same row stays, however rows are dealt.
+    again = corpus_pipeline.simhash_stage(spark, docs.repartition(5), SF_DIR)
+    assert {tuple(r) for r in again.where("doc_id IS NOT NULL").collect()} == {
+        tuple(r) for r in got.where("doc_id IS NOT NULL").collect()
+    }
+
+
 def test_odd_rows_pass_through_every_stage(spark, odd_rows, tmp_path):
     schema = spark.read.parquet(f"{SF_DIR}/documents.parquet").schema
     made = [(i, t, None if i == 11 else "en", None, len(t or "")) for i, t in odd_rows]

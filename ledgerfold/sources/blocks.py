@@ -46,6 +46,9 @@ CUT = (
 )
 BLANK = b" \t\r\n"
 
+#: Cut texts are handed on when there are so many, or so many bytes of them.
+BATCH_ROWS, BATCH_BYTES = 1000, 8 * 1024 * 1024
+
 #: What a value that is not there is parsed as, which no text is; a quoted empty text is none.
 MISSING = "\x00\x01missing\x01\x00"
 
@@ -296,9 +299,9 @@ class _RecordCutter(_Cutter):
             yield self.row(self.opened, False, text, 0)
 
 
-def _cuts(states, cutter: Callable, separator: bytes, n_rows: int = 1000) -> Callable:
+def _cuts(states, cutter: Callable, separator: bytes) -> Callable:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at_work, rows = None, []
+        at_work, rows, n_bytes = None, [], 0
         for key, raw in _chunks(batches, separator):
             if at_work is None or key != at_work.key:
                 if at_work is not None:
@@ -306,9 +309,10 @@ def _cuts(states, cutter: Callable, separator: bytes, n_rows: int = 1000) -> Cal
                 at_work = cutter(key, _state(states.value, key))
             for row in at_work.feed(raw):
                 rows.append(row)
-                if len(rows) >= n_rows:
+                n_bytes += len(row[-1])
+                if len(rows) >= BATCH_ROWS or n_bytes >= BATCH_BYTES:
                     yield _row(CUT_SCHEMA, *rows)
-                    rows = []
+                    rows, n_bytes = [], 0
         if at_work is not None:
             rows.extend(at_work.end())
         if rows:

@@ -32,8 +32,9 @@ def _point(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
     df.write.parquet(path)
     if _is_table(spark, name):
         drop_collection(spark, name)
-    content = f"SELECT * FROM parquet.`{path}`"
-    spark.sql(f"CREATE OR REPLACE VIEW {_quoted(name)} AS {content}")
+    # ALTER is one step of the catalog; CREATE OR REPLACE would drop the view before.
+    verb = "ALTER" if spark.catalog.tableExists(name) else "CREATE"
+    spark.sql(f"{verb} VIEW {_quoted(name)} AS SELECT * FROM parquet.`{path}`")
     return spark.table(name)
 
 

@@ -182,7 +182,17 @@ def _sender(shares: int):
             part = chosen[edges[a] : edges[b]]
             pieces += _per_share(batch, data, found, part, share[edges[a] : edges[b]])
             a = b
-        return _sent(_number(key), pieces)
+        return _sent(_number(key), _settled_apart(pieces, _number(key) % shares))
+
+    def _settled_apart(pieces: list[tuple], own: int) -> list[tuple]:
+        """The windows settled here go with one row, to a share that only this batch picks
+        for them: a passage that very many have is no burden on the share of its hash."""
+        settled = b"".join(piece[4] for piece in pieces)
+        rows = {piece[0]: (*piece[:4], b"") for piece in pieces}
+        if settled:
+            empty = (own, pa.compress(b"", "zstd", asbytes=True), b"", b"", b"")
+            rows[own] = (*rows.get(own, empty)[:4], settled)
+        return list(rows.values())
 
     return send
 
@@ -203,6 +213,8 @@ def _per_share(
     later = document[order] > np.repeat(least, np.diff(runs))
     begin_of_text = np.concatenate([[0], batch.ends[:-1]])
     window = found.window[chosen] - begin_of_text[row]
+    if len(window) and window.max() >= 1 << 32:
+        raise OverflowError("a text has 4 GB or more")
     place = np.stack([row, window], axis=1).astype("<u4")
     done = np.column_stack([place, found.count[chosen].astype("<u4")]).astype("<u4")[order[later]]
     record_share = share[order[begins]]
@@ -250,6 +262,8 @@ def _match(key: tuple, table: pa.Table) -> pa.Table:
     for number, rows, documents, place in zip(
         *(table.column(c).to_pylist() for c in ("batch", "rows", "documents", "places"))
     ):
+        if not documents:
+            continue
         document, times = np.frombuffer(documents, "<i8").reshape(-1, 2).T
         size = len(document) * RECORD
         raw = pa.decompress(rows, size, "zstd", asbytes=True)
@@ -261,6 +275,8 @@ def _match(key: tuple, table: pa.Table) -> pa.Table:
         first_place.append(before + np.cumsum(times) - times)
         n_places.append(times)
         sender.append(np.full(len(document), number))
+    if not sender:
+        return _with_settled(table, [], [])
     tag, window, count = family.matches().T
     sender, first_place = np.concatenate(sender), np.concatenate(first_place)
     n_places, places = np.concatenate(n_places), np.concatenate(places)
@@ -273,6 +289,11 @@ def _match(key: tuple, table: pa.Table) -> pa.Table:
     runs = _runs(batch[order])
     numbers = batch[order][runs[:-1]].tolist()
     found = binaries(out[order].astype("<u4"), runs).to_pylist()
+    return _with_settled(table, numbers, found)
+
+
+def _with_settled(table: pa.Table, numbers: list[int], found: list[bytes]) -> pa.Table:
+    """Windows by batch, and those that batches had settled themselves."""
     for number, settled in zip(*(table.column(c).to_pylist() for c in ("batch", "settled"))):
         if settled:
             numbers.append(number)
@@ -289,6 +310,8 @@ def _spans(row: np.ndarray, window: np.ndarray, count: np.ndarray) -> np.ndarray
     order = np.lexsort((window, row))
     row, start = row[order], window[order]
     end = start + count[order] + WINDOW - 1
+    if row.max() >= 1 << 22:
+        raise OverflowError("a batch has over four million documents: use more partitions")
     # Ends so far within a row; rows are set apart by adding what no text reaches.
     apart = row * (1 << 40)
     reached = np.maximum.accumulate(end + apart)

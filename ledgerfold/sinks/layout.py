@@ -43,8 +43,8 @@ def write_clustered(
     Each key is replaced by its number among 2**bits ranges that hold about as many rows
     each, whatever its distribution, found in one pass by quantile sketches. The numbers'
     bits are interleaved, and rows are dealt to ``files`` files by ranges of the result
-    and sorted by it. Of n files, a value of one of two keys lies in about the square
-    root of n. Rows with the same keys may go to several files, so no key is too large
+    and sorted by it. Of n files, a value of one of two keys lies in about once to twice
+    the square root of n. Rows with the same keys may go to several files, so no key is too large
     for a task. Beside the rows, the lowest and highest key of each file are kept, by
     which ``read_clustered`` chooses files without opening the others.
 

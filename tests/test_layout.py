@@ -69,7 +69,8 @@ def test_either_key_reads_a_fraction_of_the_files(spark, tmp_path):
     for key, value in (("a", 77), ("a", -4999), ("b", 5), ("b", -700)):
         chosen = files_in_range(spark, str(path), {key: (value, value)})
         found = spans(path, key)
-        assert len(found) == 64 and 1 <= len(chosen) <= 16
+        # Twice the square root of 64, and some as files end where samples say.
+        assert len(found) == 64 and 1 <= len(chosen) <= 24
         # No file is left out that has the value.
         assert sum(low <= value <= high for low, high in found) == len(chosen)
         got = read_clustered(spark, str(path), {key: (value, value)})

@@ -64,18 +64,28 @@ def as_bytes(texts: pa.Array) -> list[bytes | None]:
     return texts.cast(pa.binary()).to_pylist()
 
 
-def slices(batches: Iterator[pa.RecordBatch], text: int = 1) -> Iterator[pa.RecordBatch]:
-    """The same rows in batches of about ``SLICE_BYTES`` of text, one row at least."""
+def slices(
+    batches: Iterator[pa.RecordBatch], text: int = 1, size: int | None = None
+) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``size`` bytes of text, one row at least.
+
+    A Python process works through tasks of many stages, and Arrow keeps what they have
+    freed; it is given back before a task's first batch and after each.
+    """
+    size = size or SLICE_BYTES
+    pool = pa.default_memory_pool()
+    pool.release_unused()
     for batch in batches:
         sizes = pa.compute.binary_length(batch.column(text)).fill_null(0)
         ends = np.cumsum(sizes.to_numpy(zero_copy_only=False), dtype=np.int64)
         start = 0
         while start < batch.num_rows:
             before = ends[start - 1] if start else 0
-            stop = int(np.searchsorted(ends, before + SLICE_BYTES, side="right"))
+            stop = int(np.searchsorted(ends, before + size, side="right"))
             stop = max(stop, start + 1)
             yield batch.slice(start, stop - start)
             start = stop
+        pool.release_unused()
 
 
 def binaries(values: np.ndarray, offsets: np.ndarray) -> pa.Array:

@@ -43,10 +43,14 @@ WINDOW_TOKENS = 4 * 1024 * 1024
 HORIZON = 2048
 
 #: Parts of words whose ids a task remembers; beyond this it starts anew.
-WORDS = 800_000
-IDS = 16_000_000
+WORDS = 300_000
+IDS = 4_000_000
 MISSES = 2_000
 
+#: Texts are encoded in slices of about this many bytes: a word of a slice takes about a
+#: hundred bytes of numbers while its ids are put together.
+ENCODED_TOGETHER = 1024 * 1024
+
 #: Tasks whose left-over tokens, less than one sequence of each, are packed together.
 TOGETHER = 1024
 
@@ -187,6 +191,16 @@ def word_encoder(path: str) -> WordEncoder:
     return _encoders[path]
 
 
+def encoded(
+    batches: Iterator[pa.RecordBatch], encoder: WordEncoder, end_id: int
+) -> Iterator[tuple[int | None, np.ndarray]]:
+    """Id of each document, and the ids of its tokens with the end token."""
+    for batch in slices(batches, size=ENCODED_TOGETHER):
+        texts = [text or b"" for text in as_bytes(batch.column(1))]
+        for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode(texts)):
+            yield doc_id, np.append(ids, np.uint32(end_id)).astype("<u4")
+
+
 def assign(
     lengths: list[int], sequence: int = SEQUENCE, horizon: int = HORIZON
 ) -> list[tuple[int, int, int, int, int]]:
@@ -272,14 +286,11 @@ def pack(
             held, n_held = back, n_held % sequence
             return rows.append_column("ids", pa.nulls(rows.num_rows, pa.binary()))
 
-        for batch in slices(batches):
-            texts = [text or b"" for text in as_bytes(batch.column(1))]
-            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode(texts)):
-                ended = np.append(ids, np.uint32(end_id)).astype("<u4")
-                held.append(Held(doc_id, 0, len(ended), ended))
-                n_held += len(ended)
-                if n_held >= window_tokens:
-                    yield packed()
+        for doc_id, ids in encoded(batches, encoder, end_id):
+            held.append(Held(doc_id, 0, len(ids), ids))
+            n_held += len(ids)
+            if n_held >= window_tokens:
+                yield packed()
         if n_held >= sequence:
             yield packed()
         if held:

@@ -1,14 +1,19 @@
 import random
+import subprocess
+import sys
 import zlib
 from collections import defaultdict
+from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from ledgerfold.llm import packing
+from ledgerfold.llm.common import slices
 from ledgerfold.llm.queries import tokenizer
 
 PATH = tokenizer("word_bpe_49k.json")
@@ -108,3 +113,41 @@ def test_ids_when_little_is_remembered(monkeypatch):
 
 def test_empty_table(make_docs):
     assert packing.pack(make_docs([]), PATH, 2).collect() == []
+
+
+#: Encodes a batch of 16 MB, as a worker gets it, and prints by how many MB memory rose.
+GROWTH = """
+import random, re, sys
+from pathlib import Path
+import pyarrow as pa
+from ledgerfold.llm import packing
+
+def mb(name):
+    return int(re.search(name + r":\\s+(\\d+)", Path("/proc/self/status").read_text())[1]) / 1024
+
+rng = random.Random(5)
+words = ["".join(rng.choices("abcdefgh", k=5)) for _ in range(30_000)]
+texts = [" ".join(rng.choices(words, k=1500)) for _ in range(1800)]
+batch = pa.record_batch([pa.array(range(len(texts))), pa.array(texts)], names=["doc_id", "text"])
+del texts
+encoder = packing.WordEncoder(sys.argv[1])
+before = mb("VmRSS")
+documents = list(packing.encoded(iter([batch]), encoder, 2))
+held = sum(ids.nbytes for _, ids in documents) / 2**20
+print(mb("VmHWM") - before - held)
+"""
+
+
+def test_encoding_takes_little_memory_beside_the_ids():
+    run = [sys.executable, "-c", GROWTH, PATH]
+    root = Path(packing.__file__).parents[2]
+    out = subprocess.run(run, cwd=root, capture_output=True, text=True, check=True).stdout
+    assert float(out) < 100
+
+
+def test_slices_are_of_the_size_asked_for():
+    texts = ["x" * n for n in (400, 700, 10, 5000, 0, 990)] + [None]
+    batch = pa.record_batch([pa.array(range(7)), pa.array(texts)], names=["doc_id", "text"])
+    parts = list(slices(iter([batch]), size=1000))
+    assert [p.num_rows for p in parts] == [1, 2, 1, 3]
+    assert pa.Table.from_batches(parts).equals(pa.Table.from_batches([batch]))

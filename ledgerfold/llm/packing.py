@@ -43,13 +43,13 @@ WINDOW_TOKENS = 4 * 1024 * 1024
 HORIZON = 2048
 
 #: Parts of words whose ids a task remembers; beyond this it starts anew.
-WORDS = 300_000
+WORDS = 500_000
 IDS = 4_000_000
 MISSES = 2_000
 
 #: Texts are encoded in slices of about this many bytes: a word of a slice takes about a
 #: hundred bytes of numbers while its ids are put together.
-ENCODED_TOGETHER = 1024 * 1024
+ENCODED_TOGETHER = 2 * 1024 * 1024
 
 #: Tasks whose left-over tokens, less than one sequence of each, are packed together.
 TOGETHER = 1024
